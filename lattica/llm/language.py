@@ -109,7 +109,7 @@ def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFr
     """All rows and columns of ``documents`` with lang_pred and score (0 to 1), from the text alone. ``und`` and 0 for null
     texts, texts without a letter, and when no language was learned. Input columns so called are replaced."""
     rows = documents.drop("lang_pred", "score")
-    names = list(prototypes)
+    names, own = list(prototypes), rows.columns
     matrix = np.array([prototypes[k] for k in names], dtype=np.float32).reshape(len(names), -1)
     shared = rows.sparkSession.sparkContext.broadcast((names, matrix))
     schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
@@ -129,7 +129,7 @@ def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFr
                 best = int(np.argmax(cosines))
                 found.append(names[best])
                 scores.append(float(1 / np.exp(SHARPNESS * (cosines - cosines[best])).sum()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rows.columns), pa.array(found, pa.string()), pa.array(scores, pa.float64())], schema.names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(found, pa.string()), pa.array(scores, pa.float64())], schema.names)
 
     return rows.mapInArrow(run, schema)
 
