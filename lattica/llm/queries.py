@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import decontaminate, language, licenses, sharding, url_index
+from lattica.llm import decontaminate, language, licenses, neardup, sharding, url_index
 from lattica.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(table(spark, sf_dir, "documents"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontaminate": op2_decontaminate,
     "op3_sharding": op3_sharding,
+    "op5_minhash": op5_minhash,
     "op7_language": op7_language,
     "op10_url_filter": op10_url_filter,
 }
