@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import decontaminate, language, licenses, neardup, sharding, url_index
+from lattica.llm import decontaminate, language, licenses, neardup, sharding, url_index, vectors
 from lattica.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_index.judged(spark, table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op5_minhash": op5_minhash,
     "op7_language": op7_language,
+    "op8_embeddings": op8_embeddings,
     "op10_url_filter": op10_url_filter,
 }
 
