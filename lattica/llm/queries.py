@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import decontaminate, language, licenses, neardup, sharding, url_index, vectors
+from lattica.llm import decontaminate, language, licenses, neardup, sharding, toxicity, url_index, vectors
 from lattica.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op5_minhash": op5_minhash,
+    "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_embeddings": op8_embeddings,
     "op10_url_filter": op10_url_filter,
