@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import decontaminate, language, licenses, neardup, sharding, toxicity, url_index, vectors
+from lattica.llm import decontaminate, language, licenses, mixing, neardup, packing, sharding, toxicity, url_index, vectors
 from lattica.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -39,6 +43,10 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_index.judged(spark, table(spark, sf_dir, "pages"))
 
@@ -47,10 +55,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontaminate": op2_decontaminate,
     "op3_sharding": op3_sharding,
+    "op4_packing": op4_packing,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_embeddings": op8_embeddings,
+    "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
 }
 
