@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SHIPPED: set[str] = set()
 
 
@@ -34,8 +35,11 @@ def put_bytes(spark: SparkSession, path: str, data: bytes) -> str:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Hands this package to the Python workers, once a context, so that they can import it without an installation."""
+    """Hands this package to the Python workers, once a context, so that they can import it without an installation, and
+    bounds the rows of an Arrow batch unless the session has set them."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == "10000":  # the default: too much where rows hold long texts
+        spark.conf.set(BATCH_ROWS, "1000")
     if context.applicationId not in _SHIPPED:
         home, out = Path(__file__).resolve().parent, io.BytesIO()
         with zipfile.ZipFile(out, "w") as z:
