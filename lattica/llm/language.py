@@ -110,7 +110,7 @@ def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFr
     texts, texts without a letter, and when no language was learned. Input columns so called are replaced."""
     rows = documents.drop("lang_pred", "score")
     names, own = list(prototypes), rows.columns
-    matrix = np.array([prototypes[k] for k in names], dtype=np.float32).reshape(len(names), -1)
+    matrix = np.array([prototypes[k] for k in names], dtype=np.float32).reshape(len(names), DIMENSIONS)
     shared = rows.sparkSession.sparkContext.broadcast((names, matrix))
     schema = rows.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 

@@ -1,0 +1,460 @@
+"""Each operator against a brute-force version on small tables with nulls, empty and long texts, ties, repeated rows,
+empty tables and clashing column names."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from pyspark.sql import functions as F
+
+from lattica.llm import components, decontaminate, language, licenses, mixing, neardup, packing, sharding, toxicity, url_index, vectors
+from lattica.llm.common import alnum_words, space_words
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def docs_of(spark, texts, ids=None, **more):
+    ids = list(range(len(texts))) if ids is None else ids
+    rows = [(i, t, "en", "s", 0 if t is None else len(t)) for i, t in zip(ids, texts, strict=True)]
+    out = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return out.withColumns({k: F.lit(v) for k, v in more.items()})
+
+
+def empty(frame):
+    return frame.filter("false")
+
+
+ODD = [None, "", "   ", "\t\n", "É é\u00a0x", "a", "A b", "x " * 30_000, "dup text here", "dup text here"]
+
+
+def test_words():
+    for t in [*ODD, "A-B_c9é\x7fz \x0b\x0c.Ünï"]:
+        assert [w.decode() for w in alnum_words(t.encode() if t else None)] == words(t)
+        assert [w.decode() for w in space_words(t.encode() if t else None)] == re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER))
+
+
+# 1
+
+
+def test_licenses(spark):
+    said = ["All rights reserved. x all  RIGHTS-reserved", "under the GNU General Public License, version 3", "cc by cc by", "Licensed under CC BY-NC 4.0", "rights reserved all", "general public licenses", "the mit license", "all all rights reserved"]
+    texts = ODD + said
+    rows = {r.doc_id: r for r in licenses.scanned(docs_of(spark, texts, labels="x", score=1)).collect()}
+    assert len(rows) == len(texts)
+    for i, t in enumerate(texts):
+        w, at, found = words(t), [], set()
+        for template in licenses.BASE_TEMPLATES:
+            p = template.text.split()
+            here = [k for k in range(len(w)) if w[k : k + len(p)] == p]
+            at += here
+            found |= {template.label} if here else set()
+        r = rows[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(found)))
+        assert found <= set(r.labels.split(",")) | set() and 0 <= r.score <= 1
+    by_text = {t: rows[i].labels for i, t in enumerate(texts)}
+    assert by_text[said[1]] == "gpl,gpl-3.0" and by_text[said[3]] == "cc-by,cc-by-nc" and by_text[said[6]] == "mit"
+    assert licenses.scanned(empty(docs_of(spark, ["a"]))).count() == 0
+
+
+# 2
+
+
+def brute_contamination(text, items, window=13):
+    w, hit, found = words(text), set(), set()
+    for name, item in items:
+        v = words(item)
+        size = min(window, len(v))
+        grams = {tuple(v[k : k + size]) for k in range(len(v) - size + 1)} if v else set()
+        for k in range(len(w) - size + 1 if v else 0):
+            if tuple(w[k : k + size]) in grams:
+                hit |= set(range(k, k + size))
+                found.add(name)
+    names = ",".join(sorted(found))
+    return len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)
+
+
+@pytest.mark.parametrize("block_words", [2_000_000, 30])
+def test_decontamination(spark, block_words):
+    rng = random.Random(1)
+    vocabulary = ["w%d" % i for i in range(12)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 5, 12, 13, 14, 30])))) for i in range(20)]
+    items += [(90, None), (91, ""), (92, items[0][1]), (None, "only here"), (2, "second text of two")]
+    texts = list(ODD)
+    for _ in range(40):
+        parts = [" ".join(rng.choices([*vocabulary, "other", "ou"], k=rng.randrange(40)))]
+        v = words(rng.choice(items)[1])
+        parts.append(" ".join(v[rng.randrange(3) :]).upper())
+        texts.append(", ".join(parts))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.marked(docs_of(spark, texts, n_hit="mine"), bench, block_words=block_words).collect()
+    named = [("" if i is None else str(i), t) for i, t in items]
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows}
+    assert got == {i: brute_contamination(t, named) for i, t in enumerate(texts)}
+    assert rows[0].lang == "en"
+    kept = decontaminate.decontaminated(docs_of(spark, texts, n_hit="mine"), bench)
+    assert kept.columns == [*docs_of(spark, []).columns, "n_hit"] if False else kept.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, x in got.items() if not x[4])
+    assert {r.n_hit for r in kept.collect()} == {"mine"}
+
+
+def test_decontamination_empty(spark):
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    assert decontaminate.marked(docs_of(spark, ["a b c"]), empty(bench)).first().n_hit == 0
+    assert decontaminate.marked(empty(docs_of(spark, ["a"])), bench).count() == 0
+
+
+def test_verbatim_matches(spark):
+    bench = spark.createDataFrame([(7, " ".join("abcdefghijklmnopqrst"))], "item_id long, text string")
+    docs = docs_of(spark, ["x " + " ".join("cdefghijklmnopq") + " z", "nothing"])
+    assert [tuple(r) for r in decontaminate.verbatim_matches(docs, bench).collect()] == [(0, "7", 1, 2, 15)]
+
+
+# 3
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 65, 1000])
+def test_permutation(n):
+    p = sharding.permute(np.arange(n), n, 17)
+    assert sorted(p.tolist()) == list(range(n))
+    assert (sharding.permute(p, n, 17, back=True) == np.arange(n)).all()
+
+
+def test_sharding(spark):
+    texts = ODD * 10
+    docs = docs_of(spark, texts, ids=[None if i == 3 else i // 2 for i in range(len(texts))], shard="x", slot="y")
+    rows = sharding.shard_plan(docs, shards=7).collect()
+    assert len(rows) == len(texts)
+    counts = [sum(r.shard == k for r in rows) for k in range(7)]
+    assert max(counts) - min(counts) <= 1 and {r.law for r in rows} == {"rows"}
+    for k in range(7):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(counts[k]))
+    want = sorted((len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for t in texts)
+    assert sorted((r["size"], r.text_crc32) for r in rows) == want
+    again = sharding.shard_plan(docs.repartition(5), shards=7).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    assert sharding.shard_plan(empty(docs)).count() == 0
+    assert sharding.shard_plan(docs.limit(1)).first().slot == 0
+
+
+# 4
+
+
+def test_best_fit():
+    rng = random.Random(2)
+    for _ in range(50):
+        length = rng.choice([1, 2, 7, 64, 100])
+        sizes = [rng.randint(1, length) for _ in range(rng.randrange(80))]
+        rows = packing.packed_rows(sizes, length)
+        assert sorted(i for r in rows for i in r) == list(range(len(sizes)))
+        assert all(sum(sizes[i] for i in r) <= length for r in rows)
+        free = []  # brute force
+        for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
+            fit = [c for c in free if c >= sizes[i]]
+            if fit:
+                free.remove(min(fit))
+                free.append(min(fit) - sizes[i])
+            else:
+                free.append(length - sizes[i])
+        assert sorted(length - sum(sizes[i] for i in r) for r in rows) == sorted(free)
+
+
+def test_packing_round_trip(spark):
+    texts = [*ODD, "Grüße, 世界 🙂 " * 50]
+    docs = docs_of(spark, texts, ids=[i % 1000 for i in range(len(texts))], ids_extra=1)
+    rows = packing.packed(docs, length=64)
+    for r in rows.collect():
+        assert len(r.ids) == 128 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 64
+        assert r.position_resets == r.cu_seqlens[:-1] and len(r.doc_ids) == len(r.position_resets) == len(r.piece_starts)
+    back = {}
+    for r in packing.unpacked(rows, length=64).orderBy("doc_id", "start").collect():
+        assert r.start == len(back.setdefault(r.doc_id, []))
+        back[r.doc_id] += r.ids
+    codec = packing.encoding()
+    assert back == {i: [*codec.encode_ordinary(t or ""), packing.END] for i, t in enumerate(texts)}
+    assert packing.packed(empty(docs)).count() == 0
+
+
+# 5
+
+
+def brute_groups(texts, ids, width, share=80):
+    sets = []
+    for t in texts:
+        w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER))
+        sets.append({tuple(w[k : k + width]) for k in range(len(w) - width + 1)} or ({tuple(w)} if w else set()))
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(ids)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= share * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(ids[a]), find(ids[b])
+                root[max(x, y)] = min(x, y)
+    return {i: (len(s), find(i)) for i, s in zip(ids, sets, strict=True)}
+
+
+def near_texts(rng, groups=12, copies=8):
+    out = []
+    for _ in range(groups):
+        base = [rng.choice("abcdefghij") + str(rng.randrange(300)) for _ in range(rng.choice([3, 6, 30, 120]))]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rng.randrange(1 + len(text) // 8)):
+                text[rng.randrange(len(text))] = str(rng.randrange(10**6))
+            out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_near_duplicates(spark, width):
+    rng = random.Random(5)
+    texts = ODD[:7] + ODD[8:] + near_texts(rng)
+    ids = list(range(100, 100 + len(texts)))
+    rng.shuffle(ids)
+    docs = docs_of(spark, texts, ids=ids, component_id="mine", kept="mine")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs, width=width).collect()}
+    assert got == brute_groups(texts, ids, width)
+    kept = neardup.deduplicated(docs, width=width)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (_, c) in got.items() if i == c) and kept.columns == docs.columns
+
+
+def test_near_duplicates_odd(spark):
+    docs = docs_of(spark, ["a b c", "a b c", "a b c", None], ids=[None, 4, 4, None])
+    rows = neardup.near_duplicates(docs, width=2).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in rows) == [(0, 0, True), (0, 0, True), (4, 4, True), (4, 4, True)]
+    assert neardup.near_duplicates(empty(docs)).count() == 0
+    assert neardup.deduplicated(docs, width=2).count() == 3
+
+
+def test_near_duplicates_large_region(spark, monkeypatch):
+    """One base with many copies, of which a part links with nothing: small bounds force deeper levels and several tiles."""
+    monkeypatch.setattr(neardup, "REGION_COMPONENTS", 4)
+    monkeypatch.setattr(neardup, "TILE", (16, 32))
+    rng = random.Random(8)
+    base = [str(rng.randrange(10**6)) for _ in range(80)]
+    texts = []
+    for _ in range(150):
+        text = list(base)
+        for _ in range(rng.randrange(12)):
+            text[rng.randrange(80)] = str(rng.randrange(10**6))
+        texts.append(" ".join(text))
+    ids = list(range(len(texts)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs_of(spark, texts), width=2).collect()}
+    assert got == brute_groups(texts, ids, 2)
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(5, 5), (None, 1)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for u, v in edges:
+        if u is not None and u != v:
+            a, b = find(u), find(v)
+            root[max(a, b)] = min(a, b)
+    got = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: find(i) for i in list(root)}
+
+
+# 6
+
+
+def toxic_table(spark, n=400):
+    rng = random.Random(4)
+    texts, toxic = [], []
+    for i in range(n):
+        w = ["".join(rng.choices(["th", "er", "on", "an", "re", "he"], k=rng.randint(1, 3))) for _ in range(rng.randint(5, 60))]
+        if i % 4 == 0:
+            w[rng.randrange(len(w))] = rng.choice(["vile", "scummy", "rotten"])
+        texts.append(" ".join(w))
+        toxic.append(int(i % 4 == 0))
+    labels = spark.createDataFrame(list(enumerate([0] * n, 0)), "doc_id long, quality int").join(spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int"), "doc_id")
+    return docs_of(spark, texts), labels, toxic
+
+
+def test_toxicity(spark):
+    docs, labels, toxic = toxic_table(spark)
+    odd = docs_of(spark, ODD, ids=range(9000, 9000 + len(ODD)), score="x")
+    rows = toxicity.scored(docs.withColumn("score", F.lit("x")).unionByName(odd), labels).collect()
+    assert len(rows) == 400 + len(ODD)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+    out = [r for r in rows if r.doc_id < 400 and r.held_out]
+    assert sum(r.predicted == toxic[r.doc_id] for r in out) >= 0.95 * len(out)
+    assert toxicity.scored(empty(docs), labels).count() == 0
+    assert {r.predicted for r in toxicity.scored(docs.limit(5), empty(labels)).collect()} == {0}
+
+
+# 7
+
+
+def test_language(spark):
+    rng = random.Random(6)
+    parts = {"en": ["the", "ing", "wh"], "fr": ["eau", "oi", "é"], "de": ["sch", "ung", "ö"]}
+    texts, langs = [], []
+    for i in range(240):
+        lang = ["en", "fr", "de"][i % 3]
+        texts.append(" ".join("".join(rng.choices(parts[lang], k=2)) for _ in range(12)))
+        langs.append(lang)
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(zip(texts, langs, strict=True))], "doc_id long, text string, lang string")
+    odd = spark.createDataFrame([(9000 + i, t, None) for i, t in enumerate([*ODD, "12 !!", None])], docs.schema)
+    rows = language.identified(docs.unionByName(odd).withColumn("lang_pred", F.lit("x"))).collect()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+        if r.doc_id < 9000:
+            assert r.lang_pred == langs[r.doc_id]
+        else:
+            t = [*ODD, "12 !!", None][r.doc_id - 9000]
+            assert (r.lang_pred == "und") == (not any(c.isalpha() for c in t or ""))
+    assert language.identified(empty(docs)).count() == 0
+    assert {r.lang_pred for r in language.identified(docs.withColumn("lang", F.lit(None).cast("string")).limit(3)).collect()} == {"und"}
+    kept = language.accepted(docs.unionByName(odd).withColumn("score", F.lit("own")))
+    assert kept.columns == ["doc_id", "text", "lang", "score"] and {r.score for r in kept.collect()} == {"own"}
+
+
+def test_binding():
+    a, b = language.Encoder(256), language.Encoder(256)
+    assert np.array_equal(a.encoded("hello wörld"), b.encoded("Hello, WÖRLD!"))
+    assert a.encoded("hello there") @ a.encoded("hello their") > a.encoded("hello there") @ a.encoded("zzz qqq xxx")
+
+
+# 8
+
+
+def brute_vectors(rows, threshold=0.98):
+    ok = []
+    for i, v, label in rows:
+        x = None if v is None or label is None or any(c is None for c in v) else np.array(v, dtype=float)
+        ok.append(x / np.linalg.norm(x) if x is not None and len(x) and np.isfinite(x).all() and np.any(x) else None)
+    root = {r[0]: r[0] for r in rows}
+    n = dict.fromkeys(root, 0)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if ok[a] is not None and ok[b] is not None and rows[a][2] == rows[b][2] and len(ok[a]) == len(ok[b]) and ok[a] @ ok[b] >= threshold:
+                n[rows[a][0]] += 1
+                n[rows[b][0]] += 1
+                x, y = find(rows[a][0]), find(rows[b][0])
+                root[max(x, y)] = min(x, y)
+    return {i: (n[i], find(i), find(i) == i) for i in root}
+
+
+@pytest.mark.parametrize("tile", [5, 2048])
+def test_vectors(spark, tile):
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(12):
+        base = rng.normal(size=16)
+        for _ in range(8):
+            rows.append((base + rng.normal(size=16) * rng.choice([0, 0.05, 0.12, 0.2]), k % 2))
+    rows = [(1000 - i, v.tolist(), label) for i, (v, label) in enumerate(rows)]
+    rows += [(1, None, 0), (2, [0.0] * 16, 0), (3, [1.0, None] + [0.0] * 14, 0), (4, [float("nan")] * 16, 0), (5, [float("inf")] * 16, 0), (6, rows[0][1], None), (7, [], 0), (8, [1.0, 2.0], 0), (9, [2.0, 4.0], 0), (10, [1e-300, 2e-300], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("n_links", F.lit("x"))
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(frame, tile=tile).collect()}
+    want = brute_vectors(rows)
+    assert got == want
+    assert vectors.near_vectors(empty(frame)).count() == 0
+
+
+def test_quantisation_bound():
+    rng = np.random.default_rng(1)
+    u = rng.normal(size=(60, 64))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    codes, scales, norms, errors = vectors.quantised(u)
+    about = (codes.astype(float) @ codes.T) * scales[:, None] * scales[None, :]
+    assert (np.abs(u @ u.T - about) <= norms[:, None] * errors[None, :] + errors[:, None] + 1e-12).all()
+
+
+# 9
+
+
+def test_mixing(spark):
+    rng = random.Random(7)
+    texts, labels = [], []
+    for i in range(400):
+        y = i % 4
+        w = [rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(rng.randint(5, 40))]
+        texts.append(" ".join((x.upper() + "!!" if y < 2 else x) for x in w) + (" vile" if y % 2 else ""))
+        labels.append((i, y // 2, y % 2))
+    docs = docs_of(spark, texts + ODD)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    targets = {"low_clean": 0.2, "low_toxic": 0.1, "high_clean": 0.6, "high_toxic": 0.1}
+    rows = mixing.mixture(docs, table, targets).toPandas()
+    assert len(rows) == len(texts) + len(ODD) and (rows.rate >= 0).all()
+    got = np.array([(rows.tokens * rows.rate * rows[f"p_{d}"]).sum() for d in mixing.DOMAINS])
+    assert np.allclose(got / got.sum(), [targets[d] for d in mixing.DOMAINS], atol=1e-4)
+    assert ((rows.copies == np.floor(rows.rate)) | (rows.copies == np.floor(rows.rate) + 1)).all()
+    assert np.allclose(rows[[f"p_{d}" for d in mixing.DOMAINS]].sum(axis=1), 1)
+    out = mixing.mixed(docs.withColumn("rate", F.lit("own")), table, targets)
+    assert out.columns == [*docs.columns, "rate"]
+    counts = out.groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
+    assert all(counts.get(r.doc_id, 0) == r.copies for r in rows.itertuples())
+    assert mixing.mixture(empty(docs), table).count() == 0
+    assert mixing.mixture(docs, empty(table)).count() == len(rows)
+
+
+# 10
+
+
+def test_urls(spark):
+    urls = [
+        None, "", "no scheme", "http://", "http://a.org", "http://a.org/", "HTTP://WWW.Example.ORG/es/1", "http://example.org/en/1", "http://x.example.org/en/148.html?q=/de/", "http://x.com/fr/9#top",
+        "http://com/de/", "http://x.com?/fr/", "http://notexample.org/es/", "ftp://spam-farm.example.net/x", "http://a.spam-farm.example.net", "http://myspam-farm.example.net/", "x://y://z/", "http://ÄB.org/é", "http://a.org/", "http://.org/", "http://a..com/de/x",
+    ]
+
+    def brute(url):
+        host, path = "", ""
+        if url and "://" in url:
+            rest = url.split("://", 1)[1]
+            host = re.split("[/?#]", rest, maxsplit=1)[0]
+            path = re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+            host = host.translate(LOWER)
+        fits = [(len(h + p), v == "block", h + p) for v, h, p in url_index.BASE_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        if fits:
+            _, block, rule = max(fits)
+            return host, path, rule, "block" if block else "allow"
+        listed = host and any(host == s or host.endswith("." + s) for s in url_index.BLOCKED_SITES)
+        return host, path, None, "block" if listed else "allow"
+
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit("x"))
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_index.judged(spark, pages).collect()}
+    assert got == {i: brute(u) for i, u in enumerate(urls)}
+    assert url_index.judged(spark, empty(pages)).count() == 0
+    assert {r.verdict for r in url_index.judged(spark, pages, [], []).collect()} == {"allow"}
+
+
+def test_digest_collisions(tmp_path):
+    path = tmp_path / "index"
+    path.write_bytes(url_index.DigestArray.built([("b", 2), ("a", 1), ("c", 3)]))
+    index = url_index.DigestArray.mapped(str(path))
+    assert index.probe([b"a", b"b", b"x", b"c"]).tolist() == [1, 2, -1, 3]
+    one = np.full(4, index.digests[0])  # every probe collides with the first digest
+    assert sorted(index.probe([b"a", b"b", b"c", b"x"], one).tolist())[:3] == [-1, -1, -1]
+    two = url_index.DigestArray(np.array([5, 5], dtype=np.uint64), np.array([0, 1, 2], dtype=np.uint64), np.frombuffer(b"ab", np.uint8), np.array([7, 8], dtype=np.uint64))
+    assert two.probe([b"b", b"a", b"c"], np.array([5, 5, 5], dtype=np.uint64)).tolist() == [8, 7, -1]
+
+
