@@ -7,9 +7,9 @@ that too many unlinked rows share are searched again deeper, in more orders, so
 with the same probability at every depth (a miss has odds below 1e-4).
 
 Candidates are not all pairs of a region. First every row meets the least row of each region, then rows outside the
-main component meet random members of it, and only rows still outside meet all members of the components they border
-on. Every link is confirmed on the full sets, and two rows of one component need no further test. So links are those
-of the whole graph as far as components go, while large groups of copies cost time in proportion to their size.
+main component meet random members of it, and only rows still outside meet all of the main component and its other
+outsiders. Every link is confirmed on the full sets, and two rows of one component need no further test. So components
+are those of the whole graph, while a large group of copies costs time in proportion to its size.
 """
 
 from __future__ import annotations
@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 
 from lattica.llm.common import WordHashes, dropped, sliced, space_words, texts, written
 from lattica.llm.components import components
+from lattica.llm.vectors import roots
 
 HASHES = 96
 #: (depth, orders): orders grow as 0.8 ** -depth.
 LEVELS = ((4, 24), (8, 60), (12, 144))
 #: A region with more components than this is searched deeper (at the last depth none is).
-REGION_COMPONENTS = 16
+REGION_COMPONENTS = 512
+#: Outer and inner rows of a tile, and bytes of either's sets, about.
+TILE, TILE_BYTES = (256, 1024), 4 << 20
 #: Ids of candidates up to so many are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -83,17 +86,17 @@ def features(documents: DataFrame, width: int, least: int) -> DataFrame:
 
 
 def sets_of(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, shingles) of the documents whose doc_id is in ``ids`` (id, distinct)."""
+    """(id, n, shingles) of the documents whose doc_id is in ``ids`` (id, distinct)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in sliced(batches):
-            found = [shingle_set(space_words(t), width, hashes).tobytes() for t in texts(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "shingles"])
+            found = [shingle_set(space_words(t), width, hashes) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "n", "shingles"])
 
     few = ids.count() <= BROADCAST_IDS
     rows = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, shingles binary")
+    return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, n long, shingles binary")
 
 
 def prefix_keys(rows: DataFrame, depth: int, orders: int) -> DataFrame:
@@ -120,23 +123,80 @@ def prefix_keys(rows: DataFrame, depth: int, orders: int) -> DataFrame:
     return rows.select("id", "signature").mapInArrow(run, "key long, id long")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """The (u, v) of ``pairs`` with denominator * intersection >= numerator * union of their full sets."""
+def compared_pairs(ids: np.ndarray, labels: np.ndarray, outer: np.ndarray, sets: list[np.ndarray], numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
+    """(u, v) that span the links between outer rows and all inner ones of another label. Intersections are counted exactly:
+    pair by pair for a few, else as products of 0/1 matrices over blocks of the shingles that two rows at least hold."""
+    x, y = np.flatnonzero(outer), np.flatnonzero(~outer)
+    if not len(x) or not len(y):
+        return ids[:0], ids[:0]
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    near = denominator * np.minimum(sizes[x][:, None], sizes[y][None, :]) >= numerator * np.maximum(sizes[x][:, None], sizes[y][None, :])
+    near &= labels[x][:, None] != labels[y][None, :]
+    both = np.zeros(near.shape, dtype=np.int64)
+    if near.sum() <= 64:
+        for i, j in np.argwhere(near):
+            both[i, j] = len(np.intersect1d(sets[x[i]], sets[y[j]], assume_unique=True))
+    else:
+        _, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sets)), sizes)
+        common = held > 1
+        number = np.cumsum(common) - 1
+        row, place = row[common[place]], number[place[common[place]]]
+        for start in range(0, int(common.sum()), 4096):
+            part = (place >= start) & (place < start + 4096)
+            block = np.zeros((len(sets), 4096), dtype=np.float32)
+            block[row[part], place[part] - start] = 1
+            both += np.rint(block[x] @ block[y].T).astype(np.int64)
+    hit = near & (both > 0) & (denominator * both >= numerator * (sizes[x][:, None] + sizes[y][None, :] - both))
+    a, b = np.nonzero(hit)
+    known, at = np.unique(ids, return_inverse=True)
+    root = roots(len(known), at[x[a]], at[y[b]])
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return known[moved], known[root[moved]]
+
+
+def compared(rows: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Links (u, v), confirmed on full sets, that join the same components as all links between the outer and inner rows of
+    each region, for ``rows`` (region, id, label, outer) without repeats. Outer and inner rows of a region are dealt to
+    tiles of bounded rows and bytes, and each pair of tiles is compared in one place; no pair is ever a row."""
+    width = F.col("n") * 8
+    sized = rows.join(sets.select("id", "n"), "id").groupBy("region").agg(
+        F.greatest(F.sum(F.col("outer").cast("long")) / TILE[0], F.sum(F.when(F.col("outer"), width)) / TILE_BYTES).alias("x"),
+        F.greatest(F.sum((~F.col("outer")).cast("long")) / TILE[1], F.sum(F.when(~F.col("outer"), width)) / TILE_BYTES).alias("y"),
+    )
+    sized = sized.filter("x > 0 and y > 0").select("region", F.ceil("x").cast("int").alias("x"), F.ceil("y").cast("int").alias("y"))
+    own = F.when(F.col("outer"), F.col("x")).otherwise(F.col("y"))
+    other = F.when(F.col("outer"), F.col("y")).otherwise(F.col("x"))
+    dealt = rows.join(sized, "region").withColumns({"own": F.pmod(F.xxhash64("id", F.lit(5)), own).cast("int"), "other": other})
+    dealt = dealt.join(sets.select("id", "shingles"), "id").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("other") - 1)))
+    dealt = dealt.select("region", F.when(F.col("outer"), F.col("own")).otherwise(F.col("o")).alias("i"), F.when(F.col("outer"), F.col("o")).otherwise(F.col("own")).alias("j"), "id", "label", "outer", "shingles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hit = []
-            for x, y in zip(batch.column("su"), batch.column("sv"), strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = 0
-                if denominator * min(len(a), len(b)) >= numerator * max(len(a), len(b)):
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                hit.append(denominator * both >= numerator * (len(a) + len(b) - both) and both > 0)
-            yield batch.select(["u", "v"]).filter(pa.array(hit, pa.bool_()))
+        held: list[pa.RecordBatch] = []
+        key = None
 
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("su"))
-    right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
+        def out() -> pa.RecordBatch:
+            group = pa.Table.from_batches(held)
+            sets = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in group.column("shingles")]
+            u, v = compared_pairs(*(group.column(c).to_numpy() for c in ("id", "label", "outer")), sets, numerator, denominator)
+            return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("region", "i", "j")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                if start == end:
+                    continue
+                now = tuple(keys[:, start].tolist())
+                if held and now != key:
+                    yield out()
+                    held = []
+                key = now
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield out()
+
+    return dealt.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j").mapInArrow(run, "u long, v long")
 
 
 class Linked:
@@ -158,6 +218,24 @@ class Linked:
         return rows.join(self.labels.withColumnRenamed("node", column), column, "left").withColumn("label", F.coalesce("label", column))
 
 
+def starred(pairs: DataFrame) -> DataFrame:
+    """Regions of one outer row, the region itself, and the inner rows ``id``."""
+    centres = pairs.select("region", F.col("region").alias("id")).distinct()
+    as_rows = lambda r, outer: r.select("region", "id", F.col("id").alias("label"), F.lit(outer).alias("outer"))
+    return as_rows(pairs, False).unionAll(as_rows(centres, True))
+
+
+def main_components(linked: Linked, members: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with their labels, and for each prefix the label of its largest component (``main``), a random row of it
+    (``v``), the number of components (``k``) and the least and greatest label."""
+    known = linked.on(members.select("key", "id"))
+    each = known.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "key")).alias("v"))
+    mains = each.groupBy("key").agg(
+        F.max_by("label", F.struct("n", "label")).alias("main"), F.max_by("v", F.struct("n", "label")).alias("v"), F.count("*").alias("k"), F.min("label").alias("a"), F.max("label").alias("b")
+    )
+    return known, mains
+
+
 def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: int, denominator: int) -> Linked:
     """Components over ``rows`` (id, signature), found by the forest and confirmed on the sets of ``documents``."""
     linked, active = Linked(rows), rows
@@ -169,23 +247,22 @@ def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: i
         ids = written(members.select("id").distinct(), "candidates")
         sets = written(sets_of(documents, ids, width), "sets")
         # every row and the least row of each of its regions
-        linked.take(confirmed(members.filter("id <> pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct(), sets, numerator, denominator))
+        stars = members.filter("id <> pivot").select(F.col("pivot").alias("region"), "id").distinct()
+        linked.take(compared(starred(stars), sets, numerator, denominator))
         # rows outside the largest component of a region, and a random member of that component
-        sized = lambda: linked.on(ids).groupBy("label").agg(F.count("*").alias("size"))
-        known = linked.on(members).join(sized(), "label")
-        mains = known.groupBy("key").agg(F.max_by("id", F.struct("size", "label", F.xxhash64("id", "key"))).alias("v"), F.max_by("label", F.struct("size", "label")).alias("main"), F.min("label").alias("a"), F.max("label").alias("b"))
-        outside = known.join(mains.filter("a < b"), "key").filter("label <> main").select(F.col("id").alias("u"), "v").distinct()
-        linked.take(confirmed(outside, sets, numerator, denominator))
-        # what is still apart: each row of the smaller component against all of the larger
-        known = written(linked.on(members).join(sized(), "label").select("key", "id", "label", "size"), "known")
-        regions = known.groupBy("key", "label").agg(F.max("size").alias("size"))
-        counts = regions.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1")
-        near = regions.join(counts if last else counts.filter(F.col("k") <= REGION_COMPONENTS), "key").select("key", F.col("label").alias("other"), F.col("size").alias("more"))
-        apart = known.join(near, "key").filter("label <> other and (size < more or size = more and label < other)").select(F.col("id").alias("u"), "other").distinct()
-        whole = linked.on(ids).select(F.col("label").alias("other"), F.col("id").alias("v"))
-        linked.take(confirmed(apart.join(whole, "other").select("u", "v"), sets, numerator, denominator))
+        known, mains = main_components(linked, members, ids)
+        outside = known.join(mains, "key").filter("label <> main").select(F.col("v").alias("region"), "id").distinct()
+        linked.take(compared(starred(outside), sets, numerator, denominator))
+        # what is still outside a main component, and all of it and of its other outsiders
+        known, mains = main_components(linked, members, ids)
+        known = written(known.join(mains.filter("a < b").select("key", "main", "k"), "key").select("key", "id", "label", "main", "k"), "known")
+        near = known if last else known.filter(F.col("k") <= REGION_COMPONENTS)
+        outside = near.filter("label <> main").select(F.col("main").alias("region"), "id", "label").distinct()
+        inside = linked.on(ids).select(F.col("label").alias("region"), "id", "label").join(outside.select("region").distinct(), "region", "left_semi")
+        rows_of = lambda r, outer: r.select("region", "id", "label", F.lit(outer).alias("outer"))
+        linked.take(compared(rows_of(outside, True).unionAll(rows_of(outside, False)).unionAll(rows_of(inside, False)), sets, numerator, denominator))
         if not last:
-            deeper = written(known.join(counts.filter(F.col("k") > REGION_COMPONENTS), "key", "left_semi").select("id").distinct(), "deeper")
+            deeper = written(known.filter(F.col("k") > REGION_COMPONENTS).select("id").distinct(), "deeper")
         for used in (known, members, ids, sets):
             dropped(used)
         if last or not deeper.limit(1).count():
