@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lattica.llm import decontaminate, language, licenses, mixing, neardup, packing, sharding, toxicity, url_index, vectors
 from lattica.llm.common import table
+from lattica.llm.oracles import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,5 +66,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
 }
-
-SQL: dict[str, str] = {}
