@@ -210,3 +210,47 @@ def slab(origin: list, direction: list, low: list[float], high: list[float]) ->
         near.append(F.least(one, two))
         far.append(F.greatest(one, two))
     return F.greatest(*near), F.least(*far)
+
+
+def _field_xor(p: Column, q: Column, i: int) -> Column:
+    """One step of Skilling's transform (2004) on a struct p0, p1, p2 with bit q: invert or exchange the low bits of p0 and pi."""
+    low = q - 1
+    set_ = p[f"p{i}"].bitwiseAND(q) != 0
+    t = F.when(set_, F.lit(0)).otherwise(p["p0"].bitwiseXOR(p[f"p{i}"]).bitwiseAND(low))
+    first = F.when(set_, p["p0"].bitwiseXOR(low)).otherwise(p["p0"].bitwiseXOR(t))
+    return F.struct(*[(first if k == 0 else p[f"p{k}"].bitwiseXOR(t) if k == i else p[f"p{k}"]).alias(f"p{k}") for k in range(3)])
+
+
+def _turned(p: Column, qs: list[int], order: tuple[int, int, int]) -> Column:
+    steps = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(i).alias("i")) for q in qs for i in order])
+
+    def step(s: Column, at: Column) -> Column:
+        return F.when(at["i"] == 0, _field_xor(s, at["q"], 0)).when(at["i"] == 1, _field_xor(s, at["q"], 1)).otherwise(_field_xor(s, at["q"], 2))
+
+    return F.aggregate(steps, p, step)
+
+
+def _with_struct(x, y, z) -> Column:
+    return F.struct(*[col(c).cast("int").alias(f"p{k}") for k, c in enumerate((x, y, z))])
+
+
+def hilbert(x, y, z, bits: int = 10) -> Column:
+    """Hilbert code of three coordinates of ``bits`` bits, by Skilling's transform: turn, Gray code, interleave."""
+    qs = [1 << k for k in range(bits - 1, 0, -1)]
+    p = _turned(_with_struct(x, y, z), qs, (0, 1, 2))
+
+    def gray(s: Column) -> Column:
+        b = s["p1"].bitwiseXOR(s["p0"])
+        c = s["p2"].bitwiseXOR(b)
+        t = F.aggregate(F.array(*map(F.lit, qs)), F.lit(0), lambda a, q: F.when(c.bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a))
+        return zorder(s["p0"].bitwiseXOR(t), b.bitwiseXOR(t), c.bitwiseXOR(t))
+
+    return F.transform(F.array(p), gray)[0]
+
+
+def hilbert_back(code, bits: int = 10) -> Column:
+    """Struct p0, p1, p2 of the coordinates of a Hilbert code."""
+    x, y, z = zorder_back(code)
+    x, y, z = (c.cast("int") for c in (x, y, z))
+    p = _with_struct(x.bitwiseXOR(F.shiftright(z, 1)), y.bitwiseXOR(x), z.bitwiseXOR(y))
+    return _turned(p, [1 << k for k in range(1, bits)], (2, 1, 0))
