@@ -373,14 +373,14 @@ def tile_ranges(spark, sf_dir):
 
 @query(
     """WITH l AS (SELECT b, x, y, z, (n % 5) / 10.0 AS a, f1 AS c FROM v_voxel), t AS (SELECT *, coalesce(exp(sum(ln(1 - a)) OVER (PARTITION BY b, x, y ORDER BY z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS left_over FROM l)
-    SELECT b, x, y, round(sum(left_over * a * c), 2) AS colour, round(sum(left_over * a), 5) AS alpha FROM t GROUP BY 1, 2, 3"""
+    SELECT b, x, y, round(sum(left_over * a * c), 6) AS colour, round(sum(left_over * a), 5) AS alpha FROM t GROUP BY 1, 2, 3"""
 )
 def front_to_back(spark, sf_dir):
     """Layers composited by depth; the window is one pixel."""
     v = views.voxels(spark, sf_dir).select("b", "x", "y", "z", ((F.col("n") % 5) / 10.0).alias("a"), F.col("f1").alias("c"))
     w = Window.partitionBy("b", "x", "y").orderBy("z").rowsBetween(Window.unboundedPreceding, -1)
     t = v.withColumn("w", F.coalesce(F.product(1 - F.col("a")).over(w), F.lit(1.0)) * F.col("a"))
-    return t.groupBy("b", "x", "y").agg(F.round(F.sum(F.col("w") * F.col("c")), 2).alias("colour"), F.round(F.sum("w"), 5).alias("alpha"))
+    return t.groupBy("b", "x", "y").agg(F.round(F.sum(F.col("w") * F.col("c")), 6).alias("colour"), F.round(F.sum("w"), 5).alias("alpha"))
 
 
 @query(
