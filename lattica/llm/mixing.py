@@ -30,6 +30,8 @@ MAX_FIT_ROWS, MAX_FIT_BYTES = 1500, 8 << 20
 WORDS, SHAPES = 1 << 13, 1 << 8
 EPOCHS, RATE, DECAY = 12, 0.05, 1e-4
 ITERATIONS, CLOSE = 25, 1e-7
+#: A domain with a smaller share of the expected tokens has no target: it couldn't be met.
+LEAST_SHARE = 1e-4
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -50,26 +52,26 @@ class Features:
         out = self.known[token] = (xxhash.xxh32_intdigest(core.lower()) % WORDS, WORDS + xxhash.xxh32_intdigest(shape) % SHAPES)
         return out
 
-    def __call__(self, text: bytes | None) -> tuple[np.ndarray, int]:
+    def __call__(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Feature numbers, their values, and the number of tokens."""
         tokens = text.split() if text else []
         known, one = self.known, self.one
         ids = np.array([known.get(t) or one(t) for t in tokens], dtype=np.int64).reshape(-1)
-        counts = np.bincount(ids, minlength=self.size).astype(np.float32)
-        out = np.log1p(counts)
-        for part in (slice(0, WORDS), slice(WORDS, WORDS + SHAPES)):
-            norm = float(np.linalg.norm(out[part]))
-            if norm:
-                out[part] *= 2 / norm
-        out[-1] = 1
-        return out, len(tokens)
+        held, counts = np.unique(ids, return_counts=True)
+        values = np.log1p(counts.astype(np.float32))
+        cut = int(np.searchsorted(held, WORDS))
+        for part in (values[:cut], values[cut:]):
+            if len(part):
+                part *= 2 / float(np.linalg.norm(part))
+        return np.append(held, self.size - 1), np.append(values, np.float32(1)), len(tokens)
 
 
 @dataclass
 class Classifier:
     weights: np.ndarray
 
-    def posteriors(self, x: np.ndarray) -> np.ndarray:
-        z = (x @ self.weights).astype(np.float64)
+    def posteriors(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        z = np.array([values @ self.weights[held] for held, values in rows], dtype=np.float64)
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
 
@@ -102,9 +104,7 @@ def fitted(sample: DataFrame, counts: np.ndarray, seed: int = 4) -> Classifier:
     features, random = Features(), np.random.default_rng(seed)
     x, y = [], []
     for text, label in sample.toLocalIterator():
-        row = features(text.encode() if text else None)[0]
-        held = np.flatnonzero(row)
-        x.append((held, row[held]))
+        x.append(features(text.encode() if text else None)[:2])
         y.append(label)
     weights = np.zeros((Features.size, len(DOMAINS)), dtype=np.float32)
     if not y:
@@ -147,13 +147,9 @@ def with_posteriors(documents: DataFrame, classifier: Classifier, keep: list[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, model = Features(), shared.value
         for batch in sliced(batches):
-            posteriors, sizes = [], []
-            raw = texts(batch)
-            for start in range(0, len(raw), 256):
-                found = [features(t) for t in raw[start : start + 256]]
-                posteriors.append(model.posteriors(np.array([f for f, _ in found])))
-                sizes += [n for _, n in found]
-            p = np.concatenate(posteriors)
+            found = [features(t) for t in texts(batch)]
+            p = model.posteriors([f[:2] for f in found])
+            sizes = [f[2] for f in found]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sizes, pa.int64()), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))], schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -183,14 +179,18 @@ def fitted_steps(rows: DataFrame, targets: dict[str, float], iterations: int = I
     for i in range(k):
         for j in range(i, k):
             matrix[i, j] = matrix[j, i] = next(entries)
-    share = np.array([targets.get(d, 0.0) for d in DOMAINS])
+    total = now.sum()
+    held = now > LEAST_SHARE * total
+    share = np.array([targets.get(d, 0.0) for d in DOMAINS]) * held
+    if not share.sum():
+        return []
     share = share / share.sum()
     main = int(np.argmax(share))
-    want = share * (now[main] / share[main] if now[main] else now.sum())
-    total = now.sum()
-    inverse = np.linalg.pinv(matrix + np.eye(k) * 1e-9 * np.trace(matrix))
+    want = share * now[main] / share[main]
+    inverse = np.zeros((k, k))
+    inverse[np.ix_(held, held)] = np.linalg.pinv(matrix[np.ix_(held, held)] + np.eye(held.sum()) * 1e-9 * np.trace(matrix))
     steps: list[np.ndarray] = []
-    while len(steps) < iterations and np.abs(now - want).sum() > close * total:
+    while len(steps) < iterations and np.abs(now - want)[held].sum() > close * total:
         steps.append(inverse @ (now - want))
         r = rate(steps)
         found = rows.withColumn("r", r).agg(*[F.sum(F.col("r") * F.col("tokens") * F.col(p)) for p in P]).first()
