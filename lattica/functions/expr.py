@@ -254,3 +254,36 @@ def hilbert_back(code, bits: int = 10) -> Column:
     x, y, z = (c.cast("int") for c in (x, y, z))
     p = _with_struct(x.bitwiseXOR(F.shiftright(z, 1)), y.bitwiseXOR(x), z.bitwiseXOR(y))
     return _turned(p, [1 << k for k in range(1, bits)], (2, 1, 0))
+
+
+def centre(axis, size: float, origin: float) -> Column:
+    """Middle of a voxel."""
+    return (col(axis) + 0.5) * size + origin
+
+
+def barycentric(p: list, a: list, b: list, c: list) -> list[Column]:
+    """Weights of the corners a, b, c at the point of their plane that is nearest to p; null for a flat triangle."""
+    sub = lambda u, v: [col(m) - col(n) for m, n in zip(u, v, strict=True)]
+    dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+    e, f, g = sub(b, a), sub(c, a), sub(p, a)
+    ee, ef, ff, ge, gf = dot(e, e), dot(e, f), dot(f, f), dot(g, e), dot(g, f)
+    area = F.nullif(ee * ff - ef * ef, F.lit(0.0))
+    v, w = (ff * ge - ef * gf) / area, (ee * gf - ef * ge) / area
+    return [1 - v - w, v, w]
+
+
+def perspective(fx: Column, fy: Column, near: float, far: float) -> Column:
+    """Projection matrix, rows first, depth to 0..1."""
+    zero = F.lit(0.0)
+    rows = [[2 * fx, zero, zero, zero], [zero, 2 * fy, zero, zero], [zero, zero, F.lit(far / (far - near)), F.lit(-near * far / (far - near))], [zero, zero, F.lit(1.0), zero]]
+    return F.array(*[F.array(*r) for r in rows])
+
+
+def angle_between(u: list[Column], v: list[Column]) -> Column:
+    dot = u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+    size = F.sqrt((u[0] * u[0] + u[1] * u[1] + u[2] * u[2]) * (v[0] * v[0] + v[1] * v[1] + v[2] * v[2]))
+    return F.acos(F.least(F.greatest(dot / F.nullif(size, F.lit(0.0)), F.lit(-1.0)), F.lit(1.0)))
+
+
+def modulated(x, scale, shift) -> Column:
+    return col(x) * (1 + col(scale)) + col(shift)

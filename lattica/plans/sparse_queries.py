@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lattica.functions import expr
-from lattica.operators import sparse, spatial
+from lattica.operators import filters, sparse, spatial
 from lattica.plans import views
 from lattica.plans.catalog import query
 
@@ -323,14 +323,26 @@ def neighbour_delta_filter(spark, sf_dir):
 
 
 @query(
-    f"""WITH z AS (SELECT b, {ZCODE} AS code, n % 256 AS v FROM v_voxel), p AS (SELECT b, code >> 3 AS parent, CAST(sum(v) // count(*) AS BIGINT) AS mean FROM z GROUP BY 1, 2)
-    SELECT z.b, z.code, CAST((z.v - p.mean + 256) % 256 AS INT) AS delta FROM z JOIN p ON z.b = p.b AND z.code >> 3 = p.parent"""
+    f"""WITH z AS MATERIALIZED (SELECT b, {ZCODE} AS code, CAST(n % 256 AS INT) AS v FROM v_voxel), l AS (SELECT *, lag(code) OVER (PARTITION BY b ORDER BY code) AS before FROM z),
+    k AS (SELECT *, CASE WHEN before IS NULL THEN NULL WHEN xor(code, before) >> 12 > 0 THEN 4 WHEN xor(code, before) >> 9 > 0 THEN 3 WHEN xor(code, before) >> 6 > 0 THEN 2 WHEN xor(code, before) >> 3 > 0 THEN 1 ELSE 0 END AS level FROM l),
+    f AS (SELECT b, level, node, arg_min(v, code) AS first FROM (SELECT b, code, v, r.range AS level, code >> (3 * r.range) AS node FROM z, range(5) r) GROUP BY 1, 2, 3)
+    SELECT k.b, k.code, CAST((k.v - coalesce(f.first, 0) + 256) % 256 AS INT) AS delta FROM k LEFT JOIN f ON k.b = f.b AND k.level = f.level AND k.before >> (3 * k.level) = f.node"""
 )
-def parent_delta_filter(spark, sf_dir):
-    """Each attribute less its cell's mean (truncated), as a byte."""
-    z = views.voxels(spark, sf_dir).select("b", expr.zorder("x", "y", "z").alias("code"), (F.col("n") % 256).alias("v")).withColumn("parent", F.shiftright("code", 3))
-    p = z.groupBy("b", "parent").agg(F.expr("sum(v) div count(*)").alias("mean"))
-    return z.join(p, ["b", "parent"]).select("b", "code", F.pmod(F.col("v") - F.col("mean"), F.lit(256)).cast("int").alias("delta"))
+def sibling_delta_filter(spark, sf_dir):
+    """Each leaf's byte less that of the subtree before its own, in the octree of its batch."""
+    z = views.voxels(spark, sf_dir).select("b", expr.zorder("x", "y", "z").alias("code"), (F.col("n") % 256).cast("int").alias("v"))
+    return filters.sibling_deltas(z, "b", "code", "v", 5)
+
+
+@query(f"SELECT b, {ZCODE} AS code, CAST(n * 37 % 256 AS INT) AS value FROM v_voxel")
+def sibling_delta_roundtrip(spark, sf_dir):
+    z = views.voxels(spark, sf_dir).select("b", expr.zorder("x", "y", "z").alias("code"), (F.col("n") * 37 % 256).cast("int").alias("v"))
+    return filters.sibling_values(filters.sibling_deltas(z, "b", "code", "v", 5), "b", "code", "delta", 5)
+
+
+@query("SELECT b, x, y, z, CAST(n % 256 AS INT) AS value FROM v_voxel")
+def neighbour_delta_roundtrip(spark, sf_dir):
+    return filters.neighbour_values(neighbour_delta_filter(spark, sf_dir), "b", "delta")
 
 
 @query(

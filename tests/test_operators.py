@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lattica.functions import expr
-from lattica.operators import geometry, logs, numbering, registry, sampling, sparse, spatial
+from lattica.operators import filters, geometry, logs, mapping, numbering, registry, sampling, sparse, spatial
 from lattica.session import ship
 from lattica.sources import files, voxels
 from lattica.streaming import records
@@ -142,6 +142,43 @@ def test_octree_round_trip(spark, depth):
     assert rows(geometry.octree_leaves(geometry.octree_bytes(df, "g", "c", depth), "g", depth), "g", "code") == leaves
 
 
+def test_sibling_deltas_golden(spark):
+    """Leaves 0, 1, 9, 10 at depth 2: 1 follows 0; 9 starts the subtree after that of 0; 10 follows 9."""
+    ship(spark)
+    df = spark.createDataFrame([(0, 0, 10), (0, 1, 13), (0, 9, 5), (0, 10, 4)], "c int, code long, v int")
+    deltas = filters.sibling_deltas(df, "c", "code", "v", 2)
+    assert rows(deltas, "code", "delta") == [(0, 10), (1, 3), (9, 251), (10, 255)]
+    assert rows(filters.sibling_values(deltas, "c", "code", "delta", 2), "code", "value") == [(0, 10), (1, 13), (9, 5), (10, 4)]
+
+
+def test_neighbour_values(spark):
+    """A later neighbour of the fixed order overrides an earlier one, and bytes wrap around."""
+    ship(spark)
+    df = spark.createDataFrame([(0, 0, 0, 0, 250), (0, 1, 0, 0, 10), (0, 0, 1, 0, 1), (0, 1, 1, 0, 7)], "c int, x int, y int, z int, d int")
+    assert rows(filters.neighbour_values(df, "c", "d"), "x", "y", "value") == [(0, 0, 250), (0, 1, 251), (1, 0, 4), (1, 1, 1)]
+
+
+def test_row_function_errors(spark):
+    ship(spark)
+    df = spark.createDataFrame([(1, 2), (2, 0)], "k int, v int")
+    got = mapping.mapped(df, "k", lambda r: {"w": 10 // r["v"]}, "w long")
+    assert [(r.k, r.w, r.error and r.error.split(":")[0]) for r in got.orderBy("k").collect()] == [(1, 5, None), (2, None, "ZeroDivisionError")]
+
+
+def test_fallback(spark):
+    df = spark.createDataFrame([(i, i % 3 == 0 if i else None) for i in range(20)], "k long, good boolean")
+    used = {r.k: r.used for r in mapping.with_fallback(df, "k", "good").collect()}
+    assert set(used) == set(range(20)) and all(u % 3 == 0 and u for u in used.values()) and all(used[k] == k for k in range(3, 20, 3))
+    assert {r.used for r in mapping.with_fallback(df.filter("false").union(df.filter("not good")), "k", "good").collect()} == {None}
+
+
+def test_resumed(spark):
+    df = spark.range(30).select(F.col("id").alias("k"))
+    whole = {r.k: r.place for r in numbering.epoch_order(df, "k", 3, 1).collect()}
+    rest = {r.k: r.place for r in mapping.resumed(df, "k", 3, 1, 12).collect()}
+    assert rest == {k: p for k, p in whole.items() if p >= 12} and len(rest) == 18
+
+
 def test_layout(spark):
     df = spark.createDataFrame([(b,) for b in [0, 0, 2, 2, 2, 5]], "b int")
     assert rows(sparse.layout(df), "b", "n", "start", "stop") == [(0, 2, 0, 2), (2, 3, 2, 5), (5, 1, 5, 6)]
