@@ -35,7 +35,7 @@ def space_words(text: bytes | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hashes of words, kept for words seen before up to ``bound`` of them."""
 
-    bound = 1 << 17
+    bound = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.bound:

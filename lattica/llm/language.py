@@ -25,7 +25,7 @@ MAX_FIT_ROWS = 20_000
 SHARPNESS = 12.0
 LETTERS = regex.compile(r"\p{L}+")
 #: n-grams whose vectors are kept between texts.
-KEPT = 1 << 15
+KEPT = 1 << 14
 
 
 class Encoder:

@@ -39,7 +39,7 @@ class Features:
     """A text as log counts of hashed words, of hashed shapes (what punctuation ends a word, upper case) and a constant."""
 
     size = WORDS + SHAPES + 1
-    bound = 1 << 18
+    bound = 1 << 16
 
     def __init__(self):
         self.known: dict[bytes, tuple[int, int]] = {}

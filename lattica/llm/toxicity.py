@@ -29,7 +29,7 @@ PAD = max(WIDTHS) - 1
 CUT = 0.7
 EPOCHS, RATE = 3, 0.05
 #: Words whose vectors are kept between texts.
-KEPT = 1 << 17
+KEPT = 1 << 16
 
 
 def buckets(word: bytes) -> list[int]:
