@@ -13,7 +13,7 @@ from lattica.plans.catalog import query
 from lattica.plans.sparse_queries import ZCODE
 from lattica.session import shared_dir
 from lattica.sources import voxels as store
-from lattica.streaming import records
+from lattica.streaming import records, state
 
 
 def triangles(spark, sf_dir):
@@ -102,3 +102,14 @@ def log_stream_agg(spark, sf_dir):
     stream = records.file_stream(spark, f"{sf_dir}/events.parque[t]")
     out = records.drained(records.log_sums(stream, "ts", "10 minutes", "1 day", "event_type", "value"), "complete", "log-sums")
     return out.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query(
+    """SELECT step, rank, round(CASE WHEN count(value) OVER w = 20 THEN least(50.0, quantile_cont(value, 0.95) OVER w) ELSE 50.0 END, 6) AS clip FROM v_log
+    WINDOW w AS (PARTITION BY rank ORDER BY step ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
+)
+def clip_stream(spark, sf_dir):
+    """The bound of rolling_percentile_clip, with each run's last values kept as state of a stream."""
+    stream = records.file_stream(spark, f"{sf_dir}/events.parque[t]").select(F.col("event_id").alias("step"), F.col("user_id").alias("rank"), "value")
+    out = records.drained(state.clip_limits(stream, "rank", "step", "value", 20, 0.95, 50.0), "append", "clips")
+    return out.select("step", "rank", F.round("limit", 6).alias("clip"))

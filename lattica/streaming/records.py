@@ -66,7 +66,8 @@ def log_sums(stream: DataFrame, time: str, late: str, window: str, key: str, val
 
 
 def drained(stream: DataFrame, mode: str, name: str) -> DataFrame:
-    """Runs an aggregating stream over what there is and returns the last micro-batch's full result (``complete``)."""
+    """Runs a stream over what there is: the rows of all micro-batches (``append``), or the last one's full result
+    (``complete``). A micro-batch that is run again overwrites its own folder."""
     spark = stream.sparkSession
     home = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     seen: list[int] = []
@@ -76,4 +77,6 @@ def drained(stream: DataFrame, mode: str, name: str) -> DataFrame:
         seen.append(number)
 
     stream.writeStream.outputMode(mode).foreachBatch(take).option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{home}/out/{max(seen)}") if seen else spark.createDataFrame([], stream.schema)
+    if not seen:
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(*[f"{home}/out/{n}" for n in ([max(seen)] if mode == "complete" else sorted(set(seen)))])

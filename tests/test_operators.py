@@ -13,7 +13,7 @@ from lattica.functions import expr
 from lattica.operators import filters, geometry, logs, mapping, numbering, registry, sampling, sparse, spatial
 from lattica.session import ship
 from lattica.sources import files, voxels
-from lattica.streaming import records
+from lattica.streaming import records, state
 
 
 def rows(df, *columns):
@@ -360,3 +360,15 @@ def test_stream_goes_on(spark, tmp_path):
     got = records.merged(records.file_stream(spark, source), "k", "seq", state, check)
     want = registry.upsert(spark.createDataFrame(first + second, kind), "k", "seq")
     assert rows(got.fillna(-1), "k", "a", "c") == rows(want.fillna(-1), "k", "a", "c") == [(1, 5, 9), (2, 4, 7), (3, -1, -1)]
+
+
+def test_state_is_kept_between_batches(spark, tmp_path):
+    ship(spark)
+    source = str(tmp_path / "in")
+    data = [(r, i, float((i * 7 + r) % 11)) for i in range(12) for r in range(2)]
+    for part in (data[:8], data[8:14], data[14:]):
+        spark.createDataFrame(part, "run int, step int, v double").coalesce(1).write.mode("append").parquet(source)
+    stream = state.clip_limits(records.file_stream(spark, source, files_per_batch=1), "run", "step", "v", 4, 0.5, 100.0)
+    got = rows(records.drained(stream, "append", "clips"), "run", "step", "limit")
+    want = logs.clip_limit(spark.createDataFrame(data, "run int, step int, v double"), "run", "step", "v", 4, 0.5, 100.0)
+    assert got == rows(want, "run", "step", "limit")
