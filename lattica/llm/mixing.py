@@ -35,35 +35,32 @@ LEAST_SHARE = 1e-4
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
-class Features:
-    """A text as log counts of hashed words, of hashed shapes (what punctuation ends a word, upper case) and a constant."""
+class Features(dict):
+    """A text as log counts of hashed words, of hashed shapes (what punctuation ends a word, upper case) and a constant. The
+    dictionary keeps the numbers of tokens seen before: word * SHAPES + shape."""
 
     size = WORDS + SHAPES + 1
     bound = 1 << 16
 
-    def __init__(self):
-        self.known: dict[bytes, tuple[int, int]] = {}
-
-    def one(self, token: bytes) -> tuple[int, int]:
-        if len(self.known) >= self.bound:
-            self.known.clear()
+    def __missing__(self, token: bytes) -> int:
+        if len(self) >= self.bound:
+            self.clear()
         core = token.strip(PUNCTUATION)
         shape = token[len(token.rstrip(PUNCTUATION)) :] + (b"A" if core.isupper() and len(core) > 1 else b"a" if core else b"-")
-        out = self.known[token] = (xxhash.xxh32_intdigest(core.lower()) % WORDS, WORDS + xxhash.xxh32_intdigest(shape) % SHAPES)
-        return out
+        value = self[token] = xxhash.xxh32_intdigest(core.lower()) % WORDS * SHAPES + xxhash.xxh32_intdigest(shape) % SHAPES
+        return value
 
-    def __call__(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, int]:
+    def features(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray, int]:
         """Feature numbers, their values, and the number of tokens."""
         tokens = text.split() if text else []
-        known, one = self.known, self.one
-        ids = np.array([known.get(t) or one(t) for t in tokens], dtype=np.int64).reshape(-1)
-        held, counts = np.unique(ids, return_counts=True)
-        values = np.log1p(counts.astype(np.float32))
-        cut = int(np.searchsorted(held, WORDS))
-        for part in (values[:cut], values[cut:]):
-            if len(part):
-                part *= 2 / float(np.linalg.norm(part))
-        return np.append(held, self.size - 1), np.append(values, np.float32(1)), len(tokens)
+        ids = np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+        held, values = [], []
+        for part, first in ((ids // SHAPES, 0), (ids % SHAPES, WORDS)):
+            numbers, counts = np.unique(part, return_counts=True)
+            logs = np.log1p(counts.astype(np.float32))
+            held.append(numbers + first)
+            values.append(logs * (2 / float(np.linalg.norm(logs))) if len(logs) else logs)
+        return np.concatenate([*held, [self.size - 1]]), np.concatenate([*values, np.ones(1, np.float32)]), len(tokens)
 
 
 @dataclass
@@ -104,7 +101,7 @@ def fitted(sample: DataFrame, counts: np.ndarray, seed: int = 4) -> Classifier:
     features, random = Features(), np.random.default_rng(seed)
     x, y = [], []
     for text, label in sample.toLocalIterator():
-        x.append(features(text.encode() if text else None)[:2])
+        x.append(features.features(text.encode() if text else None)[:2])
         y.append(label)
     weights = np.zeros((Features.size, len(DOMAINS)), dtype=np.float32)
     if not y:
@@ -147,7 +144,7 @@ def with_posteriors(documents: DataFrame, classifier: Classifier, keep: list[str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, model = Features(), shared.value
         for batch in sliced(batches):
-            found = [features(t) for t in texts(batch)]
+            found = [features.features(t) for t in texts(batch)]
             p = model.posteriors([f[:2] for f in found])
             sizes = [f[2] for f in found]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sizes, pa.int64()), *(pa.array(p[:, k]) for k in range(len(DOMAINS)))], schema.names)
