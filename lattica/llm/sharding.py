@@ -1,6 +1,6 @@
 """Sharding: a Feistel permutation with cycle walking over global row numbers.
 
-The rows are numbered by a total order, the numbers are permuted by a keyed Feistel network, and the permuted number p
+The rows are numbered by a total order without a task that sees them all, the numbers are permuted by a keyed Feistel network, and the permuted number p
 gives ``shard = p mod shards`` and ``slot = p div shards``. The place of a row is thus computable from its number, and
 ``unpermute`` gives the row number of any (shard, slot) back.
 """
@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import written
+from lattica.operators.numbering import with_row_number
 
 #: A prime below 2**31, so that squares of remainders stay below 2**62.
 PRIME = 2147483629
@@ -59,33 +59,12 @@ def permute(numbers: np.ndarray, n: int, seed: int, back: bool = False) -> np.nd
     return x
 
 
-def numbered(rows: DataFrame, *order: str) -> tuple[DataFrame, int]:
-    """Adds ``row_number`` (0..n-1 by ``order``) and returns n. The rows are dealt by range and sorted, written once so
-    that their places are fixed, and each partition gets the count of all before it as its offset: no window over
-    everything. Only one count per partition reaches the driver. Equal rows are interchangeable."""
-    placed = written(
-        rows.repartitionByRange(*[F.col(c).asc_nulls_first() for c in order])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-        .withColumn("_at", F.monotonically_increasing_id()),
-        "numbered",
-    )
-    spark = rows.sparkSession
-    counts = sorted((r[0], r[1]) for r in placed.groupBy(F.shiftright("_at", 33).alias("p")).count().collect())
-    offsets, n = [], 0
-    for p, count in counts:
-        offsets.append((p, n))
-        n += count
-    starts = spark.createDataFrame(offsets, "_part long, _start long")
-    at = placed.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(starts), "_part")
-    return at.withColumn("row_number", F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_start", "_at"), n
-
-
 def sharded(rows: DataFrame, order: list[str], shards: int, seed: int = 17) -> DataFrame:
     """Adds ``row_number``, ``shard`` and ``slot``. Counts of shards differ by one at most and slots have no gaps.
     Defined results: an empty table stays empty; null keys come first in the order; equal rows are interchangeable;
     columns of the input called as one of ours are replaced by ours."""
     rows = rows.drop("row_number", "shard", "slot")
-    at, n = numbered(rows, *order)
+    at, n = with_row_number(rows, *order)
 
     @F.pandas_udf("long")
     def placed(numbers: pd.Series) -> pd.Series:
