@@ -1,8 +1,8 @@
 """Sharding: a Feistel permutation with cycle walking over global row numbers.
 
-The rows are numbered by a total order without a task that sees them all, the numbers are permuted by a keyed Feistel network, and the permuted number p
-gives ``shard = p mod shards`` and ``slot = p div shards``. The place of a row is thus computable from its number, and
-``unpermute`` gives the row number of any (shard, slot) back.
+The rows are numbered by a total order without a task that sees them all, the numbers are permuted by a keyed Feistel
+network, and the permuted number p gives ``shard = p mod shards`` and ``slot = p div shards``. The place of a row is thus
+computable from its number, and ``permute(..., back=True)`` gives the row number of any (shard, slot).
 """
 
 from __future__ import annotations
@@ -51,7 +51,7 @@ def _network(x: np.ndarray, bits: int, keys: list[tuple[int, int]], back: bool)
 
 def permute(numbers: np.ndarray, n: int, seed: int, back: bool = False) -> np.ndarray:
     """The permuted numbers of 0..n-1. Walks the cycle until a number below n comes: each walk returns, as the
-    network is a bijection and the start itself lies below n. Holds for n up to 2**62 / PRIME squared halves (2**62)."""
+    network is a bijection and the start itself lies below n. Halves stay below 2**31, so n may be up to 2**62."""
     bits, keys = half_bits(n), round_keys(seed)
     x = _network(np.asarray(numbers, dtype=np.int64), bits, keys, back)
     while (out := x >= n).any():
@@ -71,7 +71,7 @@ def sharded(rows: DataFrame, order: list[str], shards: int, seed: int = 17) -> D
         return pd.Series(permute(numbers.to_numpy(), n, seed))
 
     return at.withColumn("_p", placed("row_number")).withColumns(
-        {"shard": (F.col("_p") % shards).cast("int"), "slot": F.floor(F.col("_p") / shards) if n > 1 << 52 else F.expr(f"_p div {shards}")}
+        {"shard": (F.col("_p") % shards).cast("int"), "slot": F.expr(f"_p div {shards}")}
     ).drop("_p")
 
 
