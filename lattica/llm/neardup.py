@@ -27,7 +27,7 @@ from lattica.llm.components import components
 from lattica.llm.vectors import roots
 
 HASHES = 96
-#: (depth, orders): orders grow as 0.8 ** -depth.
+#: (depth, orders): orders grow as 0.8 ** -depth, for links at a similarity of 0.8 or more; lower ones need more orders.
 LEVELS = ((4, 24), (8, 60), (12, 144))
 #: A region with more components than this is searched deeper (at the last depth none is).
 REGION_COMPONENTS = 512
@@ -300,6 +300,6 @@ def deduplicated(documents: DataFrame, width: int = 5, numerator: int = 80, deno
     small = gone.count() <= BROADCAST_IDS
     out = documents.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
     if result.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        unnamed = out.filter("doc_id is null")
-        out = out.filter("doc_id is not null").orderBy("doc_id", "text").dropDuplicates(["doc_id"]).unionAll(unnamed)
-    return out
+        first = F.min_by(F.struct(*out.columns), F.coalesce("text", F.lit(""))).alias("r")
+        out = out.filter("doc_id is not null").groupBy("doc_id").agg(first).select("r.*").unionAll(out.filter("doc_id is null"))
+    return out.select(*documents.columns)
