@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.operators.registry import upsert
 from lattica.session import shared_dir
 
 
