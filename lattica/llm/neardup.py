@@ -6,10 +6,10 @@ neighbours there. Candidates are the rows that share a prefix of the region's de
 that too many unlinked rows share are searched again deeper, in more orders, so that a pair at the threshold is met
 with the same probability at every depth (a miss has odds below 1e-4).
 
-Candidates are not all pairs of a region. First every row meets the least row of each region, then rows outside the
-main component meet random members of it, and only rows still outside meet all of the main component and its other
-outsiders. Every link is confirmed on the full sets, and two rows of one component need no further test. So components
-are those of the whole graph, while a large group of copies costs time in proportion to its size.
+Candidates are not all pairs of a region. First every row meets a few pivots of each region (the least id and the least
+hashes of ids), and only rows then outside the main component meet all of it and its other outsiders. Every link is
+confirmed on the full sets, and two rows of one component need no further test. So components are those of the whole
+graph, while a large group of copies costs time in proportion to its size.
 """
 
 from __future__ import annotations
@@ -31,6 +31,8 @@ HASHES = 96
 LEVELS = ((4, 24), (8, 60), (12, 144))
 #: A region with more components than this is searched deeper (at the last depth none is).
 REGION_COMPONENTS = 512
+#: Regions of so many rows or more have three pivots instead of one.
+MORE_PIVOTS = 8
 #: Outer and inner rows of a tile, and bytes of either's sets, about.
 TILE, TILE_BYTES = (256, 1024), 4 << 20
 #: Ids of candidates up to so many are broadcast; more are joined by a shuffle.
@@ -225,14 +227,12 @@ def starred(pairs: DataFrame) -> DataFrame:
     return as_rows(pairs, False).unionAll(as_rows(centres, True))
 
 
-def main_components(linked: Linked, members: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members with their labels, and for each prefix the label of its largest component (``main``), a random row of it
-    (``v``), the number of components (``k``) and the least and greatest label."""
+def main_components(linked: Linked, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with their labels, and for each prefix the label of its largest component (``main``), the number of components
+    (``k``) and the least and greatest label."""
     known = linked.on(members.select("key", "id"))
-    each = known.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "key")).alias("v"))
-    mains = each.groupBy("key").agg(
-        F.max_by("label", F.struct("n", "label")).alias("main"), F.max_by("v", F.struct("n", "label")).alias("v"), F.count("*").alias("k"), F.min("label").alias("a"), F.max("label").alias("b")
-    )
+    each = known.groupBy("key", "label").agg(F.count("*").alias("n"))
+    mains = each.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("k"), F.min("label").alias("a"), F.max("label").alias("b"))
     return known, mains
 
 
@@ -242,19 +242,17 @@ def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: i
     for level, (depth, orders) in enumerate(LEVELS):
         last = level + 1 == len(LEVELS)
         keys = prefix_keys(active, depth, orders)
-        shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot"), F.max("id").alias("top")).filter("pivot < top").select("key", "pivot")
-        members = written(keys.join(shared, "key").distinct(), "members")
+        hashed = [F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"p{k}") for k in (1, 2)]
+        shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot"), F.max("id").alias("top"), *hashed).filter("pivot < top")
+        pivots = F.when(F.col("n") >= MORE_PIVOTS, F.array("pivot", "p1", "p2")).otherwise(F.array("pivot"))
+        members = written(keys.join(shared.select("key", pivots.alias("pivots")), "key").distinct(), "members")
         ids = written(members.select("id").distinct(), "candidates")
         sets = written(sets_of(documents, ids, width), "sets")
-        # every row and the least row of each of its regions
-        stars = members.filter("id <> pivot").select(F.col("pivot").alias("region"), "id").distinct()
+        # every row and the pivots of each of its regions, which are the same rows in all orders as far as can be
+        stars = members.select(F.explode("pivots").alias("region"), "id").filter("id <> region").distinct()
         linked.take(compared(starred(stars), sets, numerator, denominator))
-        # rows outside the largest component of a region, and a random member of that component
-        known, mains = main_components(linked, members, ids)
-        outside = known.join(mains, "key").filter("label <> main").select(F.col("v").alias("region"), "id").distinct()
-        linked.take(compared(starred(outside), sets, numerator, denominator))
         # what is still outside a main component, and all of it and of its other outsiders
-        known, mains = main_components(linked, members, ids)
+        known, mains = main_components(linked, members)
         known = written(known.join(mains.filter("a < b").select("key", "main", "k"), "key").select("key", "id", "label", "main", "k"), "known")
         near = known if last else known.filter(F.col("k") <= REGION_COMPONENTS)
         outside = near.filter("label <> main").select(F.col("main").alias("region"), "id", "label").distinct()
