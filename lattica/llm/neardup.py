@@ -3,8 +3,9 @@
 Texts with equal shingle sets form a class; one row a class goes on. The forest holds several orders of the MinHash
 signature: order t reads the signature's places in its own sequence, so that rows with a long common prefix are
 neighbours there. Candidates are the rows that share a prefix of the region's depth. Depth adapts by region: prefixes
-that too many unlinked rows share are searched again deeper, in more orders, so that a pair at the threshold is met
-with the same probability at every depth (a miss has odds below 1e-4).
+that too many unlinked rows share are searched again deeper, in more orders over longer signatures. Orders that read the
+same values aren't independent, so deep levels need more values as well; a pair at a similarity of 0.8 is missed with
+odds of 5e-6 at depth 4, 1.3e-6 at depth 8 and 7.7e-6 at depth 12.
 
 Candidates are not all pairs of a region. First every row meets a few pivots of each region (the least id and the least
 hashes of ids), and only rows then outside the main component meet all of it and its other outsiders. Every link is
@@ -26,9 +27,10 @@ from lattica.llm.common import WordHashes, dropped, sliced, space_words, texts,
 from lattica.llm.components import components
 from lattica.llm.vectors import roots
 
-HASHES = 96
-#: (depth, orders): orders grow as 0.8 ** -depth, for links at a similarity of 0.8 or more; lower ones need more orders.
-LEVELS = ((4, 24), (8, 60), (12, 144))
+#: (depth, orders, values of the signature): for links at a similarity of 0.8 or more; lower ones need more orders. Over
+#: random orders the odds of a miss are the mean of (1 - C(m, depth) / C(values, depth)) ** orders, m of the values agreeing.
+LEVELS = ((4, 24, 96), (8, 120, 256), (12, 288, 384))
+HASHES = max(values for _, _, values in LEVELS)
 #: A region with more components than this is searched deeper (at the last depth none is).
 REGION_COMPONENTS = 512
 #: Regions of so many rows or more have three pivots instead of one.
@@ -55,16 +57,16 @@ def shingle_set(words: list[bytes], width: int, hashes: WordHashes) -> np.ndarra
     return np.unique(out ^ (out >> np.uint64(29)))
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    out = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint64)
+def signature(shingles: np.ndarray, values: int) -> bytes:
+    out = np.full(values, 0xFFFFFFFF, dtype=np.uint64)
     for start in range(0, len(shingles), 2048):
         part = shingles[start : start + 2048]
-        out = np.minimum(out, ((part[:, None] * MULTIPLIERS + ADDENDS) >> np.uint64(32)).min(axis=0))
+        out = np.minimum(out, ((part[:, None] * MULTIPLIERS[:values] + ADDENDS[:values]) >> np.uint64(32)).min(axis=0))
     return out.astype(np.uint32).tobytes()
 
 
 def features(documents: DataFrame, width: int, least: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (two longs), signature (null for sets smaller than ``least``)."""
+    """doc_id, n_shingles, digest of the set (two longs), signature of the first level (null for sets smaller than ``least``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -76,7 +78,7 @@ def features(documents: DataFrame, width: int, least: int) -> DataFrame:
                 sizes.append(len(s))
                 one.append(int(digest[0]))
                 two.append(int(digest[1]))
-                signatures.append(signature(s) if len(s) >= least else None)
+                signatures.append(signature(s, LEVELS[0][2]) if len(s) >= least else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signatures, pa.binary())],
                 ["doc_id", "n_shingles", "d1", "d2", "signature"],
@@ -101,11 +103,22 @@ def sets_of(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, n long, shingles binary")
 
 
-def prefix_keys(rows: DataFrame, depth: int, orders: int) -> DataFrame:
-    """(key, id) for each order: the key stands for the order and the first ``depth`` places of the signature in it.
+def signed(sets: DataFrame, values: int) -> DataFrame:
+    """(id, signature) of ``sets`` (id, shingles)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "shingles"):
+            found = [signature(np.frombuffer(s.as_buffer(), dtype=np.uint64), values) for s in batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "signature"])
+
+    return sets.select("id", "shingles").mapInArrow(run, "id long, signature binary")
+
+
+def prefix_keys(rows: DataFrame, depth: int, orders: int, values: int) -> DataFrame:
+    """(key, id) for each order: the key stands for the order and the first ``depth`` of the signature's ``values`` in it.
     The first orders part the signature between them; later ones are random sequences of its places."""
     random = np.random.default_rng(7)
-    sequence = np.concatenate([random.permutation(HASHES) for _ in range(-(-orders * depth // HASHES))])
+    sequence = np.concatenate([random.permutation(values) for _ in range(-(-orders * depth // values))])
     places = sequence[: orders * depth].reshape(orders, depth)
     weights = random.integers(0, 1 << 63, (orders, depth), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     offsets = random.integers(0, 1 << 63, orders, dtype=np.uint64)
@@ -115,10 +128,10 @@ def prefix_keys(rows: DataFrame, depth: int, orders: int) -> DataFrame:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
                 ids = part.column("id").to_numpy()
-                values = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint32).reshape(len(ids), HASHES).astype(np.uint64)
+                held = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint32).reshape(len(ids), values).astype(np.uint64)
                 keys = np.empty((orders, len(ids)), dtype=np.uint64)
                 for t in range(orders):
-                    k = (values[:, places[t]] * weights[t]).sum(axis=1, dtype=np.uint64) + offsets[t]
+                    k = (held[:, places[t]] * weights[t]).sum(axis=1, dtype=np.uint64) + offsets[t]
                     keys[t] = (k ^ (k >> np.uint64(31))) * MIX
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(ids, orders))], ["key", "id"])
 
@@ -237,11 +250,12 @@ def main_components(linked: Linked, members: DataFrame) -> tuple[DataFrame, Data
 
 
 def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: int, denominator: int) -> Linked:
-    """Components over ``rows`` (id, signature), found by the forest and confirmed on the sets of ``documents``."""
+    """Components over ``rows`` (id, signature of the first level), found by the forest and confirmed on the sets of
+    ``documents``. Only rows that go deeper get the longer signatures of the deeper levels."""
     linked, active = Linked(rows), rows
-    for level, (depth, orders) in enumerate(LEVELS):
+    for level, (depth, orders, values) in enumerate(LEVELS):
         last = level + 1 == len(LEVELS)
-        keys = prefix_keys(active, depth, orders)
+        keys = prefix_keys(active, depth, orders, values)
         hashed = [F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"p{k}") for k in (1, 2)]
         shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot"), F.max("id").alias("top"), *hashed).filter("pivot < top")
         pivots = F.when(F.col("n") >= MORE_PIVOTS, F.array("pivot", "p1", "p2")).otherwise(F.array("pivot"))
@@ -261,11 +275,12 @@ def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: i
         linked.take(compared(rows_of(outside, True).unionAll(rows_of(outside, False)).unionAll(rows_of(inside, False)), sets, numerator, denominator))
         if not last:
             deeper = written(known.filter(F.col("k") > REGION_COMPONENTS).select("id").distinct(), "deeper")
+            longer = written(signed(sets.filter("n > 0").join(deeper, "id", "left_semi"), LEVELS[level + 1][2]), "signatures")
         for used in (known, members, ids, sets):
             dropped(used)
         if last or not deeper.limit(1).count():
             break
-        active = rows.join(deeper, "id", "left_semi")
+        active = longer
     return linked
 
 

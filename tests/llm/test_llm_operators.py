@@ -257,6 +257,15 @@ def test_near_duplicates_large_region(spark, monkeypatch):
     assert got == brute_groups(texts, ids, 2)
 
 
+@pytest.mark.parametrize("level, pairs", [(1, 2500), (2, 1000)])
+def test_near_duplicates_deep_levels(spark, monkeypatch, level, pairs):
+    """Pairs at a similarity of exactly 0.8, searched at a deep level alone: none is missed."""
+    monkeypatch.setattr(neardup, "LEVELS", neardup.LEVELS[level : level + 1])
+    texts = [" ".join([f"p{p}w{k}" for k in range(80)] + [f"p{p}x{k}" for k in range(10 * side, 10 * side + 10)]) for p in range(pairs) for side in (0, 1)]
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_of(spark, texts), width=1).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(5, 5), (None, 1)]
