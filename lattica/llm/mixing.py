@@ -165,7 +165,9 @@ def rate(steps: list[np.ndarray]) -> Column:
 def fitted_steps(rows: DataFrame, targets: dict[str, float], iterations: int = ITERATIONS, close: float = CLOSE) -> list[np.ndarray]:
     """The steps y_1.. of the projected gradient over ``rows`` (tokens, posteriors), one aggregation each. The mixture has
     as many tokens as lets the domain with the largest target keep its own. Stops when the residual is a ``close`` share
-    of all tokens, and after ``iterations`` where the targets can't be met (a domain without tokens, say)."""
+    of all tokens, and after ``iterations`` where the targets can't be met (a domain without tokens, say). There are no
+    steps, so that all rates are 1, where they bring the domains' shares no nearer to the targets: posteriors that are
+    the same for all rows tell nothing of what to drop."""
     k = len(DOMAINS)
     gram = [F.sum(F.col("tokens") * F.col(P[i]) * F.col(P[j])) for i in range(k) for j in range(i, k)]
     first = rows.agg(F.sum(F.col("tokens").cast("double")), *[F.sum(F.col("tokens") * F.col(p)) for p in P], *gram).first()
@@ -187,12 +189,14 @@ def fitted_steps(rows: DataFrame, targets: dict[str, float], iterations: int = I
     inverse = np.zeros((k, k))
     inverse[np.ix_(held, held)] = np.linalg.pinv(matrix[np.ix_(held, held)] + np.eye(held.sum()) * 1e-9 * np.trace(matrix))
     steps: list[np.ndarray] = []
+    off = lambda tokens: np.abs(tokens / max(tokens.sum(), 1e-12) - share)[held].sum()
+    start = off(now)
     while len(steps) < iterations and np.abs(now - want)[held].sum() > close * total:
         steps.append(inverse @ (now - want))
         r = rate(steps)
         found = rows.withColumn("r", r).agg(*[F.sum(F.col("r") * F.col("tokens") * F.col(p)) for p in P]).first()
         now = np.array(found, dtype=float)
-    return steps
+    return steps if off(now) < start - close else []
 
 
 def copies(seed: int = 11) -> Column:
@@ -204,13 +208,14 @@ def copies(seed: int = 11) -> Column:
 def mixture(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """doc_id, tokens, posteriors, rate and copies of every document. Empty tables give an empty result; rows without tokens
     have no weight in the fit and get the rate of their posterior; repeated rows count each; other columns are ignored;
-    without labels all posteriors are equal and rates stay at what the targets' totals allow."""
+    where no domain was learned (no labels, null labels, or none of a document here) all posteriors are equal and every
+    rate is 1, whatever the targets."""
     rows = written(with_posteriors(documents, fitted(*domain_sample(documents, labels)), ["doc_id"]), "posteriors")
     return rows.withColumn("rate", rate(fitted_steps(rows, targets or TARGETS))).withColumn("copies", copies())
 
 
 def mixed(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The documents, with their own columns, each as often as its copies."""
+    """The documents, with their own columns, each as often as its copies. Where no domain was learned each stays once."""
     own = {c: f"_own_{c}" for c in ("tokens", "rate", "copies", *P) if c in documents.columns}
     rows = documents.withColumnsRenamed(own)
     model = fitted(*domain_sample(documents, labels))

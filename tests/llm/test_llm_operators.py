@@ -426,6 +426,18 @@ def test_mixing(spark):
     assert mixing.mixture(docs, empty(table)).count() == len(rows)
 
 
+def test_mixing_nothing_learned(spark):
+    """Without usable labels, and where all posteriors are the same, nothing is dropped."""
+    docs = docs_of(spark, ODD + [f"some words {i}" for i in range(40)])
+    labels = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
+    for table in (empty(labels((0, 1, 0))), labels((0, None, 0), (1, 1, None)), labels((9999, 1, 0))):
+        assert {(r.rate, r.copies) for r in mixing.mixture(docs, table).collect()} == {(1.0, 1)}
+        assert sorted(r.doc_id for r in mixing.mixed(docs, table).collect()) == list(range(len(ODD) + 40))
+    same = docs_of(spark, ["the same words"] * 40)
+    table = labels(*[(i, i // 2 % 2, i % 2) for i in range(40)])
+    assert {r.rate for r in mixing.mixture(same, table).collect()} == {1.0}
+
+
 # 10
 
 
