@@ -23,6 +23,8 @@ ORDER = 3
 MAX_FIT_ROWS = 20_000
 #: Sharpness of the softmax that turns cosines into a score.
 SHARPNESS = 12.0
+#: A text whose best cosine is below such a share of the least one in a thousand of the learned texts is in no learned language.
+BOUND_PART, BOUND_QUANTILE = 0.5, 0.001
 LETTERS = regex.compile(r"\p{L}+")
 #: n-grams whose vectors are kept between texts.
 KEPT = 1 << 14
@@ -78,14 +80,22 @@ class Encoder:
         return out / norm if norm else out
 
 
-def fitted(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, seed: int = 17) -> dict[str, np.ndarray]:
-    """Centred prototypes by language, from the non-null ``lang`` of ``rows``. Each task sends one sum a language, and
-    the driver gets languages x dimensions numbers. Beyond ``max_fit_rows`` rows a hash of text and lang picks about so
-    many."""
+def unit(v: np.ndarray) -> np.ndarray:
+    return v / max(np.linalg.norm(v), 1e-12)
+
+
+def sample(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, seed: int = 17) -> DataFrame:
+    """(text, lang) of the rows with both. Beyond ``max_fit_rows`` rows a hash of text and lang picks about so many."""
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
     n = rows.count()
     if n > max_fit_rows:
         rows = rows.filter(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * max_fit_rows / n))
+    return rows
+
+
+def bundled(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Sum of the texts' vectors by language. Each task sends one sum a language, and the driver gets languages x dimensions
+    numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sums = Encoder(), {}
@@ -98,16 +108,52 @@ def fitted(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, seed: int = 17) ->
     parts = rows.mapInArrow(run, "lang string, v array<double>")
     summed = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x"))
     frame = summed.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v")).toPandas()
-    units = {r.lang: (lambda v: v / max(np.linalg.norm(v), 1e-12))(np.array([x["x"] for x in r.v])) for r in frame.itertuples()}
-    if len(units) < 2:
-        return {k: units[k] for k in sorted(units)}
-    middle = np.mean(list(units.values()), axis=0)
-    return {k: (lambda v: v / max(np.linalg.norm(v), 1e-12))(units[k] - middle) for k in sorted(units)}
+    sums = {r.lang: np.array([x["x"] for x in r.v]) for r in frame.itertuples()}
+    return {k: sums[k] for k in sorted(sums)}
+
+
+def middle(sums: dict[str, np.ndarray]) -> np.ndarray | float:
+    """What is taken from all prototypes: their mean, if there are several."""
+    return np.mean([unit(v) for v in sums.values()], axis=0) if len(sums) > 1 else 0.0
+
+
+def centred(sums: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {k: unit(unit(v) - middle(sums)) for k, v in sums.items()}
+
+
+def fitted(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, seed: int = 17) -> dict[str, np.ndarray]:
+    """Centred prototypes by language, from the non-null ``lang`` of a sample of ``rows``."""
+    return centred(bundled(sample(rows, max_fit_rows, seed)))
+
 
+def least_cosine(rows: DataFrame, sums: dict[str, np.ndarray]) -> float:
+    """The bound below which a text is in no learned language, from the texts ``rows`` that were bundled to ``sums``. Each is
+    compared as if it hadn't been learned: its own language's prototype is made without it."""
+    names, prototypes, mean = list(sums), centred(sums), middle(sums)
+    matrix = np.array([prototypes[k] for k in names])
 
-def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder()
+        for batch in sliced(batches):
+            found = []
+            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
+                if (v := encoder.encoded(text)) is None:
+                    continue
+                cosines = matrix @ v
+                rest = unit(sums[lang] - v)
+                own = unit(rest - (mean + (rest - unit(sums[lang])) / len(names) if len(names) > 1 else 0.0))
+                cosines[names.index(lang)] = own @ v
+                found.append(float(cosines.max()))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64())], ["best"])
+
+    least = rows.mapInArrow(run, "best double").agg(F.percentile_approx("best", BOUND_QUANTILE, 100_000)).first()[0]
+    return -1.0 if least is None else BOUND_PART * least if least > 0 else least
+
+
+def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray], bound: float = -1.0) -> DataFrame:
     """All rows and columns of ``documents`` with lang_pred and score (0 to 1), from the text alone. ``und`` and 0 for null
-    texts, texts without a letter, and when no language was learned. Input columns so called are replaced."""
+    texts, texts without a letter, texts whose best cosine is below ``bound``, and when no language was learned. Input
+    columns so called are replaced."""
     rows = documents.drop("lang_pred", "score")
     names, own = list(prototypes), rows.columns
     matrix = np.array([prototypes[k] for k in names], dtype=np.float32).reshape(len(names), DIMENSIONS)
@@ -127,6 +173,10 @@ def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFr
                     continue
                 cosines = (matrix @ v).astype(np.float64)
                 best = int(np.argmax(cosines))
+                if cosines[best] < bound:
+                    found.append("und")
+                    scores.append(0.0)
+                    continue
                 found.append(names[best])
                 scores.append(float(1 / np.exp(SHARPNESS * (cosines - cosines[best])).sum()))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(found, pa.string()), pa.array(scores, pa.float64())], schema.names)
@@ -143,9 +193,15 @@ def identified(documents: DataFrame, folds: int = 4, held_out: int = 2) -> DataF
 
 
 def accepted(documents: DataFrame, languages: list[str] | None = None, folds: int = 4, held_out: int = 2) -> DataFrame:
-    """The documents, with their own columns, whose predicted language is one of ``languages`` (None: any learned one)."""
-    prototypes = fitted(documents.filter(~in_fold("doc_id", folds, held_out)))
+    """The documents, with their own columns, whose predicted language is one of ``languages`` (None: any learned one). Texts
+    without a letter are rejected, and texts further from every learned language than nearly all learned texts
+    (least_cosine). Where no language was learned nothing tells against a text: with ``languages`` None all with a letter
+    stay; none is in a language asked for by name."""
+    learning = sample(documents.filter(~in_fold("doc_id", folds, held_out)))
+    sums = bundled(learning)
+    if not sums and languages is None:
+        return documents.filter(F.col("text").rlike(r"\p{L}"))
     own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in documents.columns}
-    rows = predicted(documents.withColumnsRenamed(own), prototypes)
+    rows = predicted(documents.withColumnsRenamed(own), centred(sums), least_cosine(learning, sums) if sums else -1.0)
     kept = rows.filter(F.col("lang_pred") != "und" if languages is None else F.col("lang_pred").isin(languages))
     return kept.select(*[F.col(own.get(c, c)).alias(c) for c in documents.columns])

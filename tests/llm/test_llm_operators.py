@@ -340,6 +340,26 @@ def test_language(spark):
     assert kept.columns == ["doc_id", "text", "lang", "score"] and {r.score for r in kept.collect()} == {"own"}
 
 
+def languages_table(spark, n):
+    rng = random.Random(6)
+    parts = {"en": ["the", "ing", "wh"], "fr": ["eau", "oi", "é"], "de": ["sch", "ung", "ö"]}
+    rows = [(i, " ".join("".join(rng.choices(parts[lang], k=2)) for _ in range(12)), lang) for i in range(n) for lang in [["en", "fr", "de"][i % 3]]]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_language_rejects(spark):
+    """Clean texts stay, texts in no learned language go, and nothing lettered goes where nothing was learned."""
+    docs = languages_table(spark, 240)
+    other = ["Привет, как дела сегодня?", "これは日本語の文です", "zqx kvj bzp xqk jvz", "12 !!", None]
+    odd = spark.createDataFrame([(9000 + i, t, None) for i, t in enumerate(other)], docs.schema)
+    both = docs.unionByName(odd)
+    assert sorted(r.doc_id for r in language.accepted(both).collect()) == list(range(240))
+    assert {r.lang for r in language.accepted(both, ["fr"]).collect()} == {"fr"}
+    unknown = both.withColumn("lang", F.lit(None).cast("string"))
+    assert sorted(r.doc_id for r in language.accepted(unknown).collect()) == [*range(240), 9000, 9001, 9002]
+    assert language.accepted(unknown, ["fr"]).count() == 0
+
+
 def test_binding():
     a, b = language.Encoder(256), language.Encoder(256)
     assert np.array_equal(a.encoded("hello wörld"), b.encoded("Hello, WÖRLD!"))
