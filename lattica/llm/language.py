@@ -15,12 +15,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import in_fold, sliced
+from lattica.llm.common import in_fold, sliced, written
 
 DIMENSIONS = 1024
 ORDER = 3
-#: Prototypes are fitted on about so many rows at most, chosen by a hash of the row.
-MAX_FIT_ROWS = 20_000
+#: Prototypes are fitted on about so many different texts at most, in equal parts by language, chosen by a hash of text and
+#: language; of each language on about so many at least, if it has them.
+MAX_FIT_ROWS, LEAST_FIT_ROWS = 20_000, 30
 #: Sharpness of the softmax that turns cosines into a score.
 SHARPNESS = 12.0
 #: A text whose best cosine is below such a share of the least one in a thousand of the learned texts is in no learned language.
@@ -85,12 +86,17 @@ def unit(v: np.ndarray) -> np.ndarray:
 
 
 def sample(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, seed: int = 17) -> DataFrame:
-    """(text, lang) of the rows with both. Beyond ``max_fit_rows`` rows a hash of text and lang picks about so many."""
+    """Different (text, lang) of the rows with both. A language with more texts than its part of ``max_fit_rows`` is thinned
+    to about that part by a hash of text and lang; one with fewer is taken whole. Equal texts count once."""
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
-    n = rows.count()
-    if n > max_fit_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) < int(1_000_000 * max_fit_rows / n))
-    return rows
+    key = F.xxhash64("text", "lang", F.lit(seed))
+    counts = {r[0]: r[1] for r in rows.select("lang", key.alias("key")).distinct().groupBy("lang").count().collect()}
+    most = max(max_fit_rows / max(len(counts), 1), LEAST_FIT_ROWS)
+    spread = F.pmod(key, F.lit(1 << 30)) / float(1 << 30)
+    if any(n > most for n in counts.values()):
+        parts = rows.sparkSession.createDataFrame([(k, min(1.0, most / n)) for k, n in counts.items()], "lang string, part double")
+        rows = rows.join(F.broadcast(parts), "lang").filter(spread < F.col("part"))
+    return written(rows.select("text", "lang").distinct(), "learning")
 
 
 def bundled(rows: DataFrame) -> dict[str, np.ndarray]:

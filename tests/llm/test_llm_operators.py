@@ -360,6 +360,17 @@ def test_language_rejects(spark):
     assert language.accepted(unknown, ["fr"]).count() == 0
 
 
+def test_language_sample(spark):
+    """A rare language is learned whole beside a large one, and copies of a text weigh as one."""
+    rows = [(f"the wh{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}ing", "en") for k in range(600)] + [(f"eau oi{chr(97 + k)}", "fr") for k in range(10)]
+    frame = lambda r: spark.createDataFrame(r, "text string, lang string")
+    taken = [r.lang for r in language.sample(frame(rows), 100).collect()]
+    assert taken.count("fr") == 10 and 25 <= taken.count("en") <= 75
+    copied = language.fitted(frame(rows + rows[:1] * 2000), 100)
+    for lang, v in language.fitted(frame(rows), 100).items():
+        assert np.allclose(v, copied[lang])
+
+
 def test_binding():
     a, b = language.Encoder(256), language.Encoder(256)
     assert np.array_equal(a.encoded("hello wörld"), b.encoded("Hello, WÖRLD!"))
