@@ -57,6 +57,16 @@ def segment_ends(spark, sf_dir):
     return cells.join(at_end[0].union(at_end[1]).distinct(), ["sid", "x", "y", "z"], "left_semi").select("sid", "x", "y", "z")
 
 
+@query()
+def segment_cells(spark, sf_dir):
+    """All cells that every mesh edge passes; a test compares with brute force."""
+    t = views.faces(spark, sf_dir).select("v0", "v1").distinct()
+    v = views.vertices(spark, sf_dir)
+    ends = [v.select(F.col("vid").alias(f"v{k}"), *[(F.col(a) + 0.5).alias(f"{a}{k}") for a in "xyz"]) for k in (0, 1)]
+    s = t.join(ends[0], "v0").join(ends[1], "v1").withColumn("sid", F.expr("v0 * 50 + v1"))
+    return geometry.segment_voxels(s.select("sid", *[f"{a}{k}" for k in (0, 1) for a in "xyz"])).select("sid", "x", "y", "z")
+
+
 @query()
 def qef_solve(spark, sf_dir):
     """Dual vertices: the planes of the triangles in each cell, their quadric, and its best point in the cell."""

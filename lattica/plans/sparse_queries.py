@@ -143,6 +143,12 @@ def channel_unbind(spark, sf_dir):
     return v.select("vec_id", "channel", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
+@query("SELECT vec_id, CAST(pos AS INT) AS channel, round(CAST(v AS DOUBLE), 6) AS value FROM (SELECT vec_id, unnest(range(64)) AS pos, unnest(feats) AS v FROM v_latent)")
+def channel_unbind_all(spark, sf_dir):
+    v = views.latents(spark, sf_dir).select("vec_id", F.posexplode("feats").alias("channel", "value"))
+    return v.select("vec_id", "channel", F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
 @query("SELECT i.new AS b, v.x, v.y, v.z, v.n FROM v_voxel v JOIN (VALUES (3, 0), (1, 1), (3, 2)) i(old, new) ON v.b = i.old")
 def batch_select_renumber(spark, sf_dir):
     return sparse.selected(views.voxels(spark, sf_dir).select("b", "x", "y", "z", "n"), [3, 1, 3])
@@ -249,6 +255,15 @@ def boundary_edges(spark, sf_dir):
     return spatial.edges(views.faces(spark, sf_dir).filter("fid % 400 = 9")).filter("n = 1").select("a", "b")
 
 
+@query(
+    """WITH f AS (SELECT * FROM v_face) SELECT a, b FROM (SELECT least(v0, v1) AS a, greatest(v0, v1) AS b FROM f UNION ALL SELECT least(v1, v2), greatest(v1, v2) FROM f
+    UNION ALL SELECT least(v2, v0), greatest(v2, v0) FROM f) GROUP BY a, b HAVING count(*) = 1"""
+)
+def boundary_edges_all(spark, sf_dir):
+    """The open border of the whole mesh; none is a right answer."""
+    return spatial.edges(views.faces(spark, sf_dir)).filter("n = 1").select("a", "b")
+
+
 @query(
     """SELECT fid, v0, v1, v2, round(sqrt(((b.y-a.y)*(c.z-a.z)-(b.z-a.z)*(c.y-a.y))**2 + ((b.z-a.z)*(c.x-a.x)-(b.x-a.x)*(c.z-a.z))**2 + ((b.x-a.x)*(c.y-a.y)-(b.y-a.y)*(c.x-a.x))**2) / 2, 5) AS area
     FROM v_face JOIN v_vertex a ON a.vid = v0 JOIN v_vertex b ON b.vid = v1 JOIN v_vertex c ON c.vid = v2"""
@@ -291,6 +306,27 @@ def trilinear_query(spark, sf_dir):
     return out.select("pid", F.round("weight", 7).alias("weight"), F.round("value", 6).alias("value"))
 
 
+@query(
+    """WITH p AS (SELECT l_orderkey * 8 + l_linenumber AS pid, CAST(l_suppkey % 4 AS INT) AS b, l_partkey % 31 + l_discount * 5 AS px, l_orderkey % 31 + l_tax * 5 AS py, l_suppkey % 31 + 0.25 AS pz FROM lineitem),
+    q AS (SELECT DISTINCT pid, b, round(px, 2) AS px, round(py, 2) AS py, pz FROM p),
+    c AS (SELECT q.*, k.range AS k, CAST(floor(px) AS INT) + k.range % 2 AS x, CAST(floor(py) AS INT) + k.range // 2 % 2 AS y, CAST(floor(pz) AS INT) + k.range // 4 AS z FROM q, range(8) k),
+    w AS (SELECT c.pid, (CASE WHEN k % 2 = 1 THEN px - floor(px) ELSE 1 - (px - floor(px)) END) * (CASE WHEN k // 2 % 2 = 1 THEN py - floor(py) ELSE 1 - (py - floor(py)) END) * (CASE WHEN k // 4 = 1 THEN pz - floor(pz) ELSE 1 - (pz - floor(pz)) END) AS w, v.f1
+    FROM c LEFT JOIN v_voxel v ON v.b = c.b AND v.x = c.x AND v.y = c.y AND v.z = c.z)
+    SELECT pid, round(coalesce(sum(w) FILTER (WHERE f1 IS NOT NULL), 0), 7) AS weight, round(sum(w * f1) / nullif(sum(w) FILTER (WHERE f1 IS NOT NULL), 0), 6) AS value FROM w GROUP BY pid"""
+)
+def trilinear_query_all(spark, sf_dir):
+    i = views.load(spark, sf_dir, "lineitem")
+    points = i.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pid"),
+        (F.col("l_suppkey") % 4).cast("int").alias("b"),
+        F.round(F.col("l_partkey") % 31 + F.col("l_discount") * 5, 2).alias("px"),
+        F.round(F.col("l_orderkey") % 31 + F.col("l_tax") * 5, 2).alias("py"),
+        (F.col("l_suppkey") % 31 + 0.25).alias("pz"),
+    ).distinct()
+    out = spatial.trilinear(points, views.voxels(spark, sf_dir), "f1")
+    return out.select("pid", F.round("weight", 7).alias("weight"), F.round("value", 6).alias("value"))
+
+
 MOVES = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 
 

@@ -47,3 +47,10 @@ def test_oracle(spark, duck, name):
 def test_runs(spark, name):
     df = QUERIES[name](ship(spark), SF)
     assert df.count() > 0 and len(set(df.columns)) == len(df.columns)
+
+
+def test_whole_jobs(spark):
+    """Queries over all lines, channels and cells have more rows than those over a part; the SQL holds what they are."""
+    for part, whole in (("trilinear_query", "trilinear_query_all"), ("channel_unbind", "channel_unbind_all"), ("segment_ends", "segment_cells")):
+        few, many = (QUERIES[n](ship(spark), SF).count() for n in (part, whole))
+        assert few < many
