@@ -13,15 +13,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
 from lattica.llm.common import sliced
 
-#: A public byte-level vocabulary; the path must be readable where tasks run.
+#: A public byte-level vocabulary; the path is a parameter, and only the driver reads it.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern by which that vocabulary splits texts.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of white space as long as this aren't given to the pattern, whose look-ahead backs up over them on a stack.
+LONG_RUN = 1 << 16
 #: Number that ends each document; it is free in the vocabulary. It also fills what is left of a row.
 END = 50256
 LENGTH = 2048
@@ -33,10 +36,29 @@ SCHEMA = "ids binary, n_tokens int, cu_seqlens array<int>, position_resets array
 
 def encoding(path: str = VOCABULARY) -> tiktoken.Encoding:
     with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return encoding_of(f.read())
+
+
+def encoding_of(vocabulary: bytes) -> tiktoken.Encoding:
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def token_ids(codec: tiktoken.Encoding, text: str, long_run: int = LONG_RUN) -> list[int]:
+    """The tokens of the text, as the pattern and the vocabulary give them, for runs of white space of any length. The
+    pattern takes a run less its last character as one piece, and that character with what follows; a run that ends the
+    text is one piece. So a long run is cut out there, merged without the pattern, and the ids stay the same."""
+    ids: list[int] = []
+    start = 0
+    for run in regex.finditer(rf"\p{{White_Space}}{{{long_run},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        if end > run.start():
+            ids += codec.encode_ordinary(text[start : run.start()])
+            ids += codec._encode_single_piece(text[run.start() : end])
+            start = end
+    return ids + codec.encode_ordinary(text[start:])
+
+
 class Capacities:
     """Segment tree over capacities 1..size: how many open rows have each; the least that is at least n in log(size)."""
 
@@ -91,17 +113,20 @@ def packed_rows(lengths: list[int], length: int) -> list[list[int]]:
 
 
 def packed(documents: DataFrame, length: int = LENGTH, end: int = END, vocabulary: str = VOCABULARY) -> DataFrame:
-    """One row per packed sequence of ``length`` ids: ids (uint16 where the numbers fit, else uint32), n_tokens (before the
+    """``vocabulary``: a file that the driver reads. One row per packed sequence of ``length`` ids: ids (uint16 where the numbers fit, else uint32), n_tokens (before the
     filling), cu_seqlens (from 0 to n_tokens), position_resets (start of each segment), doc_ids and piece_starts (the
     document of each segment, and where in its tokens the segment starts).
 
     Every document ends with ``end``, so null and empty texts are one segment of that alone and no document is lost.
-    Very long texts become several segments. Repeated rows are packed each; a null doc_id stays null; an empty table gives
+    Very long texts become several segments, runs of one character of any length included. Repeated rows are packed each; a null doc_id stays null; an empty table gives
     an empty result; other columns are ignored. Nothing is shuffled; the rows that share a packed row depend on how the
     input is split into partitions."""
 
+    with open(vocabulary, "rb") as f:
+        shared = documents.sparkSession.sparkContext.broadcast(f.read())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = encoding(vocabulary)
+        codec = encoding_of(shared.value)
         kind = np.uint16 if max(codec.max_token_value, end) < 1 << 16 else np.uint32
         pieces: list[tuple[int | None, int, np.ndarray]] = []
         held = 0
@@ -132,7 +157,7 @@ def packed(documents: DataFrame, length: int = LENGTH, end: int = END, vocabular
 
         for batch in sliced(batches):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.array([*codec.encode_ordinary(text or ""), end], dtype=kind)
+                ids = np.array([*token_ids(codec, text or ""), end], dtype=kind)
                 for start in range(0, len(ids), length):
                     pieces.append((doc, start, ids[start : start + length]))
                     held += len(pieces[-1][2])

@@ -183,6 +183,29 @@ def test_packing_round_trip(spark):
     assert packing.packed(empty(docs)).count() == 0
 
 
+#: One character, or one short piece, two million times.
+RUNS = [piece * (2_000_000 // len(piece)) for piece in (" ", "\n", "\t", "a", "Z", "7", "!", "a\n", " \u00a0")]
+
+
+def test_token_ids():
+    """Cutting runs changes no id, wherever they stand."""
+    codec, rng = packing.encoding(), random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choices([" ", "  ", "\n", "\t ", "\u00a0", "a", "Bc", "'s", "12", "!?", "\u2003", "\x1c", "é", "\u0085"], k=rng.randrange(14)))
+        for long_run in (1, 2, 3):
+            assert packing.token_ids(codec, text, long_run) == codec.encode_ordinary(text)
+
+
+def test_packing_long_runs(spark):
+    texts = [*RUNS, "x" + RUNS[0] + "y" + RUNS[1]]
+    codec, back = packing.encoding(), {}
+    rows = packing.packed(docs_of(spark, texts).repartition(4))
+    for r in packing.unpacked(rows).orderBy("doc_id", "start").toLocalIterator():
+        assert r.start == len(back.setdefault(r.doc_id, []))
+        back[r.doc_id] += r.ids
+    assert all(codec.decode(back[i][:-1]) == t and back[i][-1] == packing.END for i, t in enumerate(texts))
+
+
 # 5
 
 
