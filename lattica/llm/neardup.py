@@ -1,20 +1,22 @@
 """MinHash near-duplicates by an LSH forest.
 
-Texts with equal shingle sets form a class; one row a class goes on. The forest holds several orders of the MinHash
-signature: order t reads the signature's places in its own sequence, so that rows with a long common prefix are
-neighbours there. Candidates are the rows that share a prefix of the region's depth. Depth adapts by region: prefixes
-that too many unlinked rows share are searched again deeper, in more orders over longer signatures. Orders that read the
-same values aren't independent, so deep levels need more values as well; a pair at a similarity of 0.8 is missed with
-odds of 5e-6 at depth 4, 1.3e-6 at depth 8 and 7.7e-6 at depth 12.
-
-Candidates are not all pairs of a region. First every row meets a few pivots of each region (the least id and the least
-hashes of ids), and only rows then outside the main component meet all of it and its other outsiders. Every link is
-confirmed on the full sets, and two rows of one component need no further test. So components are those of the whole
-graph, while a large group of copies costs time in proportion to its size.
+Texts with equal shingle sets form a class (told by a 128-bit digest of the set); one row a class goes on. The forest
+holds several trees, each one fixed permutation of the places of the MinHash signature. The rows of a tree are sorted by
+the permuted signature, so that the neighbours of a row are those with the longest common prefix, and those are its first
+candidates. A region of a tree is what shares a prefix of the region's depth, and depth adapts: where too many different
+components share a prefix, their rows go on to a longer prefix of the same trees, and of more trees over longer
+signatures. Depths, trees and values follow from the threshold (``levels``): a pair exactly at it shares no prefix with
+odds of 1e-5 or less at each depth.
+
+Candidates are not all pairs of a region. First neighbours in a few trees are tested, then the neighbours in all trees
+that are still apart; and only rows then outside the main component of a region meet all of it and its other outsiders.
+Every link is confirmed on the full sets, and two rows of one component need no further test. So components are those of
+the whole graph, while a large group of copies costs time in proportion to its size.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,26 +25,63 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import WordHashes, dropped, sliced, space_words, texts, written
+from lattica.llm.common import WordHashes, dropped, sliced, space_words, texts, unused, written
 from lattica.llm.components import components
 from lattica.llm.vectors import roots
 
-#: (depth, orders, values of the signature): for links at a similarity of 0.8 or more; lower ones need more orders. Over
-#: random orders the odds of a miss are the mean of (1 - C(m, depth) / C(values, depth)) ** orders, m of the values agreeing.
-LEVELS = ((4, 24, 96), (8, 120, 256), (12, 288, 384))
-HASHES = max(values for _, _, values in LEVELS)
+#: Odds of a pair at the threshold to share no prefix, at each depth.
+MISS = 1e-5
+#: Values a signature may have at the deeper levels; at the first the trees share no value.
+VALUES = (128, 192, 256, 384, 512, 768, 1024)
 #: A region with more components than this is searched deeper (at the last depth none is).
 REGION_COMPONENTS = 512
-#: Regions of so many rows or more have three pivots instead of one.
-MORE_PIVOTS = 8
+#: Trees whose neighbours are tested first: enough to join most of a large group of copies.
+FIRST_TREES = 3
 #: Outer and inner rows of a tile, and bytes of either's sets, about.
 TILE, TILE_BYTES = (256, 1024), 4 << 20
-#: Ids of candidates up to so many are broadcast; more are joined by a shuffle.
+#: Ids and groups up to so many are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: A group of more rows than this isn't shuffled by its key.
+HOT_ROWS = 1024
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
-MULTIPLIERS = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ADDENDS = _random.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+MULTIPLIERS = _random.integers(0, 1 << 63, VALUES[-1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ADDENDS = _random.integers(0, 1 << 63, VALUES[-1], dtype=np.uint64)
+
+
+def miss(share: float, depth: int, trees: int, values: int) -> float:
+    """Odds that two rows of similarity ``share`` share no prefix, over trees drawn at random: the mean, over how many (m) of
+    the values agree, of (1 - C(m, depth) / C(values, depth)) ** trees."""
+    m = range(values + 1)
+    log_c = [math.lgamma(values + 1) - math.lgamma(k + 1) - math.lgamma(values - k + 1) for k in m]
+    return sum(math.exp(log_c[k] + k * math.log(share) + (values - k) * math.log(1 - share)) * (1 - math.comb(k, depth) / math.comb(values, depth)) ** trees for k in m)
+
+
+def levels(share: float) -> list[tuple[int, int, int]]:
+    """(depth, trees, values of the signature) of each level, for links at ``share`` (0.5 or more) and above."""
+    if not 0.5 <= share < 1:
+        raise ValueError("the forest is made for similarities from 0.5 up to, not including, 1")
+    base, out = min(4, max(1, round(math.log(0.41) / math.log(share)))), []
+    for depth in (base, 2 * base, 3 * base):
+        alone = -(-math.ceil(math.log(MISS) / math.log(1 - share**depth)) // 8) * 8
+        if not out:
+            out.append((depth, alone, depth * alone))
+            continue
+        fit = ((depth, t, v) for v in VALUES if v >= out[-1][2] for t in range(alone, 2 * alone + 8, 8) if miss(share, depth, t, v) <= MISS)
+        out.append(next(fit))
+    return out
+
+
+def forest(plan: list[tuple[int, int, int]]) -> np.ndarray:
+    """The order in which each tree reads the signature, as far as the deepest level does. A tree's order is the same at all
+    levels; trees of a level read the values it has. Those of the first level start with values of their own."""
+    random, deepest, orders = np.random.default_rng(7), plan[-1][0], []
+    for level, (depth, trees, values) in enumerate(plan):
+        lead = random.permutation(values).reshape(-1, depth) if not level else np.zeros((trees, 0), dtype=int)
+        for tree in range(len(orders), trees):
+            order = random.permutation(values)
+            orders.append(np.concatenate([lead[tree], order[~np.isin(order, lead[tree])]])[:deepest])
+    return np.array(orders)
 
 
 def shingle_set(words: list[bytes], width: int, hashes: WordHashes) -> np.ndarray:
@@ -65,8 +104,8 @@ def signature(shingles: np.ndarray, values: int) -> bytes:
     return out.astype(np.uint32).tobytes()
 
 
-def features(documents: DataFrame, width: int, least: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (two longs), signature of the first level (null for sets smaller than ``least``)."""
+def features(documents: DataFrame, width: int, least: int, values: int) -> DataFrame:
+    """doc_id, n_shingles, digest of the set (two longs), signature of ``values`` (null for sets smaller than ``least``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -78,7 +117,7 @@ def features(documents: DataFrame, width: int, least: int) -> DataFrame:
                 sizes.append(len(s))
                 one.append(int(digest[0]))
                 two.append(int(digest[1]))
-                signatures.append(signature(s, LEVELS[0][2]) if len(s) >= least else None)
+                signatures.append(signature(s, values) if len(s) >= least else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(signatures, pa.binary())],
                 ["doc_id", "n_shingles", "d1", "d2", "signature"],
@@ -104,38 +143,137 @@ def sets_of(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def signed(sets: DataFrame, values: int) -> DataFrame:
-    """(id, signature) of ``sets`` (id, shingles)."""
+    """(id, n, signature) of ``sets`` (id, n, shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "shingles"):
             found = [signature(np.frombuffer(s.as_buffer(), dtype=np.uint64), values) for s in batch.column("shingles")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.binary())], ["id", "signature"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), pa.array(found, pa.binary())], ["id", "n", "signature"])
 
-    return sets.select("id", "shingles").mapInArrow(run, "id long, signature binary")
+    return sets.select("id", "n", "shingles").mapInArrow(run, "id long, n long, signature binary")
 
 
-def prefix_keys(rows: DataFrame, depth: int, orders: int, values: int) -> DataFrame:
-    """(key, id) for each order: the key stands for the order and the first ``depth`` of the signature's ``values`` in it.
-    The first orders part the signature between them; later ones are random sequences of its places."""
-    random = np.random.default_rng(7)
-    sequence = np.concatenate([random.permutation(values) for _ in range(-(-orders * depth // values))])
-    places = sequence[: orders * depth].reshape(orders, depth)
-    weights = random.integers(0, 1 << 63, (orders, depth), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    offsets = random.integers(0, 1 << 63, orders, dtype=np.uint64)
+def tree_rows(rows: DataFrame, orders: np.ndarray, values: int) -> tuple[DataFrame, list[str]]:
+    """(tree, w0, w1, .., id, n): each row once a tree, with the first of the signature's values in the tree's order, 16 bits
+    of each, four to a word. Sorted by the words, rows with a longer common prefix are closer."""
+    trees, depth = orders.shape
+    names = [f"w{k}" for k in range(-(-depth // 4))]
+    padded = 4 * len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
-                ids = part.column("id").to_numpy()
-                held = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint32).reshape(len(ids), values).astype(np.uint64)
-                keys = np.empty((orders, len(ids)), dtype=np.uint64)
-                for t in range(orders):
-                    k = (held[:, places[t]] * weights[t]).sum(axis=1, dtype=np.uint64) + offsets[t]
-                    keys[t] = (k ^ (k >> np.uint64(31))) * MIX
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(ids, orders))], ["key", "id"])
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                ids, sizes = part.column("id").to_numpy(), part.column("n").to_numpy()
+                held = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint32).reshape(len(ids), values)
+                read = np.zeros((trees, len(ids), padded), dtype=np.uint64)
+                read[:, :, :depth] = (held[:, orders] & 0xFFFF).transpose(1, 0, 2)
+                read = read.reshape(-1, len(names), 4)
+                words = (read[:, :, 0] << np.uint64(48)) | (read[:, :, 1] << np.uint64(32)) | (read[:, :, 2] << np.uint64(16)) | read[:, :, 3]
+                columns = [np.repeat(np.arange(trees, dtype=np.int32), len(ids)), *(np.ascontiguousarray(words[:, k]).view(np.int64) for k in range(len(names))), np.tile(ids, trees), np.tile(sizes, trees)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["tree", *names, "id", "n"])
+
+    return rows.select("id", "n", "signature").mapInArrow(run, f"tree int, {', '.join(f'{w} long' for w in names)}, id long, n long"), names
+
+
+class Walk:
+    """Walks through the sorted rows of a partition, batch by batch: which rows share a prefix of ``depth``, and the neighbour
+    before each. A row is decided when the next one is known."""
+
+    def __init__(self, words: int, depth: int, numerator: int, denominator: int):
+        self.numerator, self.denominator = numerator, denominator
+        kept = [min(4, max(0, depth - 4 * k)) for k in range(words)]
+        self.masks = np.array([((1 << 64) - (1 << (64 - 16 * k))) & ((1 << 64) - 1) for k in kept], dtype=np.uint64)
+        self.held: tuple[np.ndarray, ...] | None = None
+
+    def regions(self, tree: np.ndarray, words: np.ndarray) -> np.ndarray:
+        out = (tree.astype(np.uint64) + np.uint64(1)) * MIX
+        for w, mask in zip(words, self.masks, strict=True):
+            out = (out ^ (w.view(np.uint64) & mask)) * MIX
+            out ^= out >> np.uint64(31)
+        return out.view(np.int64)
+
+    def step(self, tree: np.ndarray, words: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Adds rows; returns (region, tree, id, other, fit, edge) of those decided. ``other``: the row before, and ``fit``: it
+        shares the prefix and its set's size allows a link. ``edge``: at an end of the partition, so that rows of its
+        region may lie in the next one."""
+        region = self.regions(tree, words)
+        same = np.zeros(len(ids), dtype=bool)
+        same[1:] = region[1:] == region[:-1]
+        edge, before, before_size = np.zeros(len(ids), dtype=bool), np.roll(ids, 1), np.roll(sizes, 1)
+        if self.held is None:
+            edge[0] = True
+        else:
+            same[0] = self.held[0][0] == region[0]
+            before[0], before_size[0] = self.held[2][0], self.held[6][0]
+        fit = same & (before != ids) & (self.denominator * np.minimum(sizes, before_size) >= self.numerator * np.maximum(sizes, before_size))
+        now = (region, tree, ids, before, fit, edge, sizes, same)
+        if self.held is not None:
+            now = tuple(np.concatenate([h, x]) for h, x in zip(self.held, now, strict=True))
+        self.held = tuple(x[-1:] for x in now)
+        shared = now[7][:-1] | now[7][1:] | now[5][:-1]
+        return tuple(x[:-1][shared] for x in now[:6])
+
+    def rest(self) -> tuple[np.ndarray, ...]:
+        """The last row, which is at the partition's end."""
+        if self.held is None:
+            return ()
+        return (*self.held[:5], np.ones(1, dtype=bool))
+
+
+def sorted_members(rows: DataFrame, orders: np.ndarray, values: int, depth: int, numerator: int, denominator: int) -> DataFrame:
+    """(region, tree, id, other, edge) of the rows that share a prefix of ``depth`` in some tree. All trees are dealt by range
+    and sorted in one shuffle; a range ends anywhere, also within a region, so no region is too large for a task."""
+    found, names = tree_rows(rows, orders, values)
+    key = ["tree", *names, "id"]
 
-    return rows.select("id", "signature").mapInArrow(run, "key long, id long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = Walk(len(names), depth, numerator, denominator)
+
+        def out(region, tree, ids, other, fit, edge) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(region), pa.array(tree), pa.array(ids), pa.array(other, mask=~fit), pa.array(edge)], ["region", "tree", "id", "other", "edge"])
+
+        for batch in batches:
+            if batch.num_rows:
+                yield out(*walk.step(batch.column("tree").to_numpy(), np.stack([batch.column(w).to_numpy() for w in names]), batch.column("id").to_numpy(), batch.column("n").to_numpy()))
+        if last := walk.rest():
+            yield out(*last)
+
+    return found.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(run, "region long, tree int, id long, other long, edge boolean")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough. One set a pair is shuffled."""
+    one = pairs.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
+    both = one.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits = []
+            for a, b in zip(batch.column("a"), batch.column("b"), strict=True):
+                x, y = np.frombuffer(a.as_buffer(), dtype=np.uint64), np.frombuffer(b.as_buffer(), dtype=np.uint64)
+                merged = np.concatenate([x, y])
+                merged.sort(kind="stable")  # two sorted runs: a merge
+                common = int((merged[1:] == merged[:-1]).sum())
+                hits.append(common > 0 and denominator * common >= numerator * (len(merged) - common))
+            keep = pa.array(hits, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("u").filter(keep), batch.column("v").filter(keep)], ["u", "v"])
+
+    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def joined(rows: DataFrame, groups: DataFrame, count: str = "rows") -> DataFrame:
+    """Inner join on ``region`` with ``groups``, a written table of one row a region whose ``count`` says how many of ``rows``
+    it has. Regions with more than HOT_ROWS rows aren't shuffled: their part of ``groups`` is broadcast. If they are more
+    than BROADCAST_IDS, only the largest ones are, and none of the others has a millionth of the rows."""
+    bound, n = HOT_ROWS, groups.filter(F.col(count) > HOT_ROWS).count()
+    if not n:
+        return rows.join(groups, "region")
+    if n > BROADCAST_IDS:
+        bound = groups.orderBy(F.desc(count)).limit(BROADCAST_IDS).agg(F.min(count)).first()[0]
+    hot = groups.filter(F.col(count) > bound)
+    rest = rows.join(F.broadcast(hot.select("region")), "region", "left_anti").join(groups.filter(F.col(count) <= bound), "region")
+    return rest.unionByName(rows.join(F.broadcast(hot), "region"))
 
 
 def compared_pairs(ids: np.ndarray, labels: np.ndarray, outer: np.ndarray, sets: list[np.ndarray], numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,13 +314,14 @@ def compared(rows: DataFrame, sets: DataFrame, numerator: int, denominator: int)
     tiles of bounded rows and bytes, and each pair of tiles is compared in one place; no pair is ever a row."""
     width = F.col("n") * 8
     sized = rows.join(sets.select("id", "n"), "id").groupBy("region").agg(
+        F.count("*").alias("rows"),
         F.greatest(F.sum(F.col("outer").cast("long")) / TILE[0], F.sum(F.when(F.col("outer"), width)) / TILE_BYTES).alias("x"),
         F.greatest(F.sum((~F.col("outer")).cast("long")) / TILE[1], F.sum(F.when(~F.col("outer"), width)) / TILE_BYTES).alias("y"),
     )
-    sized = sized.filter("x > 0 and y > 0").select("region", F.ceil("x").cast("int").alias("x"), F.ceil("y").cast("int").alias("y"))
+    sized = written(sized.filter("x > 0 and y > 0").select("region", "rows", F.ceil("x").cast("int").alias("x"), F.ceil("y").cast("int").alias("y")), "tiles")
     own = F.when(F.col("outer"), F.col("x")).otherwise(F.col("y"))
     other = F.when(F.col("outer"), F.col("y")).otherwise(F.col("x"))
-    dealt = rows.join(sized, "region").withColumns({"own": F.pmod(F.xxhash64("id", F.lit(5)), own).cast("int"), "other": other})
+    dealt = joined(rows, sized).withColumns({"own": F.pmod(F.xxhash64("id", F.lit(5)), own).cast("int"), "other": other})
     dealt = dealt.join(sets.select("id", "shingles"), "id").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("other") - 1)))
     dealt = dealt.select("region", F.when(F.col("outer"), F.col("own")).otherwise(F.col("o")).alias("i"), F.when(F.col("outer"), F.col("o")).otherwise(F.col("own")).alias("j"), "id", "label", "outer", "shingles")
 
@@ -233,41 +372,36 @@ class Linked:
         return rows.join(self.labels.withColumnRenamed("node", column), column, "left").withColumn("label", F.coalesce("label", column))
 
 
-def starred(pairs: DataFrame) -> DataFrame:
-    """Regions of one outer row, the region itself, and the inner rows ``id``."""
-    centres = pairs.select("region", F.col("region").alias("id")).distinct()
-    as_rows = lambda r, outer: r.select("region", "id", F.col("id").alias("label"), F.lit(outer).alias("outer"))
-    return as_rows(pairs, False).unionAll(as_rows(centres, True))
-
-
 def main_components(linked: Linked, members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members with their labels, and for each prefix the label of its largest component (``main``), the number of components
-    (``k``) and the least and greatest label."""
-    known = linked.on(members.select("key", "id"))
-    each = known.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mains = each.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("k"), F.min("label").alias("a"), F.max("label").alias("b"))
-    return known, mains
+    """The members with their labels; and of each region with several components that hasn't been tested as a pair of
+    neighbours: its rows, how many components it has (``k``) and the label of the largest (``main``)."""
+    known = linked.on(members.select("region", "id", "edge"))
+    each = known.groupBy("region", "label").agg(F.count("*").alias("n"), F.max("edge").alias("edge"))
+    mains = each.groupBy("region").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("k"), F.sum("n").alias("rows"), F.max("edge").alias("edge"))
+    return known.select("region", "id", "label"), mains.filter("k > 1 and (rows > 2 or edge)").select("region", "main", "k", "rows")
 
 
-def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: int, denominator: int) -> Linked:
-    """Components over ``rows`` (id, signature of the first level), found by the forest and confirmed on the sets of
+def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: int, denominator: int, start: int = 0) -> Linked:
+    """Components over ``rows`` (id, n, signature of the level ``start``), found by the forest and confirmed on the sets of
     ``documents``. Only rows that go deeper get the longer signatures of the deeper levels."""
+    plan = levels(numerator / denominator)
+    orders = forest(plan)
     linked, active = Linked(rows), rows
-    for level, (depth, orders, values) in enumerate(LEVELS):
-        last = level + 1 == len(LEVELS)
-        keys = prefix_keys(active, depth, orders, values)
-        hashed = [F.min_by("id", F.xxhash64("id", F.lit(k))).alias(f"p{k}") for k in (1, 2)]
-        shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("pivot"), F.max("id").alias("top"), *hashed).filter("pivot < top")
-        pivots = F.when(F.col("n") >= MORE_PIVOTS, F.array("pivot", "p1", "p2")).otherwise(F.array("pivot"))
-        members = written(keys.join(shared.select("key", pivots.alias("pivots")), "key").distinct(), "members")
+    for level in range(start, len(plan)):
+        depth, trees, values = plan[level]
+        last = level + 1 == len(plan)
+        read = orders[:trees, : depth if last else plan[level + 1][0]]
+        members = written(sorted_members(active, read, values, depth, numerator, denominator), "members")
         ids = written(members.select("id").distinct(), "candidates")
         sets = written(sets_of(documents, ids, width), "sets")
-        # every row and the pivots of each of its regions, which are the same rows in all orders as far as can be
-        stars = members.select(F.explode("pivots").alias("region"), "id").filter("id <> region").distinct()
-        linked.take(compared(starred(stars), sets, numerator, denominator))
+        pairs = members.filter("other is not null").select("tree", F.least("id", "other").alias("u"), F.greatest("id", "other").alias("v"))
+        linked.take(confirmed(pairs.filter(F.col("tree") < FIRST_TREES).select("u", "v").distinct(), sets, numerator, denominator))
+        apart = linked.on(linked.on(pairs.select("u", "v").distinct(), "u").withColumnRenamed("label", "lu"), "v").filter("lu <> label").select("u", "v")
+        linked.take(confirmed(apart, sets, numerator, denominator))
         # what is still outside a main component, and all of it and of its other outsiders
         known, mains = main_components(linked, members)
-        known = written(known.join(mains.filter("a < b").select("key", "main", "k"), "key").select("key", "id", "label", "main", "k"), "known")
+        mains = written(mains, "mains")
+        known = written(joined(known, mains).select("region", "id", "label", "main", "k"), "known")
         near = known if last else known.filter(F.col("k") <= REGION_COMPONENTS)
         outside = near.filter("label <> main").select(F.col("main").alias("region"), "id", "label").distinct()
         inside = linked.on(ids).select(F.col("label").alias("region"), "id", "label").join(outside.select("region").distinct(), "region", "left_semi")
@@ -275,8 +409,8 @@ def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: i
         linked.take(compared(rows_of(outside, True).unionAll(rows_of(outside, False)).unionAll(rows_of(inside, False)), sets, numerator, denominator))
         if not last:
             deeper = written(known.filter(F.col("k") > REGION_COMPONENTS).select("id").distinct(), "deeper")
-            longer = written(signed(sets.filter("n > 0").join(deeper, "id", "left_semi"), LEVELS[level + 1][2]), "signatures")
-        for used in (known, members, ids, sets):
+            longer = written(signed(sets.filter("n > 0").join(deeper, "id", "left_semi"), plan[level + 1][2]), "signatures")
+        for used in (known, mains, members, ids, sets):
             dropped(used)
         if last or not deeper.limit(1).count():
             break
@@ -284,35 +418,44 @@ def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: i
     return linked
 
 
-def near_duplicates(documents: DataFrame, width: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
+def near_duplicates(documents: DataFrame, width: int = 5, numerator: int = 80, denominator: int = 100, start: int = 0) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``documents`` (doc_id, text).
 
     Words are runs other than white space, A-Z lower-cased; a set holds the distinct ``width``-word shingles, or the
-    whole sequence of a shorter text. Two rows are linked if denominator * intersection >= numerator * union.
-    ``component_id`` is the least doc_id reachable. Defined results: null and empty texts, and texts of white space,
-    have an empty set and are linked with nothing; a null doc_id is linked with nothing, its component_id is null and
-    it is kept; rows that share a doc_id are one node; an empty table gives an empty result; other columns are ignored."""
-    least = -(-numerator // (denominator - numerator)) if numerator < denominator else 1 << 62
-    found = written(features(documents, width, least), "features")
+    whole sequence of a shorter text. Two rows are linked if denominator * intersection >= numerator * union, which must
+    be half or more. ``component_id`` is the least doc_id reachable. ``start``: the level of the forest at which the search
+    begins; deeper ones cost more and find the same.
+
+    Defined results: null and empty texts, and texts of white space, have an empty set and are linked with nothing; very
+    long texts are compared by their whole sets; a null doc_id is linked with nothing, its component_id is null and it is
+    kept; rows that share a doc_id are one node; an empty table gives an empty result; other columns are ignored."""
+    equal = numerator >= denominator  # only equal sets are linked: no forest
+    least = 1 << 62 if equal else -(-numerator // (denominator - numerator))
+    values = 1 if equal else levels(numerator / denominator)[start][2]
+    found = written(features(documents, width, least, values), "features")
     classes = found.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
-    rows = written(
-        found.filter("signature is not null").select("d1", "d2", F.col("doc_id").alias("id"), "signature").join(classes, ["d1", "d2", "id"], "left_semi").select("id", "signature"), "forest"
-    )
-    linked = forest_links(documents, rows, width, numerator, denominator)
+    rows = found.filter("signature is not null").select("d1", "d2", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
+    rows = written(rows.join(classes, ["d1", "d2", "id"], "left_semi").select("id", "n", "signature"), "forest")
+    linked = Linked(rows) if equal else forest_links(documents, rows, width, numerator, denominator, start)
     by_set = linked.on(classes).select("d1", "d2", F.col("label").alias("component_id"))
     out = found.select("doc_id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2"], "left")
     component = F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    dropped(rows)
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def deduplicated(documents: DataFrame, width: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
-    """The documents, with their own columns, less all but the least doc_id of each component. Of rows that share a doc_id
-    one stays (the first by text)."""
-    result = written(near_duplicates(documents, width, numerator, denominator), "near")
-    gone = result.filter("not kept").select("doc_id").distinct()
-    small = gone.count() <= BROADCAST_IDS
-    out = documents.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti")
-    if result.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        first = F.min_by(F.struct(*out.columns), F.coalesce("text", F.lit(""))).alias("r")
-        out = out.filter("doc_id is not null").groupBy("doc_id").agg(first).select("r.*").unionAll(out.filter("doc_id is null"))
-    return out.select(*documents.columns)
+    """The documents, with their own columns, less all but one row of each component: that with the least doc_id, null ids
+    last. Where doc_ids repeat or are null, rows are told apart by a number of their own, so that rows which only share an
+    id all stay, and equal texts under null ids don't."""
+    ids = documents.groupBy("doc_id").count()
+    if not ids.filter("doc_id is null or count > 1").limit(1).count():
+        gone = written(near_duplicates(documents, width, numerator, denominator).filter("not kept").select("doc_id"), "near")
+        small = gone.count() <= BROADCAST_IDS
+        return documents.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*documents.columns)
+    row = unused(documents, "row")
+    rows = written(documents.withColumn(row, F.monotonically_increasing_id()), "rows")
+    near = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), width, numerator, denominator)
+    near = near.select(F.col("doc_id").alias(row), "component_id").join(rows.select(row, "doc_id"), row)
+    kept = near.groupBy("component_id").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias(row)).select(row)
+    return rows.join(kept, row, "left_semi").select(*documents.columns)

@@ -260,7 +260,8 @@ def test_near_duplicates_odd(spark):
     rows = neardup.near_duplicates(docs, width=2).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in rows) == [(0, 0, True), (0, 0, True), (4, 4, True), (4, 4, True)]
     assert neardup.near_duplicates(empty(docs)).count() == 0
-    assert neardup.deduplicated(docs, width=2).count() == 3
+    assert neardup.deduplicated(docs, width=2).count() == 2
+    assert neardup.near_duplicates(docs, width=2, numerator=100).filter("component_id = 4").count() == 2
 
 
 def test_near_duplicates_large_region(spark, monkeypatch):
@@ -281,14 +282,58 @@ def test_near_duplicates_large_region(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("level, pairs", [(1, 2500), (2, 1000)])
-def test_near_duplicates_deep_levels(spark, monkeypatch, level, pairs):
+def test_near_duplicates_deep_levels(spark, level, pairs):
     """Pairs at a similarity of exactly 0.8, searched at a deep level alone: none is missed."""
-    monkeypatch.setattr(neardup, "LEVELS", neardup.LEVELS[level : level + 1])
     texts = [" ".join([f"p{p}w{k}" for k in range(80)] + [f"p{p}x{k}" for k in range(10 * side, 10 * side + 10)]) for p in range(pairs) for side in (0, 1)]
-    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_of(spark, texts), width=1).collect()}
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_of(spark, texts), width=1, start=level).collect()}
     assert got == {i: i - i % 2 for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("share", [0.6, 0.8, 0.9])
+def test_forest_recall(share):
+    """Of 60,000 simulated signature pairs at the threshold, at most 6 share no prefix at some depth; and depths nest."""
+    plan = neardup.levels(share)
+    orders, rng = neardup.forest(plan), np.random.default_rng(1)
+    assert all(len(set(o)) == len(o) for o in orders.tolist())
+    for depth, trees, values in plan:
+        missed = 0
+        assert orders[:trees, :depth].max() < values
+        for _ in range(12):
+            agree = rng.random((5000, values)) < share
+            met = np.zeros(5000, dtype=bool)
+            for order in orders[:trees, :depth]:
+                met |= agree[:, order].all(axis=1)
+            missed += (~met).sum()
+        assert missed <= 6
+    with pytest.raises(ValueError):
+        neardup.levels(0.4)
+
+
+def test_walk():
+    """Rows of a region, neighbours and edges, however the sorted rows fall into batches."""
+    rng = np.random.default_rng(4)
+    rows = sorted((int(t), int(a) << 48 | int(b) << 32, int(i)) for t, a, b, i in zip(rng.integers(0, 2, 80), rng.integers(0, 4, 80), rng.integers(0, 6, 80), range(80), strict=True))
+    for size in (1, 3, 80):
+        walk, got = neardup.Walk(1, 2, 80, 100), []
+        for k in range(0, 80, size):
+            part = rows[k : k + size]
+            found = walk.step(*(np.array([r[j] for r in part], dtype=d)[None, :][0] if j != 1 else np.array([[r[1] for r in part]], dtype=np.int64) for j, d in ((0, np.int32), (1, np.int64), (2, np.int64))), np.full(len(part), 5))
+            got += zip(*(x.tolist() for x in found), strict=True)
+        got += zip(*(x.tolist() for x in walk.rest()), strict=True)
+        key = [r[:2] for r in rows]
+        shared = [i for i in range(80) if key[i] in key[max(0, i - 1) : i] + key[i + 1 : i + 2] or i in (0, 79)]
+        assert [g[2] for g in got] == [rows[i][2] for i in shared]
+        assert [g[3] if g[4] else None for g in got] == [rows[i - 1][2] if i and key[i] == key[i - 1] else None for i in shared]
+        assert [g[5] for g in got] == [i in (0, 79) for i in shared]
+
+
+def test_near_duplicates_repeated_ids(spark):
+    """Rows that only share an id all stay; equal texts under null ids don't."""
+    docs = docs_of(spark, ["a b c d e f", "other words here", "x y z", "x y z", "a b c d e f", None, None], ids=[4, 4, None, None, 2, None, None])
+    kept = [(r.doc_id, r.text) for r in neardup.deduplicated(docs).collect()]
+    assert sorted(map(str, kept)) == sorted(map(str, [(4, "other words here"), (None, "x y z"), (2, "a b c d e f"), (None, None), (None, None)]))
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(k, k + 1) for k in range(300, 340)] + [(5, 5), (None, 1)]
