@@ -16,6 +16,11 @@ from lattica.session import put_bytes, shared_dir
 #: Texts are worked on in slices of about so many bytes, which bounds the memory of a task.
 SLICE_BYTES = 4 << 20
 
+#: Tables of up to so many narrow rows are broadcast; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: A group of more rows than this isn't shuffled by its key.
+HOT_ROWS = 1024
+
 #: A-Z to lower case; ``[0-9a-z]`` and every byte of a non-ASCII character stay; all else parts words.
 ALNUM = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -84,6 +89,20 @@ def dropped(df: DataFrame) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def joined(rows: DataFrame, groups: DataFrame, on: list[str], count: str = "rows", how: str = "inner") -> DataFrame:
+    """Join with ``groups``, a written table of one row a key whose ``count`` says how many of ``rows`` it has. Keys with more
+    than HOT_ROWS rows aren't shuffled: their part of ``groups`` is broadcast. If they are more than BROADCAST_ROWS, only
+    the largest are, and none of the others has a millionth of the rows. ``how``: inner or left."""
+    bound, n = HOT_ROWS, groups.filter(F.col(count) > HOT_ROWS).count()
+    if not n:
+        return rows.join(groups, on, how)
+    if n > BROADCAST_ROWS:
+        bound = groups.orderBy(F.desc(count)).limit(BROADCAST_ROWS).agg(F.min(count)).first()[0]
+    hot = groups.filter(F.col(count) > bound)
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(groups.filter(F.col(count) <= bound), on, how)
+    return rest.unionByName(rows.join(F.broadcast(hot), on))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that the frame doesn't have in any case of letters."""
     taken = {c.lower() for c in df.columns}

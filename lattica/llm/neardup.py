@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import WordHashes, dropped, sliced, space_words, texts, unused, written
+from lattica.llm.common import BROADCAST_ROWS, WordHashes, dropped, joined, sliced, space_words, texts, unused, written
 from lattica.llm.components import components
 from lattica.llm.vectors import roots
 
@@ -39,10 +39,6 @@ REGION_COMPONENTS = 512
 FIRST_TREES = 3
 #: Outer and inner rows of a tile, and bytes of either's sets, about.
 TILE, TILE_BYTES = (256, 1024), 4 << 20
-#: Ids and groups up to so many are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
-#: A group of more rows than this isn't shuffled by its key.
-HOT_ROWS = 1024
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.default_rng(20)
 MULTIPLIERS = _random.integers(0, 1 << 63, VALUES[-1], dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -137,7 +133,7 @@ def sets_of(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             found = [shingle_set(space_words(t), width, hashes) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], ["id", "n", "shingles"])
 
-    few = ids.count() <= BROADCAST_IDS
+    few = ids.count() <= BROADCAST_ROWS
     rows = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
     return rows.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, "id long, n long, shingles binary")
 
@@ -262,20 +258,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: in
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def joined(rows: DataFrame, groups: DataFrame, count: str = "rows") -> DataFrame:
-    """Inner join on ``region`` with ``groups``, a written table of one row a region whose ``count`` says how many of ``rows``
-    it has. Regions with more than HOT_ROWS rows aren't shuffled: their part of ``groups`` is broadcast. If they are more
-    than BROADCAST_IDS, only the largest ones are, and none of the others has a millionth of the rows."""
-    bound, n = HOT_ROWS, groups.filter(F.col(count) > HOT_ROWS).count()
-    if not n:
-        return rows.join(groups, "region")
-    if n > BROADCAST_IDS:
-        bound = groups.orderBy(F.desc(count)).limit(BROADCAST_IDS).agg(F.min(count)).first()[0]
-    hot = groups.filter(F.col(count) > bound)
-    rest = rows.join(F.broadcast(hot.select("region")), "region", "left_anti").join(groups.filter(F.col(count) <= bound), "region")
-    return rest.unionByName(rows.join(F.broadcast(hot), "region"))
-
-
 def compared_pairs(ids: np.ndarray, labels: np.ndarray, outer: np.ndarray, sets: list[np.ndarray], numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
     """(u, v) that span the links between outer rows and all inner ones of another label. Intersections are counted exactly:
     pair by pair for a few, else as products of 0/1 matrices over blocks of the shingles that two rows at least hold."""
@@ -321,7 +303,7 @@ def compared(rows: DataFrame, sets: DataFrame, numerator: int, denominator: int)
     sized = written(sized.filter("x > 0 and y > 0").select("region", "rows", F.ceil("x").cast("int").alias("x"), F.ceil("y").cast("int").alias("y")), "tiles")
     own = F.when(F.col("outer"), F.col("x")).otherwise(F.col("y"))
     other = F.when(F.col("outer"), F.col("y")).otherwise(F.col("x"))
-    dealt = joined(rows, sized).withColumns({"own": F.pmod(F.xxhash64("id", F.lit(5)), own).cast("int"), "other": other})
+    dealt = joined(rows, sized, ["region"]).withColumns({"own": F.pmod(F.xxhash64("id", F.lit(5)), own).cast("int"), "other": other})
     dealt = dealt.join(sets.select("id", "shingles"), "id").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("other") - 1)))
     dealt = dealt.select("region", F.when(F.col("outer"), F.col("own")).otherwise(F.col("o")).alias("i"), F.when(F.col("outer"), F.col("o")).otherwise(F.col("own")).alias("j"), "id", "label", "outer", "shingles")
 
@@ -401,7 +383,7 @@ def forest_links(documents: DataFrame, rows: DataFrame, width: int, numerator: i
         # what is still outside a main component, and all of it and of its other outsiders
         known, mains = main_components(linked, members)
         mains = written(mains, "mains")
-        known = written(joined(known, mains).select("region", "id", "label", "main", "k"), "known")
+        known = written(joined(known, mains, ["region"]).select("region", "id", "label", "main", "k"), "known")
         near = known if last else known.filter(F.col("k") <= REGION_COMPONENTS)
         outside = near.filter("label <> main").select(F.col("main").alias("region"), "id", "label").distinct()
         inside = linked.on(ids).select(F.col("label").alias("region"), "id", "label").join(outside.select("region").distinct(), "region", "left_semi")
@@ -433,12 +415,12 @@ def near_duplicates(documents: DataFrame, width: int = 5, numerator: int = 80, d
     least = 1 << 62 if equal else -(-numerator // (denominator - numerator))
     values = 1 if equal else levels(numerator / denominator)[start][2]
     found = written(features(documents, width, least, values), "features")
-    classes = found.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
+    classes = found.filter("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("rows"))
     rows = found.filter("signature is not null").select("d1", "d2", F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "signature")
     rows = written(rows.join(classes, ["d1", "d2", "id"], "left_semi").select("id", "n", "signature"), "forest")
     linked = Linked(rows) if equal else forest_links(documents, rows, width, numerator, denominator, start)
-    by_set = linked.on(classes).select("d1", "d2", F.col("label").alias("component_id"))
-    out = found.select("doc_id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2"], "left")
+    by_set = written(linked.on(classes).select("d1", "d2", F.col("label").alias("component_id"), "rows"), "classes")
+    out = joined(found.select("doc_id", "n_shingles", "d1", "d2"), by_set, ["d1", "d2"], how="left")
     component = F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     dropped(rows)
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -451,7 +433,7 @@ def deduplicated(documents: DataFrame, width: int = 5, numerator: int = 80, deno
     ids = documents.groupBy("doc_id").count()
     if not ids.filter("doc_id is null or count > 1").limit(1).count():
         gone = written(near_duplicates(documents, width, numerator, denominator).filter("not kept").select("doc_id"), "near")
-        small = gone.count() <= BROADCAST_IDS
+        small = gone.count() <= BROADCAST_ROWS
         return documents.join(F.broadcast(gone) if small else gone, "doc_id", "left_anti").select(*documents.columns)
     row = unused(documents, "row")
     rows = written(documents.withColumn(row, F.monotonically_increasing_id()), "rows")
