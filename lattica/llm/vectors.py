@@ -1,30 +1,32 @@
 """Embedding near-duplicates: int8 tile products with rigorous error bounds.
 
-Equal vectors of a label form a class; one row a class goes on, with its weight. The rows of a label are dealt to tiles
-of bounded size, and every pair of tiles of a label is one group. There each unit vector u becomes s * q + r with q in
-int8, and |u.v - s_u s_v q_u.q_v| <= |s_u q_u| |r_v| + |r_u| |v|, whose norms are known for each vector. Pairs whose
-upper bound is below the threshold are out, pairs whose lower bound is above it are in, and only the rest is computed
-in full precision. A group returns counts and a spanning star of its links, so a group of many near copies costs rows
-in proportion to its size.
+Equal vectors of a label form a class; one row a class goes on, with its weight. Each unit vector u is quantised once to
+s * q + r with q in int8, and |u.v - s_u s_v q_u.q_v| <= |s_u q_u| |r_v| + |r_u| |v|, whose norms are stored with the codes.
+The rows of a label are dealt to tiles of bounded size, and every pair of tiles of a label is one group, to which only
+codes, scales and norms are shuffled. Pairs whose upper bound is below the threshold are out, pairs whose lower bound is
+above it are in. What is left open is named by rows, not pairs: the rows of a group that have an open pair are grouped
+once more, now with their full vectors, and only their open pairs are computed in full precision. A group returns counts
+and a spanning star of its links, so a group of many near copies costs rows in proportion to its size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import written
+from lattica.llm.common import BROADCAST_ROWS, dropped, joined, written
 from lattica.llm.components import components
 
-#: Rows of a tile, about: a group holds two tiles.
-TILE = 2048
+#: Rows of a tile, about: a group holds the codes of two tiles.
+TILE = 4096
 #: Room for rounding in the float64 arithmetic of the bounds.
 SLACK = 1e-9
-#: Pairs that are computed in full precision at once.
-EXACT_AT_ONCE = 1 << 16
+#: Rows whose products with a tile are held at once, and pairs that are computed in full precision at once.
+BLOCK, EXACT_AT_ONCE = 128, 1 << 16
 
 
 def quantised(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -35,31 +37,6 @@ def quantised(units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return codes, scales, np.linalg.norm(coded, axis=1), np.linalg.norm(units - coded, axis=1)
 
 
-def linked_pairs(units: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers (a, b) with cosine >= threshold, a from ``left`` and b from ``right``; each pair once where both are
-    the same array. ``units``: float64 rows of unit length."""
-    codes, scales, norms, errors = quantised(units)
-    kind = np.float32 if 127 * 127 * units.shape[1] < 1 << 24 else np.float64  # whole numbers, so products are exact
-    same, outs = left is right, []
-    right_codes = codes[right].astype(kind).T
-    for start in range(0, len(left), 256):
-        rows = left[start : start + 256]
-        about = (codes[rows].astype(kind) @ right_codes).astype(np.float64) * scales[rows][:, None] * scales[right][None, :]
-        bound = norms[rows][:, None] * errors[right][None, :] + errors[rows][:, None] + SLACK
-        a, b = np.nonzero(about + bound >= threshold)
-        if same:
-            once = b > a + start
-            a, b = a[once], b[once]
-        sure = (about[a, b] - bound[a, b]) >= threshold
-        a, b = rows[a], right[b]
-        for k in range(0, len(a), EXACT_AT_ONCE):
-            part = slice(k, k + EXACT_AT_ONCE)
-            open_ = np.flatnonzero(~sure[part]) + k
-            sure[open_] = np.einsum("ij,ij->i", units[a[open_]], units[b[open_]]) >= threshold
-        outs.append((a[sure], b[sure]))
-    return np.concatenate([x for x, _ in outs]), np.concatenate([y for _, y in outs])
-
-
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The least row number reachable from each of ``n`` rows over the links (a, b)."""
     root = np.arange(n)
@@ -80,14 +57,98 @@ def _units(column: pa.Array, dimension: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+class Codes:
+    """Quantised rows: int8 codes, scales, norms of the coded part and of the error."""
+
+    def __init__(self, codes: np.ndarray, scales: np.ndarray, norms: np.ndarray, errors: np.ndarray):
+        # products of whole numbers below 2**24 are exact in float32
+        self.codes = codes.astype(np.float32 if 127 * 127 * codes.shape[1] < 1 << 24 else np.float64)
+        self.scales, self.norms, self.errors = scales, norms, errors
+
+    def bounded(self, left: np.ndarray, right: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(a, b, sure) in blocks: pairs of a row of ``left`` and one of ``right`` whose upper bound reaches the threshold, and
+        whether the lower one does. Each pair comes once where both are the same array."""
+        same, columns = left is right, np.ascontiguousarray(self.codes[right].T)
+        for start in range(0, len(left), BLOCK):
+            rows = left[start : start + BLOCK]
+            about = (self.codes[rows] @ columns).astype(np.float64) * self.scales[rows][:, None] * self.scales[right][None, :]
+            bound = self.norms[rows][:, None] * self.errors[right][None, :] + self.errors[rows][:, None] + SLACK
+            a, b = np.nonzero(about + bound >= threshold)
+            if same:
+                once = b > a + start
+                a, b = a[once], b[once]
+            yield rows[a], right[b], (about[a, b] - bound[a, b]) >= threshold
+
+
+class Links:
+    """Counts of links, by weight, and the least row reachable, added up block by block."""
+
+    def __init__(self, weight: np.ndarray):
+        self.weight, self.counts, self.root = weight, np.zeros(len(weight), dtype=np.int64), np.arange(len(weight))
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        if len(a):
+            np.add.at(self.counts, a, self.weight[b])
+            np.add.at(self.counts, b, self.weight[a])
+            each = np.arange(len(self.root))
+            self.root = roots(len(each), np.concatenate([each, a]), np.concatenate([self.root, b]))
+
+
+CODED = ["codes", "scale", "norm", "error"]
+GROUP = ["label", "d", "i", "j"]
+
+
+def coded(rows: DataFrame) -> DataFrame:
+    """Adds codes, scale, norm and error to rows with a fit ``embedding``."""
+    schema = rows.withColumns({"codes": F.lit(b""), "scale": F.lit(0.0), "norm": F.lit(0.0), "error": F.lit(0.0)}).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[tuple] = [()] * batch.num_rows
+            sizes = batch.column("d").to_numpy()
+            for d in np.unique(sizes):  # rows of one length at once
+                at = np.flatnonzero(sizes == d)
+                codes, *rest = quantised(_units(batch.column("embedding").take(pa.array(at)), int(d)))
+                for k, c, *r in zip(at, codes, *rest, strict=True):
+                    found[k] = (c.tobytes(), *r)
+            columns = list(zip(*found, strict=True)) or [[]] * 4
+            new = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.float64(), pa.float64(), pa.float64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _group(group: pa.Table) -> tuple[Codes, Links, np.ndarray, np.ndarray]:
+    """The codes and empty links of a group, and the rows of its two tiles."""
+    d = group.column("d")[0].as_py()
+    codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), dtype=np.int8).reshape(-1, d)
+    weight, t, *norms = (group.column(c).to_numpy() for c in ("weight", "t", "scale", "norm", "error"))
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    left = np.flatnonzero(t == i)
+    return Codes(codes, *norms), Links(weight), left, left if i == j else np.flatnonzero(t == j)
+
+
+def _table(group: pa.Table, links: Links, open_: np.ndarray) -> pa.Table:
+    """Linked rows (n, root), and those with an open pair (n null)."""
+    held, left = np.flatnonzero(links.counts), np.flatnonzero(open_)
+    ids, at = group.column("id").to_numpy(), np.concatenate([held, left])
+    part = group.select([*GROUP, "h1", "h2", "t", "id"]).take(pa.array(at))
+    fixed = np.arange(len(at)) >= len(held)
+    return part.append_column("n", pa.array(links.counts[at], mask=fixed)).append_column("root", pa.array(ids[links.root[at]], mask=fixed))
+
+
+RESULT = "label string, d int, i int, j int, h1 long, h2 long, t int, id long, n long, root long"
+
+
 def near_vectors(embeddings: DataFrame, threshold: float = 0.98, tile: int = TILE) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``embeddings`` (vec_id, embedding, label).
 
     Rows of one non-null label and one length are linked if their cosine is ``threshold`` or more. ``n_links`` counts the
     other rows linked directly, ``component_id`` is the least vec_id reachable. Null, empty and zero vectors, vectors
     with a null or non-finite component, and rows without a label or vec_id are linked with nothing and kept. Rows that
-    share a vec_id are counted each and are one node; an empty table gives an empty result; other columns are
-    ignored."""
+    share a vec_id are counted each and are one node; vectors of any length are taken whole; an empty table gives an
+    empty result; other columns are ignored. Every pair of different vectors of a label is compared, so the products
+    grow with the square of a label's different vectors."""
     vector = F.col("embedding")
     fine = (
         F.col("vec_id").isNotNull()
@@ -99,32 +160,41 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, tile: int = TIL
     keyed = given.withColumn("fine", F.coalesce(fine, F.lit(False))).withColumns({"h1": F.xxhash64("label", "embedding"), "h2": F.xxhash64("embedding", F.lit(7), "label")})
     classes = keyed.filter("fine").groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     firsts = keyed.filter("fine").select("h1", "h2", F.col("vec_id").alias("id"), "label", "embedding", F.size("embedding").alias("d")).join(classes, ["h1", "h2", "id"])
-    rows = written(firsts.dropDuplicates(["h1", "h2"]), "vectors")
-    tiles = rows.groupBy("label", "d").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    dealt = rows.join(tiles, ["label", "d"]).withColumn("t", F.pmod(F.xxhash64("h1", "h2", F.lit(3)), F.col("tiles")).cast("int"))
+    rows = written(coded(firsts.dropDuplicates(["h1", "h2"])), "vectors")
+    # labels with several tiles: at most one of so many rows as a tile has
+    tiles = written(rows.groupBy("label", "d").count().filter(F.col("count") > tile).select("label", "d", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "tiles")
+    dealt = rows.join(F.broadcast(tiles) if tiles.count() <= BROADCAST_ROWS else tiles, ["label", "d"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    dealt = dealt.withColumn("t", F.pmod(F.xxhash64("h1", "h2", F.lit(3)), F.col("tiles")).cast("int"))
     paired = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    paired = paired.select("label", "d", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "id", "weight", "embedding")
-
-    def run(group: pa.Table) -> pa.Table:
-        d = group.column("d")[0].as_py()
-        units = _units(group.column("embedding").combine_chunks(), d)
-        ids, weight, t = (group.column(c).to_numpy() for c in ("id", "weight", "t"))
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        left = np.flatnonzero(t == i)
-        right = left if i == j else np.flatnonzero(t == j)
-        counts, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
-        if len(left) and len(right):
-            a, b = linked_pairs(units, left, right, threshold)
-            np.add.at(counts, a, weight[b])
-            np.add.at(counts, b, weight[a])
-            root = roots(len(ids), a, b)
-        held = np.flatnonzero(counts)
-        return pa.table({"id": ids[held], "n": counts[held], "root": ids[root[held]]})
-
-    found = written(paired.groupBy("label", "d", "i", "j").applyInArrow(run, "id long, n long, root long"), "vector-links")
-    labels = components(found.select(F.col("id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "id")
-    by_class = classes.join(found.groupBy("id").agg(F.sum("n").alias("n")), "id", "left").join(labels, "id", "left")
-    by_class = by_class.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("label", "id").alias("component_id"), F.lit(True).alias("fine"))
-    out = keyed.select("vec_id", "h1", "h2", "fine").join(by_class, ["h1", "h2", "fine"], "left")
+    paired = paired.select("label", "d", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "h1", "h2", "id", "weight", *CODED)
+
+    def by_codes(group: pa.Table) -> pa.Table:
+        codes, links, left, right = _group(group)
+        open_ = np.zeros(group.num_rows, dtype=bool)
+        for a, b, sure in codes.bounded(left, right, threshold):
+            links.add(a[sure], b[sure])
+            open_[a[~sure]] = open_[b[~sure]] = True
+        return _table(group, links, open_)
+
+    def in_full(group: pa.Table) -> pa.Table:
+        codes, links, left, right = _group(group)
+        units = _units(group.column("embedding").combine_chunks(), codes.codes.shape[1])
+        for a, b, sure in codes.bounded(left, right, threshold):
+            a, b = a[~sure], b[~sure]
+            for k in range(0, len(a), EXACT_AT_ONCE):
+                u, v = a[k : k + EXACT_AT_ONCE], b[k : k + EXACT_AT_ONCE]
+                hit = np.einsum("ij,ij->i", units[u], units[v]) >= threshold
+                links.add(u[hit], v[hit])
+        return _table(group, links, np.zeros(group.num_rows, dtype=bool))
+
+    found = written(paired.groupBy(*GROUP).applyInArrow(by_codes, RESULT), "vector-links")
+    left = found.filter("n is null").select(*GROUP, "h1", "h2", "t").join(rows.select("h1", "h2", "id", "weight", "embedding", *CODED), ["h1", "h2"])
+    more = written(left.groupBy(*GROUP).applyInArrow(in_full, RESULT), "vector-links")
+    links = found.filter("n is not null").select("id", "n", "root").unionAll(more.select("id", "n", "root"))
+    labels = components(links.select(F.col("id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "id")
+    dropped(tiles)
+    by_class = classes.join(links.groupBy("id").agg(F.sum("n").alias("n")), "id", "left").join(labels, "id", "left")
+    by_class = by_class.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("label", "id").alias("component_id"), F.lit(True).alias("fine"), "weight")
+    out = joined(keyed.select("vec_id", "h1", "h2", "fine"), written(by_class, "classes"), ["h1", "h2", "fine"], "weight", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

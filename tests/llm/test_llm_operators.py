@@ -11,7 +11,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from lattica.llm import components, decontaminate, language, licenses, mixing, neardup, packing, sharding, toxicity, url_index, vectors
+from lattica.llm import common, components, decontaminate, language, licenses, mixing, neardup, packing, sharding, toxicity, url_index, vectors
 from lattica.llm.common import alnum_words, space_words
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -472,7 +472,9 @@ def brute_vectors(rows, threshold=0.98):
 
 
 @pytest.mark.parametrize("tile", [5, 2048])
-def test_vectors(spark, tile):
+def test_vectors(spark, tile, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", tile)
+    monkeypatch.setattr(vectors, "BLOCK", 3)
     rng = np.random.default_rng(3)
     rows = []
     for k in range(12):
@@ -488,6 +490,16 @@ def test_vectors(spark, tile):
     assert vectors.near_vectors(empty(frame)).count() == 0
 
 
+def test_vectors_open_pairs(spark):
+    """Many vectors whose cosines lie around the threshold: what the codes leave open is computed in full."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=32)
+    rows = [(i, (base + rng.normal(size=32) * 0.142 * np.linalg.norm(base) / 32**0.5).tolist(), 0) for i in range(150)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(frame, tile=40).collect()}
+    assert got == brute_vectors(rows) and 100 < sum(n for n, _, _ in got.values()) < 150 * 149 - 100
+
+
 def test_quantisation_bound():
     rng = np.random.default_rng(1)
     u = rng.normal(size=(60, 64))
