@@ -27,7 +27,7 @@ COLUMNS = {
     "op6_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op7_language": ["doc_id", "held_out", "lang_pred", "score"],
     "op8_embeddings": ["vec_id", "n_links", "component_id", "kept"],
-    "op9_mixing": ["doc_id", "rate", "copies"],
+    "op9_mixing": ["doc_id", "rate", "copies", "residual", "met"],
     "op10_url_filter": ["page_id", "host", "path", "rule", "verdict"],
 }
 ROWS = {"op8_embeddings": "embeddings", "op10_url_filter": "pages"}
