@@ -47,7 +47,7 @@ ITERATIONS, CLOSE, MET = 60, 1e-7, 1e-3
 #: Damping, as a share of the Gram matrix's trace: keeps domains with hardly any tokens from driving all rates.
 DAMPING = 1e-6
 #: Unit of the whole-number sums: tokens are counted in so many parts.
-PARTS = 1 << 16
+PARTS = 1 << 28
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -188,9 +188,9 @@ def rate(steps: list[np.ndarray], posteriors: str = "posteriors", max_rate: floa
 def whole_sums(rows: DataFrame, *amounts: Column) -> np.ndarray:
     """Sums of amounts, each row's rounded to PARTS; the same whatever the order of rows. Two halves, so that none overflows."""
     parts = [F.round(a * PARTS).cast("long") for a in amounts]
-    halves = [F.sum(h) for p in parts for h in (F.shiftright(p, 32), p.bitwiseAND(0xFFFFFFFF))]
+    halves = [F.sum(h) for p in parts for h in (F.shiftright(p, 24), p.bitwiseAND((1 << 24) - 1))]
     found = rows.agg(*halves).first()
-    return np.array([((high or 0) * 2**32 + (low or 0)) / PARTS for high, low in zip(found[::2], found[1::2], strict=True)])
+    return np.array([((high or 0) * 2**24 + (low or 0)) / PARTS for high, low in zip(found[::2], found[1::2], strict=True)])
 
 
 @dataclass
@@ -244,7 +244,7 @@ def fitted_rates(
         if np.abs(reached - last).sum() <= close * total:
             break
     after = reached / max(reached.sum(), 1e-12)
-    if np.abs(after - share).sum() < np.abs(fit.before - share).sum() - close:
+    if reached.sum() > 0 and np.abs(after - share).sum() < np.abs(fit.before - share).sum() - close:
         fit.steps, fit.after, fit.residual = steps, after, residual(reached)
     return fit
 
