@@ -95,11 +95,11 @@ def test_decontamination(spark, block_words):
         parts.append(" ".join(v[rng.randrange(3) :]).upper())
         texts.append(", ".join(parts))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    rows = decontaminate.marked(docs_of(spark, texts, n_hit="mine"), bench, block_words=block_words).collect()
+    rows = decontaminate.marked(docs_of(spark, texts, n_hit="mine", found="own"), bench, block_words=block_words).collect()
     named = [("" if i is None else str(i), t) for i, t in items]
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows}
     assert got == {i: brute_contamination(t, named) for i, t in enumerate(texts)}
-    assert rows[0].lang == "en"
+    assert rows[0].lang == "en" and rows[0].found == "own"
     kept = decontaminate.decontaminated(docs_of(spark, texts, n_hit="mine"), bench)
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_hit"]
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, x in got.items() if not x[4])
@@ -118,6 +118,30 @@ def test_verbatim_matches(spark):
     assert [tuple(r) for r in decontaminate.verbatim_matches(docs, bench).collect()] == [(0, "7", 1, 2, 15)]
 
 
+def test_verbatim_matches_brute_force(spark):
+    """Longest matches over two letters, so that windows repeat in items and texts, and a passage that all items share."""
+    rng = random.Random(3)
+    shared = rng.choices("ab", k=30)
+    items = [rng.choices("ab", k=rng.randrange(40)) + shared for _ in range(12)]
+    texts = [rng.choices("abc", weights=[8, 8, 1], k=rng.randrange(120)) + (shared if i % 2 else []) for i in range(30)]
+    want = set()
+    for d, w in enumerate(texts):
+        length = [max(next((n for n in range(min(len(w) - p, len(v) - q) + 1) if n == min(len(w) - p, len(v) - q) or w[p + n] != v[q + n])) for v in items for q in range(len(v))) for p in range(len(w))]
+        want |= {(d, p, n) for p, n in enumerate(length) if n >= 13 and (p == 0 or length[p - 1] < 13 or n > length[p - 1] - 1)}
+    bench = spark.createDataFrame([(i, " ".join(v)) for i, v in enumerate(items)], "item_id long, text string")
+    got = decontaminate.verbatim_matches(docs_of(spark, [" ".join(w) for w in texts]), bench).collect()
+    assert {(r.doc_id, r.doc_start, r.n_words) for r in got} == want and len(got) == len(want)
+    for r in got:
+        assert texts[r.doc_id][r.doc_start : r.doc_start + r.n_words] == items[int(r.item_id)][r.item_start : r.item_start + r.n_words]
+
+
+def test_suffix_array():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 50, 400):
+        ids = rng.integers(0, 3, n)
+        assert decontaminate.suffix_array(ids).tolist() == sorted(range(n), key=lambda i: ids[i:].tolist())
+
+
 # 3
 
 
