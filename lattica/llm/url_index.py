@@ -1,25 +1,31 @@
 """URL filters: a sorted array of 64-bit digests, probed by vectorised binary search.
 
-Rules ``host + path prefix`` are hashed with xxhash64 and stored as a sorted array beside the full strings. The arrays
-are one file in the shared folder, which Spark hands to each executor once; tasks memory-map it, so all workers of a
-machine share its pages. A url probes one key for each parent domain and each path length that the index holds; a
-probe counts only where the stored string equals the probed one, so digest collisions never decide.
+Rules ``host + path prefix`` and blocked sites come from tables of any size. Their xxhash64 digests are dealt to shards by
+range; tasks sort each shard and write it beside the full strings to one file, which Spark hands to each executor once.
+Tasks memory-map the files, so all workers of a machine share their pages. A url probes one key for each parent domain and
+each path length that the rules have; keys and digests are column expressions, and Python sees arrays only. A probe counts
+only where the stored string equals the probed one, so digest collisions never decide.
 """
 
 from __future__ import annotations
 
 import io
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lattica.llm.common import stored_bytes
+from lattica.llm.common import dropped, stored_bytes, written
 
-LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Spark's xxhash64 is xxhash's with this seed.
+SEED = 42
+#: Keys of a shard, about.
+SHARD_KEYS = 1_000_000
 
 #: Base rules (fixed values): verdict, host, path.
 BASE_RULES = [
@@ -34,111 +40,139 @@ BASE_RULES = [
 BLOCKED_SITES = [f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")]
 
 
-def host_path(url: str | None) -> tuple[str, str]:
+ALLOW, BLOCK, SITE = 0, 1, 2
+
+
+def host_path(url: Column) -> tuple[Column, Column]:
     """Host and path of a url; both empty for null or without ``://``."""
-    if url is None or (at := url.find("://")) < 0:
-        return "", ""
-    rest = url[at + 3 :]
-    end = min((i for i in map(rest.find, "/?#") if i >= 0), default=len(rest))
-    host, rest = rest[:end].translate(LOWER), rest[end:]
-    end = min((i for i in map(rest.find, "?#") if i >= 0), default=len(rest))
-    return host, rest[:end]
+    at = F.instr(url, "://")
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
+    host = F.translate(F.regexp_extract(rest, "^[^/?#]*", 0), UPPER, LOWERED)
+    return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, "^[^/?#]*(/[^?#]*)", 1), F.lit(""))
+
+
+def shard_of(digests: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each digest: equal ranges of the digests' upper 32 bits."""
+    return ((digests.astype(np.uint64) >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
 class DigestArray:
-    """A set of (key string, code): sorted digests, offsets into the strings, codes; equal digests lie side by side."""
+    """Keys in the order of their digests: digests, offsets into the strings, lengths in characters, codes; equal digests lie
+    side by side."""
 
-    def __init__(self, digests: np.ndarray, offsets: np.ndarray, blob: np.ndarray, codes: np.ndarray):
-        self.digests, self.offsets, self.blob, self.codes = digests, offsets, blob, codes
+    def __init__(self, digests: np.ndarray, offsets: np.ndarray, chars: np.ndarray, codes: np.ndarray, blob: np.ndarray):
+        self.digests, self.offsets, self.chars, self.codes, self.blob = digests, offsets, chars, codes, blob
 
     @staticmethod
-    def built(entries: Iterable[tuple[str, int]]) -> bytes:
-        rows = sorted((xxhash.xxh64_intdigest(key), key.encode(), code) for key, code in set(entries))
-        head = np.array([len(rows), sum(len(k) for _, k, _ in rows)], dtype=np.uint64)
+    def built(digests: np.ndarray, keys: list[str], codes: np.ndarray) -> bytes:
+        order = np.argsort(digests.astype(np.uint64), kind="stable")
+        stored = [keys[i].encode() for i in order]
         out = io.BytesIO()
-        out.write(head.tobytes())
-        out.write(np.array([d for d, _, _ in rows], dtype=np.uint64).tobytes())
-        out.write(np.cumsum([0] + [len(k) for _, k, _ in rows], dtype=np.uint64).tobytes())
-        out.write(np.array([c for _, _, c in rows], dtype=np.uint64).tobytes())
-        out.write(b"".join(k for _, k, _ in rows))
+        for column in ([len(stored)], digests[order], np.cumsum([0, *map(len, stored)]), [len(keys[i]) for i in order], codes[order]):
+            out.write(np.asarray(column).astype(np.uint64).tobytes())
+        out.write(b"".join(stored))
         return out.getvalue()
 
     @classmethod
     def mapped(cls, path: str) -> DigestArray:
-        n = int(np.memmap(path, dtype=np.uint64, mode="r", shape=(2,))[0])
-        body = np.memmap(path, dtype=np.uint64, mode="r", offset=16, shape=(3 * n + 1,))
-        size = int(body[2 * n]) if n else 0
-        blob = np.memmap(path, dtype=np.uint8, mode="r", offset=16 + 8 * (3 * n + 1), shape=(size,)) if size else np.zeros(0, np.uint8)
-        return cls(body[:n], body[n : 2 * n + 1], blob, body[2 * n + 1 :])
+        n = int(np.memmap(path, dtype=np.uint64, mode="r", shape=(1,))[0])
+        body = np.memmap(path, dtype=np.uint64, mode="r", offset=8, shape=(4 * n + 1,))
+        parts = np.split(body, [n, 2 * n + 1, 3 * n + 1])
+        size = int(parts[1][-1])
+        return cls(*parts, np.memmap(path, dtype=np.uint8, mode="r", offset=8 * (4 * n + 2), shape=(size,)) if size else np.zeros(0, np.uint8))
 
     def stored(self, i: int) -> bytes:
         return self.blob[int(self.offsets[i]) : int(self.offsets[i + 1])].tobytes()
 
-    def probe(self, keys: list[bytes], digests: np.ndarray | None = None) -> np.ndarray:
-        """The code of each key, -1 where the array doesn't hold it."""
-        out = np.full(len(keys), -1, dtype=np.int64)
-        if not len(self.digests) or not keys:
-            return out
-        if digests is None:
-            digests = np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
+    def probe(self, digests: np.ndarray, key) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the probe, entry) of those held; ``key(j)`` is the probed string of a probe whose digest was found."""
+        if not len(self.digests) or not len(digests):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         at = np.searchsorted(self.digests, digests)
-        for j in np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == digests):
-            i = int(at[j])
+        probes, entries = [], []
+        for j in np.flatnonzero(self.digests[np.minimum(at, len(self.digests) - 1)] == digests).tolist():
+            i, wanted = int(at[j]), key(j)
             while i < len(self.digests) and self.digests[i] == digests[j]:
-                if self.stored(i) == keys[j]:
-                    out[j] = int(self.codes[i])
-                    break
+                if self.stored(i) == wanted:
+                    probes.append(j)
+                    entries.append(i)
                 i += 1
-        return out
+        return np.array(probes, dtype=np.int64), np.array(entries, dtype=np.int64)
 
 
-ALLOW, BLOCK, SITE = 0, 1, 2
+def indexed(entries: DataFrame) -> list[str]:
+    """Builds the shards of ``entries`` (key, code) in tasks; returns the names of their files. The driver hands on one shard's
+    file at a time."""
+    spark, entries = entries.sparkSession, entries.distinct().withColumn("digest", F.xxhash64("key"))
+    n = entries.count()
+    shards = -(-n // SHARD_KEYS)
 
+    @F.pandas_udf("int")
+    def shard(digests: pd.Series) -> pd.Series:
+        return pd.Series(shard_of(digests.to_numpy().view(np.uint64), shards).astype(np.int32))
 
-def judged(spark: SparkSession, pages: DataFrame, rules=None, sites=None) -> DataFrame:
-    """Judges every row of ``pages`` (page_id, url): page_id, host, path, rule, verdict.
+    def build(group: pa.Table) -> pa.Table:
+        data = DigestArray.built(group.column("digest").to_numpy().view(np.uint64), group.column("key").to_pylist(), group.column("code").to_numpy())
+        return pa.table({"shard": group.column("shard")[:1], "data": pa.array([data], pa.binary())})
+
+    files: list[str] = [""] * shards
+    if n:
+        made = written(entries.withColumn("shard", shard("digest")).groupBy("shard").applyInArrow(build, "shard int, data binary"), "url-shards")
+        for number, data in made.toLocalIterator():
+            path = stored_bytes(spark, "url-index", bytes(data))
+            spark.sparkContext.addFile(path)
+            files[number] = path.rpartition("/")[2]
+        dropped(made)
+    return files
+
+
+def judged(spark: SparkSession, pages: DataFrame, rules: DataFrame | None = None, sites: DataFrame | None = None) -> DataFrame:
+    """Judges every row of ``pages`` (page_id, url): page_id, host, path, rule, verdict. ``rules`` (verdict, host, path) and
+    ``sites`` (site) are tables; None stands for the base rules and the sites above. The index must fit on each machine's
+    disk; rows of either with a null are left out.
 
     The longest fitting rule decides (``block`` where two of one length differ); without a rule, hosts that are a
-    blocked site or lie below one are blocked, all others allowed. Null urls and urls without ``://`` have an empty
-    host and path, fit no rule and are allowed. Duplicate rows are judged each; other columns are ignored."""
-    rules, sites = BASE_RULES if rules is None else rules, BLOCKED_SITES if sites is None else sites
-    entries = [(h + p, BLOCK if v == "block" else ALLOW) for v, h, p in rules] + [(f"{s}\0", SITE) for s in sites]
-    lengths = sorted({len(p) for _, _, p in rules})
-    path = stored_bytes(spark, "url-index", DigestArray.built(entries))
-    spark.sparkContext.addFile(path)
-    name = path.rpartition("/")[2]
+    blocked site or lie below one are blocked, all others allowed. Null and empty urls and urls without ``://`` have an
+    empty host and path, fit no rule and are allowed; very long urls are read whole. Duplicate rows are judged each; an
+    empty table gives an empty result; other columns, whatever their names, are ignored."""
+    rules = (spark.createDataFrame(BASE_RULES, "verdict string, host string, path string") if rules is None else rules).dropna()
+    sites = (spark.createDataFrame([(s,) for s in BLOCKED_SITES], "site string") if sites is None else sites).dropna()
+    by_rule = rules.select(F.concat("host", "path").alias("key"), F.when(F.col("verdict") == "block", BLOCK).otherwise(ALLOW).alias("code"))
+    files = indexed(by_rule.unionAll(sites.select(F.concat("site", F.lit("\0")).alias("key"), F.lit(SITE).alias("code"))))
+    # keys need no more labels of a host than the rules and sites have, and only the rules' path lengths
+    labels = [f.select(F.max(F.size(F.split(c, "[.]", -1)))).first()[0] or 1 for f, c in ((rules, "host"), (sites, "site"))]
+    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
+    host, path = host_path(F.col("url"))
+    kind = dict(pages.dtypes)["page_id"]
+    parts, most = F.split("host", "[.]", -1), max(labels)
+    n = F.size(parts)
+    parents = F.transform(F.sequence(F.greatest(F.lit(1), n - most + 1), n), lambda i: F.array_join(F.slice(parts, i, n), "."))
+    fit = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda x: x <= F.length("path"))
+    by_parent = F.transform(parents, lambda p: F.array_append(F.transform(fit, lambda x: F.concat(p, F.substring(F.col("path"), F.lit(1), x))), F.concat(p, F.lit("\0"))))
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rows = rows.withColumn("keys", F.when(F.col("host") != "", F.flatten(by_parent)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("digests", F.transform("keys", lambda k: F.xxhash64(k)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = DigestArray.mapped(SparkFiles.get(name))
+        shards = [DigestArray.mapped(SparkFiles.get(f)) if f else None for f in files]
         for batch in batches:
-            parts = [host_path(u) for u in batch.column("url").to_pylist()]
-            keys: list[str] = []
-            row: list[int] = []
-            for i, (host, url_path) in enumerate(parts):
-                start = 0
-                while host and start >= 0:
-                    parent = host[start:]
-                    for n in lengths:
-                        if len(url_path) >= n:
-                            keys.append(parent + url_path[:n])
-                            row.append(i)
-                    keys.append(f"{parent}\0")
-                    row.append(i)
-                    start = host.find(".", start) + 1 or -1
-            codes = index.probe([k.encode() for k in keys])
-            best: list[tuple[int, int, str]] = [(-1, ALLOW, "")] * len(parts)
-            listed = set()
-            for j in np.flatnonzero(codes >= 0):
-                if codes[j] == SITE:
-                    listed.add(row[j])
-                else:
-                    best[row[j]] = max(best[row[j]], (len(keys[j]), int(codes[j]), keys[j]))
-            rule = [b[2] if b[0] >= 0 else None for b in best]
-            verdict = [("allow", "block")[b[1]] if b[0] >= 0 else ("block" if i in listed else "allow") for i, b in enumerate(best)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), pa.array([p[0] for p in parts], pa.string()), pa.array([p[1] for p in parts], pa.string()), pa.array(rule, pa.string()), pa.array(verdict, pa.string())],
-                ["page_id", "host", "path", "rule", "verdict"],
-            )
-
-    kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "url").mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string")
+            keys, digests = batch.column("keys").flatten(), batch.column("digests").flatten().to_numpy().view(np.uint64)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("digests").offsets.to_numpy()))
+            found: list[tuple[int, int, int, str]] = []
+            listed = np.zeros(batch.num_rows, dtype=bool)
+            home = shard_of(digests, len(shards)) if shards else np.zeros(len(digests), dtype=np.uint64)
+            for number, shard in enumerate(shards):
+                mine = np.flatnonzero(home == number)
+                if shard is None or not len(mine):
+                    continue
+                probes, entries = shard.probe(digests[mine], lambda j, mine=mine: keys[int(mine[j])].as_py().encode())
+                at, codes = row[mine[probes]], shard.codes[entries]
+                listed[at[codes == SITE]] = True
+                ruled = codes != SITE
+                found += zip(at[ruled].tolist(), shard.chars[entries[ruled]].tolist(), codes[ruled].tolist(), [shard.stored(i).decode() for i in entries[ruled].tolist()], strict=True)
+            best = {r: (code, rule) for r, _, code, rule in sorted(found)}
+            rule = [best[i][1] if i in best else None for i in range(batch.num_rows)]
+            verdict = [("allow", "block")[best[i][0]] if i in best else "block" if listed[i] else "allow" for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "path")), pa.array(rule, pa.string()), pa.array(verdict, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
+
+    return rows.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string")

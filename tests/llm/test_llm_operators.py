@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from pyspark.sql import functions as F
 
@@ -639,17 +640,36 @@ def test_urls(spark):
     got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_index.judged(spark, pages).collect()}
     assert got == {i: brute(u) for i, u in enumerate(urls)}
     assert url_index.judged(spark, empty(pages)).count() == 0
-    assert {r.verdict for r in url_index.judged(spark, pages, [], []).collect()} == {"allow"}
+    none = spark.createDataFrame([], "verdict string, host string, path string")
+    assert {r.verdict for r in url_index.judged(spark, pages, none, none.select(F.col("host").alias("site"))).collect()} == {"allow"}
 
 
-def test_digest_collisions(tmp_path):
-    path = tmp_path / "index"
-    path.write_bytes(url_index.DigestArray.built([("b", 2), ("a", 1), ("c", 3)]))
-    index = url_index.DigestArray.mapped(str(path))
-    assert index.probe([b"a", b"b", b"x", b"c"]).tolist() == [1, 2, -1, 3]
-    one = np.full(4, index.digests[0])  # every probe collides with the first digest
-    assert sorted(index.probe([b"a", b"b", b"c", b"x"], one).tolist())[:3] == [-1, -1, -1]
-    two = url_index.DigestArray(np.array([5, 5], dtype=np.uint64), np.array([0, 1, 2], dtype=np.uint64), np.frombuffer(b"ab", np.uint8), np.array([7, 8], dtype=np.uint64))
-    assert two.probe([b"b", b"a", b"c"], np.array([5, 5, 5], dtype=np.uint64)).tolist() == [8, 7, -1]
+def test_url_tables(spark, monkeypatch):
+    """Rules and sites from tables, in several shards, with nulls and repeats."""
+    monkeypatch.setattr(url_index, "SHARD_KEYS", 7)
+    rng = random.Random(2)
+    hosts = [".".join(rng.choices("ab", k=rng.randint(1, 3))) for _ in range(25)]
+    rules = [(rng.choice(["allow", "block"]), h, "/" + "".join(rng.choices("xé/", k=rng.randrange(3)))) for h in hosts] * 2 + [("block", None, "/"), (None, "a", "/")]
+    sites = [(".".join(rng.choices("abc", k=2)),) for _ in range(4)] + [(None,)]
+    urls = [f"s://{'.'.join(rng.choices('abc', k=rng.randint(1, 5)))}/{''.join(rng.choices('xé/', k=rng.randrange(5)))}" for _ in range(300)] + ["s://" + "a." * 3000 + "a/x"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({"keys": F.lit(1), "digests": F.lit(1)})
+    got = {r.page_id: (r.rule, r.verdict) for r in url_index.judged(spark, pages, spark.createDataFrame(rules, "verdict string, host string, path string"), spark.createDataFrame(sites, "site string")).collect()}
+    for i, url in enumerate(urls):
+        host, path = re.match("s://([^/]*)(.*)", url).groups()
+        under = lambda h: h is not None and (host == h or host.endswith("." + h))  # noqa: E731, B023
+        fits = [(len(h + p), v == "block", h + p) for v, h, p in rules if v and under(h) and path.startswith(p)]
+        want = (max(fits)[2], "block" if max(fits)[1] else "allow") if fits else (None, "block" if any(under(s) for s, in sites) else "allow")
+        assert got[i] == want
 
 
+def test_digest_collisions(tmp_path):
+    path, keys = tmp_path / "index", ["b", "a", "cé"]
+    digests = np.array([xxhash.xxh64_intdigest(k, seed=url_index.SEED) for k in keys], dtype=np.uint64)
+    path.write_bytes(url_index.DigestArray.built(digests, keys, np.array([2, 1, 3])))
+    index = url_index.DigestArray.mapped(str(path))
+    probed = [b"a", b"b", b"x", "cé".encode()]
+    found = lambda d: {j: int(index.codes[i]) for j, i in zip(*(x.tolist() for x in index.probe(d, probed.__getitem__)), strict=True)}
+    assert found(np.array([xxhash.xxh64_intdigest(k, seed=url_index.SEED) for k in probed], dtype=np.uint64)) == {0: 1, 1: 2, 3: 3}
+    assert len(found(np.full(4, index.digests[0]))) == 1  # every probe collides with the first digest
+    two = url_index.DigestArray(np.array([5, 5], dtype=np.uint64), np.array([0, 1, 2], dtype=np.uint64), np.array([1, 1]), np.array([7, 8]), np.frombuffer(b"ab", np.uint8))
+    assert [x.tolist() for x in two.probe(np.array([5, 5, 5], dtype=np.uint64), [b"b", b"a", b"c"].__getitem__)] == [[0, 1], [1, 0]]
