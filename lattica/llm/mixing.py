@@ -3,9 +3,9 @@
 A softmax classifier learned from a labelled table gives every document a posterior over domains. Rates r between 0 and a
 greatest one are then fitted so that the expected tokens of each domain, sum_i r_i * tokens_i * p_i, match the targets in
 the least squares sense. Projected gradient from r = 1: r_i <- clip(r_i - p_i . y_k), with y_k the residual preconditioned
-by the damped domains x domains Gram matrix. A rate depends on its own posterior and on the y's so far alone, so no rates
-are stored: each iteration replays the y's in a column expression and sums the residual, and the driver sees two whole
-numbers a domain. Sums are of whole numbers, so they don't depend on the order of rows, and neither do rates and copies.
+by the damped domains x domains Gram matrix of the rows that aren't at a bound. A rate depends on its own posterior and on the y's so far alone, so no rates
+are stored: each iteration replays the y's in a column expression and sums residual and matrix, and the driver sees a few
+whole numbers a domain. Sums are of whole numbers, so they don't depend on the order of rows, and neither do rates and copies.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ EPOCHS, RATE, DECAY = 12, 0.05, 1e-4
 MAX_RATE = 4.0
 #: Iterations at most, the share of all tokens at which the residual or a step's change ends them, and the share of the
 #: tokens within which a target counts as met.
-ITERATIONS, CLOSE, MET = 60, 1e-7, 1e-3
+ITERATIONS, CLOSE, MET = 40, 1e-6, 1e-3
 #: Damping, as a share of the Gram matrix's trace: keeps domains with hardly any tokens from driving all rates.
 DAMPING = 1e-6
 #: Unit of the whole-number sums: tokens are counted in so many parts.
@@ -121,7 +121,7 @@ def domain_sample(
     rows = written(documents.select("doc_id", "text").join(F.broadcast(few), "doc_id").distinct(), "labelled")
     sizes = {r[0]: (r[1], r[2] or 0) for r in rows.groupBy("y").agg(F.count("*"), F.sum(F.length("text"))).collect()}
     rows = thinned(rows, {k: min(1.0, 1.5 * max_rows / n, max_bytes / max(size, 1)) for k, (n, size) in sizes.items()}, "doc_id", "text")
-    return rows.orderBy("doc_id", "text").select("text", "y"), np.array([counts.get(k, 0) for k in range(len(targets))])
+    return rows.orderBy("doc_id", F.xxhash64("text")).select("text", "y"), np.array([counts.get(k, 0) for k in range(len(targets))])
 
 
 def fitted(sample: DataFrame, counts: np.ndarray, seed: int = 4) -> Classifier:
@@ -213,35 +213,45 @@ class Fit:
 def fitted_rates(
     rows: DataFrame, targets: Sequence[Target] = TARGETS, max_rate: float = MAX_RATE, iterations: int = ITERATIONS, close: float = CLOSE, tokens: str = "tokens", posteriors: str = "posteriors"
 ) -> Fit:
-    """Projected gradient over ``rows`` (tokens, posteriors), one aggregation a step. The mixture has as many tokens as lets
-    the domain with the largest target keep its own. It stops when the residual is a ``close`` share of all tokens, when a
-    step changes no more than that, and after ``iterations``; what is then missing stands in ``residual``. A target of a
+    """Projected gradient over ``rows`` (tokens, posteriors), one aggregation a step, preconditioned by the Gram matrix of the
+    rows that are still free, or of all rows after a step that made things worse. The mixture has as many tokens as lets the
+    domain with the largest target keep its own. It stops when the residual is a ``close`` share of all tokens, when a step
+    changes no more than that, and after ``iterations``; what is then missing stands in ``residual``. A target of a
     domain without tokens can't be met and stays so. There are no steps, so that all rates are 1, where they bring the
     domains' shares no nearer to the targets: posteriors that are the same for all rows tell nothing of what to drop."""
     k, fit = len(targets), Fit(targets)
     p = [F.col(posteriors)[i] for i in range(k)]
-    sums = whole_sums(rows, *[F.col(tokens) * x for x in p], *[F.col(tokens) * p[i] * p[j] for i in range(k) for j in range(i, k)])
-    now, entries = sums[:k], iter(sums[k:])
-    share = np.array([t.share for t in targets], dtype=float)
-    total = now.sum()
+    upper = np.triu_indices(k)
+
+    def measured(steps: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Expected tokens of each domain, and the Gram matrix of the rows between the bounds."""
+        r, free = F.col("r"), F.when((F.col("r") > 0) & (F.col("r") < max_rate), F.col(tokens)).otherwise(0)
+        at = rows.select(tokens, posteriors, rate(steps, posteriors, max_rate).alias("r"))
+        sums = whole_sums(at, *[r * F.col(tokens) * x for x in p], *[free * p[i] * p[j] for i, j in zip(*upper, strict=True)])
+        matrix = np.zeros((k, k))
+        matrix[upper] = sums[k:]
+        return sums[:k], matrix + np.triu(matrix, 1).T
+
+    reached, everywhere = measured([])
+    share, total = np.array([t.share for t in targets], dtype=float), reached.sum()
     if not total or not share.sum():
         return fit
-    matrix = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            matrix[i, j] = matrix[j, i] = next(entries)
     share = share / share.sum()
-    main = int(np.argmax(np.where(now > 0, share, -1)))
-    want = share * now[main] / share[main] if share[main] else share * total
-    inverse = np.linalg.inv(matrix + np.eye(k) * DAMPING * np.trace(matrix))
+    main = int(np.argmax(np.where(reached > 0, share, -1)))
+    want = share * reached[main] / share[main] if share[main] else share * total
+    inverse = lambda matrix: np.linalg.inv(matrix + np.eye(k) * DAMPING * np.trace(everywhere))
     residual = lambda tokens: (tokens - want) / want.sum()
-    fit.before = fit.after = now / total
-    fit.residual = residual(now)
-    reached, steps = now, []
+    metric = inverse(everywhere)
+    cost = lambda tokens: (tokens - want) @ metric @ (tokens - want)
+    fit.before = fit.after = reached / total
+    fit.residual = residual(reached)
+    steps, free = [], everywhere
     while len(steps) < iterations and np.abs(reached - want).sum() > close * total:
-        steps.append(inverse @ (reached - want))
-        last, reached = reached, whole_sums(rows.withColumn("r", rate(steps, posteriors, max_rate)), *[F.col("r") * F.col(tokens) * x for x in p])
-        if np.abs(reached - last).sum() <= close * total:
+        steps.append(inverse(free) @ (reached - want))
+        last, (reached, free) = reached, measured(steps)
+        if cost(reached) > cost(last):
+            free = everywhere
+        elif np.abs(reached - last).sum() <= close * total:
             break
     after = reached / max(reached.sum(), 1e-12)
     if reached.sum() > 0 and np.abs(after - share).sum() < np.abs(fit.before - share).sum() - close:
