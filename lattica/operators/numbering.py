@@ -16,18 +16,31 @@ def _fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame doesn't have in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_row_number(df: DataFrame, *order: str | Column, name: str = "row_number") -> tuple[DataFrame, int]:
     """Adds the row's number from 0 in ``order`` and returns the row count: dealt by range, sorted in each partition, and
-    shifted by the rows of the partitions before. One count per partition reaches the driver."""
-    placed = _fixed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
-    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
-    counts = sorted(tuple(r) for r in placed.groupBy(part.alias("p")).count().collect())
+    shifted by the rows of the partitions before. One count per partition reaches the driver. Rows that are equal in
+    ``order`` are interchangeable; a hash of their places parts them, so that many of them don't meet in one task. A
+    column called ``name`` is replaced, all others stay."""
+    df = df.drop(name)
+    at, tie, part, start = (unused(df, c) for c in ("_at", "_tie", "_part", "_start"))
+    dealt = df.withColumn(tie, F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(*order, tie).sortWithinPartitions(*order, tie)
+    placed = _fixed(dealt.drop(tie).withColumn(at, F.monotonically_increasing_id()))
+    number, within = F.shiftright(at, 33), F.col(at).bitwiseAND((1 << 33) - 1)
+    counts = sorted(tuple(r) for r in placed.groupBy(number.alias("p")).count().collect())
     starts, n = [], 0
     for p, count in counts:
         starts.append((p, n))
         n += count
-    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, "_part long, _start long"))
-    return placed.withColumn("_part", part).join(offsets, "_part").withColumn(name, F.col("_start") + within).drop("_part", "_start", "_at"), n
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, f"{part} long, {start} long"))
+    return placed.withColumn(part, number).join(offsets, part).withColumn(name, F.col(start) + within).drop(part, start, at), n
 
 
 def shard_slice(df: DataFrame, key: str, rank: int, world: int) -> DataFrame:
