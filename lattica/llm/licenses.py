@@ -1,9 +1,10 @@
 """License scans: a positional rare-token index.
 
-Licence templates are word sequences. The index holds, for each template, its words of highest inverse document
-frequency (counted over all documents) with their positions. A text looks up each such word it holds; each posting
-votes for the place at which the template would start; the postings that agree on a relative position are intersected,
-and a template counts at a place where its mandatory key phrase stands word for word.
+Licence templates, whole licence texts and short notices, are word sequences. The index holds the positions of each
+template's words of highest inverse document frequency (counted over all documents). A text looks up the rarest such words
+that it holds; each posting votes for the place at which the template would start, and the postings are intersected by
+relative position: a template counts at a place where enough of the words looked up that it has stand in line, and where
+its mandatory key phrase stands word for word.
 """
 
 from __future__ import annotations
@@ -18,6 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lattica.llm.common import alnum_words, sliced, texts
+from lattica.llm.license_texts import FULL_TEXTS
+
+#: Words of a template that are in the index (its rarest), and words that a text looks up (the rarest it holds). Beside these
+#: the rarest word of each key phrase is always in both, so that no phrase is missed.
+RARE, LOOKED_UP = 12, 16
+#: Share of the words looked up that a template has which must stand in line.
+QUORUM = 0.5
 
 
 @dataclass(frozen=True)
@@ -51,6 +59,7 @@ TEMPLATES = [
     Template("cc0", "Released under CC0 1.0 Universal", "cc0"),
     Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted", "redistribution and use in source and binary forms"),
     Template("mpl-2.0", "Subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license"),
+    *(Template(*t) for t in FULL_TEXTS),
 ]
 
 
@@ -72,40 +81,43 @@ def document_frequencies(documents: DataFrame, vocabulary: list[bytes]) -> tuple
 
 
 class RareTokenIndex:
-    """word -> [(template, position)] for the ``anchors`` rarest distinct words of each template's key phrase."""
+    """word -> {template: positions} for the rarest words of each template and the rarest of its key phrase."""
 
-    def __init__(self, templates: list[Template], n: int, frequencies: dict[bytes, int], anchors: int = 2):
-        self.templates = templates
-        self.idf = lambda w: math.log((n + 1) / (frequencies.get(w, 0) + 1)) + 1
+    def __init__(self, templates: list[Template], n: int, frequencies: dict[bytes, int], rare: int = RARE, looked_up: int = LOOKED_UP, quorum: float = QUORUM):
+        self.templates, self.looked_up, self.quorum = templates, looked_up, quorum
+        idf = {w: math.log((n + 1) / (frequencies.get(w, 0) + 1)) + 1 for t in templates for w in alnum_words(t.text.encode())}
+        self.rank = {w: (-x, w) for w, x in idf.items()}
         self.words = [alnum_words(t.text.encode()) for t in templates]
         self.phrases = [alnum_words(t.phrase.encode()) for t in templates]
-        self.starts, self.weights, self.needed = [], [], []
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.starts = [next(i for i in range(len(w)) if w[i : i + len(p)] == p) for w, p in zip(self.words, self.phrases, strict=True)]
+        self.weights = [[idf[w] for w in words] for words in self.words]
+        self.always = {min(phrase, key=self.rank.__getitem__) for phrase in self.phrases}
+        self.postings: dict[bytes, dict[int, list[int]]] = defaultdict(dict)
         for k, (words, phrase) in enumerate(zip(self.words, self.phrases, strict=True)):
-            start = next(i for i in range(len(words)) if words[i : i + len(phrase)] == phrase)
-            self.starts.append(start)
-            self.weights.append([self.idf(w) for w in words])
-            rare = sorted(set(phrase), key=lambda w: (-self.idf(w), w))[:anchors]
-            at = [start + j for j, w in enumerate(phrase) if w in rare]
-            self.needed.append(len(at))
-            for j in at:
-                self.postings[words[j]].append((k, j))
+            for w in {*sorted(set(words), key=self.rank.__getitem__)[:rare], min(phrase, key=self.rank.__getitem__)}:
+                self.postings[w][k] = [j for j, x in enumerate(words) if x == w]
         self.postings = dict(self.postings)
 
     def places(self, words: list[bytes]) -> dict[int, list[tuple[int, float]]]:
         """template -> [(word at which its key phrase starts, share of its IDF weight that stands in line)]."""
-        postings, votes = self.postings, Counter()
+        held: dict[bytes, list[int]] = defaultdict(list)
         for i, w in enumerate(words):
-            if w in postings:
-                for k, j in postings[w]:
-                    votes[k, i - j] += 1
+            if w in self.postings:
+                held[w].append(i)
+        chosen = sorted(held, key=self.rank.__getitem__)
+        chosen = chosen[: self.looked_up] + [w for w in chosen[self.looked_up :] if w in self.always]
+        votes, asked = Counter(), Counter()
+        for w in chosen:
+            for k, positions in self.postings[w].items():
+                asked[k] += 1
+                votes.update({(k, i - j) for j in positions for i in held[w]})
         out: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for (k, offset), n in votes.items():
             at = offset + self.starts[k]
-            if n == self.needed[k] and at >= 0 and words[at : at + len(self.phrases[k])] == self.phrases[k]:
+            if n >= self.quorum * asked[k] and at >= 0 and words[at : at + len(self.phrases[k])] == self.phrases[k]:
                 weights = self.weights[k]
-                held = sum(x for j, (w, x) in enumerate(zip(self.words[k], weights, strict=True)) if 0 <= offset + j < len(words) and words[offset + j] == w)
-                out[k].append((at, held / sum(weights)))
+                in_line = sum(x for j, (w, x) in enumerate(zip(self.words[k], weights, strict=True)) if 0 <= offset + j < len(words) and words[offset + j] == w)
+                out[k].append((at, in_line / sum(weights)))
         return out
 
 
@@ -114,8 +126,8 @@ def scanned(documents: DataFrame, templates: list[Template] | None = None) -> Da
 
     ``n_base`` counts every place of a base phrase, ``first_word`` and ``last_word`` are the least and greatest start of
     one (words from 0; null without). ``score`` is the largest share of a template's IDF weight that stands in line at
-    a verified place, 0 without any. ``places`` lists label@word. Null and empty texts have no words; repeated rows are
-    scanned each; other columns are ignored; an empty table gives an empty result."""
+    a verified place, 0 without any. ``places`` lists label@word. Null and empty texts have no words; very long texts are
+    scanned whole; repeated rows are scanned each; other columns are ignored; an empty table gives an empty result."""
     templates = TEMPLATES if templates is None else templates
     vocabulary = sorted({w for t in templates for w in alnum_words(t.text.encode())})
     n, frequencies = document_frequencies(documents, vocabulary)
