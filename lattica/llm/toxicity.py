@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import alnum_words, in_fold, sliced, texts
+from lattica.llm.common import alnum_words, in_fold, sliced, texts, written
 
 #: The classifier is fitted on at most about so many labelled rows of each class, and so many bytes of each.
 MAX_FIT_ROWS, MAX_FIT_BYTES = 3000, 8 << 20
@@ -28,6 +28,8 @@ PREFIXES = (4, 5, 6, 7, 8, 10)
 PAD = max(WIDTHS) - 1
 CUT = 0.7
 EPOCHS, RATE = 3, 0.05
+#: A threshold is set on so many held-back examples of each class at least.
+LEAST_HELD = 20
 #: Words whose vectors are kept between texts.
 KEPT = 1 << 16
 
@@ -112,25 +114,29 @@ def forward(model: Model, vectors: Vectors, documents: list[list[bytes]]) -> tup
 
 
 def sample(documents: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_FIT_ROWS, max_bytes: int = MAX_FIT_BYTES, seed: int = 5) -> DataFrame:
-    """(text, lang, y) of at most about ``max_rows`` labelled rows and ``max_bytes`` of each class, picked by a hash of the
-    id; with several labels of a document the largest. The labels are thinned before anything is joined."""
+    """(text, lang, y) of at most about ``max_rows`` labelled texts and ``max_bytes`` of each class, picked by hashes; with
+    several labels of a document the largest. The labels are thinned before anything is joined, and equal texts under one id
+    count once."""
     labelled = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias("y"))
     counts = {r[0]: r[1] for r in labelled.groupBy("y").count().collect()}
-    spread = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    keep = F.lit(False)
-    for y, n in counts.items():
-        keep = F.when(F.col("y") == y, spread < max_rows / n).otherwise(keep)
-    rows = documents.select("doc_id", "text", "lang").join(F.broadcast(labelled.filter(keep)), "doc_id")
-    sizes = {r[0]: r[1] or 0 for r in rows.groupBy("y").agg(F.sum(F.length("text"))).collect()}
-    keep = F.lit(False)
-    for y, n in sizes.items():
-        part = min(1.0, max_rows / counts[y]) * min(1.0, max_bytes / max(n, 1))
-        keep = F.when(F.col("y") == y, spread < part).otherwise(keep)
-    return rows.filter(keep).orderBy("doc_id").select("text", "lang", "y")
+
+    def thinned(rows: DataFrame, parts: dict[int, float], *key: str) -> DataFrame:
+        spread = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+        keep = F.lit(False)
+        for y, part in parts.items():
+            keep = F.when(F.col("y") == y, spread < part).otherwise(keep)
+        return rows.filter(keep)
+
+    few = thinned(labelled, {y: max_rows / n for y, n in counts.items()}, "doc_id")
+    rows = written(documents.select("doc_id", "text", "lang").join(F.broadcast(few), "doc_id").distinct(), "labelled")
+    sizes = {r[0]: (r[1], r[2] or 0) for r in rows.groupBy("y").agg(F.count("*"), F.sum(F.length("text"))).collect()}
+    rows = thinned(rows, {y: min(1.0, 1.5 * max_rows / n, max_bytes / max(size, 1)) for y, (n, size) in sizes.items()}, "doc_id", "text")
+    return rows.orderBy("doc_id", F.xxhash64("text", "lang")).select("text", "lang", "y")
 
 
 def trained(examples: list[tuple[list[bytes], str | None, int]], seed: int = 3) -> Model:
-    """Trains on four fifths of the examples (words, language, 0 or 1) and sets the thresholds on all."""
+    """Trains on four fifths of the examples (words, language, 0 or 1) and sets the thresholds on the fifth that is held back;
+    on all where that holds fewer than LEAST_HELD of a class."""
     random = np.random.default_rng(seed)
     languages = sorted({lang for _, lang, _ in examples if lang is not None})
     table = np.zeros((BUCKETS + 1, DIMENSIONS), dtype=np.float32)
@@ -173,6 +179,10 @@ def trained(examples: list[tuple[list[bytes], str | None, int]], seed: int = 3)
             tops, places = [], []
             for k, width in enumerate(WIDTHS):
                 n = len(x) - width + 1
+                if n < 1:  # a text without words has no window of this width
+                    places.append(np.zeros(FILTERS, dtype=np.int64))
+                    tops.append(np.zeros(FILTERS))
+                    continue
                 z = sum(x[j : j + n] @ conv[width][j] for j in range(width)) + bias[k]
                 places.append(z.argmax(axis=0))
                 tops.append(z[places[-1], np.arange(FILTERS)])
@@ -209,11 +219,12 @@ def trained(examples: list[tuple[list[bytes], str | None, int]], seed: int = 3)
         a, b = forward(model, vectors, [words for words, _, _ in examples[start : start + 64]])
         logits.append(a)
         told.append(b)
-    logits, told = np.concatenate(logits), np.concatenate(told)
+    held = ~fit if min((y[~fit] == 1).sum(), (y[~fit] == 0).sum()) >= LEAST_HELD else np.ones(len(y), dtype=bool)
+    logits, told, y = np.concatenate(logits)[held], np.concatenate(told)[held], y[held]
     everywhere = threshold(logits, y)
     for k in range(len(languages)):
         own = told == k
-        enough = min((y[own] == 1).sum(), (y[own] == 0).sum()) >= 30
+        enough = min((y[own] == 1).sum(), (y[own] == 0).sum()) >= LEAST_HELD
         model.thresholds[k] = threshold(logits[own], y[own]) if enough else everywhere
     if not languages:
         model.thresholds[:] = everywhere
@@ -237,8 +248,9 @@ def examples_of(rows: DataFrame) -> list[tuple[list[bytes], str | None, int]]:
 
 def scored(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     """doc_id, held_out, score, predicted of every document, from its text alone. Labels are learned only from rows outside
-    the held-out fold of crc32(doc_id as text). Null and empty texts are scored as texts without a word; repeated rows are
-    scored each; without labels every score is near 0; an empty table gives an empty result."""
+    the held-out fold of crc32(doc_id as text). Null and empty texts are scored as texts without a word; very long texts are
+    scored whole; repeated rows and ties are scored each; without labels every score is near 0; an empty table gives an empty
+    result; other columns, whatever their names, are ignored."""
     examples = examples_of(sample(documents.filter(~in_fold("doc_id", folds, held_out)), labels.filter(~in_fold("doc_id", folds, held_out)), "toxic"))
     shared = documents.sparkSession.sparkContext.broadcast(trained(examples))
     kind = dict(documents.dtypes)["doc_id"]
