@@ -103,14 +103,6 @@ def joined(rows: DataFrame, groups: DataFrame, on: list[str], count: str = "rows
     return rest.unionByName(rows.join(F.broadcast(hot), on))
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """A column name like ``name`` that the frame doesn't have in any case of letters."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def stored_bytes(spark: SparkSession, name: str, data: bytes) -> str:
     """Writes one file to the shared folder; returns its path."""
     return put_bytes(spark, work_path(spark, name), data)

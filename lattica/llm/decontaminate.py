@@ -20,7 +20,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import alnum_words, dropped, sliced, stored_bytes, texts, unused, written
+from lattica.llm.common import alnum_words, dropped, sliced, stored_bytes, texts, written
+from lattica.operators.numbering import unused
 
 WINDOW = 13
 #: Words of a block, about.

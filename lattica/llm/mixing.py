@@ -20,7 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import dropped, sliced, texts, unused, written
+from lattica.llm.common import dropped, sliced, texts, written
+from lattica.operators.numbering import unused
 
 
 @dataclass(frozen=True)

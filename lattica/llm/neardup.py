@@ -25,9 +25,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import BROADCAST_ROWS, WordHashes, dropped, joined, sliced, space_words, texts, unused, written
+from lattica.llm.common import BROADCAST_ROWS, WordHashes, dropped, joined, sliced, space_words, texts, written
 from lattica.llm.components import components
 from lattica.llm.vectors import roots
+from lattica.operators.numbering import unused
 
 #: Odds of a pair at the threshold to share no prefix, at each depth.
 MISS = 1e-5

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.operators.numbering import with_row_number
+from lattica.operators.numbering import unused, with_row_number
 
 #: A prime below 2**31, so that squares of remainders stay below 2**62.
 PRIME = 2147483629
@@ -62,7 +62,7 @@ def permute(numbers: np.ndarray, n: int, seed: int, back: bool = False) -> np.nd
 def sharded(rows: DataFrame, order: list[str], shards: int, seed: int = 17) -> DataFrame:
     """Adds ``row_number``, ``shard`` and ``slot``. Counts of shards differ by one at most and slots have no gaps.
     Defined results: an empty table stays empty; null keys come first in the order; equal rows are interchangeable;
-    columns of the input called as one of ours are replaced by ours."""
+    texts of any length are carried whole; columns of the input called as one of these three are replaced, all others stay."""
     rows = rows.drop("row_number", "shard", "slot")
     at, n = with_row_number(rows, *order)
 
@@ -70,9 +70,10 @@ def sharded(rows: DataFrame, order: list[str], shards: int, seed: int = 17) -> D
     def placed(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), n, seed))
 
-    return at.withColumn("_p", placed("row_number")).withColumns(
-        {"shard": (F.col("_p") % shards).cast("int"), "slot": F.expr(f"_p div {shards}")}
-    ).drop("_p")
+    p = unused(at, "_p")
+    return at.withColumn(p, placed("row_number")).withColumns(
+        {"shard": (F.col(p) % shards).cast("int"), "slot": F.expr(f"{p} div {shards}")}
+    ).drop(p)
 
 
 def shard_plan(documents: DataFrame, shards: int = 40, seed: int = 17) -> DataFrame:

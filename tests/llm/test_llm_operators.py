@@ -2,6 +2,7 @@
 empty tables and clashing column names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -66,6 +67,46 @@ def test_licenses(spark):
     assert licenses.scanned(empty(docs_of(spark, ["a"]))).count() == 0
 
 
+def test_licenses_brute_force(spark):
+    """Labels, places and score against every template at every place."""
+    rng = random.Random(4)
+    texts = [*ODD, *(t.text for t in licenses.TEMPLATES)]
+    for _ in range(60):
+        w = words(rng.choice(licenses.TEMPLATES).text)
+        a = rng.randrange(len(w))
+        for _ in range(rng.randrange(5)):  # damaged copies
+            w[rng.randrange(len(w))] = rng.choice(["x", "license", "the", "software"])
+        texts.append(" ".join(rng.choices(["a", "the", "license", "by", "cc", "gnu", "warranty"], k=rng.randrange(12)) + w[a // 2 :] + ["all", "rights", "reserved"] * rng.randrange(2)))
+    n, templates = len(texts), licenses.TEMPLATES
+    df = {}
+    for t in texts:
+        for w in set(words(t)):
+            df[w] = df.get(w, 0) + 1
+    idf = lambda w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1
+    rank = lambda w: (-idf(w), w)
+    anchors = [min(words(t.phrase), key=rank) for t in templates]
+    index = [{*sorted(set(words(t.text)), key=rank)[: licenses.RARE], a} for t, a in zip(templates, anchors, strict=True)]
+    got = {r.doc_id: r for r in licenses.scanned(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        w, found, score = words(t), set(), 0.0
+        held = sorted({x for x in w if any(x in r for r in index)}, key=rank)
+        chosen = {*held[: licenses.LOOKED_UP], *(x for x in held if x in anchors)}
+        for template, rare in zip(templates, index, strict=True):
+            v, phrase = words(template.text), words(template.phrase)
+            start = next(j for j in range(len(v)) if v[j : j + len(phrase)] == phrase)
+            asked = chosen & rare
+            for at in range(len(w)):
+                if w[at : at + len(phrase)] == phrase:
+                    line = [j for j in range(len(v)) if 0 <= at - start + j < len(w) and w[at - start + j] == v[j]]
+                    if asked and 2 * len(asked & {v[j] for j in line}) >= len(asked):
+                        found.add((template.label, at))
+                        score = max(score, sum(idf(v[j]) for j in line) / sum(map(idf, v)))
+        assert got[i].labels == ",".join(sorted({k for k, _ in found})) and set(filter(None, got[i].places.split(","))) == {f"{k}@{at}" for k, at in found}
+        assert abs(got[i].score - score) < 1e-9
+    for i, (label, _, _) in enumerate(licenses.FULL_TEXTS, len(ODD) + len(templates) - len(licenses.FULL_TEXTS)):
+        assert label in got[i].labels.split(",") and got[i].score > 0.999
+
+
 # 2
 
 
@@ -166,6 +207,10 @@ def test_sharding(spark):
     assert sorted((r["size"], r.text_crc32) for r in rows) == want
     again = sharding.shard_plan(docs.repartition(5), shards=7).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
+    clashing = sharding.sharded(docs.withColumns({c: F.lit("own") for c in ("_p", "_at", "_part", "_start", "_tie")}), ["doc_id"], 7).collect()
+    assert {(r._p, r._at, r._part, r._start, r._tie) for r in clashing} == {("own",) * 5} and len(clashing) == len(texts)
+    same = sharding.sharded(docs.withColumn("doc_id", F.lit(None).cast("long")), ["doc_id"], 7).collect()
+    assert sorted(r.row_number for r in same) == list(range(len(texts)))
     assert sharding.shard_plan(empty(docs)).count() == 0
     assert sharding.shard_plan(docs.limit(1)).first().slot == 0
 
@@ -402,13 +447,60 @@ def test_toxicity(spark):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
     out = [r for r in rows if r.doc_id < 400 and r.held_out]
     assert sum(r.predicted == toxic[r.doc_id] for r in out) >= 0.95 * len(out)
+    clashing = docs.withColumns({"held_out": F.lit("x"), "predicted": F.lit("x"), "y": F.lit(7), "toxic": F.lit(1)})
+    assert {r.doc_id: r.score for r in toxicity.scored(clashing, labels).collect()}.items() <= {r.doc_id: r.score for r in toxicity.scored(docs, labels).collect()}.items()
     assert toxicity.scored(empty(docs), labels).count() == 0
     assert {r.predicted for r in toxicity.scored(docs.limit(5), empty(labels)).collect()} == {0}
 
 
+def test_convolution_brute_force():
+    """The network over many texts at once against a plain loop over windows, on texts with and without words."""
+    rng = np.random.default_rng(3)
+    texts = [b"", b"one", b"one two", b"a b c d e f", b"scummy words here and there " * 40, b"one two", "é ünï".encode()]
+    examples = [(alnum_words(t), ["en", "fr", None][i % 3], i % 2) for i, t in enumerate(texts * 3)]
+    model = toxicity.trained(examples)
+    assert len(model.thresholds) == 2
+    for w in toxicity.WIDTHS:
+        model.conv[w] = rng.normal(size=model.conv[w].shape).astype(np.float32)
+    got, told = toxicity.forward(model, toxicity.Vectors(model), [alnum_words(t) for t in texts])
+    for t, logit, best in zip(texts, got, told, strict=True):
+        grams = [[b for b in toxicity.buckets(w) if b >= 0] for w in alnum_words(t)]
+        x = [sum((model.table[b].astype(float) for b in g), np.zeros(toxicity.DIMENSIONS)) for g in grams] + [np.zeros(toxicity.DIMENSIONS)] * toxicity.PAD
+        pooled = []
+        for k, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                z = [sum(x[i + j] @ model.conv[width][j, :, f] for j in range(width)) + model.bias[k][f] for i in range(len(x) - width + 1)]
+                pooled.append(max(0.0, *z) if z else 0.0)
+        assert abs(np.dot(pooled, model.out) + model.shift - logit) < 1e-3
+        sums = sum((model.language_table[g[0]].astype(float) for g in grams), np.zeros(2))
+        assert sums[best] >= sums.max() - 1e-4
+
+
+def test_threshold():
+    """The cut with the best F1, never between equal logits."""
+    rng = np.random.default_rng(6)
+    for _ in range(50):
+        logits, y = rng.integers(0, 6, 30).astype(float), rng.integers(0, 2, 30).astype(float)
+        f1 = lambda cut: 2 * y[logits >= cut].sum() / ((logits >= cut).sum() + max(y.sum(), 1))  # noqa: E731, B023
+        cut = toxicity.threshold(logits, y)
+        assert cut not in logits and abs(f1(cut) - max(f1(x - 0.5) for x in range(7))) < 1e-9 or not y.any()
+
+
 # 7
 
 
+def test_encoder_brute_force():
+    """Binding, permuting and bundling against a loop over trigrams; a long text in parts gives the same."""
+    encoder, d = language.Encoder(64), 64
+    for text in ["hello, wörld", "a", "ab " * 500, "".join(chr(0x4E00 + k) for k in range(6000))]:
+        padded = f" {' '.join(language.LETTERS.findall(text.lower()))} "
+        want = np.zeros(d)
+        for i in range(len(padded) - 2):
+            a, b, c = (encoder.letter(ord(x)) for x in padded[i : i + 3])
+            want += np.roll(a, 2) * np.roll(b, 1) * c
+        assert np.allclose(encoder.encoded(text), want / np.linalg.norm(want), atol=1e-5)
+
+
 def test_language(spark):
     rng = random.Random(6)
     parts = {"en": ["the", "ing", "wh"], "fr": ["eau", "oi", "é"], "de": ["sch", "ung", "ö"]}
