@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -71,15 +71,33 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_MADE: list[list[DataFrame]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: the rows as a Parquet table in the shared folder, read again."""
     spark, path = df.sparkSession, work_path(df.sparkSession, name)
     df.write.parquet(path)
     again = spark.read.schema(df.schema).parquet(path)
     again._work = path  # for dropped()
+    for made in _MADE:
+        made.append(again)
     return again
 
 
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The rows of ``make()`` as a written table; all tables that it has written on its way are deleted."""
+    _MADE.append(made := [])
+    try:
+        out = written(make(), name)
+    finally:
+        _MADE.pop()
+    for df in made:
+        if df is not out:
+            dropped(df)
+    return out
+
+
 def dropped(df: DataFrame) -> None:
     """Deletes a table made by written() that nothing reads any more."""
     path = getattr(df, "_work", None)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lattica.llm.common import in_fold, sliced, written
+from lattica.operators.numbering import unused
 
 DIMENSIONS = 1024
 ORDER = 3
@@ -158,8 +159,8 @@ def least_cosine(rows: DataFrame, sums: dict[str, np.ndarray]) -> float:
 
 def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray], bound: float = -1.0) -> DataFrame:
     """All rows and columns of ``documents`` with lang_pred and score (0 to 1), from the text alone. ``und`` and 0 for null
-    texts, texts without a letter, texts whose best cosine is below ``bound``, and when no language was learned. Input
-    columns so called are replaced."""
+    and empty texts, texts without a letter, texts whose best cosine is below ``bound``, and when no language was learned; very long
+    texts are read whole. Input columns so called are replaced, all others stay."""
     rows = documents.drop("lang_pred", "score")
     names, own = list(prototypes), rows.columns
     matrix = np.array([prototypes[k] for k in names], dtype=np.float32).reshape(len(names), DIMENSIONS)
@@ -192,22 +193,24 @@ def predicted(documents: DataFrame, prototypes: dict[str, np.ndarray], bound: fl
 
 def identified(documents: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every document; languages are learned from the rows outside the held-out fold
-    of crc32(doc_id as text). Duplicates are predicted each; an empty table gives an empty result."""
+    of crc32(doc_id as text). Null and empty texts are ``und`` with a score of 0; very long texts are read whole; repeated rows
+    are predicted each; of languages with equal cosines the first by name is taken; an empty table gives an empty result;
+    other columns, whatever their names, are ignored."""
     prototypes = fitted(documents.filter(~in_fold("doc_id", folds, held_out)))
     rows = documents.select("doc_id", "text", in_fold("doc_id", folds, held_out).alias("held_out"))
     return predicted(rows, prototypes).select("doc_id", "held_out", "lang_pred", "score")
 
 
-def accepted(documents: DataFrame, languages: list[str] | None = None, folds: int = 4, held_out: int = 2) -> DataFrame:
-    """The documents, with their own columns, whose predicted language is one of ``languages`` (None: any learned one). Texts
-    without a letter are rejected, and texts further from every learned language than nearly all learned texts
-    (least_cosine). Where no language was learned nothing tells against a text: with ``languages`` None all with a letter
+def accepted(documents: DataFrame, languages: list[str] | None = None, least_score: float = 0.0, folds: int = 4, held_out: int = 2) -> DataFrame:
+    """The documents, with their own columns, whose predicted language is one of ``languages`` (None: any learned one) with a
+    score of ``least_score`` or more. Texts without a letter are rejected, and texts further from every learned language than
+    nearly all learned texts (least_cosine). Where no language was learned nothing tells against a text: with ``languages`` None all with a letter
     stay; none is in a language asked for by name."""
     learning = sample(documents.filter(~in_fold("doc_id", folds, held_out)))
     sums = bundled(learning)
     if not sums and languages is None:
         return documents.filter(F.col("text").rlike(r"\p{L}"))
-    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in documents.columns}
+    own = {c: unused(documents, f"own_{c}") for c in documents.columns if c.lower() in ("lang_pred", "score")}
     rows = predicted(documents.withColumnsRenamed(own), centred(sums), least_cosine(learning, sums) if sums else -1.0)
-    kept = rows.filter(F.col("lang_pred") != "und" if languages is None else F.col("lang_pred").isin(languages))
+    kept = rows.filter(F.col("lang_pred") != "und" if languages is None else F.col("lang_pred").isin(languages)).filter(F.col("score") >= least_score)
     return kept.select(*[F.col(own.get(c, c)).alias(c) for c in documents.columns])

@@ -5,15 +5,18 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import corpus_pipeline
 from test_llm_operators import brute_contamination, brute_groups
 
-from lattica.llm import mixing, packing
+from lattica.llm import language, mixing, packing
+from lattica.llm.common import in_fold
 from lattica.llm.queries import QUERIES
-from lattica.session import ship
+from lattica.session import shared_dir, ship
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the test tables")
@@ -49,7 +52,13 @@ def test_stages(spark):
 
     now = stages[names[0]](spark, docs, SF)
     got = {r.doc_id for r in now.collect()}
-    assert now.columns == docs.columns and got == {i for i, r in rows.items() if any(c.isalpha() for c in r.text or "")}
+    prototypes = language.fitted(docs.filter(~in_fold("doc_id", 4, 2)))
+    told = {}
+    for i, r in rows.items():
+        v = language.Encoder().encoded(r.text)
+        odds = np.exp(language.SHARPNESS * np.array([0.0 if v is None else p @ v for p in prototypes.values()]))
+        told[i] = v is not None and odds.max() / odds.sum() >= corpus_pipeline.LEAST_SCORE
+    assert now.columns == docs.columns and got == {i for i in rows if told[i]}
 
     now = stages[names[1]](spark, now, SF)
     groups = brute_groups([rows[i].text for i in sorted(got)], sorted(got), 5)
@@ -74,6 +83,32 @@ def test_stages(spark):
     assert tokens == Counter({i: n * (len(codec.encode_ordinary(rows[i].text)) + 1) for i, n in found.items()})
 
 
+def test_run(spark):
+    """The stages in a row, with nothing left behind but the table that the last one reads."""
+    made = lambda: {p.name for p in Path(shared_dir(spark)).iterdir()}
+    before = made()
+    rows = corpus_pipeline.run(spark, SF)
+    left = [n for n in made() - before if any((Path(shared_dir(spark)) / n).glob("*.parquet"))]
+    assert len(left) == 1 and left[0].startswith("stage-mixing")
+    docs, stages = spark.read.parquet(f"{SF}/documents.parquet"), dict(corpus_pipeline.STAGES)
+    for stage in stages.values():
+        docs = stage(spark, docs, SF)
+    count = lambda df: Counter(r.doc_id for r in packing.unpacked(df).collect())
+    assert count(rows) == count(docs)
+
+
+def test_odd_rows(spark, tmp_path):
+    """Null columns, empty texts, long runs and repeated rows go through all stages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    odd = [(None, None, None, None, None), (7, "", "en", "s", 0), (7, " " * 2_000_000 + "x", "en", "s", 1), (None, "a" * 2_000_000, "en", "s", 1), (8, "\n" * 2_000_000, None, "s", 1)]
+    rows = docs.unionByName(spark.createDataFrame(odd * 2, docs.schema))
+    rows.withColumns({c: F.lit("own") for c in ("tokens", "rate", "found", "score", "row", "copy")}).write.parquet(str(tmp_path / "documents.parquet"))
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    ids = {r.doc_id for r in packing.unpacked(corpus_pipeline.run(spark, str(tmp_path))).select("doc_id").distinct().collect()}
+    assert ids and ids <= {r.doc_id for r in rows.collect()}
+
+
 def test_empty_tables(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").filter("false").write.parquet(str(tmp_path / f"{t}.parquet"))
