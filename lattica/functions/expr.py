@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Masks that leave two free bits after each of 10 bits.
+#: Masks that leave two free bits after each of 10 bits.
 SPREAD = ((16, 0x30000FF), (8, 0x300F00F), (4, 0x30C30C3), (2, 0x9249249))
 
 
@@ -212,48 +214,56 @@ def slab(origin: list, direction: list, low: list[float], high: list[float]) ->
     return F.greatest(*near), F.least(*far)
 
 
-def _field_xor(p: Column, q: Column, i: int) -> Column:
-    """One step of Skilling's transform (2004) on a struct p0, p1, p2 with bit q: invert or exchange the low bits of p0 and pi."""
-    low = q - 1
-    set_ = p[f"p{i}"].bitwiseAND(q) != 0
-    t = F.when(set_, F.lit(0)).otherwise(p["p0"].bitwiseXOR(p[f"p{i}"]).bitwiseAND(low))
-    first = F.when(set_, p["p0"].bitwiseXOR(low)).otherwise(p["p0"].bitwiseXOR(t))
-    return F.struct(*[(first if k == 0 else p[f"p{k}"].bitwiseXOR(t) if k == i else p[f"p{k}"]).alias(f"p{k}") for k in range(3)])
-
-
-def _turned(p: Column, qs: list[int], order: tuple[int, int, int]) -> Column:
-    steps = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(i).alias("i")) for q in qs for i in order])
-
-    def step(s: Column, at: Column) -> Column:
-        return F.when(at["i"] == 0, _field_xor(s, at["q"], 0)).when(at["i"] == 1, _field_xor(s, at["q"], 1)).otherwise(_field_xor(s, at["q"], 2))
-
-    return F.aggregate(steps, p, step)
-
-
-def _with_struct(x, y, z) -> Column:
-    return F.struct(*[col(c).cast("int").alias(f"p{k}") for k, c in enumerate((x, y, z))])
+def _turn(p: list[np.ndarray], q: int, i: int) -> None:
+    """One step of Skilling's transform (2004) at bit q: invert the low bits of p0, or exchange them with those of p[i]."""
+    set_ = (p[i] & q) != 0
+    t = np.where(set_, 0, (p[0] ^ p[i]) & (q - 1))
+    p[0] = np.where(set_, p[0] ^ (q - 1), p[0] ^ t)
+    if i:
+        p[i] = p[i] ^ t
 
 
 def hilbert(x, y, z, bits: int = 10) -> Column:
-    """Hilbert code of three coordinates of ``bits`` bits, by Skilling's transform: turn, Gray code, interleave."""
-    qs = [1 << k for k in range(bits - 1, 0, -1)]
-    p = _turned(_with_struct(x, y, z), qs, (0, 1, 2))
-
-    def gray(s: Column) -> Column:
-        b = s["p1"].bitwiseXOR(s["p0"])
-        c = s["p2"].bitwiseXOR(b)
-        t = F.aggregate(F.array(*map(F.lit, qs)), F.lit(0), lambda a, q: F.when(c.bitwiseAND(q) != 0, a.bitwiseXOR(q - 1)).otherwise(a))
-        return zorder(s["p0"].bitwiseXOR(t), b.bitwiseXOR(t), c.bitwiseXOR(t))
-
-    return F.transform(F.array(p), gray)[0]
+    """Hilbert code of three coordinates of ``bits`` bits (20 at most), by Skilling's transform: turn, Gray code, interleave.
+    Its steps depend on those before, so it runs over Arrow batches in NumPy."""
+
+    @F.pandas_udf("long")
+    def code(x: pd.Series, y: pd.Series, z: pd.Series) -> pd.Series:
+        p = [v.to_numpy(dtype=np.int64, na_value=0) for v in (x, y, z)]
+        for k in range(bits - 1, 0, -1):
+            for i in range(3):
+                _turn(p, 1 << k, i)
+        p[1] = p[1] ^ p[0]
+        p[2] = p[2] ^ p[1]
+        t = np.zeros_like(p[0])
+        for k in range(bits - 1, 0, -1):
+            t = np.where((p[2] >> k) & 1, t ^ ((1 << k) - 1), t)
+        out = np.zeros_like(t)
+        for k in range(bits):
+            for i, v in enumerate(p):  # the first coordinate is the highest bit of each three
+                out = out | (((v ^ t) >> k) & 1) << (3 * k + 2 - i)
+        return pd.Series(out)
+
+    return F.when(col(x).isNotNull() & col(y).isNotNull() & col(z).isNotNull(), code(col(x), col(y), col(z)))
 
 
 def hilbert_back(code, bits: int = 10) -> Column:
     """Struct p0, p1, p2 of the coordinates of a Hilbert code."""
-    x, y, z = zorder_back(code)
-    x, y, z = (c.cast("int") for c in (x, y, z))
-    p = _with_struct(x.bitwiseXOR(F.shiftright(z, 1)), y.bitwiseXOR(x), z.bitwiseXOR(y))
-    return _turned(p, [1 << k for k in range(1, bits)], (2, 1, 0))
+
+    @F.pandas_udf("p0 int, p1 int, p2 int")
+    def point(code: pd.Series) -> pd.DataFrame:
+        c = code.to_numpy(dtype=np.int64, na_value=0)
+        p = [sum(((c >> (3 * k + place)) & 1) << k for k in range(bits)) for place in (2, 1, 0)]
+        t = p[2] >> 1
+        p[2] = p[2] ^ p[1]
+        p[1] = p[1] ^ p[0]
+        p[0] = p[0] ^ t
+        for k in range(1, bits):
+            for i in (2, 1, 0):
+                _turn(p, 1 << k, i)
+        return pd.DataFrame({f"p{i}": v.astype(np.int32) for i, v in enumerate(p)})
+
+    return F.when(col(code).isNotNull(), point(col(code)))
 
 
 def centre(axis, size: float, origin: float) -> Column:

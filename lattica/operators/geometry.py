@@ -14,14 +14,36 @@ AXES = ("x", "y", "z")
 
 
 def triangle_voxels(triangles: DataFrame, size: int) -> DataFrame:
-    """(fid, x, y, z) of the unit cells that each triangle (fid, x0..z2) touches: the cells of its bounding box, less those that
-    the triangle's plane or one of its three projections misses."""
+    """(fid, x, y, z) of the unit cells that each triangle (fid, x0..z2) touches. The cells of its shadow along the axis that
+    it faces most are listed, and over each the three or fewer that its plane passes; those that the plane or one of the
+    three projections misses are left out. So a triangle costs rows in proportion to its area."""
+    span = {a: tuple(f(*[F.col(f"{a}{k}") for k in range(3)]) for f in (F.least, F.greatest)) for a in AXES}
+    cell = lambda v: F.least(F.greatest(F.floor(v), F.lit(0)), F.lit(size - 1)).cast("int")
     out = triangles
-    for a in AXES:
-        low, high = (f(*[f"{a}{k}" for k in range(3)]) for f in (F.least, F.greatest))
-        cell = lambda v: F.least(F.greatest(F.floor(v), F.lit(0)), F.lit(size - 1)).cast("int")
-        inside = (high >= 0) & (low < size)
-        out = out.filter(inside).withColumn(a, F.explode(F.sequence(cell(low), cell(high))))
+    for low, high in span.values():
+        out = out.filter((high >= 0) & (low < size))
+    edge = lambda k, a: F.col(f"{a}{k + 1}") - F.col(f"{a}0")
+    ring = {"x": ("y", "z"), "y": ("z", "x"), "z": ("x", "y")}
+    out = out.withColumns({f"_n{a}": edge(0, p) * edge(1, q) - edge(0, q) * edge(1, p) for a, (p, q) in ring.items()})
+    most = F.greatest(*[F.abs(f"_n{a}") for a in AXES])
+    faces = F.when(F.abs("_nz") == most, "z").when(F.abs("_ny") == most, "y").otherwise("x")
+    parts = None
+    out = out.withColumn("_faces", faces)
+    for a, (p, q) in ring.items():
+        part = out.filter(F.col("_faces") == a)
+        for axis in (p, q):
+            part = part.withColumn(axis, F.explode(F.sequence(*map(cell, span[axis]))))
+        # the plane's height over the middle of the square, and how far it goes up and down from there
+        facing, flat = F.nullif(F.col(f"_n{a}"), F.lit(0.0)), F.col(f"_n{a}") == 0  # flat: no area, so its box
+        middle = F.col(f"{a}0") - (F.col(f"_n{p}") * (F.col(p) + 0.5 - F.col(f"{p}0")) + F.col(f"_n{q}") * (F.col(q) + 0.5 - F.col(f"{q}0"))) / facing
+        reach = (F.abs(f"_n{p}") + F.abs(f"_n{q}")) / F.abs(facing) / 2 + 1e-6
+        low, high = (F.when(flat, v).otherwise(f(v, middle + sign * reach)) for v, f, sign in zip(span[a], (F.greatest, F.least), (-1, 1), strict=True))
+        # a plane on the border of two cells touches both, but no cell below the triangle's own lowest
+        first = F.greatest(cell(span[a][0]), cell(F.when(flat, low).otherwise(F.ceil(low) - 1)))
+        part = part.withColumn("_first", first).withColumn("_last", cell(high)).filter("_first <= _last")
+        part = part.withColumn(a, F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+        parts = part if parts is None else parts.unionByName(part)
+    out = parts
 
     def corner(k: int, a: str) -> Column:
         return F.col(f"{a}{k}")

@@ -22,20 +22,33 @@ def neighbours(df: DataFrame, table: DataFrame, moves: list[tuple[int, int, int]
     return probe.join(table.select("b", *AXES, *[F.col(v).alias(f"near_{v}") for v in value]), ["b", *AXES])
 
 
-#: The four voxels around an edge that leaves a voxel along each axis.
+def around(df: DataFrame, moves: list[tuple[int, int, int]], values: list[str], **aggregates: Column) -> DataFrame:
+    """Aggregates over the rows that lie at a move from each row of ``df``, itself included, in one shuffle: every row goes to
+    the cells that it is a neighbour of, and cells that have no row themselves are dropped. In the aggregates ``k`` is the
+    move's number, -1 for the row itself. Cells are unique in ``df``."""
+    sent = F.array(*[F.struct(F.lit(k).alias("k"), *[(F.col(a) - d).cast("int").alias(a) for a, d in zip(AXES, v, strict=True)]) for k, v in enumerate([(0, 0, 0), *moves], -1)])
+    met = df.select("b", F.explode(sent).alias("_to"), *values).select("b", "_to.*", *values)
+    return met.groupBy("b", *AXES).agg(F.min("k").alias("_self"), *[c.alias(n) for n, c in aggregates.items()]).filter("_self = -1").drop("_self")
+
+
+def at_move(k: int, value: str | Column) -> Column:
+    """Aggregate for around(): the value of the row at move ``k``."""
+    return F.max(F.when(F.col("k") == k, F.col(value) if isinstance(value, str) else value))
+
+
+#: The four voxels around the edge of a voxel along each axis, in their order around it.
 QUADS = {
-    "x": [(0, 0, 0), (0, 0, -1), (0, -1, -1), (0, -1, 0)],
-    "y": [(0, 0, 0), (-1, 0, 0), (-1, 0, -1), (0, 0, -1)],
-    "z": [(0, 0, 0), (0, -1, 0), (-1, -1, 0), (-1, 0, 0)],
+    "x": [(0, 0, 0), (0, 0, 1), (0, 1, 1), (0, 1, 0)],
+    "y": [(0, 0, 0), (1, 0, 0), (1, 0, 1), (0, 0, 1)],
+    "z": [(0, 0, 0), (0, 1, 0), (1, 1, 0), (1, 0, 0)],
 }
 
 
 def quads(df: DataFrame, axis: str, vertex: str) -> DataFrame:
     """The edges along ``axis`` whose four voxels all exist, with their vertex numbers q0..q3."""
-    found = neighbours(df, df, QUADS[axis], [], [vertex])
-    # the voxel of move k is (x, y, z); the edge's own voxel is from_*
-    out = found.groupBy("b", *[f"from_{a}" for a in AXES]).agg(F.count("*").alias("n"), *[F.max(F.when(F.col("k") == k, F.col(f"near_{vertex}"))).alias(f"q{k}") for k in range(4)])
-    return out.filter("n = 4").select("b", *[F.col(f"from_{a}").alias(a) for a in AXES], F.lit(axis).alias("axis"), "q0", "q1", "q2", "q3")
+    near = QUADS[axis][1:]
+    out = around(df.select("b", *AXES, vertex), near, [vertex], q0=at_move(-1, vertex), **{f"q{k + 1}": at_move(k, vertex) for k in range(3)})
+    return out.dropna(subset=[f"q{k}" for k in range(4)]).select("b", *AXES, F.lit(axis).alias("axis"), "q0", "q1", "q2", "q3")
 
 
 def triangles_of(quad: DataFrame) -> DataFrame:
@@ -43,6 +56,41 @@ def triangles_of(quad: DataFrame) -> DataFrame:
     return quad.select("b", "axis", F.inline(F.array(*[F.struct(F.lit(t).alias("t"), *[F.col(f"q{q}").alias(f"v{j}") for j, q in enumerate(c)]) for t, c in enumerate(((0, 1, 2), (0, 2, 3)))])))
 
 
+def dual_mesh(df: DataFrame, weight: str | None = None) -> DataFrame:
+    """Triangles (b, axis, x, y, z, t, v0, v1, v2) of a dual grid: rows (b, x, y, z) with a vertex number ``vid``, its place
+    vx, vy, vz, and a flag for each axis (ix, iy, iz) that the surface crosses the voxel's edge along it. A crossed edge whose
+    four voxels exist is a quad. With ``weight`` it is split along q0-q2 if the product of these two corners' weights is
+    greater than that of q1 and q3; else along the diagonal at which the two triangles are less bent. One shuffle."""
+    moves = sorted({m for quad in QUADS.values() for m in quad[1:]})
+    fields = ["vid", "vx", "vy", "vz", *([weight] if weight else [])]
+    corner = F.struct(*fields)
+    rows = df.select("b", *AXES, corner.alias("_c"), *[f"i{a}" for a in AXES])
+    met = around(rows, moves, ["_c", *[f"i{a}" for a in AXES]], c=at_move(-1, "_c"), **{f"i{a}": at_move(-1, f"i{a}") for a in AXES}, **{f"c{k}": at_move(k, "_c") for k in range(len(moves))})
+    of_axis = [
+        F.struct(F.lit(a).alias("axis"), F.col(f"i{a}").alias("crossed"), F.col("c").alias("q0"), *[F.col(f"c{moves.index(m)}").alias(f"q{j + 1}") for j, m in enumerate(QUADS[a][1:])]) for a in AXES
+    ]
+    quad = met.select("b", *AXES, F.inline(F.array(*of_axis))).filter("crossed").dropna(subset=["q1", "q2", "q3"])
+    if weight:
+        first = F.col(f"q0.{weight}") * F.col(f"q2.{weight}") > F.col(f"q1.{weight}") * F.col(f"q3.{weight}")
+    else:
+        first = bend(0, 1, 2, 0, 2, 3) >= bend(0, 1, 3, 1, 2, 3)
+    cut = lambda *corners: F.array(*[F.struct(F.lit(t).alias("t"), *[F.col(f"q{q}.vid").alias(f"v{j}") for j, q in enumerate(c)]) for t, c in enumerate(corners)])
+    return quad.select("b", "axis", *AXES, F.inline(F.when(first, cut((0, 1, 2), (0, 2, 3))).otherwise(cut((0, 1, 3), (1, 2, 3)))))
+
+
+def bend(*corners: int) -> Column:
+    """Cosine of the angle between the normals of two triangles of a quad (six corner numbers), 0 where one is flat; rounded,
+    so that equal angles compare as equal."""
+
+    def normal(i: int, j: int, k: int) -> list[Column]:
+        one, two = ([F.col(f"q{m}.v{a}") - F.col(f"q{i}.v{a}") for a in AXES] for m in (j, k))
+        return [one[p] * two[q] - one[q] * two[p] for p, q in ((1, 2), (2, 0), (0, 1))]
+
+    n, m = normal(*corners[:3]), normal(*corners[3:])
+    dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+    return F.round(F.coalesce(dot(n, m) / F.nullif(F.sqrt(dot(n, n) * dot(m, m)), F.lit(0.0)), F.lit(0.0)), 9)
+
+
 def edges(faces: DataFrame) -> DataFrame:
     """Unordered edges (a, b) with the number of faces that hold them; a boundary edge has one."""
     pairs = F.array(*[F.struct(F.least(p, q).alias("a"), F.greatest(p, q).alias("b")) for p, q in (("v0", "v1"), ("v1", "v2"), ("v2", "v0"))])

@@ -221,8 +221,8 @@ def windowed_attention(spark, sf_dir):
 
 @query(
     """WITH e AS (SELECT b, x, y, z, n AS v FROM v_voxel), j AS (SELECT a.b, a.x, a.y, a.z, 'z' AS axis, a.v AS q0, c1.v AS q1, c2.v AS q2, c3.v AS q3 FROM e a
-    JOIN e c1 ON c1.b = a.b AND c1.x = a.x AND c1.y = a.y - 1 AND c1.z = a.z JOIN e c2 ON c2.b = a.b AND c2.x = a.x - 1 AND c2.y = a.y - 1 AND c2.z = a.z
-    JOIN e c3 ON c3.b = a.b AND c3.x = a.x - 1 AND c3.y = a.y AND c3.z = a.z) SELECT * FROM j"""
+    JOIN e c1 ON c1.b = a.b AND c1.x = a.x AND c1.y = a.y + 1 AND c1.z = a.z JOIN e c2 ON c2.b = a.b AND c2.x = a.x + 1 AND c2.y = a.y + 1 AND c2.z = a.z
+    JOIN e c3 ON c3.b = a.b AND c3.x = a.x + 1 AND c3.y = a.y AND c3.z = a.z) SELECT * FROM j"""
 )
 def neighbour_quads(spark, sf_dir):
     return spatial.quads(views.voxels(spark, sf_dir).select("b", "x", "y", "z", F.col("n").alias("v")), "z", "v")
@@ -230,8 +230,8 @@ def neighbour_quads(spark, sf_dir):
 
 @query(
     """WITH e AS (SELECT b, x, y, z, n AS v FROM v_voxel), j AS (SELECT a.b, a.v AS q0, c1.v AS q1, c2.v AS q2, c3.v AS q3 FROM e a
-    JOIN e c1 ON c1.b = a.b AND c1.x = a.x AND c1.y = a.y AND c1.z = a.z - 1 JOIN e c2 ON c2.b = a.b AND c2.x = a.x AND c2.y = a.y - 1 AND c2.z = a.z - 1
-    JOIN e c3 ON c3.b = a.b AND c3.x = a.x AND c3.y = a.y - 1 AND c3.z = a.z) SELECT b, 'x' AS axis, 0 AS t, q0 AS v0, q1 AS v1, q2 AS v2 FROM j UNION ALL SELECT b, 'x', 1, q0, q2, q3 FROM j"""
+    JOIN e c1 ON c1.b = a.b AND c1.x = a.x AND c1.y = a.y AND c1.z = a.z + 1 JOIN e c2 ON c2.b = a.b AND c2.x = a.x AND c2.y = a.y + 1 AND c2.z = a.z + 1
+    JOIN e c3 ON c3.b = a.b AND c3.x = a.x AND c3.y = a.y + 1 AND c3.z = a.z) SELECT b, 'x' AS axis, 0 AS t, q0 AS v0, q1 AS v1, q2 AS v2 FROM j UNION ALL SELECT b, 'x', 1, q0, q2, q3 FROM j"""
 )
 def dual_grid_triangles(spark, sf_dir):
     q = spatial.quads(views.voxels(spark, sf_dir).select("b", "x", "y", "z", F.col("n").alias("v")), "x", "v")
@@ -338,8 +338,8 @@ MOVES = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0
 def submanifold_neighbours(spark, sf_dir):
     """A 3x3x3 convolution over the voxels that exist, with the move's number as its weight."""
     v = views.voxels(spark, sf_dir).select("b", "x", "y", "z", "n")
-    found = spatial.neighbours(v, v, MOVES, [], ["n"])
-    return found.groupBy("b", *[F.col(f"from_{a}").alias(a) for a in "xyz"]).agg(F.count("*").alias("near"), F.sum(F.col("near_n") * F.col("k")).alias("conv"))
+    near = F.col("k") >= 0
+    return spatial.around(v, MOVES, ["n"], near=F.count_if(near), conv=F.sum(F.when(near, F.col("n") * F.col("k"))))
 
 
 @query(
@@ -354,8 +354,8 @@ def neighbour_delta_filter(spark, sf_dir):
     """Each attribute less that of its last existing neighbour in the order x, y, z, xy, xz, yz, xyz, as a byte."""
     v = views.voxels(spark, sf_dir).select("b", "x", "y", "z", F.pmod("n", F.lit(256)).cast("int").alias("v"))
     moves = [(-1, 0, 0), (0, -1, 0), (0, 0, -1), (-1, -1, 0), (-1, 0, -1), (0, -1, -1), (-1, -1, -1)]
-    last = spatial.neighbours(v, v, moves, [], ["v"]).groupBy("b", *[F.col(f"from_{a}").alias(a) for a in "xyz"]).agg(F.max_by("near_v", "k").alias("p"))
-    return v.join(last, ["b", "x", "y", "z"], "left").select("b", "x", "y", "z", F.pmod(F.col("v") - F.coalesce("p", F.lit(0)), F.lit(256)).alias("delta"))
+    met = spatial.around(v, moves, ["v"], own=spatial.at_move(-1, "v"), p=F.max_by("v", F.when(F.col("k") >= 0, F.col("k"))))
+    return met.select("b", "x", "y", "z", F.pmod(F.col("own") - F.coalesce("p", F.lit(0)), F.lit(256)).alias("delta"))
 
 
 @query(

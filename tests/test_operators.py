@@ -187,10 +187,40 @@ def test_layout(spark):
 def test_quad_golden(spark):
     df = grid(spark, 2).withColumn("v", F.col("x") * 4 + F.col("y") * 2 + F.col("z"))
     found = spatial.quads(df, "z", "v").collect()
-    assert {(r.x, r.y, r.z) for r in found} == {(1, 1, 0), (1, 1, 1)}
+    assert {(r.x, r.y, r.z, r.q0, r.q1, r.q2, r.q3) for r in found} == {(0, 0, 0, 0, 2, 6, 4), (0, 0, 1, 1, 3, 7, 5)}
     assert spatial.triangles_of(spatial.quads(df, "x", "v")).count() == 4
 
 
+def test_around(spark):
+    """Neighbours against a loop, with cells that have no row."""
+    rng = random.Random(1)
+    cells = {(b, *c) for b in range(2) for c in itertools.product(range(4), repeat=3) if rng.random() < 0.5}
+    df = spark.createDataFrame([(*c, i) for i, c in enumerate(sorted(cells))], "b int, x int, y int, z int, v int")
+    moves = [(1, 0, 0), (0, -1, 1), (0, 0, 2)]
+    got = spatial.around(df, moves, ["v"], own=spatial.at_move(-1, "v"), total=F.sum("v"), **{f"m{k}": spatial.at_move(k, "v") for k in range(3)}).collect()
+    number = {c: i for i, c in enumerate(sorted(cells))}
+    assert len(got) == len(cells)
+    for r in got:
+        near = [number.get((r.b, r.x + dx, r.y + dy, r.z + dz)) for dx, dy, dz in moves]
+        assert (r.own, [r.m0, r.m1, r.m2]) == (number[r.b, r.x, r.y, r.z], near) and r.total == r.own + sum(v for v in near if v is not None)
+
+
+def test_dual_mesh(spark):
+    """A closed box of crossed edges gives a closed mesh; the flatter diagonal or the heavier corners split a quad."""
+    df = grid(spark, 3).withColumn("vid", F.expr("x * 9 + y * 3 + z")).withColumns({f"v{a}": F.col(a) + 0.5 for a in "xyz"})
+    inner = {"x": "y = 0 and z = 0", "y": "x = 0 and z = 0", "z": "x = 0 and y = 0"}
+    none = df.withColumns({f"i{a}": F.expr(c) for a, c in inner.items()})
+    found = spatial.dual_mesh(none).collect()
+    assert len(found) == 2 * 9 and {(r.axis, r.x if r.axis == "x" else r.y if r.axis == "y" else r.z) for r in found} == {(a, k) for a in "xyz" for k in range(3)}
+    one = df.withColumns({"ix": F.lit(False), "iy": F.lit(False), "iz": F.expr("x = 0 and y = 0 and z = 0"), "w": F.when(F.col("vid").isin(0, 12), 2.0).otherwise(1.0)})
+    corners = lambda d: sorted((r.v0, r.v1, r.v2) for r in d.collect())
+    assert corners(spatial.dual_mesh(one, "w")) == [(0, 3, 12), (0, 12, 9)]
+    assert corners(spatial.dual_mesh(one.withColumn("w", 3 - F.col("w")), "w")) == [(0, 3, 9), (3, 12, 9)]
+    lifted = lambda v: one.withColumn("vz", F.when(F.col("vid") == v, 5.0).otherwise(F.col("vz")))
+    assert corners(spatial.dual_mesh(lifted(12))) == [(0, 3, 9), (3, 12, 9)]
+    assert corners(spatial.dual_mesh(lifted(3))) == [(0, 3, 12), (0, 12, 9)]
+
+
 def test_edges_golden(spark):
     one = spark.createDataFrame([(0, 1, 2)], "v0 int, v1 int, v2 int")
     assert spatial.edges(one).filter("n = 1").count() == 3
