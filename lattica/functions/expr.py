@@ -149,6 +149,75 @@ def guided(positive, negative, t, strength: float, interval: tuple[float, float]
     return F.when((col(t) >= interval[0]) & (col(t) <= interval[1]), mix).otherwise(col(positive))
 
 
+def velocity_to_noise(xt, v, t) -> Column:
+    return col(xt) + (1 - col(t)) * col(v)
+
+
+def x0_from_noise(xt, noise, t, sigma: float = 1e-5) -> Column:
+    return (col(xt) - (sigma + (1 - sigma) * col(t)) * col(noise)) / F.nullif(1 - col(t), F.lit(0.0))
+
+
+def velocity_from_x0(xt, x0, t, sigma: float = 1e-5) -> Column:
+    return ((1 - sigma) * col(xt) - col(x0)) / (sigma + (1 - sigma) * col(t))
+
+
+def deviation(values) -> Column:
+    """Sample standard deviation of an array."""
+    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
+    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / (F.size(values) - 1))
+
+
+def rescaled_guidance(xt, positive, negative, t, strength: float, rescale: float, sigma: float = 1e-5) -> Column:
+    """Array of guided velocities, with the spread of the guided sample drawn by ``rescale`` to that of the conditional one."""
+    mixed = F.zip_with(positive, negative, lambda p, n: strength * p + (1 - strength) * n)
+    one, two = (F.zip_with(xt, v, lambda x, y: x0_from_velocity(x, y, t, sigma)) for v in (positive, mixed))
+    gain = rescale * deviation(one) / F.nullif(deviation(two), F.lit(0.0)) + (1 - rescale)
+    return F.zip_with(xt, two, lambda x, x0: velocity_from_x0(x, x0 * gain, t, sigma))
+
+
+def uniform(key, seed: int) -> Column:
+    """A number in [0, 1) from the key and the seed alone: the same wherever and however often the row is computed."""
+    digest = F.md5(F.concat_ws(":", col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
+
+
+def logit_normal(key, seed: int, mean: float = 0.0, std: float = 1.0) -> Column:
+    """The logistic function of a normal number, by Box and Muller."""
+    z = F.sqrt(-2 * F.ln(1 - uniform(key, seed))) * F.cos(2 * math.pi * uniform(key, seed + 1))
+    return 1 / (1 + F.exp(-(mean + std * z)))
+
+
+def relu(x) -> Column:
+    return F.greatest(col(x), F.lit(0.0))
+
+
+def silu(x) -> Column:
+    return col(x) / (1 + F.exp(-col(x)))
+
+
+def gelu(x) -> Column:
+    """By its usual approximation with the hyperbolic tangent."""
+    x = col(x)
+    return x / 2 * (1 + F.tanh(math.sqrt(2 / math.pi) * (x + 0.044715 * x * x * x)))
+
+
+def patched(cell, side: int, patch: int) -> tuple[Column, Column]:
+    """(coarse cell, place in the patch) of a cell of a cube of ``side``, both numbered with x highest."""
+    axes = linear_back(cell, [side] * 3)
+    return linear([(floordiv(a, patch), side // patch) for a in axes]), linear([(F.pmod(a, F.lit(patch)), patch) for a in axes])
+
+
+def unpatched(coarse, place, side: int, patch: int) -> Column:
+    one, two = linear_back(coarse, [side // patch] * 3), linear_back(place, [patch] * 3)
+    return linear([(a * patch + b, side) for a, b in zip(one, two, strict=True)])
+
+
+def tile_rect(low, high, tile: int, tiles: int) -> tuple[Column, Column]:
+    """First tile and the one behind the last of a pixel range, within the grid; division drops what is behind the point."""
+    clamp = lambda v: F.least(F.greatest((v / tile).cast("int"), F.lit(0)), F.lit(tiles))
+    return clamp(col(low)), clamp(col(high) + tile - 1)
+
+
 def alpha(mode, a, cutoff) -> Column:
     """Alpha under a material's mode; the cutoff itself is opaque."""
     return F.when(col(mode) == "OPAQUE", 1.0).when(col(mode) == "MASK", F.when(col(a) < col(cutoff), 0.0).otherwise(1.0)).otherwise(col(a))

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lattica.operators.numbering import with_row_number
+
 AXES = ("x", "y", "z")
 
 
@@ -70,12 +72,14 @@ def triangle_voxels(triangles: DataFrame, size: int) -> DataFrame:
 
 
 def quadrics(planes: DataFrame, key: list[str]) -> DataFrame:
-    """Sums of the quadrics of planes (nx, ny, nz, d: n.p + d = 0) and of sample points (px, py, pz) per cell."""
+    """Sums of the quadrics of planes (nx, ny, nz, d: n.p + d = 0), all ten entries, and the mean of sample points (px, py, pz)
+    and the number of planes per cell."""
     n = {"x": "nx", "y": "ny", "z": "nz"}
     pairs = [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]
     return planes.groupBy(*key).agg(
         *[F.sum(F.col(n[a]) * F.col(n[b])).alias(f"a{a}{b}") for a, b in pairs],
         *[F.sum(-F.col(n[a]) * F.col("d")).alias(f"b{a}") for a in AXES],
+        F.sum(F.col("d") * F.col("d")).alias("c"),
         *[F.avg(f"p{a}").alias(f"m{a}") for a in AXES],
         F.count("*").alias("n"),
     )
@@ -121,6 +125,20 @@ def dual_vertices(cells: DataFrame, regularisation: float = 0.1) -> DataFrame:
     return cells.mapInPandas(run, schema)
 
 
+def concatenated(vertices: DataFrame, mesh: str, order: str) -> DataFrame:
+    """Adds ``vid``, the vertex's number when the meshes are put behind each other, and ``start``, that of its mesh's first
+    vertex: what a mesh's own face indices are raised by."""
+    numbered, _ = with_row_number(vertices, mesh, order, name="vid")
+    starts = numbered.groupBy(mesh).agg(F.min("vid").alias("start"))
+    return numbered.join(starts, mesh)
+
+
+def normalised(vertices: DataFrame, margin: float = 0.99999) -> DataFrame:
+    """The vertices moved and scaled into the unit cube around 0; the bounds are one row."""
+    bounds = vertices.agg(*[((F.min(a) + F.max(a)) / 2).alias(f"_c{a}") for a in AXES], (margin / F.nullif(F.greatest(*[F.max(a) - F.min(a) for a in AXES]), F.lit(0.0))).alias("_scale"))
+    return vertices.join(F.broadcast(bounds)).withColumns({a: (F.col(a) - F.col(f"_c{a}")) * F.col("_scale") for a in AXES}).drop("_scale", *[f"_c{a}" for a in AXES])
+
+
 def crossings(one: Column, two: Column) -> Column:
     """The shares of the way from ``one`` to ``two`` at which whole numbers lie."""
     first, last = F.ceil(F.least(one, two)), F.floor(F.greatest(one, two))

@@ -95,6 +95,27 @@ def densified(df: DataFrame, batch: int, size: int, value: str) -> DataFrame:
     return spine.join(df.filter(F.col("b") == batch).select(*AXES, value), list(AXES), "left").withColumn(value, F.coalesce(F.col(value), F.lit(0)))
 
 
+def densified_all(df: DataFrame, size: int, value: str) -> DataFrame:
+    """(b, x, y, z, value, mask): every cell of the dense grids of all batches; where the table has none the value is zero and
+    the mask false. The batches are listed once and their cells made where they are."""
+    cell = F.explode(F.sequence(F.lit(0), F.lit(size**3 - 1)))
+    at = [F.expr(f"cast(_cell div {size**k} % {size} as int)").alias(a) for k, a in ((2, "x"), (1, "y"), (0, "z"))]
+    spine = df.select("b").distinct().select("b", cell.alias("_cell")).select("b", *at)
+    out = spine.join(df.select("b", *AXES, F.col(value).alias("_v")), ["b", *AXES], "left")
+    return out.select("b", *AXES, F.coalesce("_v", F.lit(0)).alias(value), F.col("_v").isNotNull().alias("mask"))
+
+
+def within_budget(df: DataFrame, coarse: int, resolutions: list[int], most: int, patch: int = 16) -> DataFrame:
+    """(b, resolution, tokens): of the resolutions, given from high to low, the first at which a batch has fewer than ``most``
+    different cells, else the last. All are counted in one pass."""
+    tried = F.explode(F.array(*map(F.lit, resolutions)))
+    rows = df.select("b", *AXES, tried.alias("resolution"))
+    cells = [F.floor((F.col(a) + 0.5) / coarse * F.expr(f"resolution div {patch}")).cast("int").alias(a) for a in AXES]
+    counts = rows.select("b", "resolution", *cells).distinct().groupBy("b", "resolution").agg(F.count("*").alias("tokens"))
+    fits = F.max(F.when((F.col("tokens") < most) | (F.col("resolution") == resolutions[-1]), F.struct("resolution", "tokens"))).alias("r")
+    return counts.groupBy("b").agg(fits).select("b", "r.*")
+
+
 def unique_inverse(df: DataFrame, key: list[str]) -> DataFrame:
     """Adds ``inverse``: the number of the row's key among the sorted distinct keys."""
     numbers, _ = with_row_number(df.select(*key).distinct(), *key, name="inverse")

@@ -80,6 +80,12 @@ def latents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("b"), F.col("embedding").alias("feats"))
 
 
+def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every channel of every latent: its place, its value, and the value at the same place from the end."""
+    both = F.arrays_zip(F.col("feats").cast("array<double>").alias("v"), F.reverse("feats").cast("array<double>").alias("w"))
+    return latents(spark, sf_dir).select("vec_id", "b", F.posexplode(both).alias("pos", "_c")).select("vec_id", "b", "pos", "_c.v", "_c.w")
+
+
 SQL = {
     "v_asset": """SELECT sha256(CAST(doc_id AS VARCHAR)) AS sha256, source AS dataset, lang, CAST(n_chars AS BIGINT) AS num_faces,
        CASE WHEN doc_id % 7 = 0 THEN NULL ELSE CAST(doc_id % 100 AS DOUBLE)/10 END AS aesthetic_score,
@@ -100,6 +106,7 @@ SQL = {
     "v_vertex": """SELECT CAST(p_partkey AS INT) AS vid, CAST(p_partkey * 7 % 13 AS DOUBLE) AS x, CAST(p_partkey * 5 % 11 AS DOUBLE) AS y,
        CAST(p_size % 9 AS DOUBLE) AS z FROM part WHERE p_partkey < 50""",
     "v_view": "SELECT conv_id AS asset_id, CAST(turn AS INT) AS frame, role FROM conversations",
+    "v_channel": "SELECT vec_id, label AS b, CAST(unnest(range(len(embedding))) AS INT) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v, CAST(unnest(list_reverse(embedding)) AS DOUBLE) AS w FROM embeddings",
     "v_latent": "SELECT vec_id, label AS b, embedding AS feats FROM embeddings",
 }
 
