@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 
 def combine_first(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join by a unique key; a left value wins unless it is null; the columns are those of both."""
-    names = [*left.columns, *(c for c in right.columns if c not in left.columns)]
-    both = left.alias("l").join(right.alias("r"), key, "full")
-    pick = {c: [F.col(f"{side}.{c}") for side, frame in (("l", left), ("r", right)) if c in frame.columns] for c in names if c != key}
-    return both.select(key, *[F.coalesce(*cols).alias(c) for c, cols in pick.items()])
+    """The rows of both by a unique key; a left value wins unless it is null; the columns are those of both. A key that repeats
+    in one of them fails the job."""
+    return combine_first_many([left, right], key)
 
 
 def combine_first_many(frames: list[DataFrame], key: str) -> DataFrame:
@@ -22,13 +20,22 @@ def combine_first_many(frames: list[DataFrame], key: str) -> DataFrame:
     marked = [f.withColumn("_prio", F.lit(i)) for i, f in enumerate(frames)]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     names = [c for c in rows.columns if c not in (key, "_prio")]
-    return rows.groupBy(key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_prio"))).alias(c) for c in names])
+    merged = rows.groupBy(key).agg(F.count("*").alias("_n"), F.count_distinct("_prio").alias("_frames"), *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_prio"))).alias(c) for c in names])
+    once = F.when(F.col("_n") > F.col("_frames"), F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast(dict(rows.dtypes)[key]))
+    return merged.select(once.otherwise(F.col(key)).alias(key), *names)
 
 
 def upsert(records: DataFrame, key: str, seq: str) -> DataFrame:
-    """The newest non-null value of each column by ``seq``."""
+    """The newest non-null value of each column by ``seq``; of values with one ``seq`` the greatest."""
     names = [c for c in records.columns if c not in (key, seq)]
-    return records.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(seq))).alias(c) for c in names])
+    return records.groupBy(key).agg(*[F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(seq).alias("at"), F.col(c).alias("value"))))["value"].alias(c) for c in names])
+
+
+def validated(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Adds ``reasons``: the names of the rules that a row breaks, a null counting as broken. The rows without a reason are
+    the good ones, the others the quarantine; both come from one scan."""
+    broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    return df.withColumn("reasons", F.filter(F.array(*broken), lambda x: x.isNotNull()))
 
 
 def at_least(column: str, bound: float) -> Column:

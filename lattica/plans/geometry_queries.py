@@ -93,7 +93,7 @@ def voxel_store_box(spark, sf_dir):
     """A table written by chunk along the z-order curve, and a box read back from it."""
     path = f"{shared_dir(spark)}/voxels-{uuid.uuid4().hex}"
     store.write_voxels(views.voxels(spark, sf_dir).select("b", "x", "y", "z", "n"), path, size=8)
-    return store.read_voxels(spark, path, (3, 8, 0), (20, 15, 30), size=8).select("b", "x", "y", "z", "n")
+    return store.read_voxels(spark, path, (3, 8, 0), (20, 15, 30)).select("b", "x", "y", "z", "n")
 
 
 @query(

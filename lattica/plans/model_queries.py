@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lattica.functions import expr
-from lattica.operators import attention, geometry, sparse, spatial, textures
+from lattica.operators import attention, geometry, registry, sparse, spatial, textures
 from lattica.plans import views
 from lattica.plans.catalog import query
 
@@ -267,3 +267,19 @@ def channel_arithmetic(spark, sf_dir):
     """Tolerance and modulation over all channels."""
     c = views.channels(spark, sf_dir)
     return c.select("vec_id", "pos", expr.within("v", "w", 0.05, 0.1).alias("close"), r(expr.modulated("v", "w", F.col("pos") / 64.0), 5).alias("modulated"))
+
+
+@query("SELECT doc_id, list_filter([CASE WHEN NOT coalesce(n_chars >= 100, false) THEN 'short' END, CASE WHEN NOT coalesce(lang IN ('en', 'de'), false) THEN 'lang' END, CASE WHEN NOT coalesce(source <> 'src3', false) THEN 'source' END], lambda x: x IS NOT NULL) AS reasons FROM documents")
+def quarantine(spark, sf_dir):
+    """Which rules each row breaks; rows with none are good."""
+    d = views.load(spark, sf_dir, "documents")
+    rules = {"short": F.col("n_chars") >= 100, "lang": F.col("lang").isin("en", "de"), "source": F.col("source") != "src3"}
+    return registry.validated(d, rules).select("doc_id", "reasons")
+
+
+@query("SELECT asset_id, arg_min(frame, md5(asset_id || ':' || frame || ':3')) AS frame FROM v_view GROUP BY asset_id")
+def random_view(spark, sf_dir):
+    """One view of each asset, picked by a hash."""
+    v = views.views_of_assets(spark, sf_dir)
+    order = F.md5(F.concat_ws(":", F.col("asset_id").cast("string"), F.col("frame").cast("string"), F.lit("3")).cast("binary"))
+    return v.groupBy("asset_id").agg(F.min_by("frame", order).alias("frame"))

@@ -120,9 +120,95 @@ def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def read_parts(spark: SparkSession, path: str, schema: str, start: str | None = None) -> DataFrame:
-    """CSV part files named ``<stage>/new_records/part_<rank>.csv``, with file name and rank; unreadable lines are dropped with
-    their file's name kept out of the result. ``start``: only files named from there on."""
-    df = spark.read.schema(schema).option("header", "true").option("mode", "DROPMALFORMED").option("ignoreCorruptFiles", "true").option("pathGlobFilter", "part_*.csv").csv(path)
-    df = df.select("*", F.col("_metadata.file_name").alias("file"))
+    """CSV part files named ``<stage>/new_records/part_<rank>.csv``, with file name, rank and ``bad``: the text of a line that
+    doesn't fit the schema, whose columns may be null then. ``good_lines`` and ``bad_lines`` part them. ``start``: only files
+    named from there on."""
+    reader = spark.read.schema(f"{schema}, bad string").option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad")
+    lines = reader.option("pathGlobFilter", "part_*.csv").csv(path)
+    names = [c for c in lines.columns if c != "bad"]
+    # a line is judged by all its columns, also where a query reads few of them
+    bad = F.when(F.hash(*names) >= -(1 << 31), F.col("bad"))
+    df = lines.select(*names, bad.alias("bad"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("file_path"))
     df = df.withColumn("rank", F.regexp_extract("file", r"part_(\d+)\.csv$", 1).cast("int"))
     return df.filter(F.col("file") >= start) if start else df
+
+
+def good_lines(parts: DataFrame) -> DataFrame:
+    return parts.filter("bad is null").drop("bad")
+
+
+def bad_lines(parts: DataFrame) -> DataFrame:
+    """The quarantine: (file, rank, bad) of the lines that don't fit, to be counted and kept."""
+    return parts.filter("bad is not null").select("file", "rank", "bad")
+
+
+def archived(spark: SparkSession, parts: DataFrame, target: str, stamp: str) -> list[str]:
+    """Moves the files that ``parts`` (read_parts) came from to ``target``/<stamp>_<name>, once what was made of them is
+    written; returns the new paths. The driver sees one name a file. A file that is gone already is left out, so a run that
+    broke off can be repeated."""
+    jvm, moved = spark._jvm, []
+    for row in parts.select("file_path", "file").distinct().orderBy("file_path").collect():
+        source, at = jvm.org.apache.hadoop.fs.Path(row.file_path), jvm.org.apache.hadoop.fs.Path(f"{target}/{stamp}_{row.file}")
+        fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(at.getParent())
+        if fs.exists(source) and fs.rename(source, at):
+            moved.append(at.toString())
+    return moved
+
+
+def write_log_lines(logs: DataFrame, path: str, step: str = "step", mode: str = "append") -> None:
+    """One line ``step: {json of the other columns}`` a row, as logs.parsed() reads them."""
+    rest = [c for c in logs.columns if c != step]
+    logs.select(F.concat(F.col(step).cast("string"), F.lit(": "), F.to_json(F.struct(*rest))).alias("value")).write.mode(mode).text(path)
+
+
+def ply_voxel_contents(df: DataFrame, key: str, attributes: list[str]) -> DataFrame:
+    """(key, content): a binary PLY file of each key's voxels (x, y, z) whose array columns ``attributes`` become properties
+    ``<attribute>_<channel>``. A key should be a chunk of bounded size."""
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values(["x", "y", "z"])
+        columns = {a: part[a].to_numpy(dtype="<i4") for a in "xyz"}
+        for name in attributes:
+            values = np.array(part[name].tolist(), dtype="<f4").reshape(len(part), -1)
+            columns |= {f"{name}_{k}": values[:, k] for k in range(values.shape[1])}
+        table = np.rec.fromarrays(list(columns.values()), names=list(columns))
+        kinds = {"i": "int", "f": "float"}
+        head = ["ply", "format binary_little_endian 1.0", f"element vertex {len(part)}", *(f"property {kinds[c.dtype.kind]} {n}" for n, c in columns.items()), "end_header", ""]
+        return pd.DataFrame({key: [part[key].iloc[0]], "content": ["\n".join(head).encode() + table.tobytes()]})
+
+    return df.select(key, "x", "y", "z", *attributes).groupBy(key).applyInPandas(pack, f"{key} {dict(df.dtypes)[key]}, content binary")
+
+
+def read_ply_voxels(spark: SparkSession, path: str, attributes: list[str]) -> DataFrame:
+    """(path, x, y, z, attributes) of ``*.ply`` files: the properties ``<attribute>_<channel>`` as one array an attribute."""
+
+    def parse(content: bytes) -> pd.DataFrame:
+        v = ply_elements(content)["vertex"]
+        out = pd.DataFrame({a: np.array(v[a], dtype=np.int32) for a in "xyz"})
+        for name in attributes:
+            channels = sorted((c for c in v if c.rpartition("_")[0] == name), key=lambda c: int(c.rpartition("_")[2]))
+            out[name] = list(np.array([v[c] for c in channels], dtype=np.float32).reshape(len(channels), len(out)).T)
+        return out
+
+    return _parsed(spark, path, "*.ply", parse, "x int, y int, z int, " + ", ".join(f"{a} array<float>" for a in attributes))
+
+
+def read(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Reads a table by the extension of its path; an unknown one is an error."""
+    kind = path.rstrip("/").rpartition(".")[2].lower()
+    if kind == "npz":
+        return read_npz(spark, path)
+    if kind == "ply":
+        return read_ply_voxels(spark, path, **options)
+    if kind not in ("parquet", "csv", "json", "orc"):
+        raise ValueError(f"no reader for .{kind}")
+    return spark.read.options(**({"header": "true"} | options if kind == "csv" else options)).format(kind).load(path)
+
+
+def write(df: DataFrame, path: str, mode: str = "errorifexists", **options) -> None:
+    """Writes a table by the extension of its path; an unknown one is an error."""
+    kind = path.rstrip("/").rpartition(".")[2].lower()
+    if kind not in ("parquet", "csv", "json", "orc"):
+        raise ValueError(f"no writer for .{kind}")
+    df.write.mode(mode).options(**({"header": "true"} | options if kind == "csv" else options)).format(kind).save(path)

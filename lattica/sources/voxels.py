@@ -18,19 +18,21 @@ def chunked(df: DataFrame, size: int) -> DataFrame:
 
 
 def write_voxels(df: DataFrame, path: str, size: int = 256, codec: str = "zstd") -> None:
-    """Writes rows with x, y, z: partitioned by chunk, sorted along the curve in each file. ``codec``: none, gzip or zstd. Rows
-    are dealt by ranges of (chunk, code), so one crowded chunk is spread over several files."""
-    rows = chunked(df, size)
-    rows.repartitionByRange(*CHUNKS, "zcode").sortWithinPartitions(*CHUNKS, "zcode").write.option("compression", codec).partitionBy(*CHUNKS).mode("overwrite").parquet(path)
+    """Writes rows with x, y, z: partitioned by the chunks' size and chunk, sorted along the curve in each file. ``codec``: none,
+    gzip or zstd. Rows are dealt by ranges of (chunk, code), so one crowded chunk is spread over several files."""
+    rows = chunked(df, size).withColumn("chunk_size", F.lit(size))
+    rows.repartitionByRange(*CHUNKS, "zcode").sortWithinPartitions(*CHUNKS, "zcode").write.option("compression", codec).partitionBy("chunk_size", *CHUNKS).mode("overwrite").parquet(path)
 
 
-def read_voxels(spark: SparkSession, path: str, low: tuple[int, int, int] | None = None, high: tuple[int, int, int] | None = None, size: int = 256) -> DataFrame:
-    """Reads the voxels of a box (both ends inside; None: all). Whole chunks outside are never listed."""
+def read_voxels(spark: SparkSession, path: str, low: tuple[int, int, int] | None = None, high: tuple[int, int, int] | None = None) -> DataFrame:
+    """Reads the voxels of a box (both ends inside; None: all). The chunks' size stands in the folders' names, so whole chunks
+    outside are pruned whatever size they were written with."""
     df = spark.read.parquet(path)
     if low is not None and high is not None:
         for a, c, lo, hi in zip(AXES, CHUNKS, low, high, strict=True):
-            df = df.filter(F.col(c).between(lo // size, hi // size) & F.col(a).between(lo, hi))
-    return df.drop(*CHUNKS, "zcode")
+            first, last = (F.floor(F.lit(v) / F.col("chunk_size")) for v in (lo, hi))
+            df = df.filter((F.col(c) >= first) & (F.col(c) <= last) & F.col(a).between(lo, hi))
+    return df.drop("chunk_size", *CHUNKS, "zcode")
 
 
 def voxel_info(spark: SparkSession, path: str) -> DataFrame:

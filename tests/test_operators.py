@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lattica.functions import expr
-from lattica.operators import filters, geometry, logs, mapping, numbering, registry, sampling, sparse, spatial
+from lattica.operators import attention, filters, geometry, logs, mapping, numbering, registry, sampling, sparse, spatial, textures
 from lattica.session import ship
 from lattica.sources import files, voxels
 from lattica.streaming import records, state
@@ -353,19 +353,105 @@ def test_voxel_store(spark, tmp_path, codec):
     df = grid(spark, 6).withColumn("v", F.col("x") * 36 + F.col("y") * 6 + F.col("z"))
     path = str(tmp_path / "v")
     voxels.write_voxels(df, path, size=4, codec=codec)
-    assert rows(voxels.read_voxels(spark, path, size=4), "v") == list(range(216))
-    box = voxels.read_voxels(spark, path, (0, 1, 2), (3, 1, 5), size=4)
+    assert rows(voxels.read_voxels(spark, path), "v") == list(range(216))
+    box = voxels.read_voxels(spark, path, (0, 1, 2), (3, 1, 5))
     assert rows(box, "v") == sorted(x * 36 + 6 + z for x in range(4) for z in range(2, 6))
     info = voxels.voxel_info(spark, path)
     assert info.count() == 8 and info.agg(F.sum("n")).first()[0] == 216
 
 
 def test_part_files(spark, tmp_path):
+    source = tmp_path / "new_records"
+    source.mkdir()
     for rank in range(3):
-        (tmp_path / f"part_{rank}.csv").write_text(f"sha256,done\nk{rank},true\nbad,line,too,long\n")
-    (tmp_path / "other.txt").write_text("x")
-    got = files.read_parts(spark, str(tmp_path), "sha256 string, done boolean")
-    assert ("k2", 2) in rows(got.filter("done"), "sha256", "rank") and rows(files.read_parts(spark, str(tmp_path), "sha256 string, done boolean", "part_1.csv").filter("done"), "rank") == [1, 2]
+        (source / f"part_{rank}.csv").write_text(f"sha256,done\nk{rank},true\nbad,line,too,long\nworse,maybe\n")
+    (source / "other.txt").write_text("x")
+    read = lambda *start: files.read_parts(spark, str(source), "sha256 string, done boolean", *start)
+    assert rows(files.good_lines(read()), "sha256", "done", "rank") == [(f"k{k}", True, k) for k in range(3)]
+    assert rows(files.bad_lines(read()), "rank", "bad") == [(k, x) for k in range(3) for x in ("bad,line,too,long", "worse,maybe")]
+    assert rows(files.good_lines(read("part_1.csv")), "rank") == [1, 2]
+    moved = files.archived(spark, read("part_1.csv"), str(tmp_path / "merged"), "2024")
+    assert [m.rpartition("/")[2] for m in moved] == ["2024_part_1.csv", "2024_part_2.csv"] and rows(files.good_lines(read()), "rank") == [0]
+    assert rows(files.good_lines(spark.read.csv(str(tmp_path / "merged"), header=True).withColumn("bad", F.lit(None))), "sha256").count("k1") == 1
+
+
+def test_log_lines(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 2.5), (2, "b", None)], "step long, name string, loss double")
+    files.write_log_lines(df, str(tmp_path / "log"))
+    back = logs.parsed(spark.read.text(str(tmp_path / "log")), "value", "name string, loss double").select("step", "log.*")
+    assert sorted(map(tuple, back.collect())) == [(1, "a", 2.5), (2, "b", None)]
+
+
+def test_dispatch(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    for kind in ("parquet", "csv", "json"):
+        path = str(tmp_path / f"t.{kind}")
+        files.write(df, path)
+        assert [int(k) for k in rows(files.read(spark, path), "k")] == [1, 2]
+    for call in (lambda: files.read(spark, "x.zip"), lambda: files.write(df, "x.zip")):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_ply_voxels(spark, tmp_path):
+    ship(spark)
+    df = grid(spark, 3).withColumns({"color": F.array(*[F.col(a).cast("float") / 4 for a in "xyz"]), "mask_on": F.array(F.col("x").cast("float"))})
+    for r in files.ply_voxel_contents(df, "b", ["color", "mask_on"]).collect():
+        (tmp_path / f"{r.b}.ply").write_bytes(bytes(r.content))
+    back = files.read(spark, str(tmp_path / "0.ply"), attributes=["color", "mask_on"]).collect()
+    assert sorted((r.x, r.y, r.z, r.color, r.mask_on) for r in back) == sorted((x, y, z, [x / 4, y / 4, z / 4], [float(x)]) for x in range(3) for y in range(3) for z in range(3))
+
+
+def test_repeated_keys_fail(spark):
+    left, right = (spark.createDataFrame(x, "k string, v int") for x in ([("a", 1)], [("a", 2), ("a", 3)]))
+    with pytest.raises(Exception, match="repeats"):
+        registry.combine_first(left, right, "k").collect()
+    assert rows(registry.combine_first(left, left, "k"), "k", "v") == [("a", 1)]
+
+
+def test_attention(spark):
+    """Attention in tiles against the plain formula, with a batch of one row and null arrays."""
+    ship(spark)
+    rng = np.random.default_rng(1)
+    data = [(i, i % 3 if i < 40 else 9, *(rng.normal(size=n).tolist() for n in (4, 4, 2))) for i in range(41)] + [(99, 0, None, [0.0] * 4, [1.0, 1.0])]
+    df = spark.createDataFrame(data, "id long, b int, q array<double>, k array<double>, v array<double>")
+    for tile in (5, 512):
+        got = {r.id: r.out for r in attention.attended(df, ["b"], "id", "q", "k", "v", tile).collect()}
+        assert set(got) == set(range(41))
+        for i, b, q, _, _ in data[:41]:
+            mine = [d for d in data[:41] if d[1] == b]
+            s = np.array([np.dot(q, d[3]) / 2 for d in mine])
+            w = np.exp(s - s.max())
+            assert np.allclose(got[i], w @ np.array([d[4] for d in mine]) / w.sum())
+
+
+def test_textures(spark):
+    """Samples of a mip chain against a loop, under each wrap mode."""
+    tex = np.arange(64, dtype=float).reshape(8, 8) % 7
+    chain = [tex]
+    while len(chain[-1]) > 1:
+        t = chain[-1]
+        chain.append((t[::2, ::2] + t[1::2, ::2] + t[::2, 1::2] + t[1::2, 1::2]) / 4)
+    levels = textures.mipmaps(spark.createDataFrame([(y, x, float(tex[y, x])) for y in range(8) for x in range(8)], "ty int, tx int, value double"), 8)
+    assert all(abs(r.value - chain[r.level][r.ty, r.tx]) < 1e-12 for r in levels.collect()) and levels.count() == 64 + 16 + 4 + 1
+    wrap = {"repeat": lambda i, n: i % n, "clamp": lambda i, n: min(max(i, 0), n - 1), "mirror": lambda i, n: i % (2 * n) if i % (2 * n) < n else 2 * n - 1 - i % (2 * n)}
+    rng = random.Random(2)
+    points = [(i, rng.uniform(-1, 2), rng.uniform(-1, 2), rng.choice([0.0, 0.01, 0.2, 0.37, 5.0])) for i in range(60)]
+
+    def flat(t, u, v, mode):
+        n = len(t)
+        x, y = u * n - 0.5, (1 - v) * n - 0.5
+        x0, y0 = int(np.floor(x)), int(np.floor(y))
+        return sum(t[wrap[mode](y0 + b, n), wrap[mode](x0 + a, n)] * (x - x0 if a else 1 - x + x0) * (y - y0 if b else 1 - y + y0) for a in (0, 1) for b in (0, 1))
+
+    df = spark.createDataFrame(points, "id int, u double, v double, len double")
+    for mode in wrap:
+        got = {r.id: r.value for r in textures.sampled(df, "id", levels, 8, mode).collect()}
+        for i, u, v, length in points:
+            level = min(max(np.log2(length * 8), 0), 3) if length else 0
+            low = int(level)
+            want = flat(chain[low], u, v, mode) * (1 - level + low) + (flat(chain[low + 1], u, v, mode) * (level - low) if level > low else 0)
+            assert abs(got[i] - want) < 1e-9
 
 
 def test_file_hashes(spark, tmp_path):
