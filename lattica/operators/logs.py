@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lattica.operators.numbering import with_place
+
 
 def parsed(lines: DataFrame, line: str, schema: str) -> DataFrame:
     """``step: {json}`` lines as (step, log); lines of another form are left out."""
@@ -26,39 +28,54 @@ def leaves(struct: Column, fields: list[str]) -> Column:
     return F.filter(pairs, lambda p: p["value"].isNotNull())
 
 
-def clip_limit(rows: DataFrame, run: str, step: str, value: str, size: int, share: float, cap: float) -> DataFrame:
-    """Adds ``limit``: min(cap, the ``share`` percentile of the last ``size`` finite values of a run), once so many are there."""
-    w = Window.partitionBy(run).orderBy(step).rowsBetween(-(size - 1), 0)
+#: Rows of a run that are worked on in one place.
+BLOCK = 100_000
+
+
+def _blocks(rows: DataFrame, run: str, step: str, overlap: int, block: int) -> DataFrame:
+    """The rows of a run in blocks (``_block``) of ``block`` rows by step, each with the ``overlap`` rows before it, which are
+    marked ``_again``; ``_i`` is the row's number in its run."""
+    at = with_place(rows, run, step, "_i")
+    size = max(block, overlap, 1)
+    own = F.floor(F.col("_i") / size)
+    late = F.array(*[F.struct(own.alias("_block"), F.lit(False).alias("_again"))])
+    both = F.array(F.struct(own.alias("_block"), F.lit(False).alias("_again")), F.struct((own + 1).alias("_block"), F.lit(True).alias("_again")))
+    return at.select("*", F.inline(F.when(F.col("_i") % size >= size - overlap, both).otherwise(late)))
+
+
+def clip_limit(rows: DataFrame, run: str, step: str, value: str, size: int, share: float, cap: float, block: int = BLOCK) -> DataFrame:
+    """Adds ``limit``: min(cap, the ``share`` percentile of the last ``size`` finite values of a run), once so many are there. A
+    run is worked on in blocks that overlap, so a long one is many tasks."""
+    w = Window.partitionBy(run, "_block").orderBy(step).rowsBetween(-(size - 1), 0)
     finite = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), F.col(value))
     full = F.count(finite).over(w) == size
-    return rows.withColumn("limit", F.when(full, F.least(F.lit(cap), F.percentile(finite, F.lit(share)).over(w))).otherwise(F.lit(cap)))
+    out = _blocks(rows, run, step, size - 1, block).withColumn("limit", F.when(full, F.least(F.lit(cap), F.percentile(finite, F.lit(share)).over(w))).otherwise(F.lit(cap)))
+    return out.filter(~F.col("_again")).drop("_block", "_again", "_i")
 
 
 def rolling_fit(rows: DataFrame, run: str, step: str, y: str, x: str, size: int, every: int) -> DataFrame:
-    """Adds slope and intercept of y over x on the last ``size`` rows, fitted at every ``every``-th row and carried on."""
-    order = Window.partitionBy(run).orderBy(step)
-    w = order.rowsBetween(-(size - 1), 0)
-    refit = F.row_number().over(order) % every == 0
-    out = rows.withColumns({"slope": F.when(refit, F.regr_slope(y, x).over(w)), "intercept": F.when(refit, F.regr_intercept(y, x).over(w))})
-    carry = order.rowsBetween(Window.unboundedPreceding, 0)
-    return out.withColumns({c: F.last(c, ignorenulls=True).over(carry) for c in ("slope", "intercept")})
+    """Adds slope and intercept of y over x on the last ``size`` rows, fitted at every ``every``-th row and carried on. Each row
+    is added to the fits that it belongs to, and each row takes the last fit up to it by equality: no run is one task."""
+    at = with_place(rows, run, step, "_i").withColumn("_i", F.col("_i") + 1)
+    first, last = F.ceil(F.col("_i") / every), F.floor((F.col("_i") + size - 1) / every)
+    fits = F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>")))
+    fitted = at.select(run, y, x, fits.alias("_fit")).groupBy(run, "_fit").agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
+    return at.withColumn("_fit", F.floor(F.col("_i") / every)).join(fitted.filter("_fit > 0"), [run, "_fit"], "left").drop("_i", "_fit")
 
 
 def ema(rows: DataFrame, run: str, step: str, value: str, rate: float) -> DataFrame:
-    """Last exponential mean of each run. Weights of far steps vanish, so a run is summed with powers of the rate over its
-    step numbers instead of being held in one list."""
-    order = Window.partitionBy(run).orderBy(step)
-    numbered = rows.withColumns({"_i": F.row_number().over(order), "_n": F.count("*").over(Window.partitionBy(run))})
-    weight = F.when(F.col("_i") == 1, F.pow(F.lit(rate), F.col("_n") - 1)).otherwise((1 - rate) * F.pow(F.lit(rate), F.col("_n") - F.col("_i")))
-    return numbered.groupBy(run).agg(F.sum(weight * F.col(value)).alias("ema"))
+    """Last exponential mean of each run: its values summed with powers of the rate by their place, in one aggregation."""
+    at = with_place(rows, run, step, "_i", "_n")
+    weight = F.when(F.col("_i") == 0, F.pow(F.lit(rate), F.col("_n") - 1)).otherwise((1 - rate) * F.pow(F.lit(rate), F.col("_n") - 1 - F.col("_i")))
+    return at.groupBy(run).agg(F.sum(weight * F.col(value)).alias("ema"))
 
 
 def throughput(rows: DataFrame, run: str, step: str, elapsed: str, every: int, total: int) -> DataFrame:
-    """At every ``every``-th row of a run: rows a second since the last such row, and seconds left to ``total`` rows."""
-    order = Window.partitionBy(run).orderBy(step)
-    marks = rows.withColumn("i", F.row_number().over(order)).filter(F.col("i") % every == 0)
-    took = F.col(elapsed) - F.lag(elapsed).over(order)
-    out = marks.withColumn("speed", every / F.nullif(took, F.lit(0.0)))
+    """At every ``every``-th row ``i`` of a run: rows a second since the last such row, and seconds left to ``total`` rows. A row
+    and the one before it are joined by their number."""
+    marks = with_place(rows, run, step, "i").withColumn("i", F.col("i") + 1).filter(F.col("i") % every == 0)
+    before = marks.select(F.col(run), (F.col("i") + every).alias("i"), F.col(elapsed).alias("_before"))
+    out = marks.join(before, [run, "i"], "left").withColumn("speed", every / F.nullif(F.col(elapsed) - F.col("_before"), F.lit(0.0))).drop("_before")
     return out.withColumn("eta", (total - F.col("i")) / F.col("speed"))
 
 

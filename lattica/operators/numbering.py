@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.session import shared_dir
 
 
+#: Groups up to so many are broadcast with their first row's number.
+BROADCAST_GROUPS = 1_000_000
+
+
 def _fixed(df: DataFrame) -> DataFrame:
     """The rows with their partitions held fast by a checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
@@ -43,6 +47,32 @@ def with_row_number(df: DataFrame, *order: str | Column, name: str = "row_number
     return placed.withColumn(part, number).join(offsets, part).withColumn(name, F.col(start) + within).drop(part, start, at), n
 
 
+def running_totals(df: DataFrame, order: str, value: str) -> DataFrame:
+    """Adds ``start`` and ``stop``: the total of ``value`` over the rows before in ``order``, and with the row's own. Totals of
+    range partitions reach the driver, one number each; within a partition the rows are added up in their order."""
+    part = unused(df, "_part")
+    placed = _fixed(df.repartitionByRange(order).withColumn(part, F.spark_partition_id()))
+    before, starts = 0, []
+    for p, total in sorted(tuple(r) for r in placed.groupBy(part).agg(F.sum(value)).collect()):
+        starts.append((p, before))
+        before += total or 0
+    offsets = F.broadcast(df.sparkSession.createDataFrame(starts, f"{part} int, _before long"))
+    own = F.sum(value).over(Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    out = placed.withColumn("_own", F.coalesce(own, F.lit(0))).join(offsets, part)
+    return out.withColumns({"stop": F.col("_before") + F.col("_own"), "start": F.col("_before") + F.col("_own") - F.coalesce(F.col(value), F.lit(0))}).drop(part, "_before", "_own")
+
+
+def with_place(df: DataFrame, group: str, order: str, name: str = "place", count: str | None = None) -> DataFrame:
+    """Adds the row's number from 0 within its group, in ``order``, and the group's size as ``count``: row numbers over
+    everything less that of the group's first row. No group has to fit in a task."""
+    number = unused(df, "_number")
+    rows, _ = with_row_number(df, group, order, name=number)
+    firsts = rows.groupBy(F.col(group).alias("_group")).agg(F.min(number).alias("_first"), F.count("*").alias("_count"))
+    few = firsts.count() <= BROADCAST_GROUPS
+    out = rows.join(F.broadcast(firsts) if few else firsts, F.col(group).eqNullSafe(F.col("_group"))).withColumn(name, F.col(number) - F.col("_first"))
+    return (out.withColumn(count, F.col("_count")) if count else out).drop(number, "_group", "_first", "_count")
+
+
 def shard_slice(df: DataFrame, key: str, rank: int, world: int) -> DataFrame:
     """The contiguous slice ``[n*rank//world, n*(rank+1)//world)`` of the rows in order of ``key``."""
     rows, n = with_row_number(df, key)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.functions.expr import floordiv
-from lattica.operators.numbering import with_row_number
+from lattica.operators.numbering import running_totals, with_row_number
 
 AXES = ("x", "y", "z")
 COORDS = ("b", *AXES)
@@ -66,10 +66,8 @@ def from_channels(wide: DataFrame, mask: DataFrame, factor: int = 2, name: str =
 
 
 def layout(df: DataFrame, batch: str = "b") -> DataFrame:
-    """(batch, n, start, stop): where each batch's rows lie. The window runs over one row a batch."""
-    counts = df.groupBy(batch).agg(F.count("*").alias("n"))
-    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return counts.withColumn("stop", F.sum("n").over(w)).select(batch, "n", (F.col("stop") - F.col("n")).alias("start"), "stop")
+    """(batch, n, start, stop): where each batch's rows lie, however many batches there are."""
+    return running_totals(df.groupBy(batch).agg(F.count("*").alias("n")), batch, "n").select(batch, "n", "start", "stop")
 
 
 def concatenated(frames: list[DataFrame], batches: list[int]) -> DataFrame:

@@ -19,36 +19,54 @@ def file_stream(spark: SparkSession, path: str, files_per_batch: int | None = No
     return reader.parquet(path)
 
 
-def merged(stream: DataFrame, key: str, seq: str, state: str, checkpoint: str) -> DataFrame:
+#: Buckets of a registry's keys: a micro-batch rewrites those that it has keys of.
+BUCKETS = 64
+
+
+def _versions(spark: SparkSession, state: str) -> dict[int, list[int]]:
+    """bucket -> numbers of the micro-batches that have written it, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/*/_bucket=*")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[int, list[int]] = {}
+    for status in fs.globStatus(at) or []:
+        number, bucket = status.getPath().toString().rsplit("/", 2)[1:]
+        if number.isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{state}/{number}/_SUCCESS")):
+            out.setdefault(int(bucket.partition("=")[2]), []).append(int(number))
+    return {b: sorted(n) for b, n in out.items()}
+
+
+def merged(stream: DataFrame, key: str, seq: str, state: str, checkpoint: str, buckets: int = BUCKETS) -> DataFrame:
     """Merges a stream of sparse records into a registry: the newest non-null value of each column, by ``seq``.
 
-    Each micro-batch is reduced to one row a key with each column's value and its seq, merged with the table of the batch
-    before and written under its own number, so a batch that is run again writes the same table. What there is is worked
-    off, then the stream ends; a later call with the same folders goes on from there."""
+    The registry lies in buckets by a hash of the key. Each micro-batch is reduced to one row a key with each column's value
+    and its seq, merged with the buckets it touches and written under its own number, so a batch that is run again writes
+    the same; versions before the one it has read are deleted. What there is is worked off, then the stream ends; a later
+    call with the same folders goes on from there."""
     names = [c for c in stream.columns if c not in (key, seq)]
     kinds = dict(stream.dtypes)
     spark = stream.sparkSession
+    table = f"{key} {kinds[key]}, " + ", ".join(f"{c} struct<at: {kinds[seq]}, value: {kinds[c]}>" for c in names)
 
-    def latest(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(key).agg(*[F.max(F.when(F.col(f"{c}.value").isNotNull(), F.struct(f"{c}.at", f"{c}.value"))).alias(c) for c in names])
+    def held(versions: dict[int, int]) -> DataFrame:
+        paths = [f"{state}/{n}/_bucket={b}" for b, n in versions.items()]
+        return spark.read.schema(table).parquet(*paths) if paths else spark.createDataFrame([], table)
 
     def take(batch: DataFrame, number: int) -> None:
         rows = batch.select(key, *[F.struct(F.col(seq).alias("at"), F.col(c).alias("value")).alias(c) for c in names])
-        if number:
-            rows = rows.unionByName(spark.read.parquet(f"{state}/{number - 1}"))
-        latest(rows).write.mode("overwrite").parquet(f"{state}/{number}")
-
-    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    progress = [p["batchId"] for p in query.recentProgress]
-    last = max(progress) if progress else 0
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{state}/{last}")
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        last -= 1
-    if last < 0:
-        return spark.createDataFrame([], f"{key} {kinds[key]}, " + ", ".join(f"{c} {kinds[c]}" for c in names))
-    return spark.read.parquet(f"{state}/{last}").select(key, *[F.col(f"{c}.value").alias(c) for c in names])
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        touched = {r[0] for r in rows.select(bucket).distinct().collect()}
+        versions = {b: [n for n in found if n < number] for b, found in _versions(spark, state).items() if b in touched}
+        rows = rows.unionByName(held({b: n[-1] for b, n in versions.items() if n}))
+        latest = rows.groupBy(key).agg(*[F.max(F.when(F.col(f"{c}.value").isNotNull(), F.struct(f"{c}.at", f"{c}.value"))).alias(c) for c in names])
+        latest.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(f"{state}/{number}")
+        for b, found in versions.items():
+            for n in found[:-1]:
+                at = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/{n}/_bucket={b}")
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    out = held({b: n[-1] for b, n in _versions(spark, state).items()})
+    return out.select(key, *[F.col(f"{c}.value").alias(c) for c in names])
 
 
 def merged_once(spark: SparkSession, path: str, shape, key: str, seq: str) -> DataFrame:
