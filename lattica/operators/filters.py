@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lattica.operators.spatial import around, at_move
+
 AXES = ("x", "y", "z")
 #: Neighbours in the order in which a later one overrides an earlier one (fixed values).
 NEIGHBOURS = [(1, 0, 0), (0, 1, 0), (0, 0, 1), (1, 1, 0), (1, 0, 1), (0, 1, 1), (1, 1, 1)]
@@ -47,6 +49,14 @@ def sibling_values(df: DataFrame, chunk: str, code: str, delta: str, depth: int)
     return df.select(chunk, code, delta).groupBy(chunk).applyInPandas(run, f"{chunk} {kinds[chunk]}, {code} {kinds[code]}, value int")
 
 
+def neighbour_deltas(df: DataFrame, value: str) -> DataFrame:
+    """(b, x, y, z, delta): each voxel's byte less that of its last existing neighbour in the fixed order, within its ``b`` (a
+    batch or a chunk); one shuffle."""
+    back = [tuple(-d for d in move) for move in NEIGHBOURS]
+    met = around(df.select("b", *AXES, value), back, [value], own=at_move(-1, value), p=F.max_by(value, F.when(F.col("k") >= 0, F.col("k"))))
+    return met.select("b", *AXES, F.pmod(F.col("own") - F.coalesce("p", F.lit(0)), F.lit(256)).alias("delta"))
+
+
 def neighbour_values(df: DataFrame, chunk: str, delta: str) -> DataFrame:
     """(chunk, x, y, z, value) from bytes less those of the last existing neighbour, one chunk at a time."""
 

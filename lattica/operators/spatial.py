@@ -125,12 +125,16 @@ def trilinear(points: DataFrame, table: DataFrame, value: str) -> DataFrame:
     return hit.groupBy("pid").agg(F.sum(F.when(found, F.col("w")).otherwise(0.0)).alias("weight"), (F.sum(F.when(found, F.col("w") * F.col("_v"))) / F.nullif(F.sum(F.when(found, F.col("w"))), F.lit(0.0))).alias("value"))
 
 
-def overlapping(boxes: DataFrame, table: DataFrame) -> DataFrame:
-    """Voxels of ``table`` in each box (id, b, lo_*, hi_*): the box's cells are listed and joined on equality."""
-    out = boxes
+def overlapping(boxes: DataFrame, table: DataFrame, chunk: int = 8) -> DataFrame:
+    """Voxels of ``table`` in each box (id, b, lo_*, hi_*): the chunks that a box meets are listed and joined on equality, and
+    their voxels filtered. Rows of a box grow with its volume over chunk**3."""
+    out, at = boxes, {a: floordiv(a, chunk).alias(f"_{a}") for a in AXES}
     for a in AXES:
-        out = out.withColumn(a, F.explode(F.sequence(f"lo_{a}", f"hi_{a}")))
-    return out.join(table, ["b", *AXES])
+        out = out.withColumn(f"_{a}", F.explode(F.sequence(floordiv(f"lo_{a}", chunk), floordiv(f"hi_{a}", chunk))))
+    met = out.join(table.select("*", *at.values()), ["b", *(f"_{a}" for a in AXES)])
+    for a in AXES:
+        met = met.filter(F.col(a).between(F.col(f"lo_{a}"), F.col(f"hi_{a}")))
+    return met.drop(*(f"_{a}" for a in AXES))
 
 
 def first_hits(fragments: DataFrame, pixel: list[str], depth: str, value: str) -> DataFrame:

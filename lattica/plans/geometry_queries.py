@@ -10,7 +10,7 @@ from lattica.functions import expr
 from lattica.operators import geometry, spatial
 from lattica.plans import views
 from lattica.plans.catalog import query
-from lattica.plans.sparse_queries import ZCODE
+from lattica.plans.sparse_queries import ZCODE, batch_and_code, chunk_and_code
 from lattica.session import shared_dir
 from lattica.sources import voxels as store
 from lattica.streaming import records, state
@@ -83,9 +83,9 @@ def qef_solve(spark, sf_dir):
 
 @query(f"SELECT b, {ZCODE} AS code FROM v_voxel")
 def svo_roundtrip(spark, sf_dir):
-    """Octree bytes of each batch, and the voxels' codes found back from them."""
-    z = views.voxels(spark, sf_dir).select("b", expr.zorder("x", "y", "z").alias("code"))
-    return geometry.octree_leaves(geometry.octree_bytes(z, "b", "code", 5), "b", 5)
+    """Octree bytes of each chunk of 8x8x8 voxels, and the voxels' codes found back from them."""
+    z = views.voxels(spark, sf_dir).select(*chunk_and_code())
+    return geometry.octree_leaves(geometry.octree_bytes(z, "chunk", "code", 3), "chunk", 3).select(*batch_and_code())
 
 
 @query("SELECT b, x, y, z, n FROM v_voxel WHERE x BETWEEN 3 AND 20 AND y BETWEEN 8 AND 15 AND z BETWEEN 0 AND 30")

@@ -353,9 +353,7 @@ def submanifold_neighbours(spark, sf_dir):
 def neighbour_delta_filter(spark, sf_dir):
     """Each attribute less that of its last existing neighbour in the order x, y, z, xy, xz, yz, xyz, as a byte."""
     v = views.voxels(spark, sf_dir).select("b", "x", "y", "z", F.pmod("n", F.lit(256)).cast("int").alias("v"))
-    moves = [(-1, 0, 0), (0, -1, 0), (0, 0, -1), (-1, -1, 0), (-1, 0, -1), (0, -1, -1), (-1, -1, -1)]
-    met = spatial.around(v, moves, ["v"], own=spatial.at_move(-1, "v"), p=F.max_by("v", F.when(F.col("k") >= 0, F.col("k"))))
-    return met.select("b", "x", "y", "z", F.pmod(F.col("own") - F.coalesce("p", F.lit(0)), F.lit(256)).alias("delta"))
+    return filters.neighbour_deltas(v, "v")
 
 
 @query(
@@ -370,15 +368,32 @@ def sibling_delta_filter(spark, sf_dir):
     return filters.sibling_deltas(z, "b", "code", "v", 5)
 
 
+def chunk_and_code():
+    """A voxel's chunk of 8x8x8, numbered through all batches along the curve, and its code there."""
+    code = expr.zorder("x", "y", "z")
+    return (F.col("b").cast("long") * 64 + F.shiftright(code, 9)).alias("chunk"), code.bitwiseAND(511).alias("code")
+
+
+def batch_and_code():
+    return F.expr("cast(chunk div 64 as int)").alias("b"), F.expr("shiftleft(chunk % 64, 9) + code").alias("code")
+
+
 @query(f"SELECT b, {ZCODE} AS code, CAST(n * 37 % 256 AS INT) AS value FROM v_voxel")
 def sibling_delta_roundtrip(spark, sf_dir):
-    z = views.voxels(spark, sf_dir).select("b", expr.zorder("x", "y", "z").alias("code"), (F.col("n") * 37 % 256).cast("int").alias("v"))
-    return filters.sibling_values(filters.sibling_deltas(z, "b", "code", "v", 5), "b", "code", "delta", 5)
+    """Bytes to deltas and back, in chunks of 8x8x8 voxels."""
+    z = views.voxels(spark, sf_dir).select(*chunk_and_code(), (F.col("n") * 37 % 256).cast("int").alias("v"))
+    back = filters.sibling_values(filters.sibling_deltas(z, "chunk", "code", "v", 3), "chunk", "code", "delta", 3)
+    return back.select(*batch_and_code(), "value")
 
 
 @query("SELECT b, x, y, z, CAST(n % 256 AS INT) AS value FROM v_voxel")
 def neighbour_delta_roundtrip(spark, sf_dir):
-    return filters.neighbour_values(neighbour_delta_filter(spark, sf_dir), "b", "delta")
+    """Bytes to deltas and back, in chunks of 8x8x8 voxels."""
+    chunk = expr.linear([("b", 4), *[(expr.floordiv(a, 8), 4) for a in "xyz"]])
+    v = views.voxels(spark, sf_dir).select(chunk.alias("b"), *[F.pmod(a, F.lit(8)).cast("int").alias(a) for a in "xyz"], F.pmod("n", F.lit(256)).cast("int").alias("v"))
+    back = filters.neighbour_values(filters.neighbour_deltas(v, "v"), "b", "delta")
+    b, *at = expr.linear_back("b", [4] * 4)
+    return back.select(b.cast("int").alias("b"), *[(c * 8 + F.col(a)).cast("int").alias(a) for a, c in zip("xyz", at, strict=True)], "value")
 
 
 @query(
