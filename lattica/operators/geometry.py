@@ -71,6 +71,86 @@ def triangle_voxels(triangles: DataFrame, size: int) -> DataFrame:
     return out.filter(hit).select("fid", *AXES)
 
 
+RING = {"x": ("y", "z"), "y": ("z", "x"), "z": ("x", "y")}
+
+
+def normals(triangles: DataFrame) -> DataFrame:
+    """Adds the triangle's normal nx, ny, nz, as long as twice its area."""
+    edge = lambda k, a: F.col(f"{a}{k}") - F.col(f"{a}0")
+    return triangles.withColumns({f"n{a}": edge(1, p) * edge(2, q) - edge(1, q) * edge(2, p) for a, (p, q) in RING.items()})
+
+
+def line_crossings(triangles: DataFrame) -> DataFrame:
+    """(fid, axis, px, py, pz): where triangles (fid, x0..z2) cross the grid's lines, which run along each axis through whole
+    coordinates. Row by row: the ends of the triangle in a row follow from the two sides that the row crosses (the lower end
+    of a side isn't part of it), and whole places from the one end, itself not included, to the other are crossed. So a
+    triangle costs rows in proportion to its area."""
+    parts = None
+    flat = normals(triangles)
+    for axis, (p, q) in RING.items():
+        low, high = (f(*[F.col(f"{q}{k}") for k in range(3)]) for f in (F.least, F.greatest))
+        rows = flat.filter(F.col(f"n{axis}") != 0).filter(F.floor(low) < F.floor(high)).withColumn("_q", F.explode(F.sequence(F.floor(low) + 1, F.floor(high))))
+        ends = []
+        for k, m in ((0, 1), (1, 2), (2, 0)):
+            a, b = F.col(f"{q}{k}"), F.col(f"{q}{m}")
+            met = (F.least(a, b) < F.col("_q")) & (F.col("_q") <= F.greatest(a, b))
+            ends.append(F.when(met, F.col(f"{p}{k}") + (F.col("_q") - a) * (F.col(f"{p}{m}") - F.col(f"{p}{k}")) / F.nullif(b - a, F.lit(0.0))))
+        rows = rows.withColumns({"_from": F.floor(F.least(*ends)) + 1, "_to": F.floor(F.greatest(*ends))}).filter("_from <= _to").withColumn("_p", F.explode(F.sequence("_from", "_to")))
+        height = F.col(f"{axis}0") - (F.col(f"n{p}") * (F.col("_p") - F.col(f"{p}0")) + F.col(f"n{q}") * (F.col("_q") - F.col(f"{q}0"))) / F.col(f"n{axis}")
+        at = {f"p{axis}": height, f"p{p}": F.col("_p").cast("double"), f"p{q}": F.col("_q").cast("double")}
+        part = rows.select("fid", F.lit(axis).alias("axis"), *[at[f"p{a}"].alias(f"p{a}") for a in AXES])
+        parts = part if parts is None else parts.unionAll(part)
+    return parts
+
+
+def crossed_cells(crossings: DataFrame, size: int) -> DataFrame:
+    """(fid, axis, px, py, pz, x, y, z, own): the four cells around each crossing, within the grid; ``own`` is the one whose
+    edge, from its far corner along the axis, is crossed."""
+    cells = None
+    for axis, (p, q) in RING.items():
+        four = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (1, 0) for j in (1, 0)])
+        part = crossings.filter(F.col("axis") == axis).select("*", F.inline(four))
+        at = {axis: F.floor(F.col(f"p{axis}")), p: F.col(f"p{p}") - F.col("i"), q: F.col(f"p{q}") - F.col("j")}
+        part = part.select("fid", "axis", "px", "py", "pz", *[at[a].cast("int").alias(a) for a in AXES], (F.col("i") + F.col("j") == 2).alias("own"))
+        cells = part if cells is None else cells.unionAll(part)
+    return cells.filter(" and ".join(f"{a} between 0 and {size - 1}" for a in AXES))
+
+
+def dual_grid(triangles: DataFrame, size: int, borders: DataFrame | None = None, face_weight: float = 1.0, border_weight: float = 0.2, regularisation: float = 0.1) -> DataFrame:
+    """(x, y, z, n, ix, iy, iz, vx, vy, vz): the dual grid of a mesh (fid, x0..z2). A cell is active if a triangle crosses a grid
+    line at its border; it holds the number of crossings, which of its edges are crossed, and the point that fits best the
+    planes of the triangles at its crossings, those of all triangles that touch it (by ``face_weight``), and the lines of the
+    open borders (sid, x0..z1) that pass it (by ``border_weight``), drawn to the mean crossing."""
+    square = normals(triangles)
+    length = F.nullif(F.sqrt(F.col("nx") * F.col("nx") + F.col("ny") * F.col("ny") + F.col("nz") * F.col("nz")), F.lit(0.0))
+    unit = square.select("fid", *[(F.col(f"n{a}") / length).alias(f"n{a}") for a in AXES], *[f"{a}0" for a in AXES]).filter("nx is not null")
+    plane = unit.select("fid", "nx", "ny", "nz", (-(F.col("nx") * F.col("x0") + F.col("ny") * F.col("y0") + F.col("nz") * F.col("z0"))).alias("d"))
+    met = crossed_cells(line_crossings(triangles), size)
+    pairs = [("x", "x"), ("x", "y"), ("x", "z"), ("y", "y"), ("y", "z"), ("z", "z")]
+    entries = {f"a{a}{b}": F.col(f"n{a}") * F.col(f"n{b}") for a, b in pairs} | {f"b{a}": -F.col(f"n{a}") * F.col("d") for a in AXES}
+    names = list(entries)
+
+    def part(rows: DataFrame, weight: float, crossing: bool) -> DataFrame:
+        none = F.lit(None)
+        point = [(F.col(f"p{a}") if crossing else none.cast("double")).alias(f"p{a}") for a in AXES]
+        flags = [((F.col("axis") == a) & F.col("own") if crossing else F.lit(False)).alias(f"i{a}") for a in AXES]
+        return rows.select(*AXES, *[(F.col(n) * weight).alias(n) for n in names], *point, F.lit(int(crossing)).alias("one"), *flags)
+
+    rows = part(met.join(plane, "fid").withColumns(entries), 1.0, True)
+    rows = rows.unionByName(part(triangle_voxels(triangles, size).join(plane, "fid").withColumns(entries), face_weight, False))
+    if borders is not None:
+        along = {a: F.col(f"{a}1") - F.col(f"{a}0") for a in AXES}
+        norm = F.nullif(F.sqrt(sum((v * v for v in list(along.values())[1:]), along["x"] * along["x"])), F.lit(0.0))
+        lines = borders.select("sid", *[(v / norm).alias(f"d{a}") for a, v in along.items()], *[f"{a}0" for a in AXES]).filter("dx is not null")
+        across = {f"a{a}{b}": F.lit(float(a == b)) - F.col(f"d{a}") * F.col(f"d{b}") for a, b in pairs}
+        both = lines.withColumns(across)
+        entry = lambda a, b: F.col(f"a{min(a, b)}{max(a, b)}")
+        both = both.withColumns({f"b{a}": sum((entry(a, b) * F.col(f"{b}0") for b in AXES[1:]), entry(a, "x") * F.col("x0")) for a in AXES})
+        rows = rows.unionByName(part(segment_voxels(borders).join(both.drop(*[f"{a}0" for a in AXES]), "sid"), border_weight, False))
+    cells = rows.groupBy(*AXES).agg(*[F.sum(n).alias(n) for n in names], *[F.avg(f"p{a}").alias(f"m{a}") for a in AXES], F.sum("one").alias("n"), *[F.max(f"i{a}").alias(f"i{a}") for a in AXES])
+    return dual_vertices(cells.filter("n > 0"), regularisation).select(*AXES, "n", "ix", "iy", "iz", "vx", "vy", "vz")
+
+
 def quadrics(planes: DataFrame, key: list[str]) -> DataFrame:
     """Sums of the quadrics of planes (nx, ny, nz, d: n.p + d = 0), all ten entries, and the mean of sample points (px, py, pz)
     and the number of planes per cell."""

@@ -120,6 +120,6 @@ def log_stream_agg(spark, sf_dir):
 )
 def clip_stream(spark, sf_dir):
     """The bound of rolling_percentile_clip, with each run's last values kept as state of a stream."""
-    stream = records.file_stream(spark, f"{sf_dir}/events.parque[t]").select(F.col("event_id").alias("step"), F.col("user_id").alias("rank"), "value")
+    stream = records.file_stream(spark, f"{sf_dir}/events.parque[t]", files_per_batch=1).select(F.col("event_id").alias("step"), F.col("user_id").alias("rank"), "value")
     out = records.drained(state.clip_limits(stream, "rank", "step", "value", 20, 0.95, 50.0), "append", "clips")
     return out.select("step", "rank", F.round("limit", 6).alias("clip"))

@@ -8,6 +8,7 @@ from lattica.functions import expr
 from lattica.operators import attention, geometry, registry, sparse, spatial, textures
 from lattica.plans import views
 from lattica.plans.catalog import query
+from lattica.plans.geometry_queries import triangles
 
 
 def r(c, digits=6):
@@ -283,3 +284,43 @@ def random_view(spark, sf_dir):
     v = views.views_of_assets(spark, sf_dir)
     order = F.md5(F.concat_ws(":", F.col("asset_id").cast("string"), F.col("frame").cast("string"), F.lit("3")).cast("binary"))
     return v.groupBy("asset_id").agg(F.min_by("frame", order).alias("frame"))
+
+
+def crossings_sql() -> str:
+    parts = []
+    for c, (p, q) in (("x", ("y", "z")), ("y", ("z", "x")), ("z", ("x", "y"))):
+        end = lambda k, m: f"CASE WHEN least({q}{k}, {q}{m}) < w AND w <= greatest({q}{k}, {q}{m}) THEN {p}{k} + (w - {q}{k}) * ({p}{m} - {p}{k}) / ({q}{m} - {q}{k}) END"  # noqa: E731, B023
+        ends = ", ".join(end(k, m) for k, m in ((0, 1), (1, 2), (2, 0)))
+        rows = f"SELECT t.*, CAST(w.range AS DOUBLE) AS w FROM t, range(-1, 9) w WHERE n{c} <> 0 AND w.range > least({q}0, {q}1, {q}2) AND w.range <= greatest({q}0, {q}1, {q}2)"
+        spans = f"SELECT *, list_min([{ends}]) AS e0, list_max([{ends}]) AS e1 FROM ({rows})"
+        at = {c: f"{c}0 - (n{p} * (u.range - {p}0) + n{q} * (w - {q}0)) / n{c}", p: "CAST(u.range AS DOUBLE)", q: "w"}
+        parts.append(f"SELECT fid, '{c}' AS axis, {', '.join(f'{at[a]} AS p{a}' for a in 'xyz')} FROM ({spans}), range(-1, 9) u WHERE u.range > e0 AND u.range <= e1")
+    return " UNION ALL ".join(parts)
+
+
+CROSSING_SQL = f"""v AS (SELECT vid, x / 4 + 0.11 AS x, y / 4 + 0.23 AS y, z / 4 + 0.37 AS z FROM v_vertex),
+    g AS (SELECT fid, {', '.join(f'c{k}.{a} AS {a}{k}' for k in range(3) for a in 'xyz')} FROM (SELECT DISTINCT v0 * 2500 + v1 * 50 + v2 AS fid, v0, v1, v2 FROM v_face) JOIN v c0 ON c0.vid = v0 JOIN v c1 ON c1.vid = v1 JOIN v c2 ON c2.vid = v2),
+    t AS (SELECT *, (y1 - y0) * (z2 - z0) - (z1 - z0) * (y2 - y0) AS nx, (z1 - z0) * (x2 - x0) - (x1 - x0) * (z2 - z0) AS ny, (x1 - x0) * (y2 - y0) - (y1 - y0) * (x2 - x0) AS nz FROM g), c AS ({crossings_sql()})"""
+
+
+def shifted_triangles(spark, sf_dir):
+    shift = {"x": 0.11, "y": 0.23, "z": 0.37}
+    return triangles(spark, sf_dir).withColumns({f"{a}{k}": F.col(f"{a}{k}") + shift[a] for a in "xyz" for k in range(3)})
+
+
+@query(f"WITH {CROSSING_SQL} SELECT fid, axis, round(px, 6) AS px, round(py, 6) AS py, round(pz, 6) AS pz FROM c")
+def mesh_line_crossings(spark, sf_dir):
+    """Where the triangles of a mesh cross the grid's lines."""
+    c = geometry.line_crossings(shifted_triangles(spark, sf_dir))
+    return c.select("fid", "axis", *[F.round(f"p{a}", 6).alias(f"p{a}") for a in "xyz"])
+
+
+@query(
+    f"""WITH {CROSSING_SQL}, k AS (SELECT c.*, i.range AS i, j.range AS j FROM c, range(2) i, range(2) j), m AS (
+    SELECT axis, px, py, pz, CAST(CASE axis WHEN 'x' THEN floor(px) WHEN 'y' THEN px - j ELSE px - i END AS INT) AS x, CAST(CASE axis WHEN 'y' THEN floor(py) WHEN 'z' THEN py - j ELSE py - i END AS INT) AS y,
+    CAST(CASE axis WHEN 'z' THEN floor(pz) WHEN 'x' THEN pz - j ELSE pz - i END AS INT) AS z, i + j = 2 AS own FROM k)
+    SELECT x, y, z, count(*) AS n, bool_or(own AND axis = 'x') AS ix, bool_or(own AND axis = 'y') AS iy, bool_or(own AND axis = 'z') AS iz FROM m WHERE x BETWEEN 0 AND 3 AND y BETWEEN 0 AND 3 AND z BETWEEN 0 AND 3 GROUP BY 1, 2, 3"""
+)
+def mesh_dual_grid(spark, sf_dir):
+    """The dual grid of a mesh: active cells, their crossings and crossed edges; a test holds the vertices."""
+    return geometry.dual_grid(shifted_triangles(spark, sf_dir), 4).select("x", "y", "z", "n", "ix", "iy", "iz")

@@ -255,6 +255,56 @@ def test_triangle_voxels(spark):
     assert got == want
 
 
+def test_dual_grid(spark):
+    """Crossings, flags and vertices of a mesh against loops over all grid lines, cells and sides of the cells' boxes."""
+    rng = random.Random(8)
+    tris = [(i, *[round(rng.uniform(0.2, 3.8), 3) for _ in range(9)]) for i in range(6)]
+    frame = spark.createDataFrame(tris, "fid int, " + ", ".join(f"{a}{k} double" for k in range(3) for a in "xyz"))
+    border = spark.createDataFrame([(0, *tris[0][1:7])], "sid int, " + ", ".join(f"{a}{k} double" for k in (0, 1) for a in "xyz"))
+    cells = {}
+    planes = []
+    for t in tris:
+        p = np.array(t[1:]).reshape(3, 3)
+        n = np.cross(p[1] - p[0], p[2] - p[0])
+        planes.append((n / np.linalg.norm(n), p[0]))
+        for axis in range(3):
+            a, b = (axis + 1) % 3, (axis + 2) % 3
+            for i, j in itertools.product(range(1, 4), repeat=2):
+                w = np.linalg.solve(np.array([p[:, a], p[:, b], np.ones(3)]), [i, j, 1])
+                if (w > 0).all():
+                    at = w @ p
+                    for di, dj in itertools.product((1, 0), repeat=2):
+                        c = [0, 0, 0]
+                        c[axis], c[a], c[b] = int(np.floor(at[axis])), i - di, j - dj
+                        got = cells.setdefault(tuple(c), {"flags": [False] * 3, "points": [], "q": np.zeros((3, 3)), "b": np.zeros(3)})
+                        got["flags"][axis] |= di + dj == 2
+                        got["points"].append(at)
+                        got["q"] += np.outer(planes[-1][0], planes[-1][0])
+                        got["b"] += planes[-1][0] * (planes[-1][0] @ p[0])
+    touched = rows(geometry.triangle_voxels(frame, 4), "fid", "x", "y", "z")
+    passed = rows(geometry.segment_voxels(border), "x", "y", "z")
+    d = np.array(tris[0][4:7]) - np.array(tris[0][1:4])
+    across = np.eye(3) - np.outer(d, d) / (d @ d)
+    found = geometry.dual_grid(frame, 4, border).collect()
+    assert {(r.x, r.y, r.z): (r.n, [r.ix, r.iy, r.iz]) for r in found} == {c: (len(v["points"]), v["flags"]) for c, v in cells.items()}
+    for r in found:
+        c = (r.x, r.y, r.z)
+        q, b, mean, n = cells[c]["q"].copy(), cells[c]["b"].copy(), np.mean(cells[c]["points"], axis=0), len(cells[c]["points"])
+        for f, *at in touched:
+            if tuple(at) == c:
+                q += np.outer(planes[f][0], planes[f][0])
+                b += planes[f][0] * (planes[f][0] @ planes[f][1])
+        if c in passed:
+            q += 0.2 * across
+            b += 0.2 * across @ np.array(tris[0][1:4])
+        q += 0.1 * n * np.eye(3)
+        b += 0.1 * n * mean
+        cost = lambda v: v @ q @ v / 2 - b @ v  # noqa: E731, B023
+        best = min(cost(np.array(c) + np.array(o)) for o in itertools.product(np.linspace(0, 1, 13), repeat=3))
+        v = np.array([r.vx, r.vy, r.vz])
+        assert cost(v) <= best + 1e-9 and (v >= np.array(c) - 1e-9).all() and (v <= np.array(c) + 1 + 1e-9).all()
+
+
 def test_segment_voxels(spark):
     rng = random.Random(5)
     segments = [(i, *[round(rng.uniform(-3, 5), 3) for _ in range(6)]) for i in range(30)] + [(90, 0.5, 0.5, 0.5, 0.5, 0.5, 0.5), (91, 0.5, 0.5, 0.5, 3.5, 0.5, 0.5)]
