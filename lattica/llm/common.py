@@ -27,11 +27,31 @@ ALNUM = bytes(
 )
 
 
+#: A-Z to lower case; ``[a-z]`` and every byte of a non-ASCII character stay; all else parts terms.
+LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def alnum_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-cased; none for null."""
     return text.translate(ALNUM).split() if text else []
 
 
+def word_parts(text: bytes | None, letters: bytes = ALNUM, limit: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text, so many bytes at once: a very long text needs no list of all its words."""
+    rest = text.translate(letters) if text else b""
+    start = 0
+    while start < len(rest):
+        end = len(rest)
+        if start + limit < end:
+            cut = rest.rfind(b" ", start, start + limit)
+            cut = rest.find(b" ", start + limit) if cut < start else cut
+            end = end if cut < 0 else cut + 1
+        yield rest[start:end].split()
+        start = end
+
+
 def space_words(text: bytes | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased; none for null."""
     return text.lower().split() if text else []
@@ -74,10 +94,10 @@ def work_path(spark: SparkSession, name: str) -> str:
 _MADE: list[list[DataFrame]] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: the rows as a Parquet table in the shared folder, read again."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Cuts the lineage: the rows as a Parquet table in the shared folder (in a folder for each value of ``by``), read again."""
     spark, path = df.sparkSession, work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     again = spark.read.schema(df.schema).parquet(path)
     again._work = path  # for dropped()
     for made in _MADE:

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from lattica.llm import url_index
-
-UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+from lattica.llm.common import LOWERED, UPPER
 
 
 def lowered(text: str) -> str:
@@ -58,9 +57,41 @@ def urls() -> str:
     SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.v, CASE WHEN b.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict FROM h LEFT JOIN f ON h.page_id = f.page_id LEFT JOIN b ON h.page_id = b.page_id"""
 
 
+def repeated_lines(least: int = 10) -> str:
+    """Keys of lines with their least document; lines of other documents go."""
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    x AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS place FROM d),
+    k AS (SELECT doc_id, place, line, {lowered(f"trim(line, {blanks})")} AS key FROM x),
+    o AS (SELECT key, min(doc_id) AS owner FROM k WHERE length(key) >= {least} GROUP BY key),
+    j AS (SELECT k.doc_id, place, line, coalesce(o.owner = k.doc_id, true) AS stays FROM k LEFT JOIN o ON k.key = o.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), '')) AS kept_sha256 FROM j GROUP BY doc_id"""
+
+
+def source_divergence(least: int = 10, top: int = 10) -> str:
+    """Counts of kept terms for every group and term, and sums over all cells, zeros included."""
+    p = lambda n, total: f"(1 + (CAST({n} AS HUGEINT) + 2) * 1000000000 // ({total} + 2 * v))"
+    f = "CAST((p - q) * (p - q) // (p + q) AS BIGINT)"
+    return rf"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({lowered("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    t AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY lang, term HAVING count(*) >= {least}),
+    c AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM d) SEMI JOIN t USING (lang, term) GROUP BY lang, source, term),
+    v AS (SELECT lang, count(*) AS v FROM t GROUP BY lang),
+    z AS (SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n FROM g JOIN t ON g.lang = t.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term),
+    s AS (SELECT lang, source, term, n, sum(n) OVER (PARTITION BY lang, source) AS total, sum(n) OVER (PARTITION BY lang, term) AS lang_n, sum(n) OVER (PARTITION BY lang) AS lang_total FROM z),
+    r AS (SELECT lang, source, term, n, {p('n', 'total')} AS p, {p('lang_n', 'lang_total')} AS q FROM s JOIN v USING (lang)),
+    a AS (SELECT x.lang, x.source, y.source AS item, CAST(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS BIGINT) AS value FROM r x JOIN r y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+    pr AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(a.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source),
+    tm AS (SELECT lang, source, 'term' AS part, term AS item, {f} AS value FROM r WHERE n > 0 AND p > q),
+    k AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM (SELECT * FROM pr UNION ALL SELECT * FROM tm))
+    SELECT lang, source, part, item, value, rank FROM k WHERE part = 'pair' OR rank <= {top}"""
+
+
 SQL = {
     "op2_decontaminate": contamination(),
     "op5_minhash": groups(2),
     "op8_embeddings": near_vectors(),
     "op10_url_filter": urls(),
+    "op11_line_dedup": repeated_lines(),
+    "op13_source_divergence": source_divergence(),
 }

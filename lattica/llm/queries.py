@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import decontaminate, language, licenses, mixing, neardup, packing, sharding, toxicity, url_index, vectors
+from lattica.llm import decontaminate, divergence, language, licenses, linedup, mixing, neardup, packing, sharding, toxicity, url_index, vectors
 from lattica.llm.common import table
 from lattica.llm.oracles import SQL
 
@@ -54,6 +54,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_index.judged(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linedup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -65,4 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
+    "op11_line_dedup": op11_line_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
