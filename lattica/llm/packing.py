@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,27 +35,41 @@ RUN_TOKENS = 1 << 20
 SCHEMA = "ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, piece_starts array<long>"
 
 
-def encoding(path: str = VOCABULARY) -> tiktoken.Encoding:
+class ByteCodec(tiktoken.Encoding):
+    """The pattern and the vocabulary; ``whole`` merges a text without the pattern, as one piece."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranks = ranks
+
+    @cached_property
+    def whole(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("whole", pat_str="(?s:.+)", mergeable_ranks=self.ranks, special_tokens={})
+
+
+def encoding(path: str = VOCABULARY) -> ByteCodec:
     with open(path, "rb") as f:
         return encoding_of(f.read())
 
 
-def encoding_of(vocabulary: bytes) -> tiktoken.Encoding:
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+def encoding_of(vocabulary: bytes) -> ByteCodec:
+    return ByteCodec({base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())})
 
 
-def token_ids(codec: tiktoken.Encoding, text: str, long_run: int = LONG_RUN) -> list[int]:
+def token_ids(codec: ByteCodec, text: str, long_run: int = LONG_RUN) -> list[int]:
     """The tokens of the text, as the pattern and the vocabulary give them, for runs of white space of any length. The
     pattern takes a run less its last character as one piece, and that character with what follows; a run that ends the
-    text is one piece. So a long run is cut out there, merged without the pattern, and the ids stay the same."""
+    text is one piece. So a long run is cut out there, merged without the pattern, and the ids stay the same. A text is
+    looked through once, and only if it can hold such a run."""
     ids: list[int] = []
     start = 0
-    for run in regex.finditer(rf"\p{{White_Space}}{{{long_run},}}", text):
+    for run in regex.finditer(r"\p{White_Space}+", text) if len(text) >= long_run else ():
+        if run.end() - run.start() < long_run:
+            continue
         end = run.end() if run.end() == len(text) else run.end() - 1
         if end > run.start():
             ids += codec.encode_ordinary(text[start : run.start()])
-            ids += codec._encode_single_piece(text[run.start() : end])
+            ids += codec.whole.encode_ordinary(text[run.start() : end])
             start = end
     return ids + codec.encode_ordinary(text[start:])
 
