@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lattica.llm import decontaminate, divergence, language, licenses, linedup, mixing, neardup, packing, sharding, toxicity, url_index, vectors
+from lattica.llm import alignment, decontaminate, divergence, language, licenses, linedup, mixing, neardup, packing, sharding, toxicity, url_index, vectors
 from lattica.llm.common import table
 from lattica.llm.oracles import SQL
 
@@ -58,6 +58,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(table(spark, sf_dir, "documents"))
 
@@ -74,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_url_filter": op10_url_filter,
     "op11_line_dedup": op11_line_dedup,
+    "op12_token_alignment": op12_token_alignment,
     "op13_source_divergence": op13_source_divergence,
 }
