@@ -28,28 +28,34 @@ WINDOW = 13
 BLOCK_WORDS = 2_000_000
 #: Windows that are searched for at once.
 PROBES = 1 << 18
+#: Matches are lengthened by so many words at once (powers of two over the window), as far as items are that long.
+STRIDES = (16, 256, 4096)
 
 
-def suffix_array(ids: np.ndarray) -> np.ndarray:
-    """The places of ``ids`` in the order of their suffixes, by doubling."""
-    n, step = len(ids), 1
+def suffix_array(ids: np.ndarray, keep: tuple[int, ...] = ()) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The places of ``ids`` in the order of their suffixes, by doubling; and for each length in ``keep``, powers of two, the
+    ranks by which places share a number if so many words from there on are the same."""
+    n, step, ranks = len(ids), 1, {}
     _, rank = np.unique(ids, return_inverse=True)
     order = np.argsort(rank, kind="stable")
     while n and rank[order[-1]] < n - 1 and step < n:
+        if step in keep:
+            ranks[step] = rank
         key = rank * np.int64(n + 1)
         key[:-step] += rank[step:] + 1
         order = np.argsort(key, kind="stable")
         new = np.empty(n, dtype=np.int64)
         new[order] = np.cumsum(np.concatenate([[0], np.diff(key[order]) != 0]))
         rank, step = new, 2 * step
-    return order
+    return order, [ranks.get(k, rank) for k in keep]
 
 
 @dataclass
 class TestBlock:
     """A block of benchmark items: ``flat`` holds their words' numbers with a 0 after each, ``starts`` where each begins,
     ``places`` the starts of whole windows in the order of their suffixes, ``groups`` where each different window begins
-    among these, ``short`` the items of fewer words than a window, which are one window each."""
+    among these, ``short`` the items of fewer words than a window, which are one window each. ``ranks`` has for each stride a
+    number a place: it is shared by places with so many equal words, and grows in the order of suffixes."""
 
     __test__ = False
 
@@ -60,6 +66,7 @@ class TestBlock:
     short: np.ndarray
     names: list[str]
     window: int
+    ranks: list[np.ndarray]
 
     @staticmethod
     def built(items: list[tuple[str, list[int]]], window: int = WINDOW) -> bytes:
@@ -67,14 +74,14 @@ class TestBlock:
         sizes = np.array([len(ids) for _, ids in items], dtype=np.int64)
         starts = np.cumsum(sizes + 1) - sizes - 1
         left = np.repeat(starts + sizes, sizes + 1) - np.arange(len(flat))
-        order = suffix_array(flat)
+        order, ranks = suffix_array(flat, tuple(k for k in STRIDES if window < k <= sizes.max(initial=0)))
         places = order[left[order] >= window]
         new = np.zeros(len(places), dtype=bool)
         new[:1] = True
         for j in range(window):
             column = flat[places + j]
             new[1:] |= column[1:] != column[:-1]
-        arrays = [flat, starts, places, np.flatnonzero(new), np.flatnonzero((sizes > 0) & (sizes < window))]
+        arrays = [flat, starts, places, np.flatnonzero(new), np.flatnonzero((sizes > 0) & (sizes < window)), *ranks]
         head = json.dumps({"sizes": [len(a) for a in arrays], "names": [name for name, _ in items], "window": window}).encode()
         head += b" " * (-len(head) % 4)
         return b"".join([np.array([len(head)], dtype=np.int32).tobytes(), head, *(a.astype(np.int32).tobytes() for a in arrays)])
@@ -85,7 +92,8 @@ class TestBlock:
         head = json.loads(np.memmap(path, dtype=np.uint8, mode="r", offset=4, shape=(size,)).tobytes())
         body = np.memmap(path, dtype=np.int32, mode="r", offset=4 + size)
         cuts = np.cumsum([0, *head["sizes"]])
-        return cls(*(body[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), head["names"], head["window"])
+        parts = [body[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return cls(*parts[:5], head["names"], head["window"], parts[5:])
 
     def item(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, places, side="right") - 1
@@ -106,27 +114,52 @@ class TestBlock:
             yield len(self.groups) + np.arange(k, k + len(at)), columns, (columns != 0).sum(axis=0)
 
     def longest(self, ids: np.ndarray, at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How many words of ``ids`` from each place ``at`` on stand in some item, and where there, given the window there."""
+        """How many words of ``ids`` from each place of ``at``, in order, stand in some item, and where there, given the window
+        there. Places of ``at`` that have a whole stride learn its number; matches are then lengthened by the longest stride
+        first, so that the work grows with the places, not with the lengths of their matches."""
         low, high = self.groups[group].astype(np.int64), np.append(self.groups, len(self.places))[group + 1].astype(np.int64)
-        length, going = np.full(len(at), self.window, dtype=np.int64), np.arange(len(at))
-        while len(going):
-            depth = length[going]
-            word = ids[np.minimum(at[going] + depth, len(ids) - 1)]
-            inside = (word != 0) & (at[going] + depth < len(ids))
-            going, depth, word = going[inside], depth[inside], word[inside]
-            bounds = []
+        length, number = np.full(len(at), self.window, dtype=np.int64), np.full(len(ids) + 1, -1, dtype=np.int64)
+        number[at] = np.arange(len(at))
+        strides = [1, *(k for k in STRIDES if k > self.window)][: 1 + len(self.ranks)]
+        of_place = [ids] + [np.full(len(at), -1, dtype=np.int64) for _ in self.ranks]  # what has to follow, by stride
+
+        def lengthened(who: np.ndarray, k: int) -> np.ndarray:
+            """Those of ``who`` that go on by stride k; their bounds are narrowed to it."""
+            ahead = at[who] + length[who]
+            who, ahead = who[ahead < len(ids)], ahead[ahead < len(ids)]
+            if k:
+                met = number[ahead]
+                wanted = np.where(met < 0, -1, of_place[k][met])
+                there = wanted >= 0
+            else:
+                wanted = ids[ahead]
+                there = wanted != 0
+            who, wanted = who[there], wanted[there]
+            keys, bounds = self.ranks[k - 1] if k else self.flat, []
             for after in (False, True):
-                lo, hi = low[going].copy(), high[going].copy()
+                lo, hi = low[who].copy(), high[who].copy()
                 while (open_ := lo < hi).any():
                     mid = np.where(open_, (lo + hi) >> 1, 0)
-                    x = self.flat[np.minimum(self.places[mid].astype(np.int64) + depth, len(self.flat) - 1)]
-                    right = (x <= word) if after else (x < word)
+                    x = keys[np.minimum(self.places[mid].astype(np.int64) + length[who], len(self.flat) - 1)]
+                    right = (x <= wanted) if after else (x < wanted)
                     lo, hi = np.where(open_ & right, mid + 1, lo), np.where(open_ & ~right, mid, hi)
                 bounds.append(lo)
             more = bounds[0] < bounds[1]
-            going = going[more]
-            low[going], high[going] = bounds[0][more], bounds[1][more]
-            length[going] += 1
+            who = who[more]
+            low[who], high[who] = bounds[0][more], bounds[1][more]
+            length[who] += strides[k]
+            return who
+
+        whole = np.arange(len(at))
+        for k in range(1, len(strides)):  # by the stride below up to this one
+            while len(whole) and (going := whole[length[whole] < strides[k]]).size:
+                gone = np.setdiff1d(going, lengthened(going, k - 1), assume_unique=True)
+                whole = np.setdiff1d(whole, gone, assume_unique=True)
+            of_place[k][whole] = self.ranks[k - 1][self.places[low[whole]]]
+        for k in reversed(range(len(strides))):
+            going = np.flatnonzero(length >= strides[k])
+            while len(going):
+                going = lengthened(going, k)
         return length, self.places[low].astype(np.int64)
 
 
@@ -221,7 +254,7 @@ def indexed(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK
 
     files, least = [], window
     if total:
-        blocks = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(-(-total // block_words))))
+        blocks = items.distinct().withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(-(-total // block_words))))
         made = written(blocks.groupBy("block").applyInArrow(build, "data binary, least int"), "benchmark-blocks")
         for data, shortest in made.toLocalIterator():
             path = stored_bytes(spark, "benchmark", bytes(data))
