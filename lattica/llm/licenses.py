@@ -14,11 +14,12 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import alnum_words, sliced, texts
+from lattica.llm.common import alnum_words, sliced, texts, word_parts
 from lattica.llm.license_texts import FULL_TEXTS
 
 #: Words of a template that are in the index (its rarest), and words that a text looks up (the rarest it holds). Beside these
@@ -26,6 +27,9 @@ from lattica.llm.license_texts import FULL_TEXTS
 RARE, LOOKED_UP = 12, 16
 #: Share of the words looked up that a template has which must stand in line.
 QUORUM = 0.5
+#: Votes that are counted one by one; a text with more is worked on in stretches of STRETCH starts. Longer texts (bytes) are
+#: held as numbers of words, not as words.
+PLAIN_VOTES, STRETCH, LONG_TEXT = 1 << 16, 1 << 16, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -71,7 +75,7 @@ def document_frequencies(documents: DataFrame, vocabulary: list[bytes]) -> tuple
         for batch in sliced(batches):
             for text in texts(batch):
                 n += 1
-                counts.update(known.intersection(alnum_words(text)))
+                counts.update({w for part in word_parts(text) for w in known.intersection(part)})
         counts[b""] = n
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
@@ -97,6 +101,13 @@ class RareTokenIndex:
             for w in {*sorted(set(words), key=self.rank.__getitem__)[:rare], min(phrase, key=self.rank.__getitem__)}:
                 self.postings[w][k] = [j for j, x in enumerate(words) if x == w]
         self.postings = dict(self.postings)
+        self.vocabulary = sorted({w for side in (*self.words, *self.phrases) for w in side})
+        self.numbers = {w: i for i, w in enumerate(self.vocabulary)}
+
+    def chosen(self, held: set[bytes]) -> list[bytes]:
+        """The words that a text with the words ``held`` looks up."""
+        by_rank = sorted(held, key=self.rank.__getitem__)
+        return by_rank[: self.looked_up] + [w for w in by_rank[self.looked_up :] if w in self.always]
 
     def places(self, words: list[bytes]) -> dict[int, list[tuple[int, float]]]:
         """template -> [(word at which its key phrase starts, share of its IDF weight that stands in line)]."""
@@ -104,8 +115,9 @@ class RareTokenIndex:
         for i, w in enumerate(words):
             if w in self.postings:
                 held[w].append(i)
-        chosen = sorted(held, key=self.rank.__getitem__)
-        chosen = chosen[: self.looked_up] + [w for w in chosen[self.looked_up :] if w in self.always]
+        chosen = self.chosen(set(held))
+        if sum(len(held[w]) * len(j) for w in chosen for j in self.postings[w].values()) > PLAIN_VOTES:
+            return self.long_places(np.array([self.numbers.get(w, -1) for w in words], dtype=np.int32))
         votes, asked = Counter(), Counter()
         for w in chosen:
             for k, positions in self.postings[w].items():
@@ -120,6 +132,38 @@ class RareTokenIndex:
                 out[k].append((at, in_line / sum(weights)))
         return out
 
+    def numbered(self, text: bytes) -> np.ndarray:
+        """The text's words as their numbers, -1 for one that no template has."""
+        return np.concatenate([np.zeros(0, dtype=np.int32), *(np.array([self.numbers.get(w, -1) for w in part], dtype=np.int32) for part in word_parts(text))])
+
+    def long_places(self, ids: np.ndarray) -> dict[int, list[tuple[int, float]]]:
+        """places() of a text whose words are given as numbers: votes are counted in arrays over a stretch of starts at once."""
+        chosen = self.chosen({self.vocabulary[i] for i in np.unique(ids) if i >= 0 and self.vocabulary[i] in self.postings})
+        at_word = {w: np.flatnonzero(ids == self.numbers[w]) for w in chosen}
+        out: dict[int, list[tuple[int, float]]] = defaultdict(list)
+        for k in sorted({k for w in chosen for k in self.postings[w]}):
+            own = [w for w in chosen if k in self.postings[w]]
+            phrase, words = ([self.numbers[w] for w in side[k]] for side in (self.phrases, self.words))
+            for start in range(-len(words), len(ids), STRETCH):
+                votes = np.zeros(STRETCH, dtype=np.int32)
+                for w in own:
+                    hit = np.zeros(STRETCH, dtype=bool)
+                    for j in self.postings[w][k]:
+                        a, b = np.searchsorted(at_word[w], [start + j, start + j + STRETCH])
+                        hit[at_word[w][a:b] - j - start] = True
+                    votes += hit
+                offsets = start + np.flatnonzero((votes > 0) & (votes >= self.quorum * len(own)))
+                offsets = offsets[(offsets + self.starts[k] >= 0) & (offsets + self.starts[k] + len(phrase) <= len(ids))]
+                for j, w in enumerate(phrase):
+                    offsets = offsets[ids[offsets + self.starts[k] + j] == w]
+                in_line = np.zeros(len(offsets))
+                for j, (w, x) in enumerate(zip(words, self.weights[k], strict=True)):
+                    there = (offsets + j >= 0) & (offsets + j < len(ids))
+                    in_line += np.where(there & (ids[np.where(there, offsets + j, 0)] == w), x, 0.0)
+                if len(offsets):
+                    out[k] += zip((offsets + self.starts[k]).tolist(), (in_line / sum(self.weights[k])).tolist(), strict=True)
+        return out
+
 
 def scanned(documents: DataFrame, templates: list[Template] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, places.
@@ -140,8 +184,12 @@ def scanned(documents: DataFrame, templates: list[Template] | None = None) -> Da
         for batch in sliced(batches):
             rows = []
             for text in texts(batch):
-                words = alnum_words(text)
-                found = index.places(words)
+                if text and len(text) > LONG_TEXT:
+                    words = index.numbered(text)
+                    found = index.long_places(words)
+                else:
+                    words = alnum_words(text)
+                    found = index.places(words)
                 at = sorted(p for k in base & found.keys() for p, _ in found[k])
                 rows.append(
                     (
