@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lattica.llm.common import alnum_words, in_fold, sliced, texts, written
+from lattica.llm.common import alnum_words, in_fold, sliced, texts, word_parts, written
 
 #: The classifier is fitted on at most about so many labelled rows of each class, and so many bytes of each.
 MAX_FIT_ROWS, MAX_FIT_BYTES = 3000, 8 << 20
@@ -30,6 +30,8 @@ CUT = 0.7
 EPOCHS, RATE = 3, 0.05
 #: A threshold is set on so many held-back examples of each class at least.
 LEAST_HELD = 20
+#: Bytes of a long text that are scored at once.
+PART_BYTES = 1 << 20
 #: Words whose vectors are kept between texts.
 KEPT = 1 << 16
 
@@ -89,8 +91,9 @@ class Vectors:
             return [rows[w] for w in words]
 
 
-def forward(model: Model, vectors: Vectors, documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Logit and language of each document. The words of all stand in one array with padding after each document."""
+def pooled(model: Model, vectors: Vectors, documents: list[list[bytes]], seen: int = 0, ended: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Greatest value of each filter, and sums by language, of each document; its first ``seen`` words don't count in the sums.
+    The words of all stand in one array with padding after each document; windows over it count if the documents ``ended``."""
     flat: list[bytes] = [w for words in documents for w in words]
     numbers = np.array(vectors.number(flat), dtype=np.int64)
     sizes = np.array([len(w) for w in documents]) + PAD
@@ -102,15 +105,41 @@ def forward(model: Model, vectors: Vectors, documents: list[list[bytes]]) -> tup
     at = np.zeros(len(inside), dtype=np.int64)
     at[inside] = numbers
     x = vectors.values[at]
-    best = np.argmax(np.add.reduceat(x[:, DIMENSIONS:], starts, axis=0), axis=1) if len(model.languages) else np.zeros(len(documents), dtype=np.int64)
+    languages = np.add.reduceat(x[:, DIMENSIONS:], starts, axis=0)
+    for j in range(seen):
+        languages -= np.where((sizes - PAD > j)[:, None], x[np.minimum(starts + j, len(x) - 1), DIMENSIONS:], 0)
     x = np.concatenate([x[:, :DIMENSIONS], np.zeros((PAD, DIMENSIONS), dtype=np.float32)])
-    pooled = []
+    tops = []
     for k, width in enumerate(WIDTHS):
         z = sum(x[j : j + len(inside)] @ model.conv[width][j] for j in range(width)) + model.bias[k]
-        for j in range(1, width):
-            z[ends - j] = -np.inf  # windows that would reach into the next document
-        pooled.append(np.maximum(np.maximum.reduceat(z, starts, axis=0), 0))
-    return np.concatenate(pooled, axis=1).astype(np.float64) @ model.out + model.shift, best
+        for j in range(1, width if ended else width + PAD):
+            z[np.maximum(ends - j, starts)] = -np.inf  # windows that would reach into the next document
+        tops.append(np.maximum.reduceat(z, starts, axis=0))
+    return np.concatenate(tops, axis=1), languages
+
+
+def judged(model: Model, tops: np.ndarray, languages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logit and language of each document."""
+    best = np.argmax(languages, axis=1) if len(model.languages) else np.zeros(len(tops), dtype=np.int64)
+    return np.maximum(tops, 0).astype(np.float64) @ model.out + model.shift, best
+
+
+def forward(model: Model, vectors: Vectors, documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    return judged(model, *pooled(model, vectors, documents))
+
+
+def forward_long(model: Model, vectors: Vectors, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """forward() of one text of any length, part by part; each part begins with the last words of the one before, so that
+    every window is whole in one of them."""
+    parts, carry, tops, languages = word_parts(text, limit=PART_BYTES), [], [], 0
+    part = next(parts, [])
+    while part is not None:
+        after = next(parts, None)
+        top, sums = pooled(model, vectors, [carry + part], len(carry), after is None)
+        tops.append(top)
+        languages = languages + sums
+        carry, part = (carry + part)[-PAD:], after
+    return judged(model, np.max(tops, axis=0), languages)
 
 
 def sample(documents: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_FIT_ROWS, max_bytes: int = MAX_FIT_BYTES, seed: int = 5) -> DataFrame:
@@ -259,7 +288,9 @@ def scored(documents: DataFrame, labels: DataFrame, folds: int = 3, held_out: in
         model = shared.value
         vectors = Vectors(model)
         for batch in sliced(batches, limit=1 << 20):
-            score = model.score(*forward(model, vectors, [alnum_words(t) for t in texts(batch)]))
+            held = texts(batch)
+            found = forward_long(model, vectors, held[0]) if len(held) == 1 and held[0] else forward(model, vectors, [alnum_words(t) for t in held])
+            score = model.score(*found)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= CUT).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = documents.select("doc_id", "text", in_fold("doc_id", folds, held_out).alias("held_out"))
