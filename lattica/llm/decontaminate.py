@@ -32,7 +32,11 @@ PROBES = 1 << 18
 STRIDES = (16, 256, 4096)
 
 
-def suffix_array(ids: np.ndarray, keep: tuple[int, ...] = ()) -> tuple[np.ndarray, list[np.ndarray]]:
+def suffix_array(ids: np.ndarray) -> np.ndarray:
+    return suffix_order(ids)[0]
+
+
+def suffix_order(ids: np.ndarray, keep: tuple[int, ...] = ()) -> tuple[np.ndarray, list[np.ndarray]]:
     """The places of ``ids`` in the order of their suffixes, by doubling; and for each length in ``keep``, powers of two, the
     ranks by which places share a number if so many words from there on are the same."""
     n, step, ranks = len(ids), 1, {}
@@ -74,7 +78,7 @@ class TestBlock:
         sizes = np.array([len(ids) for _, ids in items], dtype=np.int64)
         starts = np.cumsum(sizes + 1) - sizes - 1
         left = np.repeat(starts + sizes, sizes + 1) - np.arange(len(flat))
-        order, ranks = suffix_array(flat, tuple(k for k in STRIDES if window < k <= sizes.max(initial=0)))
+        order, ranks = suffix_order(flat, tuple(k for k in STRIDES if window < k <= sizes.max(initial=0)))
         places = order[left[order] >= window]
         new = np.zeros(len(places), dtype=bool)
         new[:1] = True
