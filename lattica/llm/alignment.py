@@ -38,11 +38,13 @@ FAN = 1024
 #: Chunks kept with their alignment, and bytes of them.
 KEPT_CHUNKS, KEPT_BYTES = 1 << 18, 64 << 20
 #: Chunks expanded to links at once, characters of a text split at once, and pairs of a group written out one by one.
-EXPANDED, SPLIT_CHARS, PLAIN_PAIRS = 1 << 19, 1 << 20, 1 << 12
+EXPANDED, SPLIT_CHARS, PLAIN_PAIRS = 1 << 18, 1 << 20, 1 << 12
 #: Bits of a document's number in its slice.
 DOC_BITS = 20
 #: A space between two characters that no tokenizer takes for white space.
 BETWEEN = re.compile(r"(?<=[^\s\x00-\x20▁]) (?=[^\s\x00-\x20▁])")
+#: A chunk between two such spaces.
+INNER = re.compile(r"[^\s\x00-\x20▁](?:.*[^\s\x00-\x20▁])?", re.DOTALL)
 
 
 def byte_level() -> dict[str, int]:
@@ -88,6 +90,22 @@ def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - starts, counts)
 
 
+class Grown:
+    """Columns of whole numbers to which more are added at the end; room is doubled when it runs out."""
+
+    def __init__(self, rows: int):
+        self.room, self.size = np.zeros((rows, 1024), dtype=np.int64), 0
+
+    def add(self, values: np.ndarray) -> None:
+        more = self.size + values.shape[1]
+        if more > self.room.shape[1]:
+            room = np.zeros((len(self.room), max(more, 2 * self.room.shape[1])), dtype=np.int64)
+            room[:, : self.size] = self.room[:, : self.size]
+            self.room = room
+        self.room[:, self.size : more] = values
+        self.size = more
+
+
 class Aligner:
     """Both tokenizers, and the chunks met so far with their tokens, groups and links. A link's key is
     ``stripe * width + row * n_b + b``."""
@@ -103,7 +121,7 @@ class Aligner:
         self.a_size, self.b_size = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.a_bytes, self.b_bytes))
         self.n_a, self.n_b, self.stripes = len(self.a_bytes), len(self.b_bytes), stripes
         self.width = -(-self.n_a // stripes) * self.n_b
-        self.words = [f"{i}{end}" for i in range(self.n_a) for end in ",|"] + [f"{i}{end}" for i in range(self.n_b) for end in (",", ";", "")]
+        self.words = [f"{i}{end}" for i in range(self.n_a) for end in ",|"] + [f"{i}{end}" for i in range(self.n_b) for end in (",", ";", "\n")]
         # A's pattern always cuts before a space between two other characters; B does if none of its pieces has a space behind one
         self.splits = not any(re.search(rb"[^ ] ", x) for x in self.b_bytes)
         self.clear()
@@ -111,27 +129,59 @@ class Aligner:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.bytes, self.texts = 0, []
-        self.counts = np.zeros((5, 0), dtype=np.int64)  # tokens of A, of B, groups, links, 1 if the bytes are the text's
-        self.first = np.zeros(1, dtype=np.int64)  # where each chunk's links start
-        self.keys, self.times = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        #: Of each chunk: tokens of A, of B, groups, links, 1 if the bytes are the text's, where its different links start, how
+        #: many, and how often the chunk was met.
+        self.counts = Grown(8)
+        self.links = Grown(2)  # keys, and how often
+
+    def thinned(self) -> None:
+        """Forgets the chunks that were met once; all, if that leaves more than half of them."""
+        keep = np.flatnonzero(self.counts.room[7, : self.counts.size] > 1)
+        known, texts, counts, links = list(self.known), self.texts, self.counts.room[:, keep], self.links.room
+        self.clear()
+        if len(keep) > KEPT_CHUNKS // 2:
+            return
+        self.known = {known[k]: i for i, k in enumerate(keep.tolist())}
+        self.texts = [texts[k] for k in keep.tolist()]
+        self.bytes = sum(map(len, self.known)) + sum(map(len, self.texts))
+        self.links.add(links[:, spread(counts[5], counts[6])])
+        counts[5], counts[7] = np.cumsum(counts[6]) - counts[6], 0
+        self.counts.add(counts)
 
     def numbers(self, chunks: list[str]) -> list[int]:
         found = list(map(self.known.get, chunks))
         if None in found:
-            new = list(dict.fromkeys(c for c, k in zip(chunks, found, strict=True) if k is None))
-            self._add(new)
+            self._add(list(dict.fromkeys(c for c, k in zip(chunks, found, strict=True) if k is None)))
             found = list(map(self.known.get, chunks))
         return found
 
-    def _add(self, chunks: list[str]) -> None:
-        of_a, of_b = [token_ids(self.codec, " " + c) for c in chunks], self.pieces.encode(chunks, num_threads=1)
-        right = np.ones(len(chunks), dtype=bool)
-        for k, (c, x, y) in enumerate(zip(chunks, of_a, of_b, strict=True)):
+    def _tokens(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The chunks in another order, the tokens of A and B of all, how many each chunk has, and whether its bytes are right.
+        Chunks that end in no white space at either side are given to the tokenizers as one text."""
+        inner = [c for c in chunks if INNER.fullmatch(c)] if self.splits else []
+        single = [c for c in chunks if not INNER.fullmatch(c)] if inner else chunks
+        a, b, na, nb = (np.zeros(0, dtype=np.int64) for _ in range(4))
+        if inner:
+            text = " ".join(inner)
+            x, y = token_ids(self.codec, " " + text), self.pieces.encode(text)
+            ends = np.cumsum([1 + len(c.encode()) for c in inner])
+            raw, a, b = b" " + text.encode(), np.array(x, dtype=np.int64), np.array(y, dtype=np.int64)
+            last = [np.searchsorted(e, ends, side="right") for e in (np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))]
+            if b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw:
+                na, nb = (np.diff(k, prepend=0) for k in last)
+            else:  # some chunk isn't given back
+                inner, single, a, b = [], chunks, a[:0], b[:0]
+        of_a, of_b, right = [token_ids(self.codec, " " + c) for c in single], self.pieces.encode(single, num_threads=1), []
+        for k, (c, x, y) in enumerate(zip(single, of_a, of_b, strict=True)):
             raw = b" " + c.encode()
-            if b"".join(map(self.a_bytes.__getitem__, x)) != raw or b"".join(map(self.b_bytes.__getitem__, y)) != raw:
-                right[k], of_a[k], of_b[k] = False, [], []
-        na, nb = (np.array([len(x) for x in side], dtype=np.int64) for side in (of_a, of_b))
-        a, b = (np.fromiter(chain.from_iterable(side), np.int64, n.sum()) for side, n in ((of_a, na), (of_b, nb)))
+            right.append(b"".join(map(self.a_bytes.__getitem__, x)) == raw and b"".join(map(self.b_bytes.__getitem__, y)) == raw)
+            if not right[k]:
+                of_a[k], of_b[k] = [], []
+        sides = [(np.append(n, [len(x) for x in side]).astype(np.int64), np.append(t, np.fromiter(chain.from_iterable(side), np.int64))) for n, t, side in ((na, a, of_a), (nb, b, of_b))]
+        return inner + single, sides[0][1], sides[1][1], sides[0][0], sides[1][0], np.append(np.ones(len(inner), dtype=bool), right).astype(bool)
+
+    def _add(self, chunks: list[str]) -> None:
+        chunks, a, b, na, nb, right = self._tokens(chunks)
         ends_a, ends_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
         ga, gb = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)
@@ -159,16 +209,16 @@ class Aligner:
         codes = np.empty(len(a) + len(b), dtype=np.int64)
         codes[np.arange(len(a)) + sb[ga]] = 2 * a + last_a
         codes[np.arange(len(b)) + (sa + ca)[gb]] = 2 * self.n_a + 3 * b + last_b + final
-        words, start = list(map(self.words.__getitem__, codes.tolist())), 0
-        for k, n in enumerate((na + nb).tolist()):
-            self.texts.append("".join(words[start : start + n]))
-            start += n
-            self.known[chunks[k]] = len(self.known)
-            self.bytes += len(chunks[k]) + len(self.texts[-1])
+        words = "".join(map(self.words.__getitem__, codes.tolist())).split("\n")[:-1]
+        texts = iter(words)
+        words = [next(texts) if n else "" for n in nb.tolist()]
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks)), strict=True))
+        self.texts += words
+        self.bytes += sum(map(len, chunks)) + sum(map(len, words))
         per = lambda weights: np.bincount(chunk, weights, len(chunks)).astype(np.int64)
-        self.counts = np.hstack([self.counts, np.stack([na, nb, np.bincount(chunk, minlength=len(chunks)), per((ca * cb).astype(float)), right.astype(np.int64)])])
-        self.first = np.append(self.first, self.first[-1] + np.cumsum(np.bincount(at, minlength=len(chunks))))
-        self.keys, self.times = np.append(self.keys, keys[order]), np.append(self.times, times[order])
+        own = np.bincount(at, minlength=len(chunks))
+        self.counts.add(np.stack([na, nb, np.bincount(chunk, minlength=len(chunks)), per((ca * cb).astype(float)), right, self.links.size + np.cumsum(own) - own, own, np.zeros(len(chunks))]))
+        self.links.add(np.stack([keys[order], times[order]]))
 
     def chunks(self, text: str) -> Iterator[list[str]]:
         """The text's chunks, those of about SPLIT_CHARS characters at once."""
@@ -182,60 +232,56 @@ class Aligner:
     def aligned(self, rows: list[str | None]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """For a slice of texts: tokens of A, of B, groups and links of each; the digests of their groups; the different
         ``key << DOC_BITS | text`` in order, and how often each is linked."""
-        totals, digests = np.zeros((len(rows), 4), dtype=np.int64), [""] * len(rows)
+        totals, digests = np.zeros((len(rows), 4), dtype=np.int64), {}
         done: list[tuple[np.ndarray, np.ndarray]] = []
-        held: list[np.ndarray] = []
-        size = 0
-
-        def expand() -> None:
-            nonlocal size
-            if held:
-                doc, number = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-                counts = self.first[number + 1] - self.first[number]
-                at = spread(self.first[number], counts)
-                done.append(summed(self.keys[at] << DOC_BITS | np.repeat(doc, counts), self.times[at]))
-                held.clear()
-                size = 0
+        held: list[tuple[int, list[str]]] = []
+        wrong: set[int] = set()
+
+        def work() -> None:
+            """Looks up the chunks held, those of many texts at once."""
+            if len(self.known) > KEPT_CHUNKS or self.bytes > KEPT_BYTES:
+                self.thinned()
+            number = np.array(self.numbers([c for _, part in held for c in part]), dtype=np.int64)
+            sizes = [len(part) for _, part in held]
+            doc, counts = np.repeat([d for d, _ in held], sizes).astype(np.int64), self.counts.room[:, number]
+            self.counts.room[7] += np.bincount(number, minlength=self.counts.room.shape[1])
+            wrong.update(np.unique(doc[counts[4] == 0]).tolist())
+            for k in range(4):
+                totals[:, k] += np.bincount(doc, counts[k], len(rows)).astype(np.int64)
+            at = spread(counts[5], counts[6])
+            done.append(summed(self.links.room[0, at] << DOC_BITS | np.repeat(doc, counts[6]), self.links.room[1, at]))
+            texts, start = list(map(self.texts.__getitem__, number.tolist())), 0
+            for (d, _), size in zip(held, sizes, strict=True):
+                line = ";".join(texts[start : start + size]).encode()
+                if d in digests:
+                    digests[d].update(b";" + line)
+                else:
+                    digests[d] = hashlib.sha256(line)
+                start += size
+            held.clear()
 
+        size = 0
         for d, text in enumerate(rows):
-            if not text:
-                continue
-            parts: Iterator[list[str]] = self.chunks(text)
-            whole, digest, mine = False, hashlib.sha256(), []
-            while (part := next(parts, None)) is not None:
-                if len(self.known) > KEPT_CHUNKS or self.bytes > KEPT_BYTES:
-                    for doc, number in mine:  # what is held refers to the chunks known: written out before these are forgotten
-                        held.append(np.stack([doc, number]))
-                    mine = []
-                    expand()
-                    self.clear()
-                number = np.array(self.numbers(part), dtype=np.int64)
-                counts = self.counts[:, number]
-                if not counts[4].all():
-                    if whole or not self.splits:
-                        totals[d], mine, digest = 0, [], None
-                        break
-                    # some chunk's bytes differ: the text is judged as one chunk
-                    whole, parts, digest, mine = True, iter([[text]]), hashlib.sha256(), []
-                    done = [self._without(x, d) for x in done]
-                    totals[d] = 0
-                    continue
-                digest.update((";" if totals[d, 0] else "").encode() + ";".join(map(self.texts.__getitem__, number.tolist())).encode())
-                totals[d] += counts[:4].sum(axis=1)
-                mine.append((np.full(len(number), d, dtype=np.int64), number))
-                size += len(number)
-            if digest:
-                digests[d] = digest.hexdigest()
-            held += [np.stack(x) for x in mine]
-            if size > EXPANDED:
-                expand()
-        expand()
-        return totals, digests, *summed(*(np.concatenate([x[k] for x in done]) if done else np.zeros(0, dtype=np.int64) for k in (0, 1)))
-
-    @staticmethod
-    def _without(part: tuple[np.ndarray, np.ndarray], doc: int) -> tuple[np.ndarray, np.ndarray]:
-        other = part[0] & ((1 << DOC_BITS) - 1) != doc
-        return part[0][other], part[1][other]
+            for part in self.chunks(text) if text else ():
+                held.append((d, part))
+                size += len(part)
+                if size > EXPANDED:
+                    work()
+                    size = 0
+        work()
+        if wrong:  # some chunk's bytes differ: these texts are judged as one chunk each
+            done = [(k[keep], n[keep]) for k, n in done if (keep := ~np.isin(k & ((1 << DOC_BITS) - 1), list(wrong))).any()]
+            again = sorted(wrong)
+            totals[again] = 0
+            for d in again:
+                digests.pop(d)
+            if self.splits:
+                held += [(d, [rows[d]]) for d in again]
+                wrong.clear()
+                work()
+                for d in wrong:
+                    digests.pop(d)
+        return totals, [digests[d].hexdigest() if d in digests else "" for d in range(len(rows))], *summed(*(np.concatenate([x[k] for x in done]) if done else np.zeros(0, dtype=np.int64) for k in (0, 1)))
 
 
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
