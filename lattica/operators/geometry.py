@@ -7,6 +7,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,60 +16,87 @@ from lattica.operators.numbering import with_row_number
 AXES = ("x", "y", "z")
 
 
-def triangle_voxels(triangles: DataFrame, size: int) -> DataFrame:
-    """(fid, x, y, z) of the unit cells that each triangle (fid, x0..z2) touches. The cells of its shadow along the axis that
-    it faces most are listed, and over each the three or fewer that its plane passes; those that the plane or one of the
-    three projections misses are left out. So a triangle costs rows in proportion to its area."""
-    span = {a: tuple(f(*[F.col(f"{a}{k}") for k in range(3)]) for f in (F.least, F.greatest)) for a in AXES}
-    cell = lambda v: F.least(F.greatest(F.floor(v), F.lit(0)), F.lit(size - 1)).cast("int")
-    out = triangles
-    for low, high in span.values():
-        out = out.filter((high >= 0) & (low < size))
-    edge = lambda k, a: F.col(f"{a}{k + 1}") - F.col(f"{a}0")
-    ring = {"x": ("y", "z"), "y": ("z", "x"), "z": ("x", "y")}
-    out = out.withColumns({f"_n{a}": edge(0, p) * edge(1, q) - edge(0, q) * edge(1, p) for a, (p, q) in ring.items()})
-    most = F.greatest(*[F.abs(f"_n{a}") for a in AXES])
-    faces = F.when(F.abs("_nz") == most, "z").when(F.abs("_ny") == most, "y").otherwise("x")
-    parts = None
-    out = out.withColumn("_faces", faces)
-    for a, (p, q) in ring.items():
-        part = out.filter(F.col("_faces") == a)
-        for axis in (p, q):
-            part = part.withColumn(axis, F.explode(F.sequence(*map(cell, span[axis]))))
+#: Squares of triangles' shadows that are worked on at once.
+SQUARES = 1 << 18
+
+
+def touched_cells(corners: np.ndarray, size: tuple[int, int, int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(number of the triangle, cell) of the unit cells that triangles (n x 3 corners x 3 axes) touch, so many squares of
+    their shadows at once: a triangle of any size is worked on in parts."""
+    shape = np.array(size)
+    low, high = corners.min(axis=1), corners.max(axis=1)
+    number = np.flatnonzero(((high >= 0) & (low < shape)).all(axis=1) & np.isfinite(corners).all(axis=(1, 2)))
+    corners, low, high = corners[number], low[number], high[number]
+    normal = np.cross(corners[:, 1] - corners[:, 0], corners[:, 2] - corners[:, 0])
+    faces = 2 - np.argmax(np.abs(normal[:, ::-1]), axis=1)  # the last axis among equals
+    axes = np.stack([faces, (faces + 1) % 3, (faces + 2) % 3], axis=1)  # along, and the two of the shadow
+    cell = lambda v, of: np.clip(np.floor(v), 0, of - 1).astype(np.int64)
+    each = np.arange(len(number))
+    first, last = cell(low, shape), cell(high, shape)
+    starts = [first[each, axes[:, k]] for k in (1, 2)]
+    wide = [last[each, axes[:, k]] - first[each, axes[:, k]] + 1 for k in (1, 2)]
+    ends = np.cumsum(wide[0] * wide[1])
+    for at in range(0, int(ends[-1]) if len(ends) else 0, SQUARES):
+        square = np.arange(at, min(at + SQUARES, ends[-1]))
+        t = np.searchsorted(ends, square, side="right")
+        square = square - (ends - wide[0] * wide[1])[t]
+        a, p, q = axes[t].T
+        c, n = corners[t], normal[t]
+        mine = np.arange(len(t))
+        up, vp, vq = starts[0][t] + square // wide[1][t], n[mine, p], n[mine, q]
+        uq, va = starts[1][t] + square % wide[1][t], n[mine, a]
+        flat = va == 0  # no area: its box
+        safe = np.where(flat, 1.0, va)
         # the plane's height over the middle of the square, and how far it goes up and down from there
-        facing, flat = F.nullif(F.col(f"_n{a}"), F.lit(0.0)), F.col(f"_n{a}") == 0  # flat: no area, so its box
-        middle = F.col(f"{a}0") - (F.col(f"_n{p}") * (F.col(p) + 0.5 - F.col(f"{p}0")) + F.col(f"_n{q}") * (F.col(q) + 0.5 - F.col(f"{q}0"))) / facing
-        reach = (F.abs(f"_n{p}") + F.abs(f"_n{q}")) / F.abs(facing) / 2 + 1e-6
-        low, high = (F.when(flat, v).otherwise(f(v, middle + sign * reach)) for v, f, sign in zip(span[a], (F.greatest, F.least), (-1, 1), strict=True))
+        middle = c[mine, 0, a] - (vp * (up + 0.5 - c[mine, 0, p]) + vq * (uq + 0.5 - c[mine, 0, q])) / safe
+        reach = (np.abs(vp) + np.abs(vq)) / np.abs(safe) / 2 + 1e-6
+        bottom, top = low[t][mine, a], high[t][mine, a]
+        most = np.where(flat, top, np.minimum(top, middle + reach))
+        least = np.where(flat, bottom, np.maximum(bottom, middle - reach))
         # a plane on the border of two cells touches both, but no cell below the triangle's own lowest
-        first = F.greatest(cell(span[a][0]), cell(F.when(flat, low).otherwise(F.ceil(low) - 1)))
-        part = part.withColumn("_first", first).withColumn("_last", cell(high)).filter("_first <= _last")
-        part = part.withColumn(a, F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
-        parts = part if parts is None else parts.unionByName(part)
-    out = parts
-
-    def corner(k: int, a: str) -> Column:
-        return F.col(f"{a}{k}")
-
-    side = lambda k, a: corner((k + 1) % 3, a) - corner(k, a)
-    normal = {
-        "x": side(0, "y") * side(1, "z") - side(0, "z") * side(1, "y"),
-        "y": side(0, "z") * side(1, "x") - side(0, "x") * side(1, "z"),
-        "z": side(0, "x") * side(1, "y") - side(0, "y") * side(1, "x"),
-    }
-    # the plane: the cell's farthest corners along the normal lie on both sides
-    at = sum((normal[a] * (F.col(a) - corner(0, a)) for a in AXES[1:]), normal["x"] * (F.col("x") - corner(0, "x")))
-    reach_low = sum((F.least(normal[a], F.lit(0.0)) for a in AXES[1:]), F.least(normal["x"], F.lit(0.0)))
-    reach_high = sum((F.greatest(normal[a], F.lit(0.0)) for a in AXES[1:]), F.greatest(normal["x"], F.lit(0.0)))
-    hit = (at + reach_low <= 0) & (at + reach_high >= 0)
-    # each projection: the cell's square isn't wholly outside one of the three edges
-    for a, b, c in (("x", "y", "z"), ("y", "z", "x"), ("z", "x", "y")):
-        sign = F.when(normal[c] < 0, -1.0).otherwise(1.0)
+        lowest = np.maximum(first[t][mine, a], cell(np.where(flat, least, np.ceil(least) - 1), shape[a]))
+        count = np.maximum(cell(most, shape[a]) - lowest + 1, 0)
+        which = np.repeat(mine, count)
+        cells = np.empty((len(which), 3), dtype=np.int64)
+        rows = np.arange(len(which))
+        cells[rows, a[which]] = lowest[which] + rows - np.repeat(np.cumsum(count) - count, count)
+        cells[rows, p[which]], cells[rows, q[which]] = up[which], uq[which]
+        hit = _meets(c[which], n[which], cells)
+        yield number[t[which[hit]]], cells[hit]
+
+
+def _meets(c: np.ndarray, n: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Whether each cell meets its triangle: the cell's farthest corners along the normal lie on both sides of the plane, and
+    in no projection is the cell's square wholly outside one of the three edges."""
+    at = (n * (cells - c[:, 0])).sum(axis=1)
+    hit = (at + np.minimum(n, 0).sum(axis=1) <= 0) & (at + np.maximum(n, 0).sum(axis=1) >= 0)
+    for a, b, along in ((0, 1, 2), (1, 2, 0), (2, 0, 1)):
+        sign = np.where(n[:, along] < 0, -1.0, 1.0)
         for k in range(3):
-            na, nb = -side(k, b) * sign, side(k, a) * sign
-            d = na * (F.col(a) - corner(k, a)) + nb * (F.col(b) - corner(k, b)) + F.greatest(na, F.lit(0.0)) + F.greatest(nb, F.lit(0.0))
-            hit = hit & (d >= 0)
-    return out.filter(hit).select("fid", *AXES)
+            side = c[:, (k + 1) % 3] - c[:, k]
+            na, nb = -side[:, b] * sign, side[:, a] * sign
+            hit &= na * (cells[:, a] - c[:, k, a]) + nb * (cells[:, b] - c[:, k, b]) + np.maximum(na, 0) + np.maximum(nb, 0) >= 0
+    return hit
+
+
+CORNERS = [f"{a}{k}" for k in range(3) for a in AXES]
+
+
+def triangle_voxels(triangles: DataFrame, size: int | tuple[int, int, int]) -> DataFrame:
+    """(fid, x, y, z) of the unit cells of a grid that each triangle (fid, x0..z2) touches. The cells of its shadow along the
+    axis that it faces most are listed, and over each the three or fewer that its plane passes; those that the plane or one
+    of the three projections misses are left out. So a triangle costs work in proportion to its area, and is worked on in
+    parts. Triangles with a null corner touch nothing."""
+    shape = (size,) * 3 if isinstance(size, int) else size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            corners = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in CORNERS], axis=1).reshape(-1, 3, 3)
+            for number, cells in touched_cells(corners, shape):
+                columns = [pa.array(cells[:, k].astype(np.int32)) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([batch.column("fid").take(pa.array(number)), *columns], ["fid", *AXES])
+
+    return triangles.select("fid", *[F.col(c).cast("double").alias(c) for c in CORNERS]).mapInArrow(run, f"fid {dict(triangles.dtypes)['fid']}, x int, y int, z int")
 
 
 RING = {"x": ("y", "z"), "y": ("z", "x"), "z": ("x", "y")}

@@ -21,8 +21,15 @@ def combine_first_many(frames: list[DataFrame], key: str) -> DataFrame:
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
     names = [c for c in rows.columns if c not in (key, "_prio")]
     merged = rows.groupBy(key).agg(F.count("*").alias("_n"), F.count_distinct("_prio").alias("_frames"), *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_prio"))).alias(c) for c in names])
-    once = F.when(F.col("_n") > F.col("_frames"), F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast(dict(rows.dtypes)[key]))
-    return merged.select(once.otherwise(F.col(key)).alias(key), *names)
+    repeats = F.concat(F.lit(f"{key} repeats: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    return checked(merged, F.col("_n") == F.col("_frames"), repeats).select(key, *names)
+
+
+def checked(df: DataFrame, rule: Column, message: str | Column) -> DataFrame:
+    """The same rows; the job fails with ``message`` at one that breaks the rule (a null does), whatever columns are read: a
+    filter isn't pruned as a column is."""
+    told = F.lit(message) if isinstance(message, str) else message
+    return df.filter(F.when(F.coalesce(rule, F.lit(False)), True).otherwise(F.raise_error(told).cast("boolean")))
 
 
 def upsert(records: DataFrame, key: str, seq: str) -> DataFrame:

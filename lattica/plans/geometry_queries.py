@@ -10,6 +10,7 @@ from lattica.functions import expr
 from lattica.operators import geometry, spatial
 from lattica.plans import views
 from lattica.plans.catalog import query
+from lattica.plans.log_queries import CLIP_SQL, odd_log
 from lattica.plans.sparse_queries import ZCODE, batch_and_code, chunk_and_code
 from lattica.session import shared_dir
 from lattica.sources import voxels as store
@@ -114,12 +115,14 @@ def log_stream_agg(spark, sf_dir):
     return out.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query(
-    """SELECT step, rank, round(CASE WHEN count(value) OVER w = 20 THEN least(50.0, quantile_cont(value, 0.95) OVER w) ELSE 50.0 END, 6) AS clip FROM v_log
-    WINDOW w AS (PARTITION BY rank ORDER BY step ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
-)
+@query(CLIP_SQL)
 def clip_stream(spark, sf_dir):
-    """The bound of rolling_percentile_clip, with each run's last values kept as state of a stream."""
-    stream = records.file_stream(spark, f"{sf_dir}/events.parque[t]", files_per_batch=1).select(F.col("event_id").alias("step"), F.col("user_id").alias("rank"), "value")
+    """The bound of rolling_percentile_clip in a stream of many micro-batches, with each run's last values kept as state."""
+    path, log = f"{shared_dir(spark)}/log-{uuid.uuid4().hex}", views.log(spark, sf_dir).select("step", "rank", "value")
+    cuts = log.agg(F.percentile_approx("step", [0.25, 0.5, 0.75])).first()[0]
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):  # written one after the other, as a log grows
+        part = log.filter(F.col("step") >= low) if low is not None else log
+        (part.filter(F.col("step") < high) if high is not None else part).coalesce(1).write.mode("append").parquet(path)
+    stream = odd_log(records.file_stream(spark, path, files_per_batch=1))
     out = records.drained(state.clip_limits(stream, "rank", "step", "value", 20, 0.95, 50.0), "append", "clips")
     return out.select("step", "rank", F.round("limit", 6).alias("clip"))

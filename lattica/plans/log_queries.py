@@ -45,13 +45,22 @@ def log_time_bins(spark, sf_dir):
     return logs.time_bins(e, "t", 10, n=F.count("*"), mean=F.round(F.sum("value").cast("double") / F.count("*"), 5))
 
 
-@query(
-    """SELECT step, rank, round(CASE WHEN count(value) OVER w = 20 THEN least(50.0, quantile_cont(value, 0.95) OVER w) ELSE 50.0 END, 6) AS clip FROM v_log
-    WINDOW w AS (PARTITION BY rank ORDER BY step ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"""
-)
+#: Every 37th value is NaN and every 41st infinite: neither counts, and the bound stays.
+ODD_VALUE = "CASE WHEN step % 37 = 0 THEN {nan} WHEN step % 41 = 0 THEN {inf} ELSE value END"
+CLIP_SQL = f"""WITH o AS (SELECT step, rank, {ODD_VALUE.format(nan="'NaN'::DOUBLE", inf="'Infinity'::DOUBLE")} AS value FROM v_log),
+    c AS (SELECT *, count(*) FILTER (WHERE isfinite(value)) OVER (PARTITION BY rank ORDER BY step) AS k FROM o),
+    l AS (SELECT rank, k, CASE WHEN count(*) OVER w = 20 THEN least(50.0, quantile_cont(value, 0.95) OVER w) ELSE 50.0 END AS bound FROM c WHERE isfinite(value) WINDOW w AS (PARTITION BY rank ORDER BY k ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+    SELECT step, c.rank, round(coalesce(l.bound, 50.0), 6) AS clip FROM c LEFT JOIN l ON c.rank = l.rank AND c.k = l.k"""
+
+
+def odd_log(log):
+    return log.withColumn("value", F.expr(ODD_VALUE.format(nan="double('NaN')", inf="double('Infinity')")))
+
+
+@query(CLIP_SQL)
 def rolling_percentile_clip(spark, sf_dir):
-    """A bound from the last 20 values of each run, active once there are 20."""
-    return logs.clip_limit(views.log(spark, sf_dir), "rank", "step", "value", 20, 0.95, 50.0).select("step", "rank", F.round("limit", 6).alias("clip"))
+    """A bound from the last 20 finite values of each run, active once there are 20."""
+    return logs.clip_limit(odd_log(views.log(spark, sf_dir)), "rank", "step", "value", 20, 0.95, 50.0).select("step", "rank", F.round("limit", 6).alias("clip"))
 
 
 @query(
@@ -64,6 +73,22 @@ def rolling_ols(spark, sf_dir):
     return logs.rolling_fit(e, "rank", "step", "value", "x", 30, 10).select("step", "rank", r("slope", 5).alias("slope"))
 
 
+@query(
+    """WITH e AS (SELECT step, rank, value, 100 + step % 900 AS size, (1 + step % 9) / 10.0::DOUBLE AS ratio, row_number() OVER (PARTITION BY rank ORDER BY step) AS i FROM v_log),
+    m AS (SELECT *, 3 + size * ratio / 200 + value / 1000 AS memory, size * ratio AS x FROM e),
+    f AS (SELECT *, CASE WHEN i % 10 = 0 THEN regr_slope(memory, x) OVER w END AS s, CASE WHEN i % 10 = 0 THEN regr_intercept(memory, x) OVER w END AS c FROM m WINDOW w AS (PARTITION BY rank ORDER BY step ROWS BETWEEN 39 PRECEDING AND CURRENT ROW)),
+    g AS (SELECT *, last_value(s IGNORE NULLS) OVER u AS slope, last_value(c IGNORE NULLS) OVER u AS intercept FROM f WINDOW u AS (PARTITION BY rank ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT step, rank, round(slope, 6) + 0 AS slope, round(intercept, 6) + 0 AS intercept, round(CASE WHEN slope IS NOT NULL AND slope <> 0 THEN least(least(1.0, 0.5 + (i // 10) * 0.1), greatest(0.0, (4.5 - intercept) / (slope * size))) END, 6) + 0 AS ratio FROM g"""
+)
+def memory_controller(spark, sf_dir):
+    """Memory fitted over size * ratio on a run's last 40 rows, and the ratio that the fit asks for next."""
+    e = views.log(spark, sf_dir).withColumns({"size": 100 + F.col("step") % 900, "used": (1 + F.col("step") % 9) / 10.0})
+    e = e.withColumns({"x": F.col("size") * F.col("used"), "memory": 3 + F.col("size") * F.col("used") / 200 + F.col("value") / 1000})
+    fits = logs.with_place(logs.rolling_fit(e, "rank", "step", "memory", "x", 40, 10), "rank", "step", "i").withColumn("i", F.col("i") + 1)
+    out = logs.memory_ratio(fits, "size", 5.0, 0.9, 0.5, 10, "i")
+    return out.select("step", "rank", r("slope", 6).alias("slope"), r("intercept", 6).alias("intercept"), r("ratio", 6).alias("ratio"))
+
+
 @query(
     """WITH n AS (SELECT rank, value, row_number() OVER (PARTITION BY rank ORDER BY step) AS i, count(*) OVER (PARTITION BY rank) AS n FROM v_log)
     SELECT rank, round(sum(value * CASE WHEN i = 1 THEN power(0.9, n - 1) ELSE (1 - 0.9) * power(0.9, n - i) END), 6) AS ema FROM n GROUP BY rank"""

@@ -247,9 +247,8 @@ def aligned_coords_join(spark, sf_dir):
     e = views.load(spark, sf_dir, "embeddings")
     a = e.select("vec_id", F.posexplode("embedding").alias("pos", "shape"))
     b = e.select("vec_id", F.posexplode("embedding").alias("pos", "pbr")).withColumn("pos", 63 - F.col("pos"))
-    both = a.join(b, ["vec_id", "pos"], "full")
-    checked = F.when(F.assert_true(F.col("shape").isNotNull() == F.col("pbr").isNotNull()).isNull(), F.col("pos").cast("long"))
-    return both.select("vec_id", checked.alias("pos"), F.round(F.col("shape").cast("double"), 6).alias("shape"), F.round(F.col("pbr").cast("double"), 6).alias("pbr"))
+    both = registry.checked(a.join(b, ["vec_id", "pos"], "full"), F.col("shape").isNotNull() == F.col("pbr").isNotNull(), "a coordinate has one latent only")
+    return both.select("vec_id", F.col("pos").cast("long").alias("pos"), F.round(F.col("shape").cast("double"), 6).alias("shape"), F.round(F.col("pbr").cast("double"), 6).alias("pbr"))
 
 
 @query("SELECT vec_id, CAST(len(embedding) AS INT) AS n FROM embeddings WHERE len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) = 0")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import io
+import os
 from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
@@ -143,16 +145,27 @@ def bad_lines(parts: DataFrame) -> DataFrame:
 
 
 def archived(spark: SparkSession, parts: DataFrame, target: str, stamp: str) -> list[str]:
-    """Moves the files that ``parts`` (read_parts) came from to ``target``/<stamp>_<name>, once what was made of them is
-    written; returns the new paths. The driver sees one name a file. A file that is gone already is left out, so a run that
-    broke off can be repeated."""
+    """Moves the files that ``parts`` (read_parts) came from to ``target``/<stage>/<stamp>_<name>, once what was made of them is
+    written; returns the new paths. The stage is the file's folder below the one that all share, without ``new_records``, so
+    that files of one name from several stages don't meet. The driver sees one name a file. A file that is gone already is
+    left out, so a run that broke off can be repeated; a file that can't be moved is an error."""
     jvm, moved = spark._jvm, []
-    for row in parts.select("file_path", "file").distinct().orderBy("file_path").collect():
-        source, at = jvm.org.apache.hadoop.fs.Path(row.file_path), jvm.org.apache.hadoop.fs.Path(f"{target}/{stamp}_{row.file}")
+    files = parts.select("file_path", "file").distinct()
+    ends = files.agg(F.min("file_path").alias("low"), F.max("file_path").alias("high")).first()
+    shared = os.path.commonprefix([ends.low or "", ends.high or ""]).rpartition("/")[0]
+    for row in files.orderBy("file_path").toLocalIterator():
+        stage = [p for p in unquote(row.file_path[len(shared) :]).split("/")[1:-1] if p != "new_records"]
+        source = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row.file_path))
+        at = jvm.org.apache.hadoop.fs.Path("/".join([target, *stage, f"{stamp}_{unquote(row.file)}"]))
         fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(source):
+            continue
+        if fs.exists(at):
+            raise FileExistsError(at.toString())
         fs.mkdirs(at.getParent())
-        if fs.exists(source) and fs.rename(source, at):
-            moved.append(at.toString())
+        if not fs.rename(source, at):
+            raise OSError(f"{source.toString()} can't be moved to {at.toString()}")
+        moved.append(at.toString())
     return moved
 
 
