@@ -12,7 +12,7 @@ from lattica.session import shared_dir
 BROADCAST_GROUPS = 1_000_000
 
 
-def _fixed(df: DataFrame) -> DataFrame:
+def fixed(df: DataFrame) -> DataFrame:
     """The rows with their partitions held fast by a checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
@@ -36,7 +36,7 @@ def with_row_number(df: DataFrame, *order: str | Column, name: str = "row_number
     df = df.drop(name)
     at, tie, part, start = (unused(df, c) for c in ("_at", "_tie", "_part", "_start"))
     dealt = df.withColumn(tie, F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(*order, tie).sortWithinPartitions(*order, tie)
-    placed = _fixed(dealt.drop(tie).withColumn(at, F.monotonically_increasing_id()))
+    placed = fixed(dealt.drop(tie).withColumn(at, F.monotonically_increasing_id()))
     number, within = F.shiftright(at, 33), F.col(at).bitwiseAND((1 << 33) - 1)
     counts = sorted(tuple(r) for r in placed.groupBy(number.alias("p")).count().collect())
     starts, n = [], 0
@@ -51,7 +51,7 @@ def running_totals(df: DataFrame, order: str, value: str) -> DataFrame:
     """Adds ``start`` and ``stop``: the total of ``value`` over the rows before in ``order``, and with the row's own. Totals of
     range partitions reach the driver, one number each; within a partition the rows are added up in their order."""
     part = unused(df, "_part")
-    placed = _fixed(df.repartitionByRange(order).withColumn(part, F.spark_partition_id()))
+    placed = fixed(df.repartitionByRange(order).withColumn(part, F.spark_partition_id()))
     before, starts = 0, []
     for p, total in sorted(tuple(r) for r in placed.groupBy(part).agg(F.sum(value)).collect()):
         starts.append((p, before))

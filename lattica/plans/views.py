@@ -72,6 +72,27 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Quads of the surface in a row of it.
+ROW = 40
+
+
+def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vertices of a surface over all parts, in rows of ROW. No place has a round number."""
+    p = load(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").alias("vid"), (F.expr(f"p_partkey div {ROW}") * 0.71 + 0.1037).alias("x"), (F.col("p_partkey") % ROW * 0.53 + 0.0713).alias("y"), (F.col("p_size") % 11 * 0.37 + 2.0917).alias("z")
+    )
+
+
+def surface(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two triangles for each quad of four parts, with holes where a part's size is 13."""
+    p = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_size")
+    n = p.select(F.max("k").alias("last"))
+    q = p.join(F.broadcast(n)).filter(f"k % {ROW} < {ROW - 1} and k + {ROW + 1} <= last and p_size <> 13")
+    corners = F.array(*[F.struct(F.lit(t).alias("t"), *[(F.col("k") + d).alias(f"v{j}") for j, d in enumerate(c)]) for t, c in enumerate(((0, ROW, 1), (1, ROW, ROW + 1)))])
+    return q.select("k", F.inline(corners)).select((F.col("k") * 2 + F.col("t")).alias("fid"), "v0", "v1", "v2")
+
+
 def views_of_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "conversations").select(F.col("conv_id").alias("asset_id"), F.col("turn").cast("int").alias("frame"), "role")
 
@@ -105,6 +126,9 @@ SQL = {
        WHERE l_partkey % 50 <> l_suppkey % 50 AND l_suppkey % 50 <> l_orderkey % 50 AND l_partkey % 50 <> l_orderkey % 50""",
     "v_vertex": """SELECT CAST(p_partkey AS INT) AS vid, CAST(p_partkey * 7 % 13 AS DOUBLE) AS x, CAST(p_partkey * 5 % 11 AS DOUBLE) AS y,
        CAST(p_size % 9 AS DOUBLE) AS z FROM part WHERE p_partkey < 50""",
+    "v_node": "SELECT p_partkey AS vid, p_partkey // 40 * 0.71::DOUBLE + 0.1037::DOUBLE AS x, p_partkey % 40 * 0.53::DOUBLE + 0.0713::DOUBLE AS y, p_size % 11 * 0.37::DOUBLE + 2.0917::DOUBLE AS z FROM part",
+    "v_surface": """SELECT k * 2 + t AS fid, k + CASE t WHEN 0 THEN 0 ELSE 1 END AS v0, k + 40 AS v1, k + CASE t WHEN 0 THEN 1 ELSE 41 END AS v2 FROM
+       (SELECT p_partkey AS k FROM part WHERE p_partkey % 40 < 39 AND p_partkey + 41 <= (SELECT max(p_partkey) FROM part) AND p_size <> 13), (VALUES (0), (1)) q(t)""",
     "v_view": "SELECT conv_id AS asset_id, CAST(turn AS INT) AS frame, role FROM conversations",
     "v_channel": "SELECT vec_id, label AS b, CAST(unnest(range(len(embedding))) AS INT) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v, CAST(unnest(list_reverse(embedding)) AS DOUBLE) AS w FROM embeddings",
     "v_latent": "SELECT vec_id, label AS b, embedding AS feats FROM embeddings",
@@ -115,6 +139,8 @@ def sql(body: str) -> str:
     """The query with the views it names put in front."""
     used = [f"{name} AS ({text})" for name, text in SQL.items() if name in body]
     rest = body.strip()
+    if rest[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {', '.join([*used, rest[15:]])}"
     if rest[:5].upper() == "WITH ":
         return f"WITH {', '.join([*used, rest[5:]])}"
     return f"WITH {', '.join(used)} {rest}" if used else rest
