@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from lattica.operators import raster, surfaces
+from lattica.operators import raster, surfaces, volumes
 from lattica.plans import views
 from lattica.plans.catalog import query
 
@@ -112,3 +113,99 @@ def voxel_raster(spark, sf_dir):
     """The surface's vertices as boxes in perspective: which one each pixel shows, and how far away."""
     v = views.nodes(spark, sf_dir).withColumnRenamed("vid", "id")
     return raster.rasterised(v, CAMERA, 0.6).select("py", "px", "id", F.round("distance", 6).alias("distance"))
+
+
+#: Voxels are so many times finer than the surface's unit; texels of a texture's edge; cells of the grid.
+FINER, TEXELS, CELLS = 2.0, 8, 4096
+#: Which of a material's textures exist, and how they are read: by the material's number m and the texture's k.
+SLOT_RULES = {"tex": "m * 6 + k", "linear": "(m + k) % 5 <> 0", "wrap": "CASE (m + k) % 3 WHEN 0 THEN 'repeat' WHEN 1 THEN 'clamp' ELSE 'mirror' END"}
+FACTORS = {
+    **{f"base_{k}": f"1 - m * 0.0{k + 3}" for k in range(3)}, "metallic": "0.3 + m * 0.1", "roughness": "0.9 - m * 0.07", **{f"emissive_{k}": f"m * 0.{k + 2}" for k in range(3)}, "alpha": "0.95 - m * 0.02", "cutoff": "0.45",
+    "mode": "CASE m % 3 WHEN 0 THEN 'OPAQUE' WHEN 1 THEN 'MASK' ELSE 'BLEND' END",
+}
+#: What a vertex has besides its place.
+EXTRA = {"nx": "vid % 3 * 0.1 - 0.1", "ny": "vid % 5 * 0.1 - 0.2", "nz": "1.0", "s": "x * 0.37 + vid % 7 * 0.021", "t": "y * 0.29 - vid % 4 * 0.017 - 1.3"}
+
+
+def doubled(sql: str) -> str:
+    """Numbers with a point as doubles, in both engines."""
+    return re.sub(r"(\d+\.\d+)", r"CAST(\1 AS DOUBLE)", sql)
+
+
+def textured(spark, sf_dir):
+    """The surface in voxels, a material for each triangle, and normals and texture coordinates from the vertices' numbers."""
+    v = views.nodes(spark, sf_dir).select("vid", *[F.expr(f"{a} * {FINER}").alias(a) for a in "xyz"], *[F.expr(doubled(e)).alias(c) for c, e in EXTRA.items()])
+    out = views.surface(spark, sf_dir).withColumn("mid", F.col("fid") % 5)
+    for k in range(3):
+        out = out.join(v.select(F.col("vid").alias(f"v{k}"), *[F.col(c).alias(f"{c}{k}") for c in v.columns[1:]]), f"v{k}")
+    return out
+
+
+def texels(spark, sf_dir):
+    """Six textures for each of five materials, out of quantities."""
+    i = views.load(spark, sf_dir, "lineitem")
+    cells = i.groupBy((F.col("l_suppkey") % 5).alias("m"), (F.col("l_partkey") % TEXELS).cast("int").alias("ty"), (F.col("l_orderkey") % TEXELS).cast("int").alias("tx")).agg(F.sum(F.col("l_quantity").cast("long")).alias("q"), F.count("*").alias("c"))
+    each = cells.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(5))))
+    return each.select(F.expr(SLOT_RULES["tex"]).alias("tex"), "ty", "tx", *[F.expr(f"cast((q * (2 * k + 3) + {j} * 67 + c) % 256 as int)").alias(f"c{j}") for j in range(3)])
+
+
+def volume_sql() -> str:
+    parts, cells = [], []
+    for c, (p, q) in (("x", ("y", "z")), ("y", ("z", "x")), ("z", ("x", "y"))):
+        ends = ", ".join(f"CASE WHEN least({q}{k}, {q}{m}) < w AND w <= greatest({q}{k}, {q}{m}) THEN {p}{k} + (w - {q}{k}) * ({p}{m} - {p}{k}) / ({q}{m} - {q}{k}) END" for k, m in ((0, 1), (1, 2), (2, 0)))
+        rows = f"SELECT *, unnest(range(CAST(floor(least({q}0, {q}1, {q}2)) AS BIGINT) + 1, CAST(floor(greatest({q}0, {q}1, {q}2)) AS BIGINT) + 1)) AS w FROM n WHERE n{c} <> 0"
+        spans = f"SELECT *, unnest(range(CAST(floor(list_min([{ends}])) AS BIGINT) + 1, CAST(floor(list_max([{ends}])) AS BIGINT) + 1)) AS o FROM ({rows})"
+        parts.append(f"h{c} AS (SELECT fid, CAST(o AS BIGINT) AS o, CAST(w AS BIGINT) AS w, CAST(floor({c}0 - (n{p} * (o - {p}0) + n{q} * (w - {q}0)) / n{c}) AS BIGINT) AS h FROM ({spans}))")
+        at = {c: "h", p: "o - i.range", q: "w - j.range"}
+        cells.append(f"SELECT fid, {', '.join(f'{at[a]} AS {a}' for a in 'xyz')} FROM h{c}, range(2) i, range(2) j")
+    columns = ", ".join(f"c{k}.{c} AS {c}{k}" for k in range(3) for c in ("x", "y", "z", *EXTRA))
+    e, f, g = ([f"({a}{j} - {a}0)" for a in "xyz"] for j in (1, 2, 9))
+    dot = lambda u, v: " + ".join(f"({a}) * ({b})" for a, b in zip(u, v, strict=True))
+    g = [f"({a} + CAST(0.5 AS DOUBLE) - {a}0 - d * u{a})" for a in "xyz"]
+    mean = lambda c: f"(1 - b1 - b2) * {c}0 + b1 * {c}1 + b2 * {c}2"
+    wrap = lambda i: f"CASE wrap WHEN 'clamp' THEN least(greatest({i}, 0), n - 1) WHEN 'mirror' THEN CASE WHEN (({i}) % (2 * n) + 2 * n) % (2 * n) < n THEN (({i}) % (2 * n) + 2 * n) % (2 * n) ELSE 2 * n - 1 - (({i}) % (2 * n) + 2 * n) % (2 * n) END ELSE (({i}) % n + n) % n END"
+    tops = (TEXELS - 1).bit_length()
+    mips = "".join(f", m{k} AS (SELECT tex, {k} AS level, ty // 2 AS ty, tx // 2 AS tx, {', '.join(f'CAST(sum(c{j}) AS BIGINT) // 4 AS c{j}' for j in range(3))} FROM m{k - 1} GROUP BY tex, ty // 2, tx // 2)" for k in range(1, tops + 1))
+    values = ", ".join(f"sum(CASE WHEN slot = '{s}' THEN w * c{k} / 255 END) AS s_{s}_{k}" for s, n in volumes.SLOTS.items() for k in range(n))
+    one = lambda s, k=0: f"coalesce(s_{s}_{k}, 1)"
+    out = {f"{s}_{k}": f"{one(s, k)} * {s}_{k}" for s in ("base", "emissive") for k in range(3)} | {s: f"{one(s)} * {s}" for s in ("metallic", "roughness")}
+    out["alpha"] = f"CASE mode WHEN 'OPAQUE' THEN 1.0 WHEN 'MASK' THEN CASE WHEN {one('alpha')} * alpha < cutoff THEN 0.0 ELSE 1.0 END ELSE {one('alpha')} * alpha END"
+    bent = {a: f"(2 * s_normal_0 - 1) * t{a} + (2 * s_normal_1 - 1) * o{a} + (2 * s_normal_2 - 1) * i{a}" for a in "xyz"}
+    size = f"nullif(sqrt({' + '.join(f'({b}) * ({b})' for b in bent.values())}), 0)"
+    out |= {f"normal_{k}": f"CASE WHEN s_normal_0 IS NULL THEN i{a} ELSE coalesce(({bent[a]}) / {size}, 0.0) END" for k, a in enumerate("xyz")}
+    sums = ", ".join(f"round(sum(({out[c]}) * weight) / sum(weight), 5) + 0 AS {c}" for c in volumes.ATTRIBUTES)
+    nodes = f"v AS (SELECT vid, {', '.join(f'{a} * {FINER}::DOUBLE AS {a}' for a in 'xyz')}, {', '.join(f'{doubled(x)} AS {c}' for c, x in EXTRA.items())} FROM v_node)"
+    tangent = {a: f"((t2 - t0) * {e[k]} - (t1 - t0) * {f[k]})" for k, a in enumerate("xyz")}
+    other = {a: f"((s1 - s0) * {f[k]} - (s2 - s0) * {e[k]})" for k, a in enumerate("xyz")}
+    norm = lambda v: f"sqrt({' + '.join(f'{x} * {x}' for x in v.values())})"
+    flat = "abs(det) < 1e-6"
+    return f"""WITH {nodes}, t AS (SELECT fid, fid % 5 AS mid, {columns} FROM v_surface JOIN v c0 ON c0.vid = v0 JOIN v c1 ON c1.vid = v1 JOIN v c2 ON c2.vid = v2), {NORMAL_SQL}, {', '.join(parts)},
+    x AS (SELECT DISTINCT * FROM ({' UNION ALL '.join(cells)}) WHERE x BETWEEN 0 AND {CELLS - 1} AND y BETWEEN 0 AND {CELLS - 1} AND z BETWEEN 0 AND {CELLS - 1}),
+    a AS (SELECT x.*, n.* EXCLUDE (fid), {', '.join(f'n{a} / sqrt(nx * nx + ny * ny + nz * nz) AS u{a}' for a in 'xyz')}, (s1 - s0) * (t2 - t0) - (t1 - t0) * (s2 - s0) AS det FROM x JOIN n ON n.fid = x.fid),
+    b AS (SELECT *, {dot([f'{a} + CAST(0.5 AS DOUBLE) - {a}0' for a in 'xyz'], ['ux', 'uy', 'uz'])} AS d FROM a),
+    c AS (SELECT *, {dot(e, e)} AS ee, {dot(e, f)} AS ef, {dot(f, f)} AS ff, {dot(g, e)} AS ge, {dot(g, f)} AS gf FROM b),
+    d AS (SELECT *, (ff * ge - ef * gf) / (ee * ff - ef * ef) AS b1, (ee * gf - ef * ge) / (ee * ff - ef * ef) AS b2 FROM c),
+    p AS (SELECT fid, mid, x, y, z, 1 - d AS weight, {mean('s')} AS u, {mean('t')} AS v, {', '.join(f'{mean("n" + a)} AS i{a}' for a in 'xyz')}, CASE WHEN {flat} THEN 1e-6::DOUBLE ELSE 1 / sqrt({norm(tangent)} * {norm(other)} / (det * det)) END AS length,
+    {', '.join(f'CASE WHEN {flat} THEN {v} ELSE {tangent[a]} / {norm(tangent)} END AS t{a}' for a, v in zip('xyz', (1.0, 0.0, 0.0), strict=True))}, {', '.join(f'CASE WHEN {flat} THEN {v} ELSE {other[a]} / {norm(other)} END AS o{a}' for a, v in zip('xyz', (0.0, 1.0, 0.0), strict=True))} FROM d),
+    mt AS (SELECT m, {', '.join(f'{doubled(x)} AS {c}' for c, x in FACTORS.items())} FROM (SELECT r_regionkey AS m FROM region)), sl AS (SELECT m, slot, {', '.join(f'{x} AS {c}' for c, x in SLOT_RULES.items())} FROM (SELECT r_regionkey AS m FROM region), (VALUES {', '.join(f"('{s}', {k})" for k, s in enumerate(volumes.SLOTS))}) q(slot, k) WHERE (m + k) % 4 <> 0),
+    lc AS (SELECT l_suppkey % 5 AS m, l_partkey % {TEXELS} AS ty, l_orderkey % {TEXELS} AS tx, sum(CAST(trunc(l_quantity) AS BIGINT)) AS q, count(*) AS c FROM lineitem GROUP BY ALL),
+    m0 AS (SELECT {SLOT_RULES['tex']} AS tex, 0 AS level, ty, tx, {', '.join(f'CAST((q * (2 * k + 3) + {j} * 67 + c) % 256 AS BIGINT) AS c{j}' for j in range(3))} FROM lc, (SELECT range AS k FROM range(6))){mips}, ml AS ({' UNION ALL '.join(f'SELECT * FROM m{k}' for k in range(tops + 1))}),
+    w AS (SELECT p.fid, x, y, z, u, v, slot, tex, linear, wrap, least(greatest(log2(length * {TEXELS}), 0), {tops}) AS l FROM p JOIN sl ON sl.m = p.mid),
+    k AS (SELECT *, 0 AS level, CAST(1 AS DOUBLE) AS s FROM w WHERE NOT linear UNION ALL SELECT *, CAST(floor(l) AS INT), 1 - (l - floor(l)) FROM w WHERE linear UNION ALL SELECT *, least(CAST(floor(l) AS INT) + 1, {tops}), l - floor(l) FROM w WHERE linear AND l > floor(l)),
+    y AS (SELECT *, {TEXELS} >> level AS n, CASE WHEN linear THEN u * ({TEXELS} >> level) - 0.5::DOUBLE ELSE u * {TEXELS} END AS px, CASE WHEN linear THEN (1 - v) * ({TEXELS} >> level) - 0.5::DOUBLE ELSE (1 - v) * {TEXELS} END AS py FROM k),
+    z AS (SELECT y.*, i.range AS di, j.range AS dj, CAST(floor(px) AS BIGINT) + i.range AS ix, CAST(floor(py) AS BIGINT) + j.range AS iy FROM y, range(2) i, range(2) j WHERE linear OR (i.range = 0 AND j.range = 0)),
+    q AS (SELECT fid, x, y, z, slot, tex, level, {wrap('ix')} AS tx, {wrap('iy')} AS ty, CASE WHEN linear THEN s * CASE di WHEN 1 THEN px - floor(px) ELSE 1 - (px - floor(px)) END * CASE dj WHEN 1 THEN py - floor(py) ELSE 1 - (py - floor(py)) END ELSE 1 END AS w FROM z),
+    o AS (SELECT fid, x, y, z, {values} FROM q JOIN ml USING (tex, level, ty, tx) GROUP BY fid, x, y, z)
+    SELECT CAST(x AS INT) AS x, CAST(y AS INT) AS y, CAST(z AS INT) AS z, count(*) AS n, {sums} FROM p LEFT JOIN o USING (fid, x, y, z) JOIN mt ON mt.m = p.mid GROUP BY x, y, z"""
+
+
+@query(volume_sql())
+def textured_volume(spark, sf_dir):
+    """The six attributes of a textured surface as voxels: its own mip levels for each texture, all wraps, alpha modes, bent normals."""
+    region = views.load(spark, sf_dir, "region").select(F.col("r_regionkey").alias("m"))
+    materials = region.select(F.col("m").alias("mid"), *[F.expr(doubled(e)).alias(c) for c, e in FACTORS.items()])
+    kinds = F.explode(F.array(*[F.struct(F.lit(s).alias("slot"), F.lit(k).alias("k")) for k, s in enumerate(volumes.SLOTS)]))
+    slots = region.select("m", kinds.alias("q")).select("m", "q.*").filter("(m + k) % 4 <> 0")
+    slots = slots.select(F.col("m").alias("mid"), "slot", F.lit(TEXELS).alias("size"), *[F.expr(e).alias(c) for c, e in SLOT_RULES.items()])
+    out = volumes.volumetric(textured(spark, sf_dir), materials, slots, volumes.byte_mipmaps(texels(spark, sf_dir), TEXELS), CELLS)
+    return out.select("x", "y", "z", "n", *[(F.round(c, 5) + 0).alias(c) for c in volumes.ATTRIBUTES])
