@@ -144,7 +144,7 @@ def crossed_cells(crossings: DataFrame, size: int) -> DataFrame:
     return cells.filter(" and ".join(f"{a} between 0 and {size - 1}" for a in AXES))
 
 
-def dual_grid(triangles: DataFrame, size: int, borders: DataFrame | None = None, face_weight: float = 1.0, border_weight: float = 0.2, regularisation: float = 0.1) -> DataFrame:
+def dual_grid(triangles: DataFrame, size: int, borders: DataFrame | None = None, face_weight: float = 1.0, border_weight: float = 1.0, regularisation: float = 0.1) -> DataFrame:
     """(x, y, z, n, ix, iy, iz, vx, vy, vz): the dual grid of a mesh (fid, x0..z2). A cell is active if a triangle crosses a grid
     line at its border; it holds the number of crossings, which of its edges are crossed, and the point that fits best the
     planes of the triangles at its crossings, those of all triangles that touch it (by ``face_weight``), and the lines of the

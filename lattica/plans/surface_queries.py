@@ -8,7 +8,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from lattica.operators import raster, surfaces, volumes
+from lattica.operators import geometry, raster, surfaces, volumes
 from lattica.plans import views
 from lattica.plans.catalog import query
 
@@ -141,6 +141,23 @@ def textured(spark, sf_dir):
     return out
 
 
+def borders(spark, sf_dir):
+    """The surface's open edges as segments, in voxels."""
+    v = views.nodes(spark, sf_dir)
+    end = lambda k, c: v.select(F.col("vid").alias(c), *[(F.col(a) * FINER).alias(f"{a}{k}") for a in "xyz"])
+    b = surfaces.boundary_edges(views.surface(spark, sf_dir)).join(end(0, "s"), "s").join(end(1, "e"), "e")
+    return b.select(F.xxhash64("s", "e").alias("sid"), *[f"{a}{k}" for k in (0, 1) for a in "xyz"])
+
+
+@query()
+def surface_dual_grid(spark, sf_dir):
+    """The dual grid of the surface with its vertices, drawn to faces and open borders as well; a test holds the query against
+    loops over all lines, cells and planes."""
+    t = textured(spark, sf_dir).select("fid", *geometry.CORNERS)
+    out = geometry.dual_grid(t, CELLS, borders(spark, sf_dir))
+    return out.select("x", "y", "z", "n", "ix", "iy", "iz", *[F.round(f"v{a}", 6).alias(f"v{a}") for a in "xyz"])
+
+
 def texels(spark, sf_dir):
     """Six textures for each of five materials, out of quantities."""
     i = views.load(spark, sf_dir, "lineitem")

@@ -285,7 +285,7 @@ def test_dual_grid(spark):
     passed = rows(geometry.segment_voxels(border), "x", "y", "z")
     d = np.array(tris[0][4:7]) - np.array(tris[0][1:4])
     across = np.eye(3) - np.outer(d, d) / (d @ d)
-    found = geometry.dual_grid(frame, 4, border).collect()
+    found = geometry.dual_grid(frame, 4, border, border_weight=0.2).collect()
     assert {(r.x, r.y, r.z): (r.n, [r.ix, r.iy, r.iz]) for r in found} == {c: (len(v["points"]), v["flags"]) for c, v in cells.items()}
     for r in found:
         c = (r.x, r.y, r.z)

@@ -2,14 +2,24 @@
 
 import itertools
 import math
+import os
 import random
+import sys
+from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from lattica.operators import raster, surfaces
+sys.path.insert(0, str(Path(__file__).parent))
+from test_operators import clipped
+
+from lattica.operators import raster, surfaces, volumes
+from lattica.plans import QUERIES, surface_queries
 from lattica.session import ship
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 CORNERS = ", ".join(f"{a}{k} double" for k in range(3) for a in "xyz")
 
 
@@ -123,3 +133,101 @@ def test_raster(spark):
     finally:
         raster.PART = parts
     assert raster.rasterised(df.limit(0), camera, 0.3).count() == 0
+
+
+def passes(one, two, cell):
+    """Whether a segment has a stretch within a unit cell."""
+    low, high = 0.0, 1.0
+    for a, b, c in zip(one, two, cell, strict=True):
+        if a == b:
+            if not c <= a <= c + 1:
+                return False
+            continue
+        near, far = sorted(((c - a) / (b - a), (c + 1 - a) / (b - a)))
+        low, high = max(low, near), min(high, far)
+    return high - low > 1e-9
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="needs the test tables")
+def test_surface_dual_grid(spark):
+    """The whole query: crossings, flags and vertices against loops over lines, cells, planes and borders."""
+    tris = [np.array([r[f"{a}{k}"] for k in range(3) for a in "xyz"]).reshape(3, 3) for r in surface_queries.textured(spark, SF).collect()]
+    cells = defaultdict(lambda: {"flags": [False] * 3, "points": [], "q": np.zeros((3, 3)), "b": np.zeros(3)})
+    boxes = lambda p: itertools.product(*[range(int(np.floor(p[:, a].min())), int(np.floor(p[:, a].max())) + 1) for a in range(3)])
+    extra = []
+    for p in tris:
+        n = np.cross(p[1] - p[0], p[2] - p[0])
+        n /= np.linalg.norm(n)
+        for axis in range(3):
+            a, b = (axis + 1) % 3, (axis + 2) % 3
+            for i, j in itertools.product(*[range(int(np.floor(p[:, k].min())) + 1, int(np.floor(p[:, k].max())) + 1) for k in (a, b)]):
+                if abs(n[axis]) < 1e-12:
+                    continue
+                w = np.linalg.solve(np.array([p[:, a], p[:, b], np.ones(3)]), [i, j, 1])
+                if (w > 0).all():
+                    at = w @ p
+                    for di, dj in itertools.product((1, 0), repeat=2):
+                        c = [0, 0, 0]
+                        c[axis], c[a], c[b] = int(np.floor(at[axis])), i - di, j - dj
+                        got = cells[tuple(c)]
+                        got["flags"][axis] |= di + dj == 2
+                        got["points"].append(at)
+                        got["q"] += np.outer(n, n)
+                        got["b"] += n * (n @ p[0])
+        extra += [(c, np.outer(n, n), n * (n @ p[0])) for c in boxes(p) if clipped(p, c)]
+    for r in surface_queries.borders(spark, SF).collect():
+        p = np.array([r[f"{a}{k}"] for k in (0, 1) for a in "xyz"]).reshape(2, 3)
+        d = (p[1] - p[0]) / np.linalg.norm(p[1] - p[0])
+        across = np.eye(3) - np.outer(d, d)
+        extra += [(c, across, across @ p[0]) for c in boxes(p) if passes(*p, c)]
+    for c, q, b in extra:
+        if c in cells:
+            cells[c]["q"] += q
+            cells[c]["b"] += b
+    found = QUERIES["surface_dual_grid"](spark, SF).collect()
+    assert {(r.x, r.y, r.z): (r.n, [r.ix, r.iy, r.iz]) for r in found} == {c: (len(v["points"]), v["flags"]) for c, v in cells.items() if min(c) >= 0}
+    for r in found:
+        of = cells[(r.x, r.y, r.z)]
+        n = len(of["points"])
+        q, b = of["q"] + 0.1 * n * np.eye(3), of["b"] + 0.1 * n * np.mean(of["points"], axis=0)
+        corner, v = np.array([r.x, r.y, r.z]), np.array([r.vx, r.vy, r.vz])
+        steps = corner + np.array(list(itertools.product(np.linspace(0, 1, 7), repeat=3)))
+        cost = lambda x: np.einsum("...i,ij,...j", x, q, x) / 2 - x @ b  # noqa: E731, B023
+        assert cost(v) <= cost(steps).min() + 1e-5 and (v >= corner - 1e-6).all() and (v <= corner + 1 + 1e-6).all()
+
+
+def test_taps():
+    """Texels and weights against a plain sampler of one texture."""
+    rng = np.random.default_rng(2)
+    for size, mode, linear in itertools.product((1, 8), ("repeat", "clamp", "mirror"), (True, False)):
+        image = rng.integers(0, 256, (size, size)).astype(float)
+        levels = [image]
+        while len(levels[-1]) > 1:
+            x = levels[-1]
+            levels.append((x[::2, ::2] + x[1::2, ::2] + x[::2, 1::2] + x[1::2, 1::2]) // 4)
+
+        def texel(t, y, x, mode=mode):
+            n = len(t)
+            fold = lambda i: min(max(i, 0), n - 1) if mode == "clamp" else i % n if mode == "repeat" else (i % (2 * n) if i % (2 * n) < n else 2 * n - 1 - i % (2 * n))  # noqa: E731, B023
+            return t[fold(y), fold(x)]
+
+        def plain(t, u, v):
+            x, y = u * len(t) - 0.5, (1 - v) * len(t) - 0.5
+            i, j = math.floor(x), math.floor(y)
+            return sum(texel(t, j + b, i + a) * (x - i if a else 1 - x + i) * (y - j if b else 1 - y + j) for a in (0, 1) for b in (0, 1))
+
+        u, v = rng.uniform(-2, 3, 60), rng.uniform(-2, 3, 60)
+        length = np.concatenate([rng.uniform(0, 2, 57), [0.0, np.inf, np.nan]])
+        row, level, ty, tx, w = volumes.taps(u, v, length, np.full(60, size), np.full(60, linear), np.full(60, mode), 0.25)
+        got = np.zeros(60)
+        for r, k, y, x, s in zip(row, level, ty, tx, w, strict=True):
+            got[int(r)] += levels[int(k)][int(y), int(x)] * s
+        for i in range(60):
+            if not linear:
+                want = texel(image, math.floor((1 - v[i]) * size), math.floor(u[i] * size))
+            else:
+                wanted = math.log2(length[i] * size) + 0.25 if 0 < length[i] < math.inf else 0.0
+                at = min(max(wanted, 0.0), len(levels) - 1.0)
+                low = math.floor(at)
+                want = plain(levels[low], u[i], v[i]) * (1 - at + low) + (plain(levels[low + 1], u[i], v[i]) * (at - low) if at > low else 0)
+            assert abs(got[i] - want) < 1e-9
