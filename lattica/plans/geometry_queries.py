@@ -6,13 +6,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from lattica.functions import expr
+from lattica.functions import expr, sql
 from lattica.operators import geometry, spatial
 from lattica.plans import views
 from lattica.plans.catalog import query
 from lattica.plans.log_queries import CLIP_SQL, odd_log
 from lattica.plans.sparse_queries import ZCODE, batch_and_code, chunk_and_code
 from lattica.session import shared_dir
+from lattica.sources import plugin
 from lattica.sources import voxels as store
 from lattica.streaming import records, state
 
@@ -58,9 +59,20 @@ def segment_ends(spark, sf_dir):
     return cells.join(at_end[0].union(at_end[1]).distinct(), ["sid", "x", "y", "z"], "left_semi").select("sid", "x", "y", "z")
 
 
-@query()
+def cells_sql(segments: str) -> str:
+    """All cells of segments (sid, x0..z1): the middles between the crossings of the three axes in order."""
+    cross = lambda a: f"CASE WHEN {a}0 <> {a}1 THEN [(w - {a}0) / ({a}1 - {a}0) FOR w IN range(CAST(ceil(least({a}0, {a}1)) AS BIGINT), CAST(floor(greatest({a}0, {a}1)) AS BIGINT) + 1)] ELSE [] END"
+    at = lambda a: f"CAST(floor({a}0 + t * ({a}1 - {a}0)) AS INT) AS {a}"
+    return f"""c AS (SELECT *, list_sort(list_distinct([0.0::DOUBLE, 1.0::DOUBLE] || {cross('x')} || {cross('y')} || {cross('z')})) AS ts FROM {segments}),
+    m AS (SELECT *, (unnest(ts[1:len(ts) - 1]) + unnest(ts[2:])) / 2 AS t FROM c) SELECT DISTINCT sid, {at('x')}, {at('y')}, {at('z')} FROM m"""
+
+
+EDGE_SQL = "s AS (SELECT v0 * 50 + v1 AS sid, a.x + 0.5 AS x0, a.y + 0.5 AS y0, a.z + 0.5 AS z0, b.x + 0.5 AS x1, b.y + 0.5 AS y1, b.z + 0.5 AS z1 FROM (SELECT DISTINCT v0, v1 FROM v_face) JOIN v_vertex a ON a.vid = v0 JOIN v_vertex b ON b.vid = v1)"
+
+
+@query(f"WITH {EDGE_SQL}, {cells_sql('s')}")
 def segment_cells(spark, sf_dir):
-    """All cells that every mesh edge passes; a test compares with brute force."""
+    """All cells that every mesh edge passes."""
     t = views.faces(spark, sf_dir).select("v0", "v1").distinct()
     v = views.vertices(spark, sf_dir)
     ends = [v.select(F.col("vid").alias(f"v{k}"), *[(F.col(a) + 0.5).alias(f"{a}{k}") for a in "xyz"]) for k in (0, 1)]
@@ -126,3 +138,87 @@ def clip_stream(spark, sf_dir):
     stream = odd_log(records.file_stream(spark, path, files_per_batch=1))
     out = records.drained(state.clip_limits(stream, "rank", "step", "value", 20, 0.95, 50.0), "append", "clips")
     return out.select("step", "rank", F.round("limit", 6).alias("clip"))
+
+
+PART_SQL = "r AS (SELECT CAST(user_id AS BIGINT) AS asset_id, event_id * 4 // (SELECT max(event_id) + 1 FROM events) AS part, CASE WHEN event_type = 'click' THEN value END AS c_click, CASE WHEN event_type = 'view' THEN value END AS c_view FROM events)"
+NEWEST_SQL = "SELECT asset_id, arg_max(c_click, {'p': part, 'v': c_click}) FILTER (WHERE c_click IS NOT NULL) AS c_click, arg_max(c_view, {'p': part, 'v': c_view}) FILTER (WHERE c_view IS NOT NULL) AS c_view FROM r"
+
+
+def written_parts(spark, sf_dir):
+    """Four part files of records one after the other, as jobs would leave them: the folder, and what is in a line."""
+    home = f"{shared_dir(spark)}/parts-{uuid.uuid4().hex}"
+    e = views.load(spark, sf_dir, "events")
+    value = lambda kind: F.when(F.col("event_type") == kind, F.col("value")).alias(f"c_{kind}")
+    last = e.agg(F.max("event_id")).first()[0]
+    jvm, config = spark._jvm, spark._jsc.hadoopConfiguration()
+    for k in range(4):
+        rows = e.filter(F.expr(f"event_id * 4 div {last + 1} = {k}")).select(F.col("user_id").cast("long").alias("asset_id"), value("click"), value("view"))
+        rows.coalesce(1).write.option("header", "true").csv(f"{home}/made/{k}")
+        made = jvm.org.apache.hadoop.fs.Path(f"{home}/made/{k}/part-*.csv")
+        fs, to = made.getFileSystem(config), jvm.org.apache.hadoop.fs.Path(f"{home}/stage_{k % 2}/new_records/part_{k}.csv")
+        fs.mkdirs(to.getParent())
+        for status in fs.globStatus(made):
+            fs.rename(status.getPath(), to)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{home}/made"), True)
+    return home, "asset_id long, c_click double, c_view double"
+
+
+@query(f"WITH {PART_SQL} {NEWEST_SQL} GROUP BY asset_id")
+def part_stream_merge(spark, sf_dir):
+    """The registry that a stream of part files leaves behind, one file a micro-batch, those done with moved to an archive."""
+    home, schema = written_parts(spark, sf_dir)
+    return records.merged_parts(spark, home, schema, "asset_id", f"{home}-state", f"{home}-checkpoint", f"{home}-archive", 1)
+
+
+@query(f"WITH {PART_SQL} {NEWEST_SQL} WHERE part >= 1 AND part < 3 GROUP BY asset_id")
+def part_replay(spark, sf_dir):
+    """The registry made anew from the second and third file, wherever the stream has left them."""
+    home, schema = written_parts(spark, sf_dir)
+    records.merged_parts(spark, home, schema, "asset_id", f"{home}-state", f"{home}-checkpoint", f"{home}-archive", 1)
+    return records.replayed(spark, [f"{home}-archive", home], schema, "asset_id", "part_1.csv", "part_3.csv")
+
+
+@query("SELECT b, x, y, z, n FROM v_voxel WHERE x BETWEEN 3 AND 20 AND y BETWEEN 8 AND 15 AND z > 4")
+def voxel_source_box(spark, sf_dir):
+    """A box read by the source's name: only the chunks that it meets are opened."""
+    plugin.register(spark)
+    path = f"{shared_dir(spark)}/voxels-{uuid.uuid4().hex}"
+    store.write_voxels(views.voxels(spark, sf_dir).select("b", "x", "y", "z", "n"), path, size=8)
+    return spark.read.format("voxels").load(path).filter("x >= 3 and x <= 20 and y >= 8 and y <= 15 and z > 4").select("b", "x", "y", "z", "n")
+
+
+@query("SELECT CAST(x // 8 AS INT) AS chunk_x, CAST(y // 8 AS INT) AS chunk_y, CAST(z // 8 AS INT) AS chunk_z, count(*) AS n, min(x) AS low_x, max(x) AS high_x, min(z) AS low_z, max(z) AS high_z FROM v_voxel GROUP BY 1, 2, 3")
+def voxel_chunk_info(spark, sf_dir):
+    """Rows and bounds of each chunk from the files' footers."""
+    path = f"{shared_dir(spark)}/voxels-{uuid.uuid4().hex}"
+    store.write_voxels(views.voxels(spark, sf_dir).select("b", "x", "y", "z", "n"), path, size=8)
+    return plugin.chunk_info(spark, path).select("chunk_x", "chunk_y", "chunk_z", "n", "low_x", "high_x", "low_z", "high_z")
+
+
+LINE_SQL = "s AS (SELECT fid * 3 AS sid, a.x * 3::DOUBLE AS x0, a.y * 3::DOUBLE AS y0, a.z * 3::DOUBLE AS z0, b.x * 3::DOUBLE AS x1, b.y * 3::DOUBLE AS y1, b.z * 3::DOUBLE AS z1 FROM v_surface JOIN v_node a ON a.vid = v0 JOIN v_node b ON b.vid = v2)"
+
+
+@query(f"WITH {LINE_SQL}, {cells_sql('s')}")
+def sql_segment_cells(spark, sf_dir):
+    """Cells of the surface's lines, asked for in SQL: a table function for each line."""
+    sql.register(spark)
+    views.surface(spark, sf_dir).createOrReplaceTempView("lattica_surface")
+    views.nodes(spark, sf_dir).createOrReplaceTempView("lattica_nodes")
+    return spark.sql(
+        """SELECT sid, c.x, c.y, c.z FROM (SELECT fid * 3 AS sid, a.x * 3 AS x0, a.y * 3 AS y0, a.z * 3 AS z0, b.x * 3 AS x1, b.y * 3 AS y1, b.z * 3 AS z1
+        FROM lattica_surface JOIN lattica_nodes a ON a.vid = v0 JOIN lattica_nodes b ON b.vid = v2) s, LATERAL segment_cells(x0, y0, z0, x1, y1, z1) c"""
+    )
+
+
+def spread_sql(v: str) -> str:
+    return " + ".join(f"(({v} >> {k}) & 1) * {8 ** k}" for k in range(10))
+
+
+@query(
+    f"SELECT b, x, y, z, CAST(4 * ({spread_sql('x')}) + 2 * ({spread_sql('y')}) + ({spread_sql('z')}) AS BIGINT) AS code, CAST(floor((x - 17) / 8.0) AS BIGINT) AS chunk, CAST(CASE WHEN ((x - 9) % 16 + 16) % 16 < 8 THEN ((x - 9) % 16 + 16) % 16 ELSE 15 - ((x - 9) % 16 + 16) % 16 END AS BIGINT) AS texel, (z + 0.5::DOUBLE) * 0.25::DOUBLE - 1 AS middle FROM v_voxel"
+)
+def sql_scalars(spark, sf_dir):
+    """Codes, chunks, texels and centres by the library's functions in SQL."""
+    sql.register(spark)
+    views.voxels(spark, sf_dir).createOrReplaceTempView("lattica_voxels")
+    return spark.sql("SELECT b, x, y, z, z_order(x, y, z) AS code, floor_div(x - 17, 8) AS chunk, texel(x - 9, 8, 'mirror') AS texel, voxel_centre(z, 0.25D, -1D) AS middle FROM lattica_voxels")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lattica.operators.registry import upsert
 from lattica.session import shared_dir
 
 
@@ -75,6 +76,48 @@ def merged_once(spark: SparkSession, path: str, shape, key: str, seq: str) -> Da
     return merged(shape(file_stream(spark, path)), key, seq, f"{home}/state", f"{home}/checkpoint")
 
 
+def _parts(reader, schema: str, *paths: str) -> DataFrame:
+    """The good lines of ``part_*.csv`` files with ``seq`` and ``file``, from a reader of either kind."""
+    lines = reader.schema(f"{schema}, bad string").option("header", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad").option("pathGlobFilter", "part_*.csv").option("recursiveFileLookup", "true").csv(*paths)
+    names = [c for c in lines.columns if c != "bad"]
+    bad = F.when(F.hash(*names) >= -(1 << 31), F.col("bad"))  # a line is judged by all its columns
+    seq = F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"))
+    return lines.select(*names, bad.alias("bad"), seq.alias("seq"), F.col("_metadata.file_name").alias("file")).filter("bad is null").drop("bad")
+
+
+def part_stream(spark: SparkSession, root: str, schema: str, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """Part files below ``root`` as a stream. With ``archive`` Spark moves the files of a micro-batch there once the next one
+    begins, so a file is moved only after what was made of it is committed; a run that breaks off in between finds the
+    file where it was and makes the same of it again."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return _parts(reader, schema, root).drop("file")
+
+
+def merged_parts(spark: SparkSession, root: str, schema: str, key: str, state: str, checkpoint: str, archive: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """The registry of all part files so far, each column with its newest non-null value: merged() over part_stream()."""
+    return merged(part_stream(spark, root, schema, archive, files_per_batch), key, "seq", state, checkpoint)
+
+
+def replayed(spark: SparkSession, paths: list[str], schema: str, key: str, start: str | None = None, stop: str | None = None) -> DataFrame:
+    """The registry made anew from part files, archived ones and others (a path that isn't there is left out); ``start`` and
+    ``stop`` bound the files by name, the second left out. A file that lies in several places counts once."""
+    there = [p for p in paths if (at := spark._jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)]
+    if not there:
+        return spark.createDataFrame([], schema)
+    rows = _parts(spark.read, schema, there)
+    if start is not None:
+        rows = rows.filter(F.col("file") >= start)
+    if stop is not None:
+        rows = rows.filter(F.col("file") < stop)
+    names = [c for c in rows.columns if c not in (key, "seq", "file")]
+    rows = rows.withColumn("seq", F.struct("seq.at", "file"))
+    return upsert(rows.select(key, "seq", *names), key, "seq")
+
+
 def log_sums(stream: DataFrame, time: str, late: str, window: str, key: str, value: str) -> DataFrame:
     """Count and sum per key and tumbling window of a stream; rows later than ``late`` are dropped by the watermark."""
     rows = stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", late)
