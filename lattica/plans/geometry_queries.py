@@ -38,9 +38,30 @@ def hilbert_roundtrip(spark, sf_dir):
     return v.select("b", *[F.col(f"p.p{k}").alias(a) for k, a in enumerate("xyz")])
 
 
-@query()
+def touched_cells_sql() -> str:
+    """Every cell of the grid, from a triangle's lowest to its highest, against every triangle: the plane parts two of its corners,
+    and no edge's line parts its square from the triangle in any projection."""
+    n = {"x": "(y1 - y0) * (z2 - z0) - (z1 - z0) * (y2 - y0)", "y": "(z1 - z0) * (x2 - x0) - (x1 - x0) * (z2 - z0)", "z": "(x1 - x0) * (y2 - y0) - (y1 - y0) * (x2 - x0)"}
+    tests = ["nx * (x - x0) + ny * (y - y0) + nz * (z - z0) + least(nx, 0) + least(ny, 0) + least(nz, 0) <= 0", "nx * (x - x0) + ny * (y - y0) + nz * (z - z0) + greatest(nx, 0) + greatest(ny, 0) + greatest(nz, 0) >= 0"]
+    for a, b, c in (("x", "y", "z"), ("y", "z", "x"), ("z", "x", "y")):
+        for k in range(3):
+            m = (k + 1) % 3
+            p, q = f"({b}{k} - {b}{m})", f"({a}{m} - {a}{k})"
+            sign = f"CASE WHEN n{c} < 0 THEN -1 ELSE 1 END"
+            tests.append(f"{sign} * {p} * ({a} - {a}{k}) + {sign} * {q} * ({b} - {b}{k}) + greatest({sign} * {p}, 0) + greatest({sign} * {q}, 0) >= 0")
+    held = lambda v: f"least(greatest(floor({v}), 0), 3)"
+    for a in "xyz":
+        low, high = f"least({a}0, {a}1, {a}2)", f"greatest({a}0, {a}1, {a}2)"
+        tests.append(f"{high} >= 0 AND {low} < 4 AND {a} BETWEEN {held(low)} AND {held(high)}")
+    corners = ", ".join(f"c{k}.{a} / 4 AS {a}{k}" for k in range(3) for a in "xyz")
+    return f"""WITH g AS (SELECT fid, {corners} FROM (SELECT DISTINCT v0 * 2500 + v1 * 50 + v2 AS fid, v0, v1, v2 FROM v_face) JOIN v_vertex c0 ON c0.vid = v0 JOIN v_vertex c1 ON c1.vid = v1 JOIN v_vertex c2 ON c2.vid = v2),
+    t AS (SELECT *, {', '.join(f'{e} AS n{a}' for a, e in n.items())} FROM g), q AS (SELECT t.*, CAST(i.range AS INT) AS x, CAST(j.range AS INT) AS y, CAST(k.range AS INT) AS z FROM t, range(4) i, range(4) j, range(4) k)
+    SELECT fid, x, y, z FROM q WHERE {' AND '.join(f'({x})' for x in tests)}"""
+
+
+@query(touched_cells_sql())
 def triangle_voxels(spark, sf_dir):
-    """Cells that triangles touch; tests compare with exact clipping on a small mesh."""
+    """Cells that triangles touch."""
     return geometry.triangle_voxels(triangles(spark, sf_dir), 4)
 
 

@@ -286,13 +286,24 @@ def json_values(spark, sf_dir):
     return views.load(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").cast("long").alias("n"))
 
 
-@query()
+def dealt_sql(equal: bool) -> str:
+    """Loads of a batch one after the other, heaviest first, each to the least loaded of the open groups."""
+    room = "(m + 3) // 4" if equal else "m"
+    return f"""WITH RECURSIVE a AS (SELECT sha256, num_faces AS l, row_number() OVER (ORDER BY sha256) - 1 AS r FROM v_asset),
+    k AS (SELECT r // 64 AS batch_id, sha256, l, row_number() OVER (PARTITION BY r // 64 ORDER BY l DESC, r) AS o, count(*) OVER (PARTITION BY r // 64) AS m FROM a),
+    w AS (SELECT batch_id, CAST(0 AS BIGINT) AS o, [0, 0, 0, 0]::BIGINT[] AS loads, [0, 0, 0, 0]::BIGINT[] AS sizes, CAST(-1 AS INT) AS g FROM k WHERE o = 1 UNION ALL
+    SELECT batch_id, o, [CASE WHEN i = g THEN loads[i + 1] + l ELSE loads[i + 1] END FOR i IN range(4)], [CASE WHEN i = g THEN sizes[i + 1] + 1 ELSE sizes[i + 1] END FOR i IN range(4)], g FROM
+    (SELECT batch_id, o, l, loads, sizes, CAST(list_position(open, list_min(open)) - 1 AS INT) AS g FROM (SELECT k.batch_id, k.o, k.l, w.loads, w.sizes, [CASE WHEN w.sizes[i + 1] < {room} THEN w.loads[i + 1] END FOR i IN range(4)] AS open FROM w JOIN k ON k.batch_id = w.batch_id AND k.o = w.o + 1)))
+    SELECT k.batch_id, k.sha256, k.l AS num_faces, w.g AS "group" FROM k JOIN w ON w.batch_id = k.batch_id AND w.o = k.o"""
+
+
+@query(dealt_sql(False))
 def lpt_groups(spark, sf_dir):
-    """Loads of each global batch of 64 assets dealt to 4 groups; sequential inside a batch, so without SQL."""
+    """Loads of each global batch of 64 assets dealt to 4 groups, one after the other within a batch."""
     return sampling.balanced(views.assets(spark, sf_dir), "sha256", "num_faces", 64, 4)
 
 
-@query()
+@query(dealt_sql(True))
 def balanced_plan(spark, sf_dir):
     """The same with as many assets in each group."""
     return sampling.balanced(views.assets(spark, sf_dir), "sha256", "num_faces", 64, 4, equal_size=True)

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import random
 from pathlib import Path
 
@@ -9,13 +10,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lattica.operators import images, logs, registry
+from lattica.operators import geometry, images, logs, registry
 from lattica.operators.numbering import with_row_number
+from lattica.plans import QUERIES, geometry_queries, model_queries
 from lattica.session import ship
 from lattica.sources import files, plugin, voxels
 from lattica.streaming import records, state
 
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
 @pytest.fixture(autouse=True)
 def shipped(spark):
     ship(spark)
@@ -201,3 +206,43 @@ def test_feature_colours(spark):
 def test_row_numbers_keep_their_order(spark):
     numbered, n = with_row_number(spark.range(100).select((F.col("id") % 7).alias("g"), "id"), "g", "id")
     assert n == 100 and [r.id for r in numbered.orderBy("row_number").collect()] == sorted(range(100), key=lambda i: (i % 7, i))
+
+
+def test_fallback_query(spark):
+    """Good documents keep their place, each bad one has a good one's, and another call gives the same."""
+    docs = {r.doc_id: r.n_chars >= 500 for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: r.used for r in QUERIES["fallback_samples"](spark, SF).collect()}
+    assert set(got) == set(docs) and all(docs[u] for u in got.values()) and all(got[k] == k for k, good in docs.items() if good)
+    assert got == {r.doc_id: r.used for r in QUERIES["fallback_samples"](spark, SF).collect()}
+    bad = [u for k, u in got.items() if not docs[k]]
+    assert len(set(bad)) > len(bad) / 3
+
+
+def test_qef_query(spark):
+    """Each cell's vertex is as good as any place of a net over the cell for the planes of the triangles that touch it."""
+    tris = {r.fid: np.array([r[f"{a}{k}"] for k in range(3) for a in "xyz"]).reshape(3, 3) for r in geometry_queries.triangles(spark, SF).collect()}
+    touched = {}
+    for r in geometry.triangle_voxels(geometry_queries.triangles(spark, SF), 4).collect():
+        touched.setdefault((r.x, r.y, r.z), []).append(tris[r.fid])
+    found = QUERIES["qef_solve"](spark, SF).collect()
+    flat = lambda t: np.linalg.norm(np.cross(t[1] - t[0], t[2] - t[0])) == 0
+    assert {(r.x, r.y, r.z) for r in found} == {c for c, ts in touched.items() if not all(map(flat, ts))}
+    for r in found:
+        mine = [t for t in touched[r.x, r.y, r.z] if not flat(t)]
+        assert r.n == len(mine)
+        q, b = 0.1 * len(mine) * np.eye(3), 0.1 * len(mine) * np.mean([t.mean(axis=0) for t in mine], axis=0)
+        for t in mine:
+            n = np.cross(t[1] - t[0], t[2] - t[0])
+            n /= np.linalg.norm(n)
+            q, b = q + np.outer(n, n), b + n * (n @ t[0])
+        net = np.array([r.x, r.y, r.z]) + np.array(list(itertools.product(np.linspace(0, 1, 9), repeat=3)))
+        cost = lambda v: np.einsum("...i,ij,...j", v, q, v) / 2 - v @ b  # noqa: E731, B023
+        assert cost(np.array([r.vx, r.vy, r.vz])) <= cost(net).min() + 1e-3
+
+
+def test_no_height_on_a_tie(spark):
+    """Heights of line crossings are compared after six digits: none may lie on the border of two roundings."""
+    tables = SF.replace("sf0.001", "sf0.01")
+    for r in geometry.line_crossings(model_queries.shifted_triangles(spark, tables)).select("px", "py", "pz").collect():
+        for v in r:
+            assert abs(v * 1e6 % 1 - 0.5) > 1e-6
