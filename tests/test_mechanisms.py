@@ -245,4 +245,4 @@ def test_no_height_on_a_tie(spark):
     tables = SF.replace("sf0.001", "sf0.01")
     for r in geometry.line_crossings(model_queries.shifted_triangles(spark, tables)).select("px", "py", "pz").collect():
         for v in r:
-            assert abs(v * 1e6 % 1 - 0.5) > 1e-6
+            assert abs(v * 1e6 % 1 - 0.5) > 1e-8
