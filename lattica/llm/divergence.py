@@ -68,7 +68,7 @@ def divergence(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
-def tallied(group: pa.Table) -> pa.Table:
+def tallied(group: pa.Table, size: int = BLOCK) -> pa.Table:
     """Joint histogram of one tile: for each pair of a source of block i and one of block j the combinations of counts over
     the terms of the stripe that at least one of the two has, with the number of such terms."""
     lang, i, j, sources = (group.column(c)[0].as_py() for c in ("lang", "i", "j", "sources"))
@@ -78,9 +78,9 @@ def tallied(group: pa.Table) -> pa.Table:
     counts, k = np.concatenate([[0], counts]), len(counts) + 1
     sides = []
     for block in (i, j):
-        dense = np.zeros((int(term.max()) + 1, min(BLOCK, sources - block * BLOCK)), dtype=np.int64)
-        own = place // BLOCK == block
-        dense[term[own], place[own] - block * BLOCK] = code[own] + 1
+        dense = np.zeros((int(term.max()) + 1, min(size, sources - block * size)), dtype=np.int64)
+        own = place // size == block
+        dense[term[own], place[own] - block * size] = code[own] + 1
         sides.append(dense)
     left, right = sides
     found: list[tuple[np.ndarray, ...]] = []
@@ -89,7 +89,7 @@ def tallied(group: pa.Table) -> pa.Table:
         keys, m = np.unique(keys, return_counts=True)
         other, x, y = keys // (k * k), keys // k % k, keys % k
         a, b = (np.full(len(keys), fixed), other) if of_left else (other, np.full(len(keys), fixed))
-        found.append((a + i * BLOCK, b + j * BLOCK, counts[x], counts[y], m))
+        found.append((a + i * size, b + j * size, counts[x], counts[y], m))
 
     for a in range(left.shape[1]):  # terms that the source of the left block has, with the counts on the right, zeros included
         rows = np.flatnonzero(left[:, a])
@@ -104,15 +104,15 @@ def tallied(group: pa.Table) -> pa.Table:
     return pa.table({"lang": pa.array([lang] * len(a), pa.string()), "a": a, "b": b, "x": x, "y": y, "m": m})
 
 
-def in_tiles(rows: DataFrame) -> DataFrame:
+def in_tiles(rows: DataFrame, block: int) -> DataFrame:
     """Each row to the tiles (i, j), i <= j, of its block and every block of its language."""
-    blocks = F.expr(f"cast(ceil(sources / {BLOCK}) as int)")
-    own = F.expr(f"cast(place div {BLOCK} as int)")
+    blocks = F.expr(f"cast(ceil(sources / {block}) as int)")
+    own = F.expr(f"cast(place div {block} as int)")
     spread = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return spread.withColumns({"i": F.least(own, F.col("other")), "j": F.greatest(own, F.col("other"))}).drop("other")
 
 
-def audited(documents: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> DataFrame:
+def audited(documents: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP, block: int = BLOCK, stripe: int = STRIPE) -> DataFrame:
     """(lang, source, part, item, value, rank). Terms are runs of letters and non-ASCII characters with A-Z lower-cased; a
     language keeps those in at least ``least`` of its documents, V of them. Every group (lang, source) that occurs, and each
     language, gives a kept term p = 1 + floor(10^9 (count + 2) / (N + 2 V)), N its occurrences of kept terms, and
@@ -151,13 +151,13 @@ def audited(documents: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP)
     terms = dealt.withColumns({"p": probability(F.col("n"), F.col("total") + 2 * F.col("kept")), "q": q}).filter("p > q")
     terms = terms.select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), divergence(F.col("p"), F.col("q")).alias("value"))
 
-    stripe = F.pmod(F.xxhash64("term"), F.expr(f"1 + kept div {STRIPE}"))
-    tiles = in_tiles(dealt.select("lang", "place", "sources", "term", "n", stripe.alias("stripe")))
-    joint = tiles.groupBy("lang", "i", "j", "stripe").applyInArrow(tallied, "lang string, a long, b long, x long, y long, m long")
+    part = F.pmod(F.xxhash64("term"), F.expr(f"1 + kept div {stripe}"))
+    tiles = in_tiles(dealt.select("lang", "place", "sources", "term", "n", part.alias("stripe")), block)
+    joint = tiles.groupBy("lang", "i", "j", "stripe").applyInArrow(lambda group: tallied(group, block), "lang string, a long, b long, x long, y long, m long")
     joint = joint.groupBy("lang", "a", "b", "x", "y").agg(F.sum("m").alias("m"))
-    sides = in_tiles(groups.select("lang", "place", "sources", "source", "total", "kept"))
-    left = sides.filter(F.col("i") == F.expr(f"place div {BLOCK}")).select("lang", "i", "j", F.col("place").alias("a"), F.col("source").alias("source"), (F.col("total") + 2 * F.col("kept")).alias("total_a"), "kept")
-    right = sides.filter(F.col("j") == F.expr(f"place div {BLOCK}")).select("lang", "i", "j", F.col("place").alias("b"), F.col("source").alias("item"), (F.col("total") + 2 * F.col("kept")).alias("total_b"))
+    sides = in_tiles(groups.select("lang", "place", "sources", "source", "total", "kept"), block)
+    left = sides.filter(F.col("i") == F.expr(f"place div {block}")).select("lang", "i", "j", F.col("place").alias("a"), F.col("source").alias("source"), (F.col("total") + 2 * F.col("kept")).alias("total_a"), "kept")
+    right = sides.filter(F.col("j") == F.expr(f"place div {block}")).select("lang", "i", "j", F.col("place").alias("b"), F.col("source").alias("item"), (F.col("total") + 2 * F.col("kept")).alias("total_b"))
     pairs = left.join(right, ["lang", "i", "j"]).filter("a < b").drop("i", "j")
     at = lambda count, side: F.when(F.col("kept") > 0, probability(count, F.col(side)))
     met = pairs.join(joint, ["lang", "a", "b"], "left").withColumn("f", divergence(at(F.coalesce("x", zero), "total_a"), at(F.coalesce("y", zero), "total_b")))
