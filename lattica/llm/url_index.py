@@ -2,9 +2,9 @@
 
 Rules ``host + path prefix`` and blocked sites come from tables of any size. Their xxhash64 digests are dealt to shards by
 range; tasks sort each shard and write it beside the full strings to one file, which Spark hands to each executor once.
-Tasks memory-map the files, so all workers of a machine share their pages. A url probes one key for each parent domain and
-each path length that the rules have; keys and digests are column expressions, and Python sees arrays only. A probe counts
-only where the stored string equals the probed one, so digest collisions never decide.
+Tasks memory-map the files, so all workers of a machine share their pages. A url probes its host and each parent domain,
+whose keys and digests are column expressions, and then the path lengths of those that have rules. A probe counts only
+where the stored string equals the probed one, so digest collisions never decide.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,10 @@ BASE_RULES = [
 BLOCKED_SITES = [f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")]
 
 
-ALLOW, BLOCK, SITE = 0, 1, 2
+#: Codes of entries: a rule's verdict, a blocked site, and from LENGTHS on the length of a path that a rule of the host has.
+ALLOW, BLOCK, SITE, LENGTHS = 0, 1, 2, 16
+#: What stands behind the host in the keys of sites and of hosts with rules; no url's host and path hold it there.
+LISTED, RULED = "\0", "\1"
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -134,42 +138,54 @@ def judged(spark: SparkSession, pages: DataFrame, rules: DataFrame | None = None
     The longest fitting rule decides (``block`` where two of one length differ); without a rule, hosts that are a
     blocked site or lie below one are blocked, all others allowed. Null and empty urls and urls without ``://`` have an
     empty host and path, fit no rule and are allowed; very long urls are read whole. Duplicate rows are judged each; an
-    empty table gives an empty result; other columns, whatever their names, are ignored."""
+    empty table gives an empty result; other columns, whatever their names, are ignored.
+
+    A host and its parents are probed first; the index has an entry for each host with rules and each length of their paths,
+    and only these lengths of the url's path are then probed with that host. So a url costs as many keys as its host has
+    labels, and as many more as rules could fit it."""
     rules = (spark.createDataFrame(BASE_RULES, "verdict string, host string, path string") if rules is None else rules).dropna()
     sites = (spark.createDataFrame([(s,) for s in BLOCKED_SITES], "site string") if sites is None else sites).dropna()
     by_rule = rules.select(F.concat("host", "path").alias("key"), F.when(F.col("verdict") == "block", BLOCK).otherwise(ALLOW).alias("code"))
-    files = indexed(by_rule.unionAll(sites.select(F.concat("site", F.lit("\0")).alias("key"), F.lit(SITE).alias("code"))))
-    # keys need no more labels of a host than the rules and sites have, and only the rules' path lengths
+    hosts = rules.select(F.concat("host", F.lit(RULED)).alias("key"), (F.length("path") + LENGTHS).alias("code"))
+    files = indexed(by_rule.unionAll(hosts).unionAll(sites.select(F.concat("site", F.lit(LISTED)).alias("key"), F.lit(SITE).alias("code"))))
+    # keys need no more labels of a host than the rules and sites have
     labels = [f.select(F.max(F.size(F.split(c, "[.]", -1)))).first()[0] or 1 for f, c in ((rules, "host"), (sites, "site"))]
-    lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
     host, path = host_path(F.col("url"))
     kind = dict(pages.dtypes)["page_id"]
     parts, most = F.split("host", "[.]", -1), max(labels)
     n = F.size(parts)
     parents = F.transform(F.sequence(F.greatest(F.lit(1), n - most + 1), n), lambda i: F.array_join(F.slice(parts, i, n), "."))
-    fit = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda x: x <= F.length("path"))
-    by_parent = F.transform(parents, lambda p: F.array_append(F.transform(fit, lambda x: F.concat(p, F.substring(F.col("path"), F.lit(1), x))), F.concat(p, F.lit("\0"))))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("keys", F.when(F.col("host") != "", F.flatten(by_parent)).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("keys", F.when(F.col("host") != "", F.flatten(F.transform(parents, lambda p: F.array(F.concat(p, F.lit(LISTED)), F.concat(p, F.lit(RULED)))))).otherwise(F.array().cast("array<string>")))
     rows = rows.withColumn("digests", F.transform("keys", lambda k: F.xxhash64(k)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = [DigestArray.mapped(SparkFiles.get(f)) if f else None for f in files]
+
+        def probed(digests: np.ndarray, key) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, DigestArray]]:
+            """(number of the probe, entry, code, shard) of the keys that are held."""
+            home = shard_of(digests, len(shards)) if shards else np.zeros(len(digests), dtype=np.uint64)
+            for number, shard in enumerate(shards):
+                mine = np.flatnonzero(home == number)
+                if shard is not None and len(mine):
+                    probes, entries = shard.probe(digests[mine], lambda j, mine=mine: key(int(mine[j])))
+                    yield mine[probes], entries, shard.codes[entries].astype(np.int64), shard
+
         for batch in batches:
             keys, digests = batch.column("keys").flatten(), batch.column("digests").flatten().to_numpy().view(np.uint64)
             row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("digests").offsets.to_numpy()))
+            paths, listed = batch.column("path").to_pylist(), np.zeros(batch.num_rows, dtype=bool)
+            asked: list[tuple[int, bytes]] = []
+            for probes, _, codes, _ in probed(digests, lambda j: keys[j].as_py().encode()):
+                listed[row[probes[codes == SITE]]] = True
+                for j, code in zip(probes[codes >= LENGTHS].tolist(), codes[codes >= LENGTHS].tolist(), strict=True):
+                    r, size = int(row[j]), code - LENGTHS
+                    if size <= len(paths[r]):
+                        asked.append((r, (keys[j].as_py()[: -len(RULED)] + paths[r][:size]).encode()))
             found: list[tuple[int, int, int, str]] = []
-            listed = np.zeros(batch.num_rows, dtype=bool)
-            home = shard_of(digests, len(shards)) if shards else np.zeros(len(digests), dtype=np.uint64)
-            for number, shard in enumerate(shards):
-                mine = np.flatnonzero(home == number)
-                if shard is None or not len(mine):
-                    continue
-                probes, entries = shard.probe(digests[mine], lambda j, mine=mine: keys[int(mine[j])].as_py().encode())
-                at, codes = row[mine[probes]], shard.codes[entries]
-                listed[at[codes == SITE]] = True
-                ruled = codes != SITE
-                found += zip(at[ruled].tolist(), shard.chars[entries[ruled]].tolist(), codes[ruled].tolist(), [shard.stored(i).decode() for i in entries[ruled].tolist()], strict=True)
+            wanted = np.array([xxhash.xxh64_intdigest(k, seed=SEED) for _, k in asked], dtype=np.uint64)
+            for probes, entries, codes, shard in probed(wanted, lambda j: asked[j][1]):
+                found += zip([asked[j][0] for j in probes.tolist()], shard.chars[entries].tolist(), codes.tolist(), [shard.stored(i).decode() for i in entries.tolist()], strict=True)
             best = {r: (code, rule) for r, _, code, rule in sorted(found)}
             rule = [best[i][1] if i in best else None for i in range(batch.num_rows)]
             verdict = [("allow", "block")[best[i][0]] if i in best else "block" if listed[i] else "allow" for i in range(batch.num_rows)]
