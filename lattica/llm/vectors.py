@@ -2,8 +2,8 @@
 
 Equal vectors of a label form a class; one row a class goes on, with its weight. Each unit vector u is quantised once to
 s * q + r with q in int8, and |u.v - s_u s_v q_u.q_v| <= |s_u q_u| |r_v| + |r_u| |v|, whose norms are stored with the codes.
-The rows of a label are dealt to tiles of bounded size, and every pair of tiles of a label is one group, to which only
-codes, scales and norms are shuffled. Pairs whose upper bound is below the threshold are out, pairs whose lower bound is
+The rows of a label are dealt to tiles of bounded size, rows near to each other together, and every pair of tiles of a label
+that aren't too far apart is one group, to which only codes, scales and norms are shuffled. Pairs whose upper bound is below the threshold are out, pairs whose lower bound is
 above it are in. What is left open is named by rows, not pairs: the rows of a group that have an open pair are grouped
 once more, now with their full vectors, and only their open pairs are computed in full precision. A group returns counts
 and a spanning star of its links, so a group of many near copies costs rows in proportion to its size.
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.llm.common import BROADCAST_ROWS, dropped, joined, written
@@ -25,6 +25,10 @@ from lattica.llm.components import components
 TILE = 4096
 #: Room for rounding in the float64 arithmetic of the bounds.
 SLACK = 1e-9
+#: Pivots of a label at most: its rows are dealt to the nearest one before they are dealt to tiles.
+PIVOTS = 256
+#: Bytes of pivots that are handed to all tasks at most; labels beyond are dealt by a hash alone.
+PIVOT_BYTES = 64 << 20
 #: Rows whose products with a tile are held at once, and pairs that are computed in full precision at once.
 BLOCK, EXACT_AT_ONCE = 128, 1 << 16
 
@@ -137,7 +141,76 @@ def _table(group: pa.Table, links: Links, open_: np.ndarray) -> pa.Table:
     return part.append_column("n", pa.array(links.counts[at], mask=fixed)).append_column("root", pa.array(ids[links.root[at]], mask=fixed))
 
 
-RESULT = "label string, d int, i int, j int, h1 long, h2 long, t int, id long, n long, root long"
+RESULT = "label string, d int, i long, j long, h1 long, h2 long, t long, id long, n long, root long"
+
+
+def clustered(rows: DataFrame, tile: int) -> DataFrame:
+    """The rows of labels with more than ``tile`` rows, with ``t``, the tile each belongs to, and ``pivot``: the nearest of some
+    rows of the label, picked by a hash; a pivot with more rows than a tile holds has several. Which rows are together decides
+    how much can be skipped, not what is found."""
+    spark = rows.sparkSession
+    sizes = rows.groupBy("label", "d").agg(F.count("*").alias("rows")).filter(F.col("rows") > tile)
+    sizes = written(sizes.withColumn("pivots", F.least(F.lit(PIVOTS), F.ceil(F.col("rows") / tile)).cast("int")), "label-sizes")
+    room = sizes.agg(F.sum(F.col("pivots") * F.col("d"))).first()[0] or 0
+    few = room <= PIVOT_BYTES and sizes.count() <= BROADCAST_ROWS
+    large = rows.join(F.broadcast(sizes) if few else sizes, ["label", "d"])
+    if few:
+        order = Window.partitionBy("label", "d").orderBy(F.xxhash64("h1", "h2", F.lit(11)), "h1", "h2")
+        picked = large.withColumn("pivot", F.row_number().over(order)).filter(F.col("pivot") <= PIVOTS).filter("pivot <= pivots")
+        found: dict[tuple, list[np.ndarray]] = {}
+        for r in picked.select("label", "d", "pivot", "codes").toLocalIterator():
+            found.setdefault((r.label, r.d), []).append((r.pivot, np.frombuffer(bytes(r.codes), dtype=np.int8).astype(np.float32)))
+        held = {k: np.stack([v / max(float(np.linalg.norm(v)), 1e-9) for _, v in sorted(x, key=lambda p: p[0])]) for k, x in found.items()}
+        shared = spark.sparkContext.broadcast(held)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pivots = shared.value
+            for batch in batches:
+                nearest = np.zeros(batch.num_rows, dtype=np.int32)
+                keys = list(zip(batch.column("label").to_pylist(), batch.column("d").to_pylist(), strict=True))
+                codes = batch.column("codes")
+                for key in set(keys):
+                    at = np.array([i for i, k in enumerate(keys) if k == key])
+                    mine = np.frombuffer(b"".join(codes.take(pa.array(at)).to_pylist()), dtype=np.int8).reshape(len(at), -1).astype(np.float32)
+                    nearest[at] = (mine @ pivots[key].T).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest)], schema.names)
+
+        schema = large.withColumn("pivot", F.lit(0)).schema
+        large = large.mapInArrow(run, schema)
+    else:
+        large = large.withColumn("pivot", F.lit(0))
+    large = written(large.drop("rows", "pivots"), "clustered")
+    counts = large.groupBy("label", "d", "pivot").agg(F.count("*").alias("size"))
+    parts = large.join(F.broadcast(counts) if few else counts, ["label", "d", "pivot"]).withColumn("parts", F.ceil(F.col("size") / tile))
+    part = F.pmod(F.xxhash64("h1", "h2", F.lit(3)), F.col("parts"))
+    return parts.withColumn("t", (F.shiftleft(F.col("pivot").cast("long"), 40) + part).cast("long")).drop("pivot", "size", "parts")
+
+
+def _ball(group: pa.Table) -> pa.Table:
+    """A tile's mean direction and the greatest angle of a row from it, with room for the codes' errors."""
+    d = group.column("d")[0].as_py()
+    codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), dtype=np.int8).reshape(-1, d).astype(np.float64)
+    rows = codes * group.column("scale").to_numpy()[:, None]
+    mean = rows.sum(axis=0)
+    size = np.linalg.norm(mean)
+    if size == 0:
+        mean, size = rows[0], max(np.linalg.norm(rows[0]), 1e-9)
+    # |u.c - (s q).c| is at most the error's norm, so the angle of u from c is at most that of the lower cosine
+    cosine = rows @ (mean / size) - group.column("error").to_numpy() - SLACK
+    angle = float(np.arccos(np.clip(cosine, -1, 1)).max())
+    part = group.select(["label", "d", "t"]).slice(0, 1)
+    return part.append_column("centre", pa.array([(mean / size).tolist()], pa.list_(pa.float64()))).append_column("angle", pa.array([angle]))
+
+
+def met_tiles(rows: DataFrame, threshold: float) -> DataFrame:
+    """(label, d, t, o): the tiles that a tile has to be compared with. Two tiles are far apart if the angle between their means,
+    less the greatest angles of their rows, is over that of the threshold: then no pair of theirs reaches it."""
+    balls = written(rows.groupBy("label", "d", "t").applyInArrow(_ball, "label string, d int, t long, centre array<double>, angle double"), "tile-balls")
+    other = balls.select("label", "d", F.col("t").alias("o"), F.col("centre").alias("centre_o"), F.col("angle").alias("angle_o"))
+    widest = float(np.arccos(np.clip(threshold - SLACK, -1, 1)))
+    dot = F.aggregate(F.zip_with("centre", "centre_o", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    apart = F.acos(F.least(F.greatest(dot, F.lit(-1.0)), F.lit(1.0))) - F.col("angle") - F.col("angle_o")
+    return balls.join(other, ["label", "d"]).filter(apart <= widest + 1e-6).select("label", "d", "t", "o")
 
 
 def near_vectors(embeddings: DataFrame, threshold: float = 0.98, tile: int = TILE) -> DataFrame:
@@ -161,12 +234,13 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, tile: int = TIL
     classes = keyed.filter("fine").groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     firsts = keyed.filter("fine").select("h1", "h2", F.col("vec_id").alias("id"), "label", "embedding", F.size("embedding").alias("d")).join(classes, ["h1", "h2", "id"])
     rows = written(coded(firsts.dropDuplicates(["h1", "h2"])), "vectors")
-    # labels with several tiles: at most one of so many rows as a tile has
-    tiles = written(rows.groupBy("label", "d").count().filter(F.col("count") > tile).select("label", "d", F.ceil(F.col("count") / tile).cast("int").alias("tiles")), "tiles")
-    dealt = rows.join(F.broadcast(tiles) if tiles.count() <= BROADCAST_ROWS else tiles, ["label", "d"], "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-    dealt = dealt.withColumn("t", F.pmod(F.xxhash64("h1", "h2", F.lit(3)), F.col("tiles")).cast("int"))
-    paired = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    paired = paired.select("label", "d", F.least("t", "o").alias("i"), F.greatest("t", "o").alias("j"), "t", "h1", "h2", "id", "weight", *CODED)
+    # rows of labels with several tiles go to the tiles that theirs has to be compared with; the others' are one tile
+    large = clustered(rows, tile)
+    sizes = rows.groupBy("label", "d").agg(F.count("*").alias("rows")).filter(F.col("rows") <= tile).select("label", "d")
+    columns = ["label", "d", "i", "j", "t", "h1", "h2", "id", "weight", *CODED]
+    zero = F.lit(0).cast("long")
+    small = rows.join(sizes, ["label", "d"], "left_semi").select("label", "d", zero.alias("i"), zero.alias("j"), zero.alias("t"), "h1", "h2", "id", "weight", *CODED)
+    paired = large.join(met_tiles(large, threshold), ["label", "d", "t"]).withColumns({"i": F.least("t", "o"), "j": F.greatest("t", "o")}).select(columns).unionAll(small.select(columns))
 
     def by_codes(group: pa.Table) -> pa.Table:
         codes, links, left, right = _group(group)
@@ -192,7 +266,6 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, tile: int = TIL
     more = written(left.groupBy(*GROUP).applyInArrow(in_full, RESULT), "vector-links")
     links = found.filter("n is not null").select("id", "n", "root").unionAll(more.select("id", "n", "root"))
     labels = components(links.select(F.col("id").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "id")
-    dropped(tiles)
     by_class = classes.join(links.groupBy("id").agg(F.sum("n").alias("n")), "id", "left").join(labels, "id", "left")
     by_class = by_class.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("label", "id").alias("component_id"), F.lit(True).alias("fine"), "weight")
     out = joined(keyed.select("vec_id", "h1", "h2", "fine"), written(by_class, "classes"), ["h1", "h2", "fine"], "weight", "left")
