@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lattica.llm.common import BROADCAST_ROWS, dropped, joined, written
@@ -25,8 +25,8 @@ from lattica.llm.components import components
 TILE = 4096
 #: Room for rounding in the float64 arithmetic of the bounds.
 SLACK = 1e-9
-#: Pivots of a label at most: its rows are dealt to the nearest one before they are dealt to tiles.
-PIVOTS = 256
+#: Pivots of a label, one for so many rows and so many at most: rows near to one are dealt to tiles of its own.
+PIVOT_ROWS, PIVOTS = 64, 1024
 #: Bytes of pivots that are handed to all tasks at most; labels beyond are dealt by a hash alone.
 PIVOT_BYTES = 64 << 20
 #: Rows whose products with a tile are held at once, and pairs that are computed in full precision at once.
@@ -144,13 +144,14 @@ def _table(group: pa.Table, links: Links, open_: np.ndarray) -> pa.Table:
 RESULT = "label string, d int, i long, j long, h1 long, h2 long, t long, id long, n long, root long"
 
 
-def clustered(rows: DataFrame, tile: int) -> DataFrame:
-    """The rows of labels with more than ``tile`` rows, with ``t``, the tile each belongs to, and ``pivot``: the nearest of some
-    rows of the label, picked by a hash; a pivot with more rows than a tile holds has several. Which rows are together decides
-    how much can be skipped, not what is found."""
+def clustered(rows: DataFrame, tile: int, threshold: float) -> DataFrame:
+    """The rows of labels with more than ``tile`` rows, with ``t``, the tile each belongs to. Some rows of the label, picked by
+    a hash, are pivots; a row within twice the threshold's angle of one belongs to the nearest, the rest belong together. What
+    is more than a tile holds is parted by a hash. Which rows are together decides how much can be skipped, not what is found."""
     spark = rows.sparkSession
+    near = float(np.cos(min(2 * np.arccos(np.clip(threshold, -1, 1)), np.pi)))
     sizes = rows.groupBy("label", "d").agg(F.count("*").alias("rows")).filter(F.col("rows") > tile)
-    sizes = written(sizes.withColumn("pivots", F.least(F.lit(PIVOTS), F.ceil(F.col("rows") / tile)).cast("int")), "label-sizes")
+    sizes = written(sizes.withColumn("pivots", F.least(F.lit(PIVOTS), F.ceil(F.col("rows") / PIVOT_ROWS)).cast("int")), "label-sizes")
     room = sizes.agg(F.sum(F.col("pivots") * F.col("d"))).first()[0] or 0
     few = room <= PIVOT_BYTES and sizes.count() <= BROADCAST_ROWS
     large = rows.join(F.broadcast(sizes) if few else sizes, ["label", "d"])
@@ -172,18 +173,40 @@ def clustered(rows: DataFrame, tile: int) -> DataFrame:
                 for key in set(keys):
                     at = np.array([i for i, k in enumerate(keys) if k == key])
                     mine = np.frombuffer(b"".join(codes.take(pa.array(at)).to_pylist()), dtype=np.int8).reshape(len(at), -1).astype(np.float32)
-                    nearest[at] = (mine @ pivots[key].T).argmax(axis=1)
+                    cosine = mine @ pivots[key].T / np.maximum(np.linalg.norm(mine, axis=1, keepdims=True), 1e-9)
+                    nearest[at] = np.where(cosine.max(axis=1) >= near, cosine.argmax(axis=1), -1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest)], schema.names)
 
         schema = large.withColumn("pivot", F.lit(0)).schema
         large = large.mapInArrow(run, schema)
     else:
-        large = large.withColumn("pivot", F.lit(0))
+        large = large.withColumn("pivot", F.lit(-1))
     large = written(large.drop("rows", "pivots"), "clustered")
     counts = large.groupBy("label", "d", "pivot").agg(F.count("*").alias("size"))
     parts = large.join(F.broadcast(counts) if few else counts, ["label", "d", "pivot"]).withColumn("parts", F.ceil(F.col("size") / tile))
     part = F.pmod(F.xxhash64("h1", "h2", F.lit(3)), F.col("parts"))
-    return parts.withColumn("t", (F.shiftleft(F.col("pivot").cast("long"), 40) + part).cast("long")).drop("pivot", "size", "parts")
+    return parts.withColumn("t", _tile(F.col("pivot"), part)).drop("pivot", "size", "parts")
+
+
+def _tile(kind: Column, part: Column) -> Column:
+    """Tiles are numbered by pivot and part; the rest is pivot -1, and blocks of rows from all pivots are -2."""
+    return F.shiftleft(kind.cast("long"), 40) + part.cast("long")
+
+
+def paired_tiles(rows: DataFrame, tile: int, threshold: float) -> DataFrame:
+    """The rows of clustered() once for each group that they are compared in: i, j, and t, the side they are on. Tiles of pivots
+    meet those that aren't too far; the rest's tiles meet each other, and all rows of pivots in blocks as large as a tile, so
+    that a row of the rest doesn't go to every pivot."""
+    tight, rest = rows.filter("t >= 0"), rows.filter("t < 0")
+    near = tight.join(met_tiles(tight, threshold), ["label", "d", "t"]).withColumns({"i": F.least("t", "o"), "j": F.greatest("t", "o")}).drop("o")
+    layout = rows.groupBy("label", "d").agg(F.ceil(F.count_if(F.col("t") < 0) / tile).alias("rests"), F.ceil(F.count_if(F.col("t") >= 0) / tile).alias("blocks"))
+    up_to = lambda c: F.explode(F.when(F.col(c) > 0, F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).otherwise(F.array().cast("array<bigint>")))
+    own, others = rest.join(layout, ["label", "d"]), tight.join(layout, ["label", "d"])
+    among = own.withColumn("o", up_to("rests")).withColumn("o", _tile(F.lit(-1), F.col("o"))).withColumns({"i": F.least("t", "o"), "j": F.greatest("t", "o")}).drop("o", "rests", "blocks")
+    to_blocks = own.withColumn("i", up_to("blocks")).withColumn("i", _tile(F.lit(-2), F.col("i"))).withColumn("j", F.col("t")).drop("rests", "blocks")
+    block = _tile(F.lit(-2), F.pmod(F.xxhash64("h1", "h2", F.lit(5)), F.col("blocks")))
+    to_rest = others.withColumn("j", up_to("rests")).withColumn("j", _tile(F.lit(-1), F.col("j"))).withColumns({"t": block}).withColumn("i", F.col("t")).drop("rests", "blocks")
+    return near.unionByName(among).unionByName(to_blocks).unionByName(to_rest)
 
 
 def _ball(group: pa.Table) -> pa.Table:
@@ -235,12 +258,12 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, tile: int = TIL
     firsts = keyed.filter("fine").select("h1", "h2", F.col("vec_id").alias("id"), "label", "embedding", F.size("embedding").alias("d")).join(classes, ["h1", "h2", "id"])
     rows = written(coded(firsts.dropDuplicates(["h1", "h2"])), "vectors")
     # rows of labels with several tiles go to the tiles that theirs has to be compared with; the others' are one tile
-    large = clustered(rows, tile)
+    large = clustered(rows, tile, threshold)
     sizes = rows.groupBy("label", "d").agg(F.count("*").alias("rows")).filter(F.col("rows") <= tile).select("label", "d")
     columns = ["label", "d", "i", "j", "t", "h1", "h2", "id", "weight", *CODED]
     zero = F.lit(0).cast("long")
     small = rows.join(sizes, ["label", "d"], "left_semi").select("label", "d", zero.alias("i"), zero.alias("j"), zero.alias("t"), "h1", "h2", "id", "weight", *CODED)
-    paired = large.join(met_tiles(large, threshold), ["label", "d", "t"]).withColumns({"i": F.least("t", "o"), "j": F.greatest("t", "o")}).select(columns).unionAll(small.select(columns))
+    paired = paired_tiles(large, tile, threshold).select(columns).unionAll(small.select(columns))
 
     def by_codes(group: pa.Table) -> pa.Table:
         codes, links, left, right = _group(group)
