@@ -32,6 +32,8 @@ COLUMNS = {
     "op8_embeddings": ["vec_id", "n_links", "component_id", "kept"],
     "op9_mixing": ["doc_id", "rate", "copies", "residual", "met"],
     "op10_url_filter": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_line_dedup": ["doc_id", "n_lines", "n_dropped", "kept_sha256"],
+    "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
 }
 ROWS = {"op8_embeddings": "embeddings", "op10_url_filter": "pages"}
 
