@@ -161,18 +161,25 @@ def velocity_from_x0(xt, x0, t, sigma: float = 1e-5) -> Column:
     return ((1 - sigma) * col(xt) - col(x0)) / (sigma + (1 - sigma) * col(t))
 
 
+def once(value, body) -> Column:
+    """``body`` of a value that is computed once a row: what a lambda refers to is else computed for each of its elements."""
+    return F.transform(F.array(value), body)[0]
+
+
 def deviation(values) -> Column:
     """Sample standard deviation of an array."""
-    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
-    return F.sqrt(F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / (F.size(values) - 1))
+    mean = lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v)
+    about = lambda v, m: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / (F.size(v) - 1))
+    return once(values, lambda v: once(mean(v), lambda m: about(v, m)))
 
 
 def rescaled_guidance(xt, positive, negative, t, strength: float, rescale: float, sigma: float = 1e-5) -> Column:
     """Array of guided velocities, with the spread of the guided sample drawn by ``rescale`` to that of the conditional one."""
     mixed = F.zip_with(positive, negative, lambda p, n: strength * p + (1 - strength) * n)
     one, two = (F.zip_with(xt, v, lambda x, y: x0_from_velocity(x, y, t, sigma)) for v in (positive, mixed))
-    gain = rescale * deviation(one) / F.nullif(deviation(two), F.lit(0.0)) + (1 - rescale)
-    return F.zip_with(xt, two, lambda x, x0: velocity_from_x0(x, x0 * gain, t, sigma))
+    gain = lambda g: rescale * deviation(one) / F.nullif(deviation(g), F.lit(0.0)) + (1 - rescale)
+    drawn = lambda g, s: F.zip_with(xt, g, lambda x, x0: velocity_from_x0(x, x0 * s, t, sigma))
+    return once(two, lambda g: once(gain(g), lambda s: drawn(g, s)))
 
 
 def uniform(key, seed: int) -> Column:

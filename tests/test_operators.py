@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -475,6 +476,21 @@ def test_attention(spark):
             assert np.allclose(got[i], w @ np.array([d[4] for d in mine]) / w.sum())
 
 
+def test_rescaled_guidance_once_a_row(spark):
+    """Spreads are computed once a row, so long arrays cost no more than their length; values against the plain formula."""
+    rng = np.random.default_rng(4)
+    p, n = rng.normal(size=(2, 2, 400))
+    df = spark.createDataFrame([(i, ((p + n) / 2)[i].tolist(), p[i].tolist(), n[i].tolist()) for i in range(2)], "id int, xt array<double>, p array<double>, n array<double>")
+    start = time.monotonic()
+    got = {r.id: r.g for r in df.select("id", expr.rescaled_guidance("xt", "p", "n", F.lit(0.3), 3.0, 0.7).alias("g")).collect()}
+    assert time.monotonic() - start < 30
+    k = 1e-5 + (1 - 1e-5) * 0.3
+    for i in range(2):
+        xt = (1 - 1e-5) * (p[i] + n[i]) / 2
+        one, two = xt - k * p[i], xt - k * (3 * p[i] - 2 * n[i])
+        assert np.allclose(got[i], (xt - two * (0.7 * one.std(ddof=1) / two.std(ddof=1) + 0.3)) / k)
+
+
 def test_textures(spark):
     """Samples of a mip chain against a loop, under each wrap mode."""
     tex = np.arange(64, dtype=float).reshape(8, 8) % 7
