@@ -61,7 +61,9 @@ def nearest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
     within a cell's edge; it is done if its best distance is no more than that. Else it goes on where cells are as wide as
     that distance, or twice as wide if it met nothing. Levels come from the same cells by halving their numbers, so each is
     an equi-join, and only points that aren't done go on. ``cell`` should be some times the size of a triangle: points far
-    from the surface meet as many triangles as lie in their distance. Null coordinates or no triangles give nulls."""
+    from the surface meet as many triangles as lie in their distance. Null coordinates or no triangles give nulls. Both tables
+    may be large, so every join is shuffled, whatever sizes Spark expects, and none goes through the driver."""
+    triangles = fixed(triangles.select("fid", *CORNERS))
     edges = [c for a in AXES for c in (F.min(F.least(*[f"{a}{k}" for k in range(3)])).alias(f"low_{a}"), F.max(F.greatest(*[f"{a}{k}" for k in range(3)])).alias(f"high_{a}"))]
     bounds = triangles.agg(*edges).first()
     own = points.select("pid", *[F.col(f"p{a}").cast("double").alias(f"p{a}") for a in AXES])
@@ -72,7 +74,7 @@ def nearest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
     low = {a: bounds[f"low_{a}"] for a in AXES}
     shape = tuple(int((bounds[f"high_{a}"] - low[a]) / cell) + 1 for a in AXES)
     scaled = triangles.select("fid", *[((F.col(c) - low[c[0]]) / cell).alias(c) for c in CORNERS])
-    cells = fixed(triangle_voxels(scaled, shape).join(triangles.select("fid", *[F.col(c).cast("double").alias(c) for c in CORNERS]), "fid"))
+    cells = fixed(triangle_voxels(scaled, shape).hint("merge").join(triangles.select("fid", *[F.col(c).cast("double").alias(c) for c in CORNERS]), "fid"))
 
     known = own.filter(" and ".join(f"p{a} is not null and not isnan(p{a}) and abs(p{a}) < double('inf')" for a in AXES))
     left = fixed(known.select("*", *[F.floor((F.col(f"p{a}") - low[a]) / cell).cast("long").alias(f"c{a}") for a in AXES], F.lit(0).alias("level")))
@@ -82,9 +84,9 @@ def nearest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
         around = F.array(*[F.struct(*[F.lit(d).alias(f"d{a}") for a, d in zip(AXES, move, strict=True)]) for move in moves()])
         asked = at.select("*", F.inline(around)).select("pid", *[f"p{a}" for a in AXES], *[(F.shiftright(F.col(f"c{a}"), level) + F.col(f"d{a}")).cast("int").alias(a) for a in AXES])
         held = cells.select("fid", *CORNERS, *[F.shiftright(a, level).alias(a) for a in AXES])
-        met = asked.join(held.distinct() if level else held, list(AXES))
+        met = asked.hint("merge").join(held.distinct() if level else held, list(AXES))
         best = best_of(met, {"pid": dict(points.dtypes)["pid"], "fid": kind})
-        reached = fixed(at.join(best, "pid", "left").withColumn("distance", F.sqrt("best.d")))
+        reached = fixed(at.hint("merge").join(best, "pid", "left").withColumn("distance", F.sqrt("best.d")))
         sure = F.coalesce(F.col("distance") <= cell * 2.0**level, F.lit(False))
         done.append(reached.filter(sure).select("pid", "best.fid", "distance", "best.u", "best.v", "best.w"))
         wider = F.greatest(F.coalesce(F.ceil(F.log2(F.col("distance") / cell)), F.lit(level + 1)), F.lit(level + 1)).cast("int")
@@ -93,7 +95,7 @@ def nearest_triangles(points: DataFrame, triangles: DataFrame, cell: float) -> D
     found = done[0] if done else own.limit(0).select("pid", *none)
     for part in done[1:]:
         found = found.unionByName(part)
-    return own.select("pid").join(found, "pid", "left")
+    return own.select("pid").hint("merge").join(found, "pid", "left")
 
 
 def moves() -> list[tuple[int, int, int]]:
@@ -153,5 +155,5 @@ def filled(faces: DataFrame, vertices: DataFrame, most: float = math.inf) -> tup
 
 
 def corners_of(faces: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(fid, x0..z2) of faces."""
-    return gathered(faces, vertices).select("fid", *CORNERS)
+    """(fid, x0..z2) of faces; their vertices are shuffled to them, as there are about as many."""
+    return gathered(faces, vertices.hint("merge")).select("fid", *CORNERS)

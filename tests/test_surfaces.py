@@ -63,6 +63,20 @@ def test_nearest_triangles(spark):
     assert surfaces.nearest_triangles(p.limit(0), t, 1.0).count() == 0
 
 
+def test_nearest_without_broadcast(spark):
+    """Points and triangles may both be large: no join collects a side in the driver, however small Spark takes it to be."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsList().size()
+    faces = spark.createDataFrame([(i, 3 * i, 3 * i + 1, 3 * i + 2) for i in range(20)], "fid int, v0 int, v1 int, v2 int")
+    vertices = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 3)) for i in range(60)], "vid int, x double, y double, z double")
+    points = spark.createDataFrame([(i, i * 0.3, 1.0, i * 9.0) for i in range(20)], "pid int, px double, py double, pz double")
+    found = surfaces.nearest_triangles(points, surfaces.corners_of(faces, vertices), 1.0)
+    assert found.filter("distance is not null").count() == 20
+    made = store.executionsList()
+    plans = [made.apply(k).physicalPlanDescription() for k in range(before, made.size())]
+    assert any("SortMergeJoin" in x for x in plans) and not any("BroadcastHashJoin" in x for x in plans)
+
+
 def net(n, holes):
     """Faces of an n x n net of vertices without the quads in ``holes``."""
     quads = [(i, j) for i in range(n - 1) for j in range(n - 1) if (i, j) not in holes]
