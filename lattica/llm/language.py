@@ -86,6 +86,11 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / max(np.linalg.norm(v), 1e-12)
 
 
+def different(rows: DataFrame) -> DataFrame:
+    """Different (text, lang) of the rows with both."""
+    return rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", F.col("lang").cast("string").alias("lang")).distinct()
+
+
 def sample(rows: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, seed: int = 17) -> DataFrame:
     """Different (text, lang) of the rows with both. A language with more texts than its part of ``max_fit_rows`` is thinned
     to about that part by a hash of text and lang; one with fewer is taken whole. Equal texts count once."""
@@ -204,9 +209,10 @@ def identified(documents: DataFrame, folds: int = 4, held_out: int = 2) -> DataF
 def accepted(documents: DataFrame, languages: list[str] | None = None, least_score: float = 0.0, folds: int = 4, held_out: int = 2) -> DataFrame:
     """The documents, with their own columns, whose predicted language is one of ``languages`` (None: any learned one) with a
     score of ``least_score`` or more. Texts without a letter are rejected, and texts further from every learned language than
-    nearly all learned texts (least_cosine). Where no language was learned nothing tells against a text: with ``languages`` None all with a letter
-    stay; none is in a language asked for by name."""
-    learning = sample(documents.filter(~in_fold("doc_id", folds, held_out)))
+    nearly all learned texts (least_cosine). Languages and that bound come from all texts outside the held-out fold. Where no
+    language was learned nothing tells against a text: with ``languages`` None all with a letter stay; none is in a language
+    asked for by name."""
+    learning = written(different(documents.filter(~in_fold("doc_id", folds, held_out))), "learning")
     sums = bundled(learning)
     if not sums and languages is None:
         return documents.filter(F.col("text").rlike(r"\p{L}"))

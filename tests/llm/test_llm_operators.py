@@ -556,6 +556,15 @@ def test_language_sample(spark):
         assert np.allclose(v, copied[lang])
 
 
+def test_language_learns_from_all(spark, monkeypatch):
+    """Prototypes and bound of accepted() come from every different text of the learning folds, however many there are."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat('the wh', translate(cast(id as string), '0123456789', 'abcdefghij')) AS text", "'en' AS lang")
+    seen, least = [], language.least_cosine
+    monkeypatch.setattr(language, "least_cosine", lambda rows, sums: seen.append(rows.count()) or least(rows, sums))
+    assert language.accepted(docs.unionByName(docs)).count() == 60_000
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(30_000))]
+
+
 def test_binding():
     a, b = language.Encoder(256), language.Encoder(256)
     assert np.array_equal(a.encoded("hello wörld"), b.encoded("Hello, WÖRLD!"))
