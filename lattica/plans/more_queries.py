@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lattica.functions import expr
 from lattica.operators import geometry, mapping, sparse, spatial
+from lattica.operators.numbering import fixed
 from lattica.plans import views
 from lattica.plans.catalog import query
 from lattica.plans.geometry_queries import triangles
@@ -159,8 +160,9 @@ def tolerance(spark, sf_dir):
     SELECT b, x, y, z, round(min(cx / cz), 6) + 0 AS lu, round(max(cx / cz), 6) + 0 AS hu, round(min(cy / cz), 6) + 0 AS lv, round(max(cy / cz), 6) + 0 AS hv FROM c GROUP BY 1, 2, 3, 4 HAVING max(cx / cz) >= -1 AND min(cx / cz) <= 1 AND max(cy / cz) >= -1 AND min(cy / cz) <= 1"""
 )
 def frustum_cull(spark, sf_dir):
-    """Voxels that a camera sees, with the box of their eight projected corners."""
-    v = views.voxels(spark, sf_dir)
+    """Voxels that a camera sees, with the box of their eight projected corners. The voxels are fixed first: a filter on their
+    coordinates alone is else pushed below the grouping and the corners are projected for every line."""
+    v = fixed(views.voxels(spark, sf_dir).select("b", "x", "y", "z"))
     corners = [[(F.col(a) + (k >> j & 1) - 16) / (F.col("z") + (k >> 2 & 1) + 10.0) for k in range(8)] for j, a in enumerate("xy")]
     out = v.select("b", "x", "y", "z", *[f(*c).alias(n) for c, names in zip(corners, (("lu", "hu"), ("lv", "hv")), strict=True) for f, n in zip((F.least, F.greatest), names, strict=True)])
     out = out.filter("hu >= -1 and lu <= 1 and hv >= -1 and lv <= 1")

@@ -246,3 +246,9 @@ def test_no_height_on_a_tie(spark):
     for r in geometry.line_crossings(model_queries.shifted_triangles(spark, tables)).select("px", "py", "pz").collect():
         for v in r:
             assert abs(v * 1e6 % 1 - 0.5) > 1e-8
+
+
+def test_corners_are_projected_for_voxels_only(spark):
+    """The filter on a voxel's corners works on the grouped voxels, not on each line below the grouping."""
+    plan = QUERIES["frustum_cull"](ship(spark), SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" in plan and "lineitem" not in plan and "HashAggregate" not in plan
