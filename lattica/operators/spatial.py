@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lattica.functions.expr import floordiv
+from lattica.operators.numbering import fixed
 
 AXES = ("x", "y", "z")
 
@@ -110,19 +111,32 @@ def window_ids(window: int, shift: int) -> list[Column]:
     return [floordiv(F.col(a) + shift, window).cast("int").alias(f"w{a}") for a in AXES]
 
 
+#: Cells with their corners' values up to so many are broadcast.
+BROADCAST_CELLS = 500_000
+
+
 def trilinear(points: DataFrame, table: DataFrame, value: str) -> DataFrame:
     """(pid, weight, value): the weighted mean of a volume's values at the eight cells around each point (px, py, pz), over
-    the cells that exist. ``value`` is null where none does."""
-    base = points.select("pid", "b", *[F.floor(f"p{a}").cast("int").alias(f"i{a}") for a in AXES], *[(F.col(f"p{a}") - F.floor(f"p{a}")).alias(f"f{a}") for a in AXES])
-    corners = base.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(7))))
-    bit = lambda j: F.floor(F.col("k") / 2**j).cast("int") % 2
-    weight = F.lit(1.0)
-    for j, a in enumerate(AXES):
-        weight = weight * F.when(bit(j) == 1, F.col(f"f{a}")).otherwise(1 - F.col(f"f{a}"))
-    at = corners.select("pid", "b", *[(F.col(f"i{a}") + bit(j)).cast("int").alias(a) for j, a in enumerate(AXES)], weight.alias("w"))
-    hit = at.join(table.select("b", *AXES, F.col(value).alias("_v")), ["b", *AXES], "left")
-    found = F.col("_v").isNotNull()
-    return hit.groupBy("pid").agg(F.sum(F.when(found, F.col("w")).otherwise(0.0)).alias("weight"), (F.sum(F.when(found, F.col("w") * F.col("_v"))) / F.nullif(F.sum(F.when(found, F.col("w"))), F.lit(0.0))).alias("value"))
+    the cells that exist. ``value`` is null where none does. Each voxel goes to the eight cells that it is a corner of, so a
+    point meets one row that holds all its corners and isn't multiplied; up to BROADCAST_CELLS of these rows are broadcast."""
+    base = points.select("pid", "b", *[F.floor(f"p{a}").cast("int").alias(a) for a in AXES], *[(F.col(f"p{a}") - F.floor(f"p{a}")).alias(f"f{a}") for a in AXES])
+    bit = lambda k, j: k >> j & 1
+    spread = F.array(*[F.struct(F.lit(k).alias("k"), *[(F.col(a) - bit(k, j)).cast("int").alias(f"i{a}") for j, a in enumerate(AXES)]) for k in range(8)])
+    each = table.select("b", *AXES, F.col(value).cast("double").alias("_v")).filter("_v is not null").select("b", "_v", F.inline(spread))
+    at = lambda k, c: F.when(F.col("k") == k, F.col(c))
+    cells = fixed(each.groupBy("b", *[F.col(f"i{a}").alias(a) for a in AXES]).agg(*[F.sum(at(k, "_v")).alias(f"v{k}") for k in range(8)], *[F.count(at(k, "_v")).alias(f"n{k}") for k in range(8)]))
+    few = cells.count() <= BROADCAST_CELLS
+    hit = base.join(F.broadcast(cells) if few else cells, ["b", *AXES], "left")
+    weight, total = F.lit(0.0), F.lit(0.0)
+    for k in range(8):
+        w = F.lit(1.0)
+        for j, a in enumerate(AXES):
+            w = w * (F.col(f"f{a}") if bit(k, j) else 1 - F.col(f"f{a}"))
+        weight = weight + F.coalesce(w * F.col(f"n{k}"), F.lit(0.0))
+        total = total + F.coalesce(w * F.col(f"v{k}"), F.lit(0.0))
+    found = sum((F.coalesce(F.col(f"n{k}"), F.lit(0)) for k in range(8)), F.lit(0))
+    one = hit.select("pid", weight.alias("_w"), total.alias("_t"), found.alias("_n"))
+    return one.groupBy("pid").agg(F.sum("_w").alias("weight"), (F.when(F.sum("_n") > 0, F.sum("_t")) / F.nullif(F.when(F.sum("_n") > 0, F.sum("_w")), F.lit(0.0))).alias("value"))
 
 
 def overlapping(boxes: DataFrame, table: DataFrame, chunk: int = 8) -> DataFrame:

@@ -322,7 +322,7 @@ def trilinear_query_all(spark, sf_dir):
         F.round(F.col("l_partkey") % 31 + F.col("l_discount") * 5, 2).alias("px"),
         F.round(F.col("l_orderkey") % 31 + F.col("l_tax") * 5, 2).alias("py"),
         (F.col("l_suppkey") % 31 + 0.25).alias("pz"),
-    ).distinct()
+    ).repartition("pid").distinct()
     out = spatial.trilinear(points, views.voxels(spark, sf_dir), "f1")
     return out.select("pid", F.round("weight", 7).alias("weight"), F.round("value", 6).alias("value"))
 

@@ -491,6 +491,28 @@ def test_rescaled_guidance_once_a_row(spark):
         assert np.allclose(got[i], (xt - two * (0.7 * one.std(ddof=1) / two.std(ddof=1) + 0.3)) / k)
 
 
+def test_trilinear_keeps_points_single(spark):
+    """Weighted means against a loop, with holes, a null value, a point met twice and one outside; no point is multiplied."""
+    rng = np.random.default_rng(5)
+    cells = {(x, y, z): float(rng.normal()) for x in range(4) for y in range(4) for z in range(4) if rng.random() < 0.6}
+    table = spark.createDataFrame([(0, *c, v) for c, v in cells.items()] + [(0, 9, 9, 9, None)], "b int, x int, y int, z int, v double")
+    points = [(i, 0, *rng.uniform(-1, 4, size=3).tolist()) for i in range(30)] + [(0, 0, 1.5, 1.25, 2.0), (40, 0, 9.0, 9.0, 9.0), (41, 1, 1.0, 1.0, 1.0)]
+    out = spatial.trilinear(spark.createDataFrame(points, "pid int, b int, px double, py double, pz double"), table, "v")
+    got = {r.pid: (r.weight, r.value) for r in out.collect()}
+    want = {p[0]: [0.0, 0.0] for p in points}
+    for pid, b, *at in points:
+        for d in itertools.product((0, 1), repeat=3):
+            low = np.floor(at)
+            v = None if b else cells.get(tuple((low + d).astype(int).tolist()))
+            if v is not None:
+                w = np.prod([f if k else 1 - f for f, k in zip(at - low, d, strict=True)])
+                want[pid] = [want[pid][0] + w, want[pid][1] + w * v]
+    assert set(got) == set(want)
+    for pid, (w, t) in want.items():
+        assert np.isclose(got[pid][0], w) and (np.isclose(got[pid][1], t / w) if w else got[pid][1] is None)
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_textures(spark):
     """Samples of a mip chain against a loop, under each wrap mode."""
     tex = np.arange(64, dtype=float).reshape(8, 8) % 7
