@@ -576,3 +576,18 @@ def test_state_is_kept_between_batches(spark, tmp_path):
     got = rows(records.drained(stream, "append", "clips"), "run", "step", "limit")
     want = logs.clip_limit(spark.createDataFrame(data, "run int, step int, v double"), "run", "step", "v", 4, 0.5, 100.0)
     assert got == rows(want, "run", "step", "limit")
+
+
+def test_state_takes_two_calls_a_run():
+    """A run's state is read once and written once a micro-batch."""
+    from unittest.mock import MagicMock
+
+    import pandas as pd
+
+    handle, ring = MagicMock(), state.RingBuffer("run", "step", "value", 2, 0.5, 50.0)
+    handle.getValueState.return_value.get.return_value = None
+    ring.init(handle)
+    out = list(ring.handleInputRows((7,), iter([pd.DataFrame({"step": [1, 0], "value": [4.0, 2.0]})]), None))
+    assert out[0]["limit"].tolist() == [50.0, 3.0]
+    made = [c for c in handle.mock_calls if c[0].rpartition(".")[2] in ("get", "exists", "put", "clear", "update")]
+    assert len(made) == 2
