@@ -101,9 +101,9 @@ ATTENTION_SQL = """s AS (SELECT q.{row}, {groups}, list_dot_product(q.q, k.k) /
 @query("WITH f AS (SELECT vec_id, b, CAST(feats[1:32] AS DOUBLE[]) AS q, CAST(feats[33:64] AS DOUBLE[]) AS k, CAST(feats[1:2] AS DOUBLE[]) AS v FROM v_latent), " + ATTENTION_SQL.format(row="vec_id", groups="q.b", names="b", on="q.b = k.b"))
 def batch_attention(spark, sf_dir):
     """Attention of every row to all rows of its batch, in tiles of queries and keys."""
-    v = views.latents(spark, sf_dir).withColumn("feats", F.col("feats").cast("array<double>"))
+    v = views.latents(spark, sf_dir)
     rows = v.select("vec_id", "b", F.slice("feats", 1, 32).alias("q"), F.slice("feats", 33, 32).alias("k"), F.slice("feats", 1, 2).alias("v"))
-    out = attention.attended(rows, ["b"], "vec_id", "q", "k", "v", tile=64)
+    out = attention.attended(rows, ["b"], "vec_id", "q", "k", "v")
     return out.select("vec_id", "b", *[r(F.col("out")[k], 5).alias(f"o{k}") for k in range(2)])
 
 

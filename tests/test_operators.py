@@ -5,6 +5,8 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lattica.functions import expr
 from lattica.operators import attention, filters, geometry, logs, mapping, numbering, registry, sampling, sparse, spatial, textures
+from lattica.plans import QUERIES
 from lattica.session import ship
 from lattica.sources import files, voxels
 from lattica.streaming import records, state
@@ -476,6 +479,44 @@ def test_attention(spark):
             assert np.allclose(got[i], w @ np.array([d[4] for d in mine]) / w.sum())
 
 
+def test_attention_of_a_large_batch(spark, tmp_path):
+    """A batch of more than a tile costs its pairs, not a call and copies for every 64 rows; values against the plain formula."""
+    rng = np.random.default_rng(6)
+    feats = rng.normal(size=(20000, 64)).astype(np.float32)
+    table = pa.table({"vec_id": np.arange(len(feats)), "embedding": list(feats), "label": np.zeros(len(feats), dtype=np.int32)})
+    pq.write_table(table, tmp_path / "embeddings.parquet")
+    start = time.monotonic()
+    got = {r.vec_id: (r.o0, r.o1) for r in QUERIES["batch_attention"](ship(spark), str(tmp_path)).collect()}
+    assert time.monotonic() - start < 90
+    assert len(got) == len(feats)
+    wide = feats.astype(np.float64)
+    for i in range(0, len(feats), 97):
+        s = wide[:, 32:] @ wide[i, :32] / np.sqrt(32)
+        w = np.exp(s - s.max())
+        assert np.allclose(got[i], w @ wide[:, :2] / w.sum(), rtol=0, atol=6e-6)
+
+
+def test_attention_of_unlike_groups(spark):
+    """Groups below, at and above a tile under two columns, float arrays, text as row; a null group has no rows, arrays of two lengths fail."""
+    ship(spark)
+    rng = np.random.default_rng(7)
+    data = [(g, 1, f"{g}{i}", *(rng.normal(size=n).astype(np.float32).tolist() for n in (3, 3, 1))) for g, n in (("a", 1), ("b", 4), ("c", 5), ("d", 23)) for i in range(n)]
+    kinds = "g string, h int, id string, q array<float>, k array<float>, v array<float>"
+    lost = [(None, 1, "x", [1.0] * 3, [1.0] * 3, [1.0])]
+    got = attention.attended(spark.createDataFrame(data + lost, kinds), ["g", "h"], "id", "q", "k", "v", 4).collect()
+    assert sorted(r.id for r in got) == sorted(d[2] for d in data)
+    for r in got:
+        mine = [d for d in data if d[0] == r.g]
+        s = np.array([np.dot(next(d[3] for d in mine if d[2] == r.id), d[4]) for d in mine]) / np.sqrt(3)
+        assert np.allclose(r.out, np.exp(s) @ np.array([d[5] for d in mine]) / np.exp(s).sum())
+    nan = spark.createDataFrame([(float("nan"), i, [1.0], [1.0], [float(i)]) for i in range(5)], "g double, id int, q array<double>, k array<double>, v array<double>")
+    for tile in (2, 8):
+        assert np.allclose([r.out[0] for r in attention.attended(nan, ["g"], "id", "q", "k", "v", tile).collect()], [2.0] * 5)
+    uneven = [("a", 1, "p", [1.0], [1.0], [1.0]), ("a", 1, "q", [1.0] * 3, [1.0] * 3, [1.0])]
+    with pytest.raises(Exception, match="differ in length"):
+        attention.attended(spark.createDataFrame(uneven, kinds), ["g", "h"], "id", "q", "k", "v").collect()
+
+
 def test_rescaled_guidance_once_a_row(spark):
     """Spreads are computed once a row, so long arrays cost no more than their length; values against the plain formula."""
     rng = np.random.default_rng(4)
